@@ -11,6 +11,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.ui.showConsoleProgress": "false",
     # Arrow batches to Python are byte-capped, so a batch of long books stays
     # bounded; the row cap only matters for short rows.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
@@ -30,4 +31,34 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
+
+
+_SHIPPED_KEY = "spark.quire.shipped"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``quire`` importable in Python workers (``addPyFile`` of a zip).
+
+    Idempotent per session.  Executors get the archive through Spark's own
+    file distribution, as with ``--py-files``.
+    """
+    import os
+    import tempfile
+    import zipfile
+
+    if spark.conf.get(_SHIPPED_KEY, "false") == "true":
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    base = os.path.dirname(root)
+    fd, path = tempfile.mkstemp(prefix="quire-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w") as z:
+        for d, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, base))
+    spark.sparkContext.addPyFile(path)
+    spark.conf.set(_SHIPPED_KEY, "true")
