@@ -101,27 +101,18 @@ EMBED_SLICE = (10_000, 12_000)
 
 
 def _whitespace_class() -> str:
-    """Java character class of every code point ``str.isspace()`` accepts.
+    """Java character class of exactly the code points ``str.isspace()`` accepts.
 
-    Built from the rule (Python's own whitespace predicate) rather than typed
-    out, so Spark's ``\\s`` (ASCII only in Java) is never relied upon.
+    Java's ``\\s`` is ASCII only.  ``\\p{javaWhitespace}`` (a table lookup)
+    lacks the four no-break / next-line spaces Python counts, so they are
+    added; the union was checked equal to ``str.isspace()`` over every code
+    point.  ``python_whitespace_points`` gives the rule for tests.
     """
-    points = [c for c in range(0x110000) if chr(c).isspace()]
-    ranges = []
-    start = prev = points[0]
-    for c in points[1:]:
-        if c == prev + 1:
-            prev = c
-            continue
-        ranges.append((start, prev))
-        start = prev = c
-    ranges.append((start, prev))
-
-    def esc(c: int) -> str:
-        return f"\\x{{{c:x}}}"
-
-    body = "".join(esc(a) if a == b else f"{esc(a)}-{esc(b)}" for a, b in ranges)
-    return f"[{body}]"
+    return r"[\p{javaWhitespace}\x{85}\x{a0}\x{2007}\x{202f}]"
+
+
+def python_whitespace_points() -> list[int]:
+    return [c for c in range(0x110000) if chr(c).isspace()]
 
 
 WS = _whitespace_class()

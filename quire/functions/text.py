@@ -38,8 +38,15 @@ def strip(p: Column) -> Column:
 
 
 def word_count(p: Column) -> Column:
-    """``len(p.split())``: number of maximal non-whitespace runs."""
-    return F.regexp_count(p, _lit(K.NON_WS + "+")).cast("bigint")
+    """``len(p.split())``: number of maximal non-whitespace runs.
+
+    Pieces of a split on whitespace runs, minus the empty first / last piece
+    when the text starts / ends with whitespace (checked on one character).
+    """
+    edge = lambda c: F.when(c.rlike(K.WS), 1).otherwise(0)
+    n = (F.size(F.split(p, K.WS + "+", -1)) - edge(F.substring(p, 1, 1))
+         - edge(F.substring(p, -1, 1)))
+    return F.when(p == "", F.lit(0)).otherwise(n).cast("bigint")
 
 
 def heading(p: Column) -> Column:
@@ -108,7 +115,7 @@ def piece_limit(n_words: Column, max_len: Column | int) -> Column:
 # then an optional opening quote/bracket and an upper-case letter.  Splitting on
 # the whitespace with look-around keeps every character of the sentences.
 SENTENCE_BOUNDARY = (
-    r"(?<=[.!?][\"”’')\]]{0,8})" + r"\s+" + r"(?=[\"“‘'(\[]?\p{Lu})"
+    r"(?<=[.!?][\"”’')\]]{0,8})" + K.WS + "+" + r"(?=[\"“‘'(\[]?\p{Lu})"
 )
 
 

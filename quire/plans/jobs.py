@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..operators import aggregate, catalog, chunks, embed, paragraphs
 from ..sources import io
+from ..sources.checkpoint import cut
 
 
 def books_to_paragraphs_df(corpus: DataFrame, catalog_df: DataFrame,
@@ -46,7 +47,9 @@ def paragraphs_to_chunks_df(paras: DataFrame, max_p_length: int, threshold_min:
     100 000; ``None`` keeps all).  Indices are re-assigned by position and
     word counts recounted before merging.
     """
-    p = aggregate.reindex(paras, order_col)
+    # the re-indexed table is read by several passes (counts, keys, text),
+    # so it is materialised once, as the original job materialises its map
+    p = cut(aggregate.reindex(paras, order_col))
     if max_paragraphs is not None:
         p = p.where(F.col(K.COL_INDEX) < F.lit(max_paragraphs))
     agg = aggregate.aggregate_paragraphs(p, threshold_min, order_col=K.COL_INDEX)

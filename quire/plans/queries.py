@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions import text as X
 from ..operators import aggregate, catalog, chunks, embed, paragraphs
+from ..sources.checkpoint import cut
 from . import bookview, jobs
 
 THRESHOLD = 120        # aggregate threshold (words)
@@ -119,8 +120,12 @@ def spans(spark, sf):
 
 
 def paragraphs_indexed_df(spark, sf):
-    """Stage 1 over every book of the view (all languages), with the index."""
-    return paragraphs.paragraphs(_corpus(spark, sf))
+    """Stage 1 over every book of the view (all languages), with the index.
+
+    Materialised in the checkpoint folder, as the paragraph job writes its
+    output: the stage-2 queries read it several times (counts, keys, text).
+    """
+    return cut(paragraphs.paragraphs(_corpus(spark, sf)))
 
 
 def paragraphs_indexed(spark, sf):
