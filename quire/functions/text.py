@@ -84,10 +84,11 @@ def inclusion_condition(p: Column, n_words: Column | None = None) -> Column:
     """Conjunction of :func:`inclusion_flags` (``p`` already stripped)."""
     if n_words is None:
         n_words = word_count(p)
-    out = None
-    for c in inclusion_flags(p, n_words).values():
-        out = c if out is None else (out & c)
-    return out
+    f = inclusion_flags(p, n_words)
+    # the three note patterns in one scan of the lower-cased text
+    notes = "|".join((K.FOOTNOTE_PATTERN, K.TRANSCRIBER_PATTERN, K.ILLUSTRATION_PATTERN))
+    return (f["more_three_words"] & f["not_dialog"] & f["not_all_upper"]
+            & ~F.lower(p).rlike(notes))
 
 
 def bookshelves(shelf: Column) -> Column:

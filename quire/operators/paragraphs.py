@@ -137,10 +137,11 @@ def paragraphs(corpus: DataFrame, order_col: str = BOOK_ORDER, id_col: str = "id
     books = book_paragraph_arrays(corpus, id_col, text_col, keep=(order_col,))
     if not with_index:
         return explode_paragraphs(books, keep=(order_col,))
-    # paragraphs per book: a small table (one row per book, two numbers),
-    # materialised once so that count / quantiles / offsets read it cheaply.
-    counts = cut(_kept(book_parts(corpus, id_col, text_col, keep=(order_col,)))
-                 .select(order_col, F.size("_kept").cast("bigint").alias("_n")))
+    # one row per book with its kept paragraphs, written once: the per-book
+    # counts (two small columns) and the rows are both read from it, so the
+    # text pipeline runs once.
+    books = cut(books.withColumn("_n", F.size("_kept").cast("bigint")))
+    counts = books.select(order_col, "_n")
     n_books = counts.count()
     offsets = ordering.prefix_offsets(counts, order_col, "_n", "_off", n_rows=n_books,
                                       rows_per_bucket=rows_per_bucket).drop("_n")
