@@ -114,15 +114,22 @@ def piece_limit(n_words: Column, max_len: Column | int) -> Column:
 
 # Sentence boundary: end punctuation (plus closing quotes/brackets), whitespace,
 # then an optional opening quote/bracket and an upper-case letter.  Splitting on
-# the whitespace with look-around keeps every character of the sentences.
+# the whitespace with look-around keeps every character of the sentences.  The
+# leading one-character look-ahead lets the matcher skip non-space positions
+# before trying the (bounded, so costlier) look-behind.
 SENTENCE_BOUNDARY = (
-    r"(?<=[.!?][\"”’')\]]{0,8})" + K.WS + "+" + r"(?=[\"“‘'(\[]?\p{Lu})"
+    f"(?={K.WS})" + r"(?<=[.!?][\"”’')\]]{0,8})" + K.WS + "+" + r"(?=[\"“‘'(\[]?\p{Lu})"
 )
 
 
 def sentences(p: Column) -> Column:
-    """Paragraph -> array of sentences (whitespace between them dropped)."""
-    t = strip(p)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(
-        F.split(t, SENTENCE_BOUNDARY, -1)
-    )
+    """Paragraph -> array of sentences (whitespace between them dropped).
+
+    The text is stripped first, so only an empty text yields an empty piece.
+    """
+    return F.filter(F.split(strip(p), SENTENCE_BOUNDARY, -1), lambda x: x != "")
+
+
+def trimmed_word_count(p: Column) -> Column:
+    """:func:`word_count` for text known to have no leading/trailing space."""
+    return F.when(p == "", F.lit(0)).otherwise(F.size(F.split(p, K.WS + "+", -1))).cast("bigint")

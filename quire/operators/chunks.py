@@ -53,7 +53,7 @@ def _pieces(sents: Column, starts: Column) -> Column:
 def split_paragraph(p: Column, limit: Column) -> Column:
     """Paragraph -> array of pieces under ``limit`` words (sentence packing)."""
     sents = X.sentences(p)
-    ks = F.transform(sents, lambda s: X.word_count(s))
+    ks = F.transform(sents, lambda s: X.trimmed_word_count(s))
     return _pieces(sents, pack_starts(ks, limit.cast("bigint")))
 
 
@@ -71,7 +71,7 @@ def break_paragraphs(aggregates: DataFrame, max_p_length: int,
     # sentences only for rows that are cut; others send an empty array
     sents = F.when(F.col("_cut"), X.sentences(p)).otherwise(F.array().cast("array<string>"))
     d = d.withColumn("_sents", sents)
-    ks = F.transform("_sents", lambda s: X.word_count(s))
+    ks = F.transform("_sents", lambda s: X.trimmed_word_count(s))
     limit = F.when(F.col("_cut"), X.piece_limit(F.col("_nw"), max_p_length)).otherwise(F.lit(0))
     d = d.withColumn("_starts", pack_starts(ks, limit.cast("bigint")))
     pieces = F.when(F.col("_cut"), _pieces(F.col("_sents"), F.col("_starts"))).otherwise(F.array(p))
@@ -79,7 +79,7 @@ def break_paragraphs(aggregates: DataFrame, max_p_length: int,
                  F.posexplode(pieces).alias("piece", "_piece"))
     return e.select(
         F.col("_piece").alias(K.COL_PARAGRAPH),
-        F.when(F.col("_cut"), X.word_count(F.col("_piece"))).otherwise(F.col("_nw")).alias(K.COL_WORDS),
+        F.when(F.col("_cut"), X.trimmed_word_count(F.col("_piece"))).otherwise(F.col("_nw")).alias(K.COL_WORDS),
         K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER,
         F.col("_cut").alias(K.COL_SPLIT),
         *keep, F.col("piece").cast("int").alias("piece"))

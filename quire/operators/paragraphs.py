@@ -38,6 +38,24 @@ def first_occurrence(book: pa.Array, paras: pa.Array) -> pa.Array:
     return pa.array(out, type=pa.list_(pa.int64()))
 
 
+@F.arrow_udf(T.ArrayType(T.LongType()))
+def true_starts(book: pa.Array, positions: pa.Array) -> pa.Array:
+    """Code-point offset where part ``pos`` really starts (after its strip)."""
+    marker = K.PARAGRAPH_MARKER
+    out = []
+    for text, ps in zip(book.to_pylist(), positions.to_pylist()):
+        if text is None or ps is None:
+            out.append(None)
+            continue
+        parts = text.split(marker)
+        offs, off = [], 0
+        for part in parts:
+            offs.append(off + len(part) - len(part.lstrip(" ")))
+            off += len(part) + len(marker)
+        out.append([offs[p] for p in ps])
+    return pa.array(out, type=pa.list_(pa.int64()))
+
+
 def _spaced_word_count(p: Column) -> Column:
     """Words of a normalised, stripped paragraph (single spaces only)."""
     return F.when(p == "", F.lit(0)).otherwise(
@@ -96,10 +114,16 @@ def _kept(b: DataFrame) -> DataFrame:
 
 
 def book_paragraph_arrays(corpus: DataFrame, id_col: str = "id", text_col: str = "text",
-                          keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row per book with ``_kept`` paragraphs and their ``_starts``."""
+                          keep: tuple[str, ...] = (), true_spans: bool = False) -> DataFrame:
+    """One row per book with ``_kept`` paragraphs and their ``_starts``.
+
+    ``true_spans`` adds ``_tstarts``: where each kept paragraph really is
+    (the parity span is its first occurrence, which may be earlier).
+    """
     b = _kept(book_parts(corpus, id_col, text_col, keep))
     b = b.withColumn("_starts", first_occurrence(F.col("_norm"), F.transform("_kept", lambda x: x["p"])))
+    if true_spans:
+        b = b.withColumn("_tstarts", true_starts(F.col("_norm"), F.transform("_kept", lambda x: x["pos"])))
     return b.drop("_norm", "_ps", "_hs", "_cs", "_nochap")
 
 
@@ -108,11 +132,15 @@ def explode_paragraphs(books: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
 
     Adds ``_k``: ordinal of the paragraph among the kept ones of its book.
     """
-    z = F.arrays_zip(F.col("_kept").alias("x"), F.col("_starts").alias("s"))
-    e = books.select(K.COL_TEXT_ID, *keep, F.posexplode(z).alias("_k", "_z"))
+    true = "_tstarts" in books.columns
+    cols = [F.col("_kept").alias("x"), F.col("_starts").alias("s")]
+    if true:
+        cols.append(F.col("_tstarts").alias("t"))
+    e = books.select(K.COL_TEXT_ID, *keep, F.posexplode(F.arrays_zip(*cols)).alias("_k", "_z"))
     p = F.col("_z.x.p")
     start = F.col("_z.s")
-    return e.select(
+    extra = [F.array(F.col("_z.t"), F.col("_z.t") + F.length(p).cast("bigint")).alias("spans_true")] if true else []
+    return e.select(*extra,
         p.alias(K.COL_PARAGRAPH),
         K.COL_TEXT_ID,
         F.array(start, start + F.length(p).cast("bigint")).alias(K.COL_SPANS),
@@ -127,14 +155,17 @@ def explode_paragraphs(books: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
 def paragraphs(corpus: DataFrame, order_col: str = BOOK_ORDER, id_col: str = "id",
                text_col: str = "text", with_index: bool = True,
                rows_per_bucket: int = ordering.DEFAULT_ROWS_PER_BUCKET,
-               broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS,
+               true_spans: bool = False) -> DataFrame:
     """Stage 1 output: ``paragraphs, text_ids, spans, chapters,
     paragraphs_index, n_words`` (+ ``corpus_order``-free).
 
     ``order_col`` is a unique BIGINT giving the corpus order of the books; the
     index numbers paragraphs by (book order, position in book), from 0.
+    ``true_spans`` adds ``spans_true`` (actual position; ``spans`` keeps the
+    first-occurrence semantics).
     """
-    books = book_paragraph_arrays(corpus, id_col, text_col, keep=(order_col,))
+    books = book_paragraph_arrays(corpus, id_col, text_col, keep=(order_col,), true_spans=true_spans)
     if not with_index:
         return explode_paragraphs(books, keep=(order_col,))
     # one row per book with its kept paragraphs, written once: the per-book
@@ -149,7 +180,8 @@ def paragraphs(corpus: DataFrame, order_col: str = BOOK_ORDER, id_col: str = "id
     rows = explode_paragraphs(books.join(offsets, order_col), keep=("_off",))
     return rows.select(
         K.COL_PARAGRAPH, K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER,
-        (F.col("_off") + F.col("_k")).alias(K.COL_INDEX), K.COL_WORDS)
+        (F.col("_off") + F.col("_k")).alias(K.COL_INDEX), K.COL_WORDS,
+        *(["spans_true"] if true_spans else []))
 
 
 def split_book(corpus: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:

@@ -131,7 +131,11 @@ sp AS (SELECT text_ids, corpus_order, norm, NOT regexp_matches(norm, {PAT}) AS n
               string_split(norm, {lit(K.PARAGRAPH_MARKER)}) AS arr FROM nb),
 pt AS (SELECT text_ids, corpus_order, nochap, unnest(arr) AS raw, generate_subscripts(arr, 1) - 1 AS pos FROM sp),
 hd AS (SELECT text_ids, corpus_order, nochap, CAST(pos AS BIGINT) AS pos, trim(raw) AS p,
-              regexp_extract(trim(raw), {PAT}, 0) AS h FROM pt),
+              regexp_extract(trim(raw), {PAT}, 0) AS h,
+              coalesce(sum(length(raw) + {len(K.PARAGRAPH_MARKER)}) OVER (
+                PARTITION BY corpus_order ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+              + length(raw) - length(ltrim(raw)) AS true_start
+       FROM pt),
 ch AS (SELECT *, last_value(NULLIF(h, '') IGNORE NULLS) OVER (
                    PARTITION BY corpus_order ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS chapter,
               {_words_spaced('p')} AS nw
@@ -224,6 +228,8 @@ ORACLE = {
                               "AND not_illustration"),
     "spans": _q("SELECT text_ids, pos, CAST(span_start AS BIGINT) AS span_start, "
                 "CAST(span_start + length(p) AS BIGINT) AS span_end FROM kp"),
+    "spans_true": _q("SELECT text_ids, pos, CAST(true_start AS BIGINT) AS span_start, "
+                     "CAST(true_start + length(p) AS BIGINT) AS span_end FROM kp"),
     "paragraphs": _q("SELECT * FROM pj"),
     "paragraphs_indexed": _q("SELECT * FROM pi"),
     "head_paragraphs": _q(f"SELECT * FROM pi WHERE paragraphs_index < {K.CHUNK_JOB_ROW_CAP}"),

@@ -119,6 +119,14 @@ def spans(spark, sf):
     return _spans(e.select(K.COL_TEXT_ID, F.col("_pos").alias("pos"), K.COL_SPANS))
 
 
+def spans_true(spark, sf):
+    b = paragraphs.book_paragraph_arrays(_corpus(spark, sf), true_spans=True)
+    e = paragraphs.explode_paragraphs(b)
+    return e.select(K.COL_TEXT_ID, F.col("_pos").alias("pos"),
+                    F.get(F.col("spans_true"), 0).alias("span_start"),
+                    F.get(F.col("spans_true"), 1).alias("span_end"))
+
+
 def paragraphs_indexed_df(spark, sf):
     """Stage 1 over every book of the view (all languages), with the index.
 
@@ -218,6 +226,7 @@ QUERIES = {
     "inclusion_flags": inclusion_flags,
     "included_paragraphs": included_paragraphs,
     "spans": spans,
+    "spans_true": spans_true,
     "paragraphs": paragraphs_job,
     "paragraphs_indexed": paragraphs_indexed,
     "head_paragraphs": head_paragraphs,

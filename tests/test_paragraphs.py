@@ -85,3 +85,10 @@ def test_split_book_positions(spark):
     got = [(r.pos, r.paragraph, r.heading, r.chapter) for r in s.orderBy("pos").collect()]
     assert got == [(0, "A", None, None), (1, "CHAPTER I", "CHAPTER I", "CHAPTER I"),
                    (2, "B b b b", None, "CHAPTER I"), (3, "", None, "CHAPTER I")]
+
+
+def test_true_spans_are_actual_positions(spark):
+    book = "CHAPTER I\n\nxx the same four words yy\n\nthe same four words\n\nthe same four words"
+    out = P.paragraphs(corpus(spark, [("3", book, 0)]), true_spans=True).orderBy("paragraphs_index")
+    got = [(tuple(r.spans), tuple(r.spans_true)) for r in out.collect()]
+    assert got == [((13, 38), (13, 38)), ((16, 35), (42, 61)), ((16, 35), (65, 84))]
