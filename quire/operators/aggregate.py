@@ -43,18 +43,18 @@ SUMMARY_SCHEMA = T.StructType([
 CARRY_SCHEMA = "bucket long, c_open boolean, c_acc long, c_g long"
 
 
-def _is_dense(df: DataFrame, col: str, n: int) -> bool:
-    """A unique column is dense iff its min is 0 and its max is n - 1."""
-    if n == 0:
-        return True
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    return row.lo == 0 and row.hi == n - 1
+def count_and_dense(df: DataFrame, col: str) -> tuple[int, bool]:
+    """Row count, and whether the (unique) column is exactly 0..n-1; one pass."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    return row.n, row.n == 0 or (row.lo == 0 and row.hi == row.n - 1)
 
 
 def positions(narrow: DataFrame, order_col: str, n: int,
-              rows_per_bucket: int) -> DataFrame:
+              rows_per_bucket: int, dense: bool | None = None) -> DataFrame:
     """Add ``_r`` (0..n-1 in ``order_col`` order) and ``_b`` (its bucket)."""
-    if _is_dense(narrow, order_col, n):
+    if dense is None:
+        n, dense = count_and_dense(narrow, order_col)
+    if dense:
         d = narrow.withColumn("_r", F.col(order_col).cast("bigint"))
     else:
         d = ordering.dense_index(narrow, order_col, "_r", n_rows=n,
@@ -86,7 +86,7 @@ def segment_starts(d: DataFrame, rows_per_bucket: int,
 
 def group_ids(df: DataFrame, threshold_min: int, order_col: str = K.COL_INDEX,
               rows_per_bucket: int = ordering.DEFAULT_ROWS_PER_BUCKET,
-              n_rows: int | None = None) -> DataFrame:
+              n_rows: int | None = None, dense: bool | None = None) -> DataFrame:
     """``(order_col, _gid)``: the aggregate each row belongs to.
 
     ``_gid`` is the dense position of the aggregate's first row.
@@ -94,8 +94,11 @@ def group_ids(df: DataFrame, threshold_min: int, order_col: str = K.COL_INDEX,
     T_ = int(threshold_min)
     narrow = df.select(order_col, K.COL_TEXT_ID, F.col(K.COL_INDEX).alias("_idx"),
                        K.COL_CHAPTER, F.col(K.COL_WORDS).cast("bigint").alias("_n"))
-    n = narrow.count() if n_rows is None else n_rows
-    d = segment_starts(positions(narrow, order_col, n, rows_per_bucket), rows_per_bucket)
+    if n_rows is None or dense is None:
+        n, dense = count_and_dense(narrow, order_col)
+    else:
+        n = n_rows
+    d = segment_starts(positions(narrow, order_col, n, rows_per_bucket, dense), rows_per_bucket)
     d = d.select(order_col, "_b", "_r", "_new", "_n")
 
     def summarise(key, pdf):
@@ -121,7 +124,9 @@ def group_ids(df: DataFrame, threshold_min: int, order_col: str = K.COL_INDEX,
         return pd.DataFrame({order_col: pdf[order_col].to_numpy(), "_gid": gid})
 
     out_schema = T.StructType([narrow.schema[order_col], T.StructField("_gid", T.LongType())])
-    return d.join(F.broadcast(carry), "_b").groupBy("_b").applyInPandas(assign, out_schema)
+    # left join: keeps the windowed subtree identical to the summary branch so
+    # its shuffle is reused
+    return d.join(F.broadcast(carry), "_b", "left").groupBy("_b").applyInPandas(assign, out_schema)
 
 
 def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str = K.COL_INDEX,
@@ -135,8 +140,8 @@ def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str = K.C
     summed; the span runs from the first paragraph's start to the last one's
     stop; id and chapter are the last paragraph's.
     """
-    n = df.count()
-    g = group_ids(df, threshold_min, order_col, rows_per_bucket, n_rows=n)
+    n, dense = count_and_dense(df, order_col)
+    g = group_ids(df, threshold_min, order_col, rows_per_bucket, n_rows=n, dense=dense)
     g = joins.maybe_broadcast(g, broadcast_rows, known_rows=n)
     j = df.join(g, order_col)
     o = F.col(order_col)
@@ -165,8 +170,8 @@ def reindex(df: DataFrame, order_col: str = K.COL_INDEX,
     """Stage 2's first step: ``paragraphs_index`` = position, ``n_words`` recounted."""
     from ..functions import text as X
 
-    n = df.count()
-    if _is_dense(df, order_col, n) and order_col == K.COL_INDEX:
+    n, dense = count_and_dense(df, order_col)
+    if dense and order_col == K.COL_INDEX:
         out = df
     else:
         out = ordering.dense_index(df, order_col, "_pos", n_rows=n,

@@ -93,9 +93,14 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalog-shaped view, one row per book (same columns as the CSV feed)."""
-    ids = books(spark, sf_dir).select("text_id")
+def catalog(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
+    """Catalog-shaped view, one row per book (same columns as the CSV feed).
+
+    ``ids`` (a ``text_id`` column) avoids re-deriving the books when the
+    caller already has them.
+    """
+    if ids is None:
+        ids = books(spark, sf_dir).select("text_id")
     lang = F.element_at(F.array(*[F.lit(n) for n, _ in LANG_CODES], F.lit("es")),
                         (F.col("text_id") % 10 + 1).cast("int"))
     shelf = F.lit(None).cast("string")

@@ -142,7 +142,11 @@ def paragraphs_indexed(spark, sf):
 
 def paragraphs_job(spark, sf):
     """Job 1 end to end: catalog join, kept books, semi-join, stage 1."""
-    _, out = jobs.books_to_paragraphs_df(_corpus(spark, sf), bookview.catalog(spark, sf), LANGUAGES)
+    # the derived corpus is read by several passes (metadata, join sizes,
+    # text): derive it once, as a corpus on disk would be read
+    c = cut(_corpus(spark, sf))
+    cat = bookview.catalog(spark, sf, ids=c.select(F.col("corpus_order").alias("text_id")))
+    _, out = jobs.books_to_paragraphs_df(c, cat, LANGUAGES)
     return _spans(out)
 
 
@@ -157,9 +161,9 @@ def slice_paragraphs(spark, sf):
 
 def segments(spark, sf):
     p = paragraphs_indexed_df(spark, sf)
-    n = p.count()
     narrow = p.select(K.COL_INDEX, K.COL_TEXT_ID, F.col(K.COL_INDEX).alias("_idx"), K.COL_CHAPTER)
-    d = aggregate.segment_starts(aggregate.positions(narrow, K.COL_INDEX, n, 1 << 20), 1 << 20)
+    n, dense = aggregate.count_and_dense(narrow, K.COL_INDEX)
+    d = aggregate.segment_starts(aggregate.positions(narrow, K.COL_INDEX, n, 1 << 20, dense), 1 << 20)
     return d.select(K.COL_INDEX, K.COL_TEXT_ID, K.COL_CHAPTER, F.col("_new").alias("new_segment"))
 
 

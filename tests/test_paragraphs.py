@@ -92,3 +92,11 @@ def test_true_spans_are_actual_positions(spark):
     out = P.paragraphs(corpus(spark, [("3", book, 0)]), true_spans=True).orderBy("paragraphs_index")
     got = [(tuple(r.spans), tuple(r.spans_true)) for r in out.collect()]
     assert got == [((13, 38), (13, 38)), ((16, 35), (42, 61)), ((16, 35), (65, 84))]
+
+
+def test_spans_count_code_points_with_astral_characters(spark):
+    book = "CHAPTER I\n\n\U0001F600 smile \U0001D49C at the start\n\nplain words come after here"
+    out = collect(P.paragraphs(corpus(spark, [("9", book, 0)])))
+    norm = "CHAPTER I||||\U0001F600 smile \U0001D49C at the start||||plain words come after here"
+    assert [s for _, _, s, _ in out] == [(norm.find(p), norm.find(p) + len(p)) for p, *_ in out]
+    assert out[1][2] == (39, 66)
