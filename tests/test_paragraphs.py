@@ -100,3 +100,20 @@ def test_spans_count_code_points_with_astral_characters(spark):
     norm = "CHAPTER I||||\U0001F600 smile \U0001D49C at the start||||plain words come after here"
     assert [s for _, _, s, _ in out] == [(norm.find(p), norm.find(p) + len(p)) for p, *_ in out]
     assert out[1][2] == (39, 66)
+
+
+def test_first_offsets_multi_pattern_equals_find():
+    import random
+
+    rng = random.Random(5)
+    words = ["a", "bb", "ab", "\U0001F600", "é", "x y", "the"]
+    for _ in range(300):
+        parts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 40))]
+        text = "||||".join(parts)
+        ps = [p.strip() for p in parts if p.strip()]
+        old = P.MULTI_PATTERN_WORK
+        try:
+            P.MULTI_PATTERN_WORK = 0
+            assert P.first_offsets(text, ps) == [text.find(p) for p in ps]
+        finally:
+            P.MULTI_PATTERN_WORK = old
