@@ -12,13 +12,13 @@ from . import joins
 
 
 def extract_metadata(corpus: DataFrame, id_col: str = "id",
-                     metadata_col: str = "metadata") -> DataFrame:
-    """Metadata struct fields as columns plus integer ``text_id``.
+                     metadata_col: str = "metadata", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Metadata struct fields as columns plus integer ``text_id`` (+ ``keep``).
 
     Only the struct and the id are read: the text column is pruned at the scan.
     """
     return corpus.select(f"{metadata_col}.*",
-                         F.expr(f"try_cast(trim(`{id_col}`) AS BIGINT)").alias("text_id"))
+                         F.expr(f"try_cast(trim(`{id_col}`) AS BIGINT)").alias("text_id"), *keep)
 
 
 def merge_catalog(catalog: DataFrame, metadata: DataFrame,

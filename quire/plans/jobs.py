@@ -34,7 +34,11 @@ def books_to_paragraphs(spark: SparkSession, corpus_path: str, catalog_path: str
                           partitions=spark.sparkContext.defaultParallelism)
     meta, out = books_to_paragraphs_df(corpus, cat, languages)
     if metadata_csv:
-        io.write_csv_with_index(meta, metadata_csv, order_col="text_id")
+        # all corpus rows (before any filter), indexed in corpus order
+        rows = catalog.extract_metadata(corpus.select("id", "metadata", paragraphs.BOOK_ORDER),
+                                        keep=(paragraphs.BOOK_ORDER,))
+        io.write_csv_with_index(rows, metadata_csv, order_col=paragraphs.BOOK_ORDER,
+                                keep_order_col=False)
     io.write_parquet(out, output_file)
 
 

@@ -199,7 +199,31 @@ pieces AS (
   FROM cs JOIN cp USING (key, j) GROUP BY cs.key, cp.g),
 {_sentence_rows('ps', f'pi WHERE n_words >= {Q.SPLIT_MAX}', 'paragraphs_index', 'paragraphs',
                 f'CAST(floor({Q.SPLIT_MAX} / ceil(n_words / {Q.SPLIT_MAX})) AS BIGINT)')},
-{_pack('pp', 'ps')}
+{_pack('pp', 'ps')},
+cv AS (
+  SELECT text AS paragraphs, conv_id AS text_ids, turn AS paragraphs_index, CAST(turn AS BIGINT) AS span_start,
+         CAST(turn + 1 AS BIGINT) AS span_end, CAST(NULL AS VARCHAR) AS chapters,
+         CAST({WORDS.format(x='text')} AS BIGINT) AS n_words, (conv_id << {Q.TURN_BITS}) + turn AS conv_order
+  FROM conversations),
+cvl AS (
+  SELECT *, lag(text_ids) OVER w AS pt_, lag(paragraphs_index) OVER w AS pidx_, lag(chapters) OVER w AS pc_,
+         row_number() OVER w AS rr_
+  FROM cv WINDOW w AS (ORDER BY conv_order)),
+cvs AS (
+  SELECT *, sum(CASE WHEN rr_ = 1 OR (pt_ IS NOT NULL AND pt_ IS DISTINCT FROM text_ids)
+                          OR (pidx_ IS NOT NULL AND paragraphs_index - 1 <> pidx_)
+                          OR chapters IS DISTINCT FROM pc_ THEN 1 ELSE 0 END)
+              OVER (ORDER BY conv_order ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg
+  FROM cvl),
+cvr AS (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY conv_order) AS r FROM cvs),
+cvf(seg, r, g, acc, closed) AS (
+  SELECT seg, r, 0, CASE WHEN n_words >= {Q.CONV_THRESHOLD} THEN 0 ELSE n_words END, n_words >= {Q.CONV_THRESHOLD}
+  FROM cvr WHERE r = 1
+  UNION ALL
+  SELECT cvr.seg, cvr.r, cvf.g + CASE WHEN cvf.closed THEN 1 ELSE 0 END,
+         CASE WHEN cvf.acc + cvr.n_words >= {Q.CONV_THRESHOLD} THEN 0 ELSE cvf.acc + cvr.n_words END,
+         cvf.acc + cvr.n_words >= {Q.CONV_THRESHOLD}
+  FROM cvf JOIN cvr ON cvr.seg = cvf.seg AND cvr.r = cvf.r + 1)
 """
 
 
@@ -237,6 +261,11 @@ ORACLE = {
                            f"AND paragraphs_index < {Q.SLICE[1]}"),
     "segments": _q("SELECT paragraphs_index, text_ids, chapters, new_segment FROM sf"),
     "aggregates": _q("SELECT paragraphs, chapters, n_words, text_ids, span_start, span_end, agg_order FROM agg"),
+    "conversation_aggregates": _q(f"""SELECT string_agg(cvr.paragraphs, {NL2} ORDER BY cvr.r) AS paragraphs,
+                                             min(cvr.chapters) AS chapters, CAST(sum(cvr.n_words) AS BIGINT) AS n_words,
+                                             min(cvr.text_ids) AS text_ids, arg_min(cvr.span_start, cvr.r) AS span_start,
+                                             arg_max(cvr.span_end, cvr.r) AS span_end, min(cvr.conv_order) AS agg_order
+                                      FROM cvr JOIN cvf USING (seg, r) GROUP BY cvr.seg, cvf.g"""),
     "sentences": _q("""SELECT paragraphs_index, CAST(pos AS BIGINT) AS pos, sentence,
                        CAST(len(regexp_extract_all(sentence, '\\S+')) AS BIGINT) AS n_words FROM (
                          SELECT paragraphs_index, unnest(arr) AS sentence, generate_subscripts(arr, 1) - 1 AS pos FROM (

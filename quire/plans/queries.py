@@ -23,6 +23,8 @@ SPLIT_MAX = 60         # split_paragraphs query: max length
 PIECE_MAX = 17         # piece_limit query: max length
 SLICE = (1000, 3000)   # slice_paragraphs query bounds
 LANGUAGES = ("en",)
+CONV_THRESHOLD = 150   # conversation merge threshold (words)
+TURN_BITS = 20         # order key = conv_id << 20 | turn
 
 
 def _corpus(spark, sf):
@@ -172,6 +174,24 @@ def aggregates(spark, sf):
     return _spans(aggregate.aggregate_paragraphs(p, THRESHOLD))
 
 
+def conversation_rows(spark, sf):
+    """Conversations as paragraph rows: a conversation is the book, the turn
+    the paragraph index, no chapter; the order key is (conv_id, turn)."""
+    c = spark.read.parquet(f"{sf}/conversations.parquet")
+    return c.select(
+        F.col("text").alias(K.COL_PARAGRAPH), F.col("conv_id").alias(K.COL_TEXT_ID),
+        F.array(F.col("turn"), F.col("turn") + 1).alias(K.COL_SPANS),
+        F.lit(None).cast("string").alias(K.COL_CHAPTER),
+        F.col("turn").alias(K.COL_INDEX), X.word_count(F.col("text")).alias(K.COL_WORDS),
+        (F.shiftleft(F.col("conv_id"), TURN_BITS) + F.col("turn")).alias("conv_order"))
+
+
+def conversation_aggregates(spark, sf):
+    """Segment + greedy merge on a second table (order key is not dense)."""
+    rows = conversation_rows(spark, sf)
+    return _spans(aggregate.aggregate_paragraphs(rows, CONV_THRESHOLD, order_col="conv_order"))
+
+
 def sentences(spark, sf):
     p = paragraphs_indexed_df(spark, sf)
     e = p.select(K.COL_INDEX, F.posexplode(X.sentences(F.col(K.COL_PARAGRAPH))).alias("pos", "sentence"))
@@ -237,6 +257,7 @@ QUERIES = {
     "slice_paragraphs": slice_paragraphs,
     "segments": segments,
     "aggregates": aggregates,
+    "conversation_aggregates": conversation_aggregates,
     "sentences": sentences,
     "piece_limit": piece_limit,
     "split_paragraphs": split_paragraphs,

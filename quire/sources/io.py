@@ -96,18 +96,23 @@ def write_parquet(df: DataFrame, path: str, require_suffix: bool = True) -> None
     df.write.mode("overwrite").parquet(path)
 
 
-def write_csv_with_index(df: DataFrame, path: str, order_col: str | None = None) -> None:
+def write_csv_with_index(df: DataFrame, path: str, order_col: str | None = None,
+                         keep_order_col: bool = True) -> None:
     """CSV with header and an unnamed leading row-index column.
 
-    With ``order_col`` the index follows that order, computed distributedly;
-    without it the index is 0..n-1 in an unspecified order.
+    With ``order_col`` (unique) the index follows that order, computed
+    distributedly; without it the index is 0..n-1 in an unspecified order.
     """
     from ..operators import ordering
 
+    from .checkpoint import cut
+
     col = order_col or "_ord"
-    d = df if order_col else df.withColumn(col, F.monotonically_increasing_id())
+    # generated ids depend on the partitioning, so they are written once
+    # before the several passes of the index computation read them
+    d = df if order_col else cut(df.withColumn(col, F.monotonically_increasing_id()))
     d = ordering.dense_index(d, col, "_idx")
-    cols = [c for c in df.columns]
+    cols = [c for c in df.columns if keep_order_col or c != order_col]
     out = d.select(F.col("_idx").alias(""), *cols)
     out.write.mode("overwrite").option("header", True).csv(path)
 

@@ -102,3 +102,15 @@ def test_reindex_recounts_words_and_positions(spark):
     df = spark.createDataFrame([("a b  c", 10), ("d", 30), (" e f ", 20)], "paragraphs string, paragraphs_index bigint")
     got = [(r.paragraphs_index, r.n_words) for r in A.reindex(df).orderBy("paragraphs_index").collect()]
     assert got == [(0, 3), (1, 2), (2, 1)]
+
+
+def test_conversations_bucket_independent(spark):
+    """Non-dense order key: quantile buckets (many) give the same aggregates as one."""
+    from quire.plans import queries as Q
+
+    rows = Q.conversation_rows(spark, "/root/testdata/sf0.001")
+    key = lambda r: (r.agg_order, r.paragraphs, r.n_words, r.text_ids, tuple(r.spans))
+    one = sorted(map(key, A.aggregate_paragraphs(rows, 150, order_col="conv_order").collect()))
+    many = sorted(map(key, A.aggregate_paragraphs(rows, 150, order_col="conv_order",
+                                                  rows_per_bucket=8).collect()))
+    assert one == many and len(one) > 0
