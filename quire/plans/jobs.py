@@ -62,8 +62,12 @@ def paragraphs_to_chunks_df(paras: DataFrame, max_p_length: int, threshold_min:
 
 def paragraphs_to_chunks(spark: SparkSession, hf_dataset: str, hf_output: str,
                          max_p_length: int, threshold_min: int,
-                         max_paragraphs: int | None = K.CHUNK_JOB_ROW_CAP) -> None:
-    """Job 2: paragraph parquet -> chunk parquet."""
+                         max_paragraphs: int | None = None) -> None:
+    """Job 2: paragraph parquet -> chunk parquet.
+
+    The whole table is processed; ``max_paragraphs=K.CHUNK_JOB_ROW_CAP``
+    reproduces the original job's first-100 000-rows cut.
+    """
     out = paragraphs_to_chunks_df(io.read_paragraphs(spark, hf_dataset), max_p_length,
                                   threshold_min, max_paragraphs)
     io.write_parquet(out, hf_output, require_suffix=False)

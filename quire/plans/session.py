@@ -39,15 +39,19 @@ _SHIPPED_KEY = "spark.quire.shipped"
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``quire`` importable in Python workers (``addPyFile`` of a zip).
+    """Make ``quire`` importable in local-mode Python workers.
 
-    Idempotent per session.  Executors get the archive through Spark's own
-    file distribution, as with ``--py-files``.
+    Local sessions (tests, bench, the driver's checks) get a zip of the
+    package through ``addPyFile``.  On a cluster the package is deployed the
+    usual way (``spark-submit --py-files quire.zip``), so nothing is written
+    to a machine-local folder there.  Idempotent per session.
     """
     import os
     import tempfile
     import zipfile
 
+    if not spark.sparkContext.master.startswith("local"):
+        return
     if spark.conf.get(_SHIPPED_KEY, "false") == "true":
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
