@@ -19,6 +19,9 @@ Plan:
 
 from __future__ import annotations
 
+import bisect
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -49,62 +52,86 @@ def count_and_dense(df: DataFrame, col: str) -> tuple[int, bool]:
     return row.n, row.n == 0 or (row.lo == 0 and row.hi == row.n - 1)
 
 
-def positions(narrow: DataFrame, order_col: str, n: int,
-              rows_per_bucket: int, dense: bool | None = None) -> DataFrame:
-    """Add ``_r`` (0..n-1 in ``order_col`` order) and ``_b`` (its bucket)."""
-    if dense is None:
-        n, dense = count_and_dense(narrow, order_col)
-    if dense:
-        d = narrow.withColumn("_r", F.col(order_col).cast("bigint"))
-    else:
-        d = ordering.dense_index(narrow, order_col, "_r", n_rows=n,
-                                 rows_per_bucket=rows_per_bucket)
-    return d.withColumn("_b", F.floor(F.col("_r") / rows_per_bucket).cast("bigint"))
-
-
-def segment_starts(d: DataFrame, rows_per_bucket: int,
-                   text_col: str = K.COL_TEXT_ID, index_col: str = "_idx",
-                   chapter_col: str = K.COL_CHAPTER) -> DataFrame:
-    """Add ``_new``: the row opens a new segment (compared with row ``_r - 1``)."""
-    w = Window.partitionBy("_b").orderBy("_r")
-    tails = (d.where(F.col("_r") % rows_per_bucket == rows_per_bucket - 1)
-             .select((F.col("_b") + 1).alias("_b"), F.col(text_col).alias("_tt"),
-                     F.col(index_col).alias("_ti"), F.col(chapter_col).alias("_tc")))
-    d = d.join(F.broadcast(tails), "_b", "left")  # one row per bucket
-    first = F.col("_r") % rows_per_bucket == 0
-
-    def prev(c, tail):
-        return F.when(first, F.col(tail)).otherwise(F.lag(c).over(w))
-
-    pt, pi, pc = prev(text_col, "_tt"), prev(index_col, "_ti"), prev(chapter_col, "_tc")
-    new = ((F.col("_r") == 0)
+class OrderBuckets:
+    """Contiguous ranges of the (unique) order key, applied identically to
+    several frames: ``key DIV rows_per_bucket`` when the key is already a
+    dense position, otherwise quantile split points computed once."""
+
+    def __init__(self, df: DataFrame, order_col: str,
+                 rows_per_bucket: int = ordering.DEFAULT_ROWS_PER_BUCKET):
+        self.order_col = order_col
+        self.rows_per_bucket = rows_per_bucket
+        self.n, self.dense = count_and_dense(df, order_col)
+        self.splits = None if self.dense else ordering.range_splits(
+            df, order_col, self.n, rows_per_bucket)
+
+    @property
+    def count(self) -> int:
+        """Number of buckets (bounds the per-bucket tables)."""
+        if self.dense:
+            return max(1, -(-self.n // self.rows_per_bucket))
+        return len(self.splits) + 1
+
+    def column(self, df: DataFrame) -> DataFrame:
+        """Add ``_b`` (the row's bucket); no shuffle."""
+        if self.dense:
+            return df.withColumn("_b", F.floor(F.col(self.order_col) / self.rows_per_bucket).cast("bigint"))
+        return ordering.apply_splits(df, self.order_col, self.splits, "_b").withColumn(
+            "_b", F.col("_b").cast("bigint"))
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Add ``_b`` and hash-partition by it (one shuffle of ``df``)."""
+        return self.column(df).repartition("_b")
+
+    def of(self, value: int) -> int:
+        """Bucket of one order value (same rule as :meth:`column`)."""
+        if self.dense:
+            return int(value) // self.rows_per_bucket
+        return bisect.bisect_right(self.splits, float(value))
+
+
+def segment_starts(d: DataFrame, order_col: str, text_col: str = K.COL_TEXT_ID,
+                   index_col: str = "_idx", chapter_col: str = K.COL_CHAPTER) -> DataFrame:
+    """Add ``_new``: the row opens a new segment (compared with the previous
+    row in ``order_col`` order).  ``d`` has ``_b`` and is partitioned by it.
+
+    The previous row of a bucket's first row is the last row of the previous
+    non-empty bucket, from a table with one row per bucket.
+    """
+    w = Window.partitionBy("_b").orderBy(order_col)
+    last = d.groupBy("_b").agg(F.max_by(
+        F.struct(F.col(text_col).alias("t"), F.col(index_col).alias("i"), F.col(chapter_col).alias("c")),
+        F.col(order_col)).alias("_last"))
+    prev_bucket = last.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_pb"))
+    d = d.join(F.broadcast(prev_bucket), "_b", "left")
+    first = F.row_number().over(w) == 1
+
+    def prev(c, field):
+        return F.when(first, F.col("_pb")[field]).otherwise(F.lag(c).over(w))
+
+    pt, pi, pc = prev(text_col, "t"), prev(index_col, "i"), prev(chapter_col, "c")
+    new = ((first & F.col("_pb").isNull())
            | (pt.isNotNull() & ~pt.eqNullSafe(F.col(text_col)))
            | F.coalesce(pi.isNotNull() & (F.col(index_col) - 1 != pi), F.lit(False))
            | ~pc.eqNullSafe(F.col(chapter_col)))
-    return d.withColumn("_new", new).drop("_tt", "_ti", "_tc")
+    return d.withColumn("_new", new).drop("_pb")
 
 
-def group_ids(df: DataFrame, threshold_min: int, order_col: str = K.COL_INDEX,
-              rows_per_bucket: int = ordering.DEFAULT_ROWS_PER_BUCKET,
-              n_rows: int | None = None, dense: bool | None = None) -> DataFrame:
-    """``(order_col, _gid)``: the aggregate each row belongs to.
+def start_marks(df: DataFrame, threshold_min: int, buckets: OrderBuckets) -> DataFrame:
+    """One row per bucket: ``_bits`` (``'1'`` where a group starts, in order)
+    and the group carried into the bucket (``_c_open``, ``_c_g``).
 
-    ``_gid`` is the dense position of the aggregate's first row.
+    Runs on the narrow columns only (order, id, index, chapter, words).
     """
     T_ = int(threshold_min)
-    narrow = df.select(order_col, K.COL_TEXT_ID, F.col(K.COL_INDEX).alias("_idx"),
-                       K.COL_CHAPTER, F.col(K.COL_WORDS).cast("bigint").alias("_n"))
-    if n_rows is None or dense is None:
-        n, dense = count_and_dense(narrow, order_col)
-    else:
-        n = n_rows
-    d = segment_starts(positions(narrow, order_col, n, rows_per_bucket, dense), rows_per_bucket)
-    d = d.select(order_col, "_b", "_r", "_new", "_n")
+    o = buckets.order_col
+    narrow = buckets.add(df.select(o, K.COL_TEXT_ID, F.col(K.COL_INDEX).alias("_idx"), K.COL_CHAPTER,
+                                   F.col(K.COL_WORDS).cast("bigint").alias("_n")))
+    d = segment_starts(narrow, o).select("_b", o, "_new", "_n")
 
     def summarise(key, pdf):
-        pdf = pdf.sort_values("_r")
-        s = greedy.summarise(pdf["_new"].to_numpy(), pdf["_n"].to_numpy(),
-                             pdf["_r"].to_numpy(), T_)
+        pdf = pdf.sort_values(o)
+        s = greedy.summarise(pdf["_new"].to_numpy(), pdf["_n"].to_numpy(), pdf[o].to_numpy(), T_)
         return pd.DataFrame([dict(bucket=int(key[0]), **s)])
 
     summaries = d.groupBy("_b").applyInPandas(summarise, SUMMARY_SCHEMA)
@@ -116,17 +143,26 @@ def group_ids(df: DataFrame, threshold_min: int, order_col: str = K.COL_INDEX,
     carry = summaries.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(fold, CARRY_SCHEMA)
     carry = carry.withColumnRenamed("bucket", "_b")
 
-    def assign(pdf):
-        pdf = pdf.sort_values("_r")
-        c = pdf.iloc[0]
-        gid, _ = greedy.assign(pdf["_new"].to_numpy(), pdf["_n"].to_numpy(), pdf["_r"].to_numpy(),
-                               T_, (bool(c.c_open), int(c.c_acc), int(c.c_g)))
-        return pd.DataFrame({order_col: pdf[order_col].to_numpy(), "_gid": gid})
+    bucket_of = buckets.of
 
-    out_schema = T.StructType([narrow.schema[order_col], T.StructField("_gid", T.LongType())])
-    # left join: keeps the windowed subtree identical to the summary branch so
-    # its shuffle is reused
-    return d.join(F.broadcast(carry), "_b", "left").groupBy("_b").applyInPandas(assign, out_schema)
+    def marks(key, pdf):
+        pdf = pdf.sort_values(o)
+        c = pdf.iloc[0]
+        r = pdf[o].to_numpy()
+        gid, _ = greedy.assign(pdf["_new"].to_numpy(), pdf["_n"].to_numpy(), r, T_,
+                               (bool(c.c_open), int(c.c_acc), int(c.c_g)))
+        start = gid == r
+        bits = "".join(np.where(start, "1", "0").tolist())
+        k = int(start.argmax()) if start.any() else None
+        carried = bool(c.c_open) and not bool(start[0])
+        return pd.DataFrame({"_b": [int(key[0])], "_bits": [bits],
+                             "_first": [None if k is None else int(r[k])], "_fpos": [k],
+                             "_carry_b": [bucket_of(int(c.c_g)) if carried else None]})
+
+    # left join: the windowed subtree stays identical to the summary branch,
+    # so its shuffle is reused
+    return d.join(F.broadcast(carry), "_b", "left").groupBy("_b").applyInPandas(
+        marks, "_b long, _bits string, _first long, _fpos long, _carry_b long")
 
 
 def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str = K.COL_INDEX,
@@ -139,29 +175,52 @@ def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str = K.C
     and a group of empty texts below the threshold is not emitted); words are
     summed; the span runs from the first paragraph's start to the last one's
     stop; id and chapter are the last paragraph's.
+
+    The text moves once: each row is hash-partitioned by the bucket where its
+    group starts (known from one small row per bucket), so every group is
+    whole in one partition.  There the bucket's start marks give group ids by
+    a running window, and the aggregation by (bucket, group) needs no further
+    shuffle.
     """
-    n, dense = count_and_dense(df, order_col)
-    g = group_ids(df, threshold_min, order_col, rows_per_bucket, n_rows=n, dense=dense)
-    g = joins.maybe_broadcast(g, broadcast_rows, known_rows=n)
-    j = df.join(g, order_col)
+    buckets = OrderBuckets(df, order_col, rows_per_bucket)
+    marks = start_marks(df, threshold_min, buckets)
     o = F.col(order_col)
-    items = F.sort_array(F.collect_list(F.struct(o.alias("o"), F.col(K.COL_PARAGRAPH).alias("p"))))
-    a = j.groupBy("_gid").agg(
-        items.alias("_items"),
-        F.sum(K.COL_WORDS).cast("bigint").alias(K.COL_WORDS),
-        F.max_by(K.COL_TEXT_ID, o).alias(K.COL_TEXT_ID),
-        F.max_by(K.COL_CHAPTER, o).alias(K.COL_CHAPTER),
+    # where each row goes: rows before their bucket's first group start belong
+    # to a group carried in from an earlier bucket, and go to that bucket
+    route = F.broadcast(marks.select("_b", "_first", "_carry_b"))  # one row per bucket
+    t = buckets.column(df).join(route, "_b", "left")
+    carried = F.col("_first").isNull() | (o < F.col("_first"))
+    t = t.withColumn("_pk", F.when(carried, F.col("_carry_b")).otherwise(F.col("_b")))
+    t = t.drop("_first", "_carry_b").repartition("_pk")  # the one shuffle of the text
+    bits = marks.select(F.col("_b").alias("_pk"), "_bits", "_fpos")
+    bits = F.broadcast(bits) if buckets.n <= broadcast_rows else bits.hint("shuffle_hash")
+    t = t.join(bits, "_pk", "left")
+    w = Window.partitionBy("_pk").orderBy(order_col)
+    own = F.col("_b") == F.col("_pk")
+    # a bucket's own rows (from its first group start on) come first in its
+    # partition: their position in the bucket's marks is row_number - 1 plus
+    # the rows before that first start (they went to an earlier partition)
+    t = t.withColumn("_pos", F.row_number().over(w) - 1 + F.col("_fpos"))
+    start = own & (F.expr("substring(_bits, _pos + 1, 1)") == "1")
+    t = t.withColumn("_gid", F.max(F.when(start, o)).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    a = t.groupBy("_pk", "_gid").agg(
+        F.collect_list(F.struct(o.alias("o"), F.col(K.COL_PARAGRAPH).alias("p"))).alias("_items"),
+        F.sum(K.COL_WORDS).cast("bigint").alias("_n"),
+        F.max_by(K.COL_TEXT_ID, o).alias("_t"),
+        F.max_by(K.COL_CHAPTER, o).alias("_c"),
         F.min_by(F.get(F.col(K.COL_SPANS), 0), o).alias("_s0"),
         F.max_by(F.get(F.col(K.COL_SPANS), 1), o).alias("_s1"),
-        F.min(o).alias("agg_order"),
-    )
-    texts = F.transform("_items", lambda x: x["p"])
-    first = F.array_position(F.transform(texts, lambda t: t != ""), True)
+        F.min(o).alias("_lo"))
+    texts = F.transform(F.sort_array("_items"), lambda x: x["p"])
+    a = a.withColumn("_texts", texts)
+    first = F.array_position(F.transform("_texts", lambda x: x != ""), True)
     text = F.when(first == 0, F.lit("")).otherwise(
-        F.array_join(F.slice(texts, first.cast("int"), (F.size(texts) - first + 1).cast("int")),
+        F.array_join(F.slice("_texts", first.cast("int"), (F.size("_texts") - first + 1).cast("int")),
                      K.AGGREGATE_JOIN))
-    a = a.select(text.alias(K.COL_PARAGRAPH), K.COL_CHAPTER, K.COL_WORDS, K.COL_TEXT_ID,
-                 F.array("_s0", "_s1").alias(K.COL_SPANS), "agg_order")
+    a = a.select(text.alias(K.COL_PARAGRAPH), F.col("_c").alias(K.COL_CHAPTER), F.col("_n").alias(K.COL_WORDS),
+                 F.col("_t").alias(K.COL_TEXT_ID), F.array("_s0", "_s1").alias(K.COL_SPANS),
+                 F.col("_lo").alias("agg_order"))
     return a.where((F.col(K.COL_PARAGRAPH) != "") | (F.col(K.COL_WORDS) >= threshold_min))
 
 

@@ -23,27 +23,42 @@ DEFAULT_ROWS_PER_BUCKET = 1 << 20
 BUCKET = "_qb"
 
 
-def add_range_bucket(df: DataFrame, order_col: str, n_rows: int,
-                     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[DataFrame, int]:
-    """Add an integer column ``_qb``: contiguous ranges of ``order_col``.
+def range_splits(df: DataFrame, order_col: str, n_rows: int,
+                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> list[float]:
+    """Split points cutting ``order_col`` into ranges of ~``rows_per_bucket`` rows.
 
-    Bucket ids are monotone in the key, so concatenating buckets in id order
-    gives the global order.  ``n_rows`` is the row count of ``df``.
+    Computed once (approximate quantiles) so that several frames can be
+    bucketed identically with :func:`apply_splits`.
     """
     nb = max(1, math.ceil(n_rows / rows_per_bucket))
     if nb == 1:
-        return df.withColumn(BUCKET, F.lit(0)), 1
+        return []
     probs = [i / nb for i in range(1, nb)]
     qs = df.approxQuantile(order_col, probs, 1.0 / (8 * nb))
-    splits = sorted(set(float(q) for q in qs))
-    # number of split points <= key: a binary search is not available as a
-    # SQL expression, but the split list is bounded by the bucket count.
+    return sorted(set(float(q) for q in qs))
+
+
+def apply_splits(df: DataFrame, order_col: str, splits: list[float], out: str = BUCKET) -> DataFrame:
+    """Add integer ``out``: number of split points <= key (monotone in the key)."""
+    if not splits:
+        return df.withColumn(out, F.lit(0))
     from pyspark.ml.feature import Bucketizer
 
     key = "_qkey"
-    b = Bucketizer(splits=[-math.inf] + splits + [math.inf], inputCol=key, outputCol=BUCKET)
-    out = b.transform(df.withColumn(key, F.col(order_col).cast("double")))
-    return out.withColumn(BUCKET, F.col(BUCKET).cast("int")).drop(key), len(splits) + 1
+    b = Bucketizer(splits=[-math.inf] + splits + [math.inf], inputCol=key, outputCol=out)
+    res = b.transform(df.withColumn(key, F.col(order_col).cast("double")))
+    return res.withColumn(out, F.col(out).cast("int")).drop(key)
+
+
+def add_range_bucket(df: DataFrame, order_col: str, n_rows: int,
+                     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[DataFrame, int]:
+    """Add an integer column ``_qb``: contiguous ranges of ``order_col``.
+
+    Bucket ids are monotone in the key, so concatenating buckets in id order
+    gives the global order.  ``n_rows`` is the row count of ``df``.
+    """
+    splits = range_splits(df, order_col, n_rows, rows_per_bucket)
+    return apply_splits(df, order_col, splits), len(splits) + 1
 
 
 def bucket_bases(bucketed: DataFrame, weight: str | None) -> DataFrame:

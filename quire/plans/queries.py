@@ -164,8 +164,7 @@ def slice_paragraphs(spark, sf):
 def segments(spark, sf):
     p = paragraphs_indexed_df(spark, sf)
     narrow = p.select(K.COL_INDEX, K.COL_TEXT_ID, F.col(K.COL_INDEX).alias("_idx"), K.COL_CHAPTER)
-    n, dense = aggregate.count_and_dense(narrow, K.COL_INDEX)
-    d = aggregate.segment_starts(aggregate.positions(narrow, K.COL_INDEX, n, 1 << 20, dense), 1 << 20)
+    d = aggregate.segment_starts(aggregate.OrderBuckets(narrow, K.COL_INDEX).add(narrow), K.COL_INDEX)
     return d.select(K.COL_INDEX, K.COL_TEXT_ID, K.COL_CHAPTER, F.col("_new").alias("new_segment"))
 
 
