@@ -85,10 +85,12 @@ def inclusion_condition(p: Column, n_words: Column | None = None) -> Column:
     if n_words is None:
         n_words = word_count(p)
     f = inclusion_flags(p, n_words)
-    # the three note patterns in one scan of the lower-cased text
+    # the three note patterns in one scan of the lower-cased text, only for
+    # text containing '[' (every note pattern starts with it, and lower-casing
+    # neither creates nor removes it)
     notes = "|".join((K.FOOTNOTE_PATTERN, K.TRANSCRIBER_PATTERN, K.ILLUSTRATION_PATTERN))
-    return (f["more_three_words"] & f["not_dialog"] & f["not_all_upper"]
-            & ~F.lower(p).rlike(notes))
+    has_note = (F.instr(p, "[") > 0) & F.lower(p).rlike(notes)
+    return f["more_three_words"] & f["not_dialog"] & f["not_all_upper"] & ~has_note
 
 
 def bookshelves(shelf: Column) -> Column:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import constants as K
+from ..sources.checkpoint import cut
 from . import greedy, joins, ordering
 
 SUMMARY_SCHEMA = T.StructType([
@@ -118,7 +119,7 @@ def segment_starts(d: DataFrame, order_col: str, text_col: str = K.COL_TEXT_ID,
 
 
 def start_marks(df: DataFrame, threshold_min: int, buckets: OrderBuckets) -> DataFrame:
-    """One row per bucket: ``_bits`` (``'1'`` where a group starts, in order)
+    """One row per bucket: ``_bits`` (true where a group starts, in order)
     and the group carried into the bucket (``_c_open``, ``_c_g``).
 
     Runs on the narrow columns only (order, id, index, chapter, words).
@@ -134,14 +135,21 @@ def start_marks(df: DataFrame, threshold_min: int, buckets: OrderBuckets) -> Dat
         s = greedy.summarise(pdf["_new"].to_numpy(), pdf["_n"].to_numpy(), pdf[o].to_numpy(), T_)
         return pd.DataFrame([dict(bucket=int(key[0]), **s)])
 
-    summaries = d.groupBy("_b").applyInPandas(summarise, SUMMARY_SCHEMA)
-
     def fold(pdf):
         return greedy.fold(pdf.drop(columns=["_one"]), T_)
 
-    # one row per bucket: the carry scan is a single small task
-    carry = summaries.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(fold, CARRY_SCHEMA)
-    carry = carry.withColumnRenamed("bucket", "_b")
+    if buckets.count == 1:
+        # a single bucket has nothing carried into it
+        with_carry = d.select("*", F.lit(False).alias("c_open"), F.lit(0).cast("long").alias("c_acc"),
+                              F.lit(-1).cast("long").alias("c_g"))
+    else:
+        summaries = d.groupBy("_b").applyInPandas(summarise, SUMMARY_SCHEMA)
+        # one row per bucket: the carry scan is a single small task
+        carry = summaries.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(fold, CARRY_SCHEMA)
+        carry = carry.withColumnRenamed("bucket", "_b")
+        # left join: the windowed subtree stays identical to the summary
+        # branch, so its shuffle is reused
+        with_carry = d.join(F.broadcast(carry), "_b", "left")
 
     bucket_of = buckets.of
 
@@ -152,17 +160,14 @@ def start_marks(df: DataFrame, threshold_min: int, buckets: OrderBuckets) -> Dat
         gid, _ = greedy.assign(pdf["_new"].to_numpy(), pdf["_n"].to_numpy(), r, T_,
                                (bool(c.c_open), int(c.c_acc), int(c.c_g)))
         start = gid == r
-        bits = "".join(np.where(start, "1", "0").tolist())
         k = int(start.argmax()) if start.any() else None
         carried = bool(c.c_open) and not bool(start[0])
-        return pd.DataFrame({"_b": [int(key[0])], "_bits": [bits],
+        return pd.DataFrame({"_b": [int(key[0])], "_bits": [start],
                              "_first": [None if k is None else int(r[k])], "_fpos": [k],
                              "_carry_b": [bucket_of(int(c.c_g)) if carried else None]})
 
-    # left join: the windowed subtree stays identical to the summary branch,
-    # so its shuffle is reused
-    return d.join(F.broadcast(carry), "_b", "left").groupBy("_b").applyInPandas(
-        marks, "_b long, _bits string, _first long, _fpos long, _carry_b long")
+    return with_carry.groupBy("_b").applyInPandas(
+        marks, "_b long, _bits array<boolean>, _first long, _fpos long, _carry_b long")
 
 
 def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str = K.COL_INDEX,
@@ -183,7 +188,8 @@ def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str = K.C
     shuffle.
     """
     buckets = OrderBuckets(df, order_col, rows_per_bucket)
-    marks = start_marks(df, threshold_min, buckets)
+    # one row per bucket, read twice (routing, start flags): written once
+    marks = cut(start_marks(df, threshold_min, buckets))
     o = F.col(order_col)
     # where each row goes: rows before their bucket's first group start belong
     # to a group carried in from an earlier bucket, and go to that bucket
@@ -194,15 +200,19 @@ def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str = K.C
     t = t.drop("_first", "_carry_b").repartition("_pk")  # the one shuffle of the text
     bits = marks.select(F.col("_b").alias("_pk"), "_bits", "_fpos")
     bits = F.broadcast(bits) if buckets.n <= broadcast_rows else bits.hint("shuffle_hash")
-    t = t.join(bits, "_pk", "left")
     w = Window.partitionBy("_pk").orderBy(order_col)
-    own = F.col("_b") == F.col("_pk")
     # a bucket's own rows (from its first group start on) come first in its
     # partition: their position in the bucket's marks is row_number - 1 plus
-    # the rows before that first start (they went to an earlier partition)
-    t = t.withColumn("_pos", F.row_number().over(w) - 1 + F.col("_fpos"))
-    start = own & (F.expr("substring(_bits, _pos + 1, 1)") == "1")
-    t = t.withColumn("_gid", F.max(F.when(start, o)).over(
+    # the rows before that first start (they went to an earlier partition).
+    # The marks are read in the projection right above the join, so only the
+    # resulting flag travels with the rows, never the marks array.
+    t = t.withColumn("_rn", F.row_number().over(w) - 1)
+    t = t.join(bits, "_pk", "left")
+    pos = (F.col("_rn") + F.col("_fpos")).cast("int")
+    own = F.col("_b") == F.col("_pk")
+    t = t.withColumn("_start", own & F.coalesce(F.get(F.col("_bits"), pos), F.lit(False)))
+    t = t.drop("_bits", "_fpos", "_rn")
+    t = t.withColumn("_gid", F.max(F.when(F.col("_start"), o)).over(
         w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     a = t.groupBy("_pk", "_gid").agg(
         F.collect_list(F.struct(o.alias("o"), F.col(K.COL_PARAGRAPH).alias("p"))).alias("_items"),
