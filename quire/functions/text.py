@@ -33,8 +33,12 @@ def split_paragraphs(norm: Column) -> Column:
 
 
 def strip(p: Column) -> Column:
-    """``str.strip()`` for any text: trims every Unicode whitespace char."""
-    return F.regexp_replace(p, f"^{K.WS}+|{K.WS}+$", "")
+    """``str.strip()`` for any text: trims every Unicode whitespace char.
+
+    The regex runs only when the first or last character is whitespace.
+    """
+    edge = F.substring(p, 1, 1).rlike(K.WS) | F.substring(p, -1, 1).rlike(K.WS)
+    return F.when(edge, F.regexp_replace(p, f"^{K.WS}+|{K.WS}+$", "")).otherwise(p)
 
 
 def word_count(p: Column) -> Column:
@@ -117,10 +121,12 @@ def piece_limit(n_words: Column, max_len: Column | int) -> Column:
 # Sentence boundary: end punctuation (plus closing quotes/brackets), whitespace,
 # then an optional opening quote/bracket and an upper-case letter.  Splitting on
 # the whitespace with look-around keeps every character of the sentences.  The
-# leading one-character look-ahead lets the matcher skip non-space positions
-# before trying the (bounded, so costlier) look-behind.
+# leading one-character look-ahead and look-behind let the matcher skip most
+# positions before trying the (bounded, so costlier) look-behind; they only
+# restate conditions the full boundary already implies.
 SENTENCE_BOUNDARY = (
-    f"(?={K.WS})" + r"(?<=[.!?][\"”’')\]]{0,8})" + K.WS + "+" + r"(?=[\"“‘'(\[]?\p{Lu})"
+    f"(?={K.WS})" + r"(?<=[.!?\"”’')\]])" + r"(?<=[.!?][\"”’')\]]{0,8})" + K.WS + "+"
+    + r"(?=[\"“‘'(\[]?\p{Lu})"
 )
 
 

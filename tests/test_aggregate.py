@@ -114,3 +114,23 @@ def test_conversations_bucket_independent(spark):
     many = sorted(map(key, A.aggregate_paragraphs(rows, 150, order_col="conv_order",
                                                   rows_per_bucket=8).collect()))
     assert one == many and len(one) > 0
+
+
+def test_python_bucket_rule_matches_spark_buckets(spark):
+    rng = np.random.default_rng(11)
+    vals = sorted(set(int(v) for v in rng.integers(0, 10**12, 3000)))
+    df = spark.createDataFrame([(v,) for v in vals], "o long")
+    b = A.OrderBuckets(df, "o", rows_per_bucket=97)
+    assert b.count > 10 and not b.dense
+    got = {r.o: r._b for r in b.column(df).collect()}
+    assert all(got[v] == b.of(v) for v in vals)
+
+
+def test_marks_join_without_broadcast(spark):
+    rows = [(f"p{k}", None, 1 + k % 5, k // 30, k) for k in range(200)]
+    df = spark.createDataFrame([(p, c, n, t, i, [i, i]) for p, c, n, t, i in rows],
+                               "paragraphs string, chapters string, n_words bigint, text_ids bigint, "
+                               "paragraphs_index bigint, spans array<bigint>")
+    got = [(r.paragraphs, r.n_words) for r in
+           A.aggregate_paragraphs(df, 9, rows_per_bucket=16, broadcast_rows=0).orderBy("agg_order").collect()]
+    assert got == _segment_then_greedy(rows, 9)
