@@ -45,6 +45,7 @@ SUMMARY_SCHEMA = T.StructType([
     T.StructField("cand_g", T.ArrayType(T.LongType())),
 ])
 CARRY_SCHEMA = "bucket long, c_open boolean, c_acc long, c_g long"
+MIN_ROWS_PER_BUCKET = 10_000
 
 
 def count_and_dense(df: DataFrame, col: str) -> tuple[int, bool]:
@@ -58,11 +59,17 @@ class OrderBuckets:
     several frames: ``key DIV rows_per_bucket`` when the key is already a
     dense position, otherwise quantile split points computed once."""
 
-    def __init__(self, df: DataFrame, order_col: str,
-                 rows_per_bucket: int = ordering.DEFAULT_ROWS_PER_BUCKET):
+    def __init__(self, df: DataFrame, order_col: str, rows_per_bucket: int | None = None):
         self.order_col = order_col
-        self.rows_per_bucket = rows_per_bucket
         self.n, self.dense = count_and_dense(df, order_col)
+        if rows_per_bucket is None:
+            # about four buckets per core, each between MIN and DEFAULT rows:
+            # small inputs still spread over the cores, large ones get buckets
+            # whose per-task memory stays bounded
+            cores = df.sparkSession.sparkContext.defaultParallelism
+            rows_per_bucket = min(ordering.DEFAULT_ROWS_PER_BUCKET,
+                                  max(MIN_ROWS_PER_BUCKET, -(-self.n // (4 * cores))))
+        self.rows_per_bucket = rows_per_bucket
         self.splits = None if self.dense else ordering.range_splits(
             df, order_col, self.n, rows_per_bucket)
 
@@ -171,7 +178,7 @@ def start_marks(df: DataFrame, threshold_min: int, buckets: OrderBuckets) -> Dat
 
 
 def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str = K.COL_INDEX,
-                         rows_per_bucket: int = ordering.DEFAULT_ROWS_PER_BUCKET,
+                         rows_per_bucket: int | None = None,
                          broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Aggregates: ``paragraphs, chapters, n_words, text_ids, spans`` plus
     ``agg_order`` (order value of the first paragraph, to keep the order).
