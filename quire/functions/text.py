@@ -111,11 +111,16 @@ def genre_exclusive(shelves: Column) -> Column:
     return F.forall(shelves, lambda x: x.isin(*genres))
 
 
-def piece_limit(n_words: Column, max_len: Column | int) -> Column:
-    """Words allowed per piece when a text of ``n_words`` is cut: max / cuts."""
+def piece_limit(n_words: Column, max_len: Column | int, floor_limit: bool = True) -> Column:
+    """Words allowed per piece when a text of ``n_words`` is cut: max / cuts.
+
+    ``floor_limit=False`` keeps the unrounded quotient (the notebook variant);
+    for integer word sums ``sum > x`` equals ``sum > floor(x)``, so both give
+    the same pieces.
+    """
     m = F.lit(max_len) if isinstance(max_len, int) else max_len
     cuts = F.ceil(n_words / m)
-    return F.floor(m / cuts).cast("bigint")
+    return F.floor(m / cuts).cast("bigint") if floor_limit else (m / cuts).cast("double")
 
 
 # Sentence boundary: end punctuation (plus closing quotes/brackets), whitespace,

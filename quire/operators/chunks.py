@@ -54,13 +54,15 @@ def split_paragraph(p: Column, limit: Column) -> Column:
     """Paragraph -> array of pieces under ``limit`` words (sentence packing)."""
     sents = X.sentences(p)
     ks = F.transform(sents, lambda s: X.trimmed_word_count(s))
-    return _pieces(sents, pack_starts(ks, limit.cast("bigint")))
+    return _pieces(sents, pack_starts(ks, limit.cast("double")))
 
 
 def break_paragraphs(aggregates: DataFrame, max_p_length: int,
-                     keep: tuple[str, ...] = ("agg_order",)) -> DataFrame:
+                     keep: tuple[str, ...] = ("agg_order",), floor_limit: bool = True) -> DataFrame:
     """Chunks: ``paragraphs, n_words, text_ids, spans, chapters,
-    splitted_paragraphs`` (+ ``keep`` columns and ``piece`` for the order)."""
+    splitted_paragraphs`` (+ ``keep`` columns and ``piece`` for the order).
+
+    ``floor_limit=False`` uses the unrounded piece limit (same pieces)."""
     if max_p_length <= 0:
         raise ValueError("max_p_length must be positive")
     keep = tuple(c for c in keep if c in aggregates.columns)
@@ -72,8 +74,8 @@ def break_paragraphs(aggregates: DataFrame, max_p_length: int,
     sents = F.when(F.col("_cut"), X.sentences(p)).otherwise(F.array().cast("array<string>"))
     d = d.withColumn("_sents", sents)
     ks = F.transform("_sents", lambda s: X.trimmed_word_count(s))
-    limit = F.when(F.col("_cut"), X.piece_limit(F.col("_nw"), max_p_length)).otherwise(F.lit(0))
-    d = d.withColumn("_starts", pack_starts(ks, limit.cast("bigint")))
+    limit = F.when(F.col("_cut"), X.piece_limit(F.col("_nw"), max_p_length, floor_limit)).otherwise(F.lit(0))
+    d = d.withColumn("_starts", pack_starts(ks, limit.cast("double")))
     pieces = F.when(F.col("_cut"), _pieces(F.col("_sents"), F.col("_starts"))).otherwise(F.array(p))
     e = d.select(K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER, "_nw", "_cut", *keep,
                  F.posexplode(pieces).alias("piece", "_piece"))

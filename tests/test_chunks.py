@@ -60,3 +60,12 @@ def test_pack_starts_rule():
     assert C.pack_starts_list([10, 3, 3, 2], 8) == [0, 1]
     assert C.pack_starts_list([10, 3, 3, 2], 3) == [0, 1, 2, 3]
     assert C.pack_starts_list([], 5) == [0]
+
+
+def test_unrounded_limit_gives_same_pieces(spark):
+    text = " ".join(f"Sentence number {i} has some words here." for i in range(40))
+    a = _agg(spark, text, 280)
+    key = lambda r: (r.piece, r.paragraphs, r.n_words)
+    floor = sorted(map(key, C.break_paragraphs(a, 60).collect()))
+    exact = sorted(map(key, C.break_paragraphs(a, 60, floor_limit=False).collect()))
+    assert floor == exact and len(floor) > 1
