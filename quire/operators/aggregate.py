@@ -7,21 +7,22 @@ a segment paragraphs are merged greedily until the words reach the threshold.
 
 Plan:
 
-* the grouping runs on a narrow projection (order, ids, chapter, words) —
-  the text is not touched until the final aggregation;
-* rows get a dense position ``_r``; buckets are ``_r DIV rows_per_bucket`` so
-  every bucket holds the same number of rows whatever the segment lengths;
-* previous-row values come from a per-bucket ``lag`` plus the last row of the
-  previous bucket (a table with one row per bucket, broadcast);
-* greedy group ids come from the three-step bucket scan in ``greedy``;
-* the text rows are joined to their group id and aggregated by it.
+* rows are cut into buckets of consecutive order values (``OrderBuckets``),
+  so every bucket holds a bounded number of rows whatever the segment
+  lengths — one book, or many copies of one, may be most of the table;
+* on a narrow projection (order, ids, chapter, words) the previous-row values
+  come from a per-bucket ``lag`` plus the last row of the previous bucket (one
+  row per bucket, broadcast), and the three-step scan of ``greedy`` produces,
+  per bucket, the group-start marks and the group carried in from before;
+* the text moves once: each row is routed to the partition of the bucket
+  where its group starts, a running window over the marks gives group ids,
+  and the aggregation by (partition, group) needs no further shuffle.
 """
 
 from __future__ import annotations
 
 import bisect
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F

@@ -4,7 +4,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from quire.operators import catalog as C
 from quire.sources import io

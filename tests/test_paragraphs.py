@@ -1,6 +1,5 @@
 """Stage 1: books -> paragraphs, spans, chapters, global index."""
 
-from pyspark.sql import functions as F
 
 from quire.operators import paragraphs as P
 
