@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..operators import aggregate, catalog, chunks, embed, paragraphs
 from ..sources import io
-from ..sources.checkpoint import cut
+from ..sources.checkpoint import cut, scratch
 
 
 def books_to_paragraphs_df(corpus: DataFrame, catalog_df: DataFrame,
@@ -32,14 +32,15 @@ def books_to_paragraphs(spark: SparkSession, corpus_path: str, catalog_path: str
     corpus = io.read_corpus(spark, corpus_path)
     cat = io.read_catalog(spark, catalog_path,
                           partitions=spark.sparkContext.defaultParallelism)
-    meta, out = books_to_paragraphs_df(corpus, cat, languages)
-    if metadata_csv:
-        # all corpus rows (before any filter), indexed in corpus order
-        rows = catalog.extract_metadata(corpus.select("id", "metadata", paragraphs.BOOK_ORDER),
-                                        keep=(paragraphs.BOOK_ORDER,))
-        io.write_csv_with_index(rows, metadata_csv, order_col=paragraphs.BOOK_ORDER,
-                                keep_order_col=False)
-    io.write_parquet(out, output_file)
+    with scratch(spark):
+        meta, out = books_to_paragraphs_df(corpus, cat, languages)
+        if metadata_csv:
+            # all corpus rows (before any filter), indexed in corpus order
+            rows = catalog.extract_metadata(corpus.select("id", "metadata", paragraphs.BOOK_ORDER),
+                                            keep=(paragraphs.BOOK_ORDER,))
+            io.write_csv_with_index(rows, metadata_csv, order_col=paragraphs.BOOK_ORDER,
+                                    keep_order_col=False)
+        io.write_parquet(out, output_file)
 
 
 def paragraphs_to_chunks_df(paras: DataFrame, max_p_length: int, threshold_min: int,
@@ -68,9 +69,10 @@ def paragraphs_to_chunks(spark: SparkSession, hf_dataset: str, hf_output: str,
     The whole table is processed; ``max_paragraphs=K.CHUNK_JOB_ROW_CAP``
     reproduces the original job's first-100 000-rows cut.
     """
-    out = paragraphs_to_chunks_df(io.read_paragraphs(spark, hf_dataset), max_p_length,
-                                  threshold_min, max_paragraphs)
-    io.write_parquet(out, hf_output, require_suffix=False)
+    with scratch(spark):
+        out = paragraphs_to_chunks_df(io.read_paragraphs(spark, hf_dataset), max_p_length,
+                                      threshold_min, max_paragraphs)
+        io.write_parquet(out, hf_output, require_suffix=False)
 
 
 def slice_paragraphs(paras: DataFrame, start: int, stop: int) -> DataFrame:

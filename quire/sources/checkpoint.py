@@ -8,6 +8,7 @@ machine-local folder would not survive the loss of that machine.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -45,4 +46,31 @@ def cut(df: DataFrame) -> DataFrame:
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/quire-{uuid.uuid4().hex}.parquet"
     df.write.mode("overwrite").parquet(path)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     return df.sparkSession.read.parquet(path)
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Delete the tables cut inside the block once it finishes.
+
+    For jobs that write their result before leaving the block; a DataFrame
+    returned out of the block must not read a cut table.  Deletion goes
+    through the Hadoop FileSystem of each path, so it works on any shared
+    store the checkpoint folder lives on.
+    """
+    paths: list[str] = []
+    _SCOPES.append(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPES.remove(paths)
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for p in paths:
+            hp = jvm.org.apache.hadoop.fs.Path(p)
+            hp.getFileSystem(conf).delete(hp, True)

@@ -36,6 +36,11 @@ def test_embed_hashing_unit_length(spark):
         assert len(r.embedding) == 32 and abs(sum(x * x for x in r.embedding) - 1) < 1e-9
 
 
+def cut_tables(spark):
+    ckpt = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    return {f for f in os.listdir(ckpt) if f.startswith("quire-")}
+
+
 def test_jobs_round_trip(spark):
     d = tempfile.mkdtemp(prefix="quire-jobs-")
     rows = [(str(i), f"CHAPTER I\n\nBook {i} has a first paragraph of words.\n\nAnd a second one that is longer. "
@@ -46,6 +51,7 @@ def test_jobs_round_trip(spark):
         for i, (lang, shelf) in enumerate([("en", "Novels"), ("en", "Poetry"), ("fr", "Novels"),
                                            ("en", '"Category: Novels; Category: Romance"')], start=1):
             f.write(f"{i},Text,2000,T,{lang},A,S,PZ,{shelf}\n")
+    before = cut_tables(spark)
     jobs.books_to_paragraphs(spark, f"{d}/corpus.parquet", f"{d}/catalog.csv", f"{d}/paragraphs.parquet",
                              metadata_csv=f"{d}/metadata_ids.csv")
     p = spark.read.parquet(f"{d}/paragraphs.parquet")
@@ -56,6 +62,7 @@ def test_jobs_round_trip(spark):
     assert c.count() > 0 and set(c.columns) >= {"paragraphs", "n_words", "text_ids", "spans", "chapters",
                                                  "splitted_paragraphs"}
     assert os.path.exists(f"{d}/metadata_ids.csv")
+    assert cut_tables(spark) <= before, "a job left its cut tables behind"
 
 
 def test_entry_smoke(spark):
