@@ -75,3 +75,12 @@ def test_contract_keys():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(q) - set(o) == {"embed_chunks"}
+
+
+def test_embed_slice(spark):
+    rows = [(f"paragraph number {i} text", 0, [i, i + 1], "I", i, 3) for i in range(50)]
+    df = spark.createDataFrame(rows, "paragraphs string, text_ids bigint, spans array<bigint>, chapters string, "
+                                     "paragraphs_index bigint, n_words bigint")
+    out = jobs.embed_slice(df, 10, 20).collect()
+    assert sorted(r.paragraphs_index for r in out) == list(range(10, 20))
+    assert all(abs(sum(x * x for x in r.embedding) - 1) < 1e-9 for r in out)
