@@ -32,6 +32,8 @@ BOOK_ORDER = "corpus_order"
 # Above this (book length x paragraphs) one multi-pattern pass beats a
 # separate search per paragraph.
 MULTI_PATTERN_WORK = 20_000_000
+# Pattern characters per automaton (bounds the trie's memory).
+AUTOMATON_CHARS = 2_000_000
 
 
 def first_offsets(text: str, ps: list[str]) -> list[int]:
@@ -47,18 +49,30 @@ def first_offsets(text: str, ps: list[str]) -> list[int]:
         import ahocorasick
     except ImportError:  # pragma: no cover - optional accelerator
         return [text.find(p) for p in ps]
+    first: dict[str, int] = {}
+    # automata over batches of at most AUTOMATON_CHARS pattern characters, so
+    # the trie of a very large book stays bounded; one text pass per batch
+    batch: list[str] = []
+    size = 0
+    for p in dict.fromkeys(q for q in ps if q):
+        batch.append(p)
+        size += len(p)
+        if size >= AUTOMATON_CHARS:
+            _scan(ahocorasick, text, batch, first)
+            batch, size = [], 0
+    if batch:
+        _scan(ahocorasick, text, batch, first)
+    return [first[p] if p in first else text.find(p) for p in ps]
+
+
+def _scan(ahocorasick, text: str, patterns: list[str], first: dict[str, int]) -> None:
     auto = ahocorasick.Automaton()
-    for p in ps:
-        if p and p not in auto:
-            auto.add_word(p, p)
-    if len(auto) == 0:
-        return [text.find(p) for p in ps]
+    for p in patterns:
+        auto.add_word(p, p)
     auto.make_automaton()
-    first: dict[str, int] = {}
     for end, p in auto.iter(text):
         if p not in first:
             first[p] = end - len(p) + 1
-    return [first[p] if p in first else text.find(p) for p in ps]
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))

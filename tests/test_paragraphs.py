@@ -110,9 +110,11 @@ def test_first_offsets_multi_pattern_equals_find():
         parts = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 40))]
         text = "||||".join(parts)
         ps = [p.strip() for p in parts if p.strip()]
-        old = P.MULTI_PATTERN_WORK
+        old = P.MULTI_PATTERN_WORK, P.AUTOMATON_CHARS
         try:
             P.MULTI_PATTERN_WORK = 0
-            assert P.first_offsets(text, ps) == [text.find(p) for p in ps]
+            for chars in (10**9, 7):  # one automaton, and many small ones
+                P.AUTOMATON_CHARS = chars
+                assert P.first_offsets(text, ps) == [text.find(p) for p in ps]
         finally:
-            P.MULTI_PATTERN_WORK = old
+            P.MULTI_PATTERN_WORK, P.AUTOMATON_CHARS = old
