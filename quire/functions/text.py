@@ -77,7 +77,9 @@ def inclusion_flags(p: Column, n_words: Column) -> dict[str, Column]:
     return {
         "more_three_words": n_words > K.MIN_WORDS,
         "not_dialog": (n_words > K.DIALOGUE_MAX_WORDS) | ~quoted,
-        "not_all_upper": ~is_all_upper(p),
+        # not isupper(): has a lower/title-case char, or no upper-case char;
+        # the usual case stops after the first test
+        "not_all_upper": p.rlike(r"[\p{IsLowercase}\p{IsTitlecase}]") | ~p.rlike(r"\p{IsUppercase}"),
         "not_footnote": ~low.rlike(K.FOOTNOTE_PATTERN),
         "not_transcriber": ~low.rlike(K.TRANSCRIBER_PATTERN),
         "not_illustration": ~low.rlike(K.ILLUSTRATION_PATTERN),
