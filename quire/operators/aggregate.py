@@ -50,8 +50,14 @@ MIN_ROWS_PER_BUCKET = 10_000
 
 
 def count_and_dense(df: DataFrame, col: str) -> tuple[int, bool]:
-    """Row count, and whether the (unique) column is exactly 0..n-1; one pass."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    """Row count, and whether the (unique) column is exactly 0..n-1; one pass.
+
+    The order column must not be NULL: the scan order would be undefined.
+    """
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count(col).alias("nn"),
+                 F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    if row.nn != row.n:
+        raise ValueError(f"order column {col!r} has {row.n - row.nn} NULL values")
     return row.n, row.n == 0 or (row.lo == 0 and row.hi == row.n - 1)
 
 

@@ -134,3 +134,11 @@ def test_marks_join_without_broadcast(spark):
     got = [(r.paragraphs, r.n_words) for r in
            A.aggregate_paragraphs(df, 9, rows_per_bucket=16, broadcast_rows=0).orderBy("agg_order").collect()]
     assert got == _segment_then_greedy(rows, 9)
+
+
+def test_null_order_key_is_rejected(spark):
+    df = spark.createDataFrame([("a b", None, 1, 0, 0, [0, 1], None), ("c d", None, 1, 0, 1, [2, 3], 5)],
+                               "paragraphs string, chapters string, n_words bigint, text_ids bigint, "
+                               "paragraphs_index bigint, spans array<bigint>, o bigint")
+    with pytest.raises(ValueError):
+        A.aggregate_paragraphs(df, 3, order_col="o")
