@@ -219,7 +219,10 @@ def paragraphs(corpus: DataFrame, order_col: str = BOOK_ORDER, id_col: str = "id
     # text pipeline runs once.
     books = cut(books.withColumn("_n", F.size("_kept").cast("bigint")))
     counts = books.select(order_col, "_n")
-    n_books = counts.count()
+    row = counts.agg(F.count(F.lit(1)).alias("n"), F.count(order_col).alias("nn")).first()
+    if row.nn != row.n:
+        raise ValueError(f"order column {order_col!r} has {row.n - row.nn} NULL values")
+    n_books = row.n
     offsets = ordering.prefix_offsets(counts, order_col, "_n", "_off", n_rows=n_books,
                                       rows_per_bucket=rows_per_bucket).drop("_n")
     offsets = joins.maybe_broadcast(offsets, broadcast_rows, known_rows=n_books)

@@ -118,3 +118,10 @@ def test_first_offsets_multi_pattern_equals_find():
                 assert P.first_offsets(text, ps) == [text.find(p) for p in ps]
         finally:
             P.MULTI_PATTERN_WORK, P.AUTOMATON_CHARS = old
+
+
+def test_null_corpus_order_is_rejected(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        P.paragraphs(corpus(spark, [("1", BOOK, None), ("2", BOOK, 1)]))
