@@ -146,6 +146,9 @@ def start_marks(df: DataFrame, threshold_min: int, buckets: OrderBuckets) -> Dat
 
     def summarise(key, pdf):
         pdf = pdf.sort_values(o)
+        # equal keys always share a range bucket, so this checks the whole table
+        if not pdf[o].is_unique:
+            raise ValueError(f"order column {o!r} is not unique")
         s = greedy.summarise(pdf["_new"].to_numpy(), pdf["_n"].to_numpy(), pdf[o].to_numpy(), T_)
         return pd.DataFrame([dict(bucket=int(key[0]), **s)])
 
@@ -169,6 +172,8 @@ def start_marks(df: DataFrame, threshold_min: int, buckets: OrderBuckets) -> Dat
 
     def marks(key, pdf):
         pdf = pdf.sort_values(o)
+        if not pdf[o].is_unique:
+            raise ValueError(f"order column {o!r} is not unique")
         c = pdf.iloc[0]
         r = pdf[o].to_numpy()
         gid, _ = greedy.assign(pdf["_new"].to_numpy(), pdf["_n"].to_numpy(), r, T_,

@@ -219,9 +219,11 @@ def paragraphs(corpus: DataFrame, order_col: str = BOOK_ORDER, id_col: str = "id
     # text pipeline runs once.
     books = cut(books.withColumn("_n", F.size("_kept").cast("bigint")))
     counts = books.select(order_col, "_n")
-    row = counts.agg(F.count(F.lit(1)).alias("n"), F.count(order_col).alias("nn")).first()
-    if row.nn != row.n:
-        raise ValueError(f"order column {order_col!r} has {row.n - row.nn} NULL values")
+    row = counts.agg(F.count(F.lit(1)).alias("n"), F.count(order_col).alias("nn"),
+                     F.count_distinct(order_col).alias("nd")).first()
+    if row.nn != row.n or row.nd != row.n:
+        raise ValueError(f"order column {order_col!r} must be unique and not NULL "
+                         f"({row.n} books, {row.nn} non-NULL, {row.nd} distinct)")
     n_books = row.n
     offsets = ordering.prefix_offsets(counts, order_col, "_n", "_off", n_rows=n_books,
                                       rows_per_bucket=rows_per_bucket).drop("_n")

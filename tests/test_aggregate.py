@@ -142,3 +142,11 @@ def test_null_order_key_is_rejected(spark):
                                "paragraphs_index bigint, spans array<bigint>, o bigint")
     with pytest.raises(ValueError):
         A.aggregate_paragraphs(df, 3, order_col="o")
+
+
+def test_duplicate_order_key_is_rejected(spark):
+    df = spark.createDataFrame([("a b", None, 1, 0, 0, [0, 1], 4), ("c d", None, 1, 0, 1, [2, 3], 4)],
+                               "paragraphs string, chapters string, n_words bigint, text_ids bigint, "
+                               "paragraphs_index bigint, spans array<bigint>, o bigint")
+    with pytest.raises(Exception, match="not unique"):
+        A.aggregate_paragraphs(df, 3, order_col="o").collect()

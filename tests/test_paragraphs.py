@@ -125,3 +125,10 @@ def test_null_corpus_order_is_rejected(spark):
 
     with pytest.raises(ValueError):
         P.paragraphs(corpus(spark, [("1", BOOK, None), ("2", BOOK, 1)]))
+
+
+def test_duplicate_corpus_order_is_rejected(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        P.paragraphs(corpus(spark, [("1", BOOK, 7), ("2", BOOK, 7)]))
