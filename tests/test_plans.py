@@ -48,3 +48,17 @@ def test_stage2_shuffles_text_once(spark):
 
     counts = shuffles_above_text_scans(A.aggregate_paragraphs(p, 120))
     assert counts and max(counts) == 1
+
+
+def test_stage1_book_pipeline_does_not_shuffle_text(spark):
+    """Corpus scan -> kept-ids semi-join -> per-book arrays: the text stays put."""
+    from quire.operators import catalog as C
+    from quire.operators import paragraphs as P
+    from quire.plans import bookview
+    from quire.sources.checkpoint import cut
+
+    corpus = cut(bookview.corpus(spark, SF))  # a corpus on disk
+    kept = Q.kept_books(spark, SF).select("text_id")
+    books = P.book_paragraph_arrays(C.filter_corpus(corpus, kept))
+    counts = shuffles_above_text_scans(books, needle="text:string")
+    assert counts and max(counts) == 0
