@@ -74,3 +74,20 @@ def test_read_corpus_order_follows_files_and_rows(spark):
         spark.createDataFrame(rows, io.CORPUS_SCHEMA).coalesce(1).write.parquet(f"{d}/part{k}.parquet")
     c = io.read_corpus(spark, f"{d}/part*.parquet")
     assert [r.id for r in c.orderBy("corpus_order").collect()] == ["0", "1", "2", "10", "11", "12"]
+
+
+def test_read_catalog_gzip_multiline(spark):
+    import gzip
+
+    d = tempfile.mkdtemp(prefix="quire-cat-")
+    text = ('Text#,Type,Issued,Title,Language,Authors,Subjects,LoCC,Bookshelves\n'
+            '1,Text,1990-01-01,"A title, with comma","en","Doe, John","Fiction; Sea\nstories",PZ,'
+            '"Category: Novels; Category: British Literature"\n'
+            '2,Text,1991-01-01,"He said ""hi""",fr,Anon,,PQ,\n')
+    with gzip.open(f"{d}/pg_catalog.csv.gz", "wt", encoding="utf-8") as f:
+        f.write(text)
+    got = io.read_catalog(spark, f"{d}/pg_catalog.csv.gz", partitions=2)
+    rows = {r["Text#"]: r for r in got.collect()}
+    assert rows[1].Title == "A title, with comma" and rows[1].Subjects == "Fiction; Sea\nstories"
+    assert rows[1].Bookshelves == "Category: Novels; Category: British Literature"
+    assert rows[2].Title == 'He said "hi"' and rows[2].Bookshelves is None
