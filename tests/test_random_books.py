@@ -63,6 +63,15 @@ def test_random_documents_match_oracle(spark, seed):
         rows_s = _rows(got.columns, [tuple(r) for r in got.collect()])
         assert rows_s == _rows(d_cols, res.fetchall()), name
         sizes[name] = len(rows_s)
+    # the same aggregates through many tiny buckets (cross-bucket carries and routing)
+    from quire.operators import aggregate as A
+    from quire.plans import queries as Q
+
+    tiny = A.aggregate_paragraphs(Q.paragraphs_indexed_df(spark, d), Q.THRESHOLD, rows_per_bucket=7)
+    tiny = tiny.select("*", F.get("spans", 0).alias("span_start"), F.get("spans", 1).alias("span_end")).drop("spans")
+    res = con.execute(E.oracle_sql()["aggregates"])
+    assert _rows(tiny.columns, [tuple(r) for r in tiny.collect()]) == _rows(
+        [c[0] for c in res.description], res.fetchall())
     print(seed, sizes)
     # the random material must exercise every step
     assert min(sizes[q] for q in ("headings", "paragraphs_indexed", "aggregates", "split_paragraphs")) > 0
