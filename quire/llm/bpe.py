@@ -20,7 +20,7 @@ CHUNK_CHARS = 1 << 16
 #: So far a chunk reaches into the next one.
 OVERLAP_CHARS = 1 << 9
 #: Pieces of which a Python worker remembers the ids.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 _RESULT = "doc_id {}, n_tokens long, ids binary, decoded binary"
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text per Arrow batch that a task hands to Python at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

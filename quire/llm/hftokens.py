@@ -14,7 +14,7 @@ from . import pretoken
 from .common import byte_slices, strings
 
 #: Pieces of which a Python worker remembers the ids.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 
 class Encoder(dict):

@@ -20,7 +20,7 @@ PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 SPACE = "▁"
 #: Units of which a Python worker remembers the count.
-REMEMBERED = 1 << 19
+REMEMBERED = 1 << 18
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
