@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.checkpoint import checkpoint_dir
-from . import bpe, packing, pfor, piececount
+from . import bpe, exactdedup, neardedup, packing, pfor, piececount, secretscan
 from .common import documents
 
 END_ID = 2
@@ -41,5 +41,75 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piececount.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_token_files, op6_token_counts)}
-ORACLE: dict[str, str] = {}
+def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact copies of every document up to white space."""
+    return exactdedup.exact_dedup(documents(spark, sf_dir))
+
+
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents with shingle similarity of 0.85 or more."""
+    return neardedup.near_duplicates(documents(spark, sf_dir))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, found by the blob ledger."""
+    found = secretscan.secret_spans(documents(spark, sf_dir))
+    spelt = secretscan.spelt(F.col("spans"))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = {k})) as long) as n_{r.kind}")
+              for k, r in enumerate(secretscan.RULES)]
+    return found.select("doc_id", *counts, F.sha2(spelt, 256).alias("base_sha256"), spelt.alias("spans"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_token_files, op6_token_counts,
+                                  op8_exact_dedup, op9_near_dedup, op10_secrets)}
+_WORD_CASE = "(password|passwd|secret|token|api_?key)"
+_EITHER = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in _WORD_CASE)
+
+OP8_SQL = r"""
+WITH t AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+    FROM documents)
+SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+       doc_id = min(doc_id) OVER w AS kept, text_sha256
+FROM t WINDOW w AS (PARTITION BY text_sha256)
+"""
+
+# gaps between matches and the matches themselves alternate; starts are running sums
+OP10_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+r(kind, nth, pattern, grp, least) AS (VALUES
+    ('assign', 0, '{_EITHER}["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 8),
+    ('access', 1, '(AKIA[A-Z0-9]+)', 1, 16),
+    ('hex', 2, '([0-9a-f]+)', 1, 32)),
+m AS (
+    SELECT doc_id, kind, nth, least,
+        CASE nth WHEN 0 THEN string_split_regex(text, '{_EITHER}["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)')
+                 WHEN 1 THEN string_split_regex(text, 'AKIA[A-Z0-9]+')
+                 ELSE string_split_regex(text, '[0-9a-f]+') END AS gaps,
+        CASE nth WHEN 0 THEN regexp_extract_all(text, '{_EITHER}["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 0)
+                 WHEN 1 THEN regexp_extract_all(text, 'AKIA[A-Z0-9]+', 0)
+                 ELSE regexp_extract_all(text, '[0-9a-f]+', 0) END AS found,
+        CASE nth WHEN 0 THEN regexp_extract_all(text, '{_EITHER}["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2)
+                 WHEN 1 THEN regexp_extract_all(text, 'AKIA[A-Z0-9]+', 0)
+                 ELSE regexp_extract_all(text, '[0-9a-f]+', 0) END AS part
+    FROM d, r),
+e AS (
+    SELECT doc_id, kind, nth, least, unnest(range(1, len(found) + 1)) AS i,
+           unnest(found) AS hit, unnest(part) AS val, unnest(gaps[1:len(found)]) AS gap
+    FROM m WHERE len(found) > 0),
+s AS (
+    SELECT doc_id, kind, nth, least, length(val) AS size,
+           sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, nth ORDER BY i) - length(hit) AS start,
+           sum(length(gap) + length(hit)) OVER (PARTITION BY doc_id, nth ORDER BY i) AS stop
+    FROM e),
+k AS (
+    SELECT doc_id, count(*) FILTER (nth = 0) AS n_assign, count(*) FILTER (nth = 1) AS n_access,
+           count(*) FILTER (nth = 2) AS n_hex,
+           string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, nth) AS spans
+    FROM s WHERE size >= least GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN k USING (doc_id)
+"""
+
+ORACLE = {"op8_exact_dedup": OP8_SQL, "op10_secrets": OP10_SQL}
