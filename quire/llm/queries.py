@@ -9,12 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.checkpoint import checkpoint_dir
-from . import bpe, exactdedup, neardedup, packing, pfor, piececount, secretscan
+from . import (bpe, compressed, exactdedup, neardedup, packing, pfor, piececount, qualityrules, secretscan,
+               urlfilter)
 from .common import documents
 
 END_ID = 2
 CAPACITY = 1024
 TOKEN_LIMIT = 4096
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,11 +42,30 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document by compressed sizes."""
+    return compressed.quality_scores(documents(spark, sf_dir), _labels(spark, sf_dir))
+
+
+def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document and the verdict of the boosted trees."""
+    docs = documents(spark, sf_dir)
+    found = qualityrules.judged(docs, qualityrules.fit(docs, _labels(spark, sf_dir)))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document by the sentencepiece model."""
     return piececount.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), TOKEN_LIMIT)
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on the url of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return urlfilter.judge_urls(pages, spark.createDataFrame(URL_RULES, "rule string, verdict string"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of every document up to white space."""
     return exactdedup.exact_dedup(documents(spark, sf_dir))
@@ -60,8 +85,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(spelt, 256).alias("base_sha256"), spelt.alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_token_files, op6_token_counts,
-                                  op8_exact_dedup, op9_near_dedup, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_token_files, op4_quality, op5_rules,
+                                  op6_token_counts, op7_urls, op8_exact_dedup, op9_near_dedup, op10_secrets)}
 _WORD_CASE = "(password|passwd|secret|token|api_?key)"
 _EITHER = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in _WORD_CASE)
 
@@ -112,4 +137,23 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM d LEFT JOIN k USING (doc_id)
 """
 
-ORACLE = {"op8_exact_dedup": OP8_SQL, "op10_secrets": OP10_SQL}
+OP7_SQL = """
+WITH u AS (
+    SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS mark FROM pages),
+p AS (
+    SELECT page_id, CASE WHEN mark = 0 THEN '' ELSE substr(url, mark + 3) END AS rest FROM u),
+h AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+r(host, path, rule, verdict) AS (VALUES ('net', '/', 'net/', 'block'), ('example.net', '/en/', 'example.net/en/', 'allow'),
+    ('example.com', '/de/', 'example.com/de/', 'block'), ('org', '/fr/', 'org/fr/', 'allow')),
+f AS (
+    SELECT page_id, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict
+    FROM h JOIN r ON (h.host = r.host OR suffix(h.host, '.' || r.host)) AND starts_with(h.path, r.path)
+    GROUP BY page_id)
+SELECT h.page_id, h.host, h.path, f.rule, coalesce(f.verdict, 'allow') AS verdict
+FROM h LEFT JOIN f USING (page_id)
+"""
+
+ORACLE = {"op7_urls": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_secrets": OP10_SQL}
