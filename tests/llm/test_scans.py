@@ -1,0 +1,116 @@
+"""Secret scans and URL filters against plain Python."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quire.llm import secretscan, urlfilter
+
+ASSIGN = re.compile(r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
+
+
+def brute_spans(text):
+    text = text or ""
+    out = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    out += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out)
+
+
+def brute_mask(text):
+    out, at = [], 0
+    for start, _, stop in brute_spans(text):
+        if not out or start > at:
+            out += [text[at:start], secretscan.MASK]
+        at = max(at, stop)
+    return "".join(out) + text[at:]
+
+
+@pytest.mark.parametrize("batches", [1, 3])
+def test_spans(docs, rows, batches):
+    found = secretscan.secret_spans(docs, batches=batches).collect()
+    want = Counter((i, tuple(brute_spans(t))) for i, t in rows)
+    assert sum(len(s) for _, s in want) > 8
+    assert Counter((r.doc_id, tuple(map(tuple, r.spans))) for r in found) == want
+
+
+def test_spans_joined_without_broadcast(docs, rows, monkeypatch):
+    monkeypatch.setattr(secretscan, "BROADCAST_FINDINGS", -1)
+    found = secretscan.secret_spans(docs).collect()
+    assert Counter((r.doc_id, tuple(map(tuple, r.spans))) for r in found) == Counter(
+        (i, tuple(brute_spans(t))) for i, t in rows)
+
+
+def test_only_unseen_pairs_are_scanned(spark, docs):
+    versions = docs.select(secretscan.blob().alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
+    ledger = secretscan.ledger_of(docs)
+    blobs = versions.select("blob").distinct().count()
+    assert ledger.count() == 3 * blobs == ledger.select("blob", "rule").distinct().count()
+    assert secretscan.scan(versions, ledger).count() == 0
+    newer = (*secretscan.RULES[:2], secretscan.Rule("hex", 2, "[0-9a-f]{40,}", 0, 40))
+    again = secretscan.scan(versions, ledger, newer)
+    assert {r.rule for r in again.select("rule").distinct().collect()} == {"hex@2"}
+    assert again.count() == blobs
+
+
+def test_no_python_on_the_executors(docs):
+    plan = secretscan.secret_spans(docs)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_masked(docs, rows):
+    left = secretscan.without_secrets(docs)
+    assert left.columns == docs.columns
+    want = Counter((i, None if t is None else brute_mask(t), None if t is None else len(brute_mask(t))) for i, t in rows)
+    assert Counter((r.doc_id, r.text, r.n_chars) for r in left.collect()) == want
+
+
+def test_no_documents(no_docs):
+    assert secretscan.secret_spans(no_docs).count() == 0
+    assert secretscan.without_secrets(no_docs).count() == 0
+
+
+RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+URLS = [None, "", "nothing", "http://", "http://a.net", "http://a.net/", "http://net/x", "HTTP://WWW.Example.NET/en/x?q#f",
+        "http://badexample.net/en/", "https://example.com/de/1#x", "https://x.example.com/de", "http://a.org/fr/é?x",
+        "http://a.org?/fr/", "x://y://example.com/de/", "http://ÀB.org/fr/", "http://example.net./en/", "a\nb://q.net/z",
+        "http://user@a.net:80/x", "http://a.net/\nx"]
+
+
+def brute_url(url):
+    _, mark, rest = (url or "").partition("://")
+    host = re.match("[^/?#]*", rest)[0]
+    path = re.match("[^?#]*", rest[len(host):])[0]
+    host = re.sub("[A-Z]", lambda m: m[0].lower(), host)
+    fits = [(len(r), r, v) for r, v in RULES for h, p in [(r[:r.index("/")], r[r.index("/"):])]
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    _, rule, verdict = max(fits, default=(0, None, "allow"))
+    return host, path, rule, verdict
+
+
+@pytest.mark.parametrize("most", [urlfilter.MAX_INDEX_BYTES, 0])
+def test_urls(spark, most):
+    rows = [(i, u, "h", "r") for i, u in enumerate([*URLS, *URLS])] + [(None, URLS[6], "h", "r")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, host string, rule string")
+    found = urlfilter.judge_urls(pages, spark.createDataFrame(RULES, "rule string, verdict string"), max_index_bytes=most)
+    want = Counter((i, *brute_url(u)) for i, u, _, _ in rows)
+    assert Counter(tuple(r) for r in found.collect()) == want
+    assert urlfilter.judge_urls(pages.limit(0), spark.createDataFrame(RULES, "rule string, verdict string"),
+                                max_index_bytes=most).count() == 0
+    none = urlfilter.judge_urls(pages, spark.createDataFrame([], "rule string, verdict string"), "block", most)
+    assert {(r.rule, r.verdict) for r in none.collect()} == {(None, "block")}
+
+
+def test_colliding_digests_are_told_apart(monkeypatch):
+    monkeypatch.setattr(urlfilter.xxhash, "xxh64_intdigest", lambda data, seed: len(data))
+    index = urlfilter.Index(np.frombuffer(urlfilter.build([("ab/", "block"), ("cd/", "allow"), ("e/", "block")]), np.uint8))
+    found = index.find([b"cd/", b"ab/", b"xy/", b"e/", b"q/"])
+    assert [None if k < 0 else index.rule(k) for k in found] == [b"cd/", b"ab/", None, b"e/", None]
+
+
+def test_digests_are_sparks(spark):
+    got = spark.range(1).select(F.xxhash64(F.lit("example.net/en/"))).first()[0]
+    assert got % (1 << 64) == urlfilter.xxhash.xxh64_intdigest(b"example.net/en/", urlfilter.SEED)
