@@ -93,10 +93,6 @@ COL_INDEX = "paragraphs_index"
 COL_WORDS = "n_words"
 COL_SPLIT = "splitted_paragraphs"
 
-# Row cap of the chunking job and the notebook's embedding slice.
-CHUNK_JOB_ROW_CAP = 100_000
-EMBED_SLICE = (10_000, 12_000)
-
 # --- END FIXED VALUES -------------------------------------------------------
 
 

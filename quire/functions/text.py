@@ -125,24 +125,20 @@ def piece_limit(n_words: Column, max_len: Column | int, floor_limit: bool = True
     return F.floor(m / cuts).cast("bigint") if floor_limit else (m / cuts).cast("double")
 
 
-# Sentence boundary: end punctuation (plus closing quotes/brackets), whitespace,
-# then an optional opening quote/bracket and an upper-case letter.  Splitting on
-# the whitespace with look-around keeps every character of the sentences.  The
-# leading one-character look-ahead and look-behind let the matcher skip most
-# positions before trying the (bounded, so costlier) look-behind; they only
-# restate conditions the full boundary already implies.
-SENTENCE_BOUNDARY = (
-    f"(?={K.WS})" + r"(?<=[.!?\"”’')\]])" + r"(?<=[.!?][\"”’')\]]{0,8})" + K.WS + "+"
-    + r"(?=[\"“‘'(\[]?\p{Lu})"
+# A sentence: the shortest stretch up to end punctuation with any closing quotes
+# or brackets, before whitespace and an optional opening quote or bracket with an
+# upper-case letter; else the rest of the text.  Whitespace before it is left out.
+SENTENCE = (
+    "(?s)" + K.WS + "*(.+?(?:[.!?][\"”’')\\]]*(?=" + K.WS + "+[\"“‘'(\\[]?\\p{Lu})|\\z))"
 )
 
 
 def sentences(p: Column) -> Column:
     """Paragraph -> array of sentences (whitespace between them dropped).
 
-    The text is stripped first, so only an empty text yields an empty piece.
+    The text is stripped first; an empty text has no sentence.
     """
-    return F.filter(F.split(strip(p), SENTENCE_BOUNDARY, -1), lambda x: x != "")
+    return F.regexp_extract_all(strip(p), _lit(SENTENCE), F.lit(1))
 
 
 def trimmed_word_count(p: Column) -> Column:

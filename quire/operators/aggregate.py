@@ -1,40 +1,45 @@
 """Stage 2a: merge consecutive paragraphs into aggregates of >= T words.
 
-Order is data: rows are scanned in ``order_col`` order (unique).  A new
+Order is data: rows are scanned in position order (0-based, dense).  A new
 segment starts where the book id changes (from a non-NULL one), the paragraph
 index is not the previous one + 1, or the chapter changes (NULL-safe).  Inside
 a segment paragraphs are merged greedily until the words reach the threshold.
 
-Plan:
-
-* rows are cut into buckets of consecutive order values (``OrderBuckets``),
-  so every bucket holds a bounded number of rows whatever the segment
-  lengths — one book, or many copies of one, may be most of the table;
-* on a narrow projection (order, ids, chapter, words) the previous-row values
-  come from a per-bucket ``lag`` plus the last row of the previous bucket (one
-  row per bucket, broadcast), and the three-step scan of ``greedy`` produces,
-  per bucket, the group-start marks and the group carried in from before;
-* the text moves once: each row is routed to the partition of the bucket
-  where its group starts, a running window over the marks gives group ids,
-  and the aggregation by (partition, group) needs no further shuffle.
+One plan for all sizes:
+
+* a bucket is ``position DIV rows_per_bucket``, so it holds a bounded number of
+  rows whatever the segment lengths;
+* the narrow columns (position, ids, chapter, words) are dealt by bucket, the
+  last row of each bucket going to the next one too, as its row before;
+* ``greedy`` gives the group starts of each bucket as narrow mark rows, its
+  summaries being folded as a tree over blocks of buckets;
+* marks and text rows are united and dealt by bucket: the text's one shuffle.
+  A running value over the marks gives each row its group, and the aggregation
+  inside a bucket needs no further shuffle.  Only the rows of the groups that
+  may reach over a bucket's edge (two a bucket at most) meet once more.
 """
 
 from __future__ import annotations
 
-import bisect
-
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import constants as K
+from ..functions import text as X
 from ..sources.checkpoint import cut
-from . import greedy, joins, ordering
+from . import greedy, ordering
+
+#: Rows of a bucket, and buckets of a block of the fold.
+ROWS_PER_BUCKET = 1 << 13
+BUCKETS_PER_BLOCK = 1 << 10
+#: Buckets that a task of the text shuffle holds at most.
+BUCKETS_PER_TASK = 16
 
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("bucket", T.LongType()),
-    T.StructField("has_new", T.BooleanType()),
+    T.StructField("fixed", T.BooleanType()),
     T.StructField("first_r", T.LongType()),
     T.StructField("total", T.LongType()),
     T.StructField("fixed_open", T.BooleanType()),
@@ -46,223 +51,183 @@ SUMMARY_SCHEMA = T.StructType([
     T.StructField("cand_g", T.ArrayType(T.LongType())),
 ])
 CARRY_SCHEMA = "bucket long, c_open boolean, c_acc long, c_g long"
-MIN_ROWS_PER_BUCKET = 10_000
+#: gid: the group that goes on from ``at`` on; more: it may reach into the next bucket.
+MARK_SCHEMA = "_b long, at long, gid long, more boolean"
 
 
-def count_and_dense(df: DataFrame, col: str) -> tuple[int, bool]:
-    """Row count, and whether the (unique) column is exactly 0..n-1; one pass.
+def _dense(df: DataFrame, col: str) -> bool:
+    """Whether the column is exactly 0..n-1; raises on NULL or repeated keys."""
+    n = ordering.check_keys(df, [col])
+    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    return n == 0 or (row.lo == 0 and row.hi == n - 1)
 
-    The order column must not be NULL: the scan order would be undefined.
-    """
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.count(col).alias("nn"),
-                 F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if row.nn != row.n:
-        raise ValueError(f"order column {col!r} has {row.n - row.nn} NULL values")
-    return row.n, row.n == 0 or (row.lo == 0 and row.hi == row.n - 1)
-
-
-class OrderBuckets:
-    """Contiguous ranges of the (unique) order key, applied identically to
-    several frames: ``key DIV rows_per_bucket`` when the key is already a
-    dense position, otherwise quantile split points computed once."""
-
-    def __init__(self, df: DataFrame, order_col: str, rows_per_bucket: int | None = None):
-        self.order_col = order_col
-        self.n, self.dense = count_and_dense(df, order_col)
-        if rows_per_bucket is None:
-            # about four buckets per core, each between MIN and DEFAULT rows:
-            # small inputs still spread over the cores, large ones get buckets
-            # whose per-task memory stays bounded
-            cores = df.sparkSession.sparkContext.defaultParallelism
-            rows_per_bucket = min(ordering.DEFAULT_ROWS_PER_BUCKET,
-                                  max(MIN_ROWS_PER_BUCKET, -(-self.n // (4 * cores))))
-        self.rows_per_bucket = rows_per_bucket
-        self.splits = None if self.dense else ordering.range_splits(
-            df, order_col, self.n, rows_per_bucket)
-
-    @property
-    def count(self) -> int:
-        """Number of buckets (bounds the per-bucket tables)."""
-        if self.dense:
-            return max(1, -(-self.n // self.rows_per_bucket))
-        return len(self.splits) + 1
-
-    def column(self, df: DataFrame) -> DataFrame:
-        """Add ``_b`` (the row's bucket); no shuffle."""
-        if self.dense:
-            return df.withColumn("_b", F.floor(F.col(self.order_col) / self.rows_per_bucket).cast("bigint"))
-        return ordering.apply_splits(df, self.order_col, self.splits, "_b").withColumn(
-            "_b", F.col("_b").cast("bigint"))
-
-    def add(self, df: DataFrame) -> DataFrame:
-        """Add ``_b`` and hash-partition by it (one shuffle of ``df``)."""
-        return self.column(df).repartition("_b")
-
-    def of(self, value: int) -> int:
-        """Bucket of one order value (same rule as :meth:`column`)."""
-        if self.dense:
-            return int(value) // self.rows_per_bucket
-        return bisect.bisect_right(self.splits, float(value))
-
-
-def segment_starts(d: DataFrame, order_col: str, text_col: str = K.COL_TEXT_ID,
+
+def segment_starts(df: DataFrame, pos: str, rows_per_bucket: int = ROWS_PER_BUCKET, text_col: str = K.COL_TEXT_ID,
                    index_col: str = "_idx", chapter_col: str = K.COL_CHAPTER) -> DataFrame:
-    """Add ``_new``: the row opens a new segment (compared with the previous
-    row in ``order_col`` order).  ``d`` has ``_b`` and is partitioned by it.
+    """Add ``_b`` (bucket) and ``_new``: the row opens a new segment.
 
-    The previous row of a bucket's first row is the last row of the previous
-    non-empty bucket, from a table with one row per bucket.
+    ``pos`` is dense.  The last row of a bucket is dealt to the next one as well,
+    where it only serves as the row before.
     """
-    w = Window.partitionBy("_b").orderBy(order_col)
-    last = d.groupBy("_b").agg(F.max_by(
-        F.struct(F.col(text_col).alias("t"), F.col(index_col).alias("i"), F.col(chapter_col).alias("c")),
-        F.col(order_col)).alias("_last"))
-    prev_bucket = last.select("_b", F.lag("_last").over(Window.orderBy("_b")).alias("_pb"))
-    d = d.join(F.broadcast(prev_bucket), "_b", "left")
-    first = F.row_number().over(w) == 1
-
-    def prev(c, field):
-        return F.when(first, F.col("_pb")[field]).otherwise(F.lag(c).over(w))
-
-    pt, pi, pc = prev(text_col, "t"), prev(index_col, "i"), prev(chapter_col, "c")
-    new = ((first & F.col("_pb").isNull())
+    bucket = F.expr(f"`{pos}` DIV {rows_per_bucket}")
+    both = F.when((F.col(pos) + 1) % rows_per_bucket == 0, F.array(bucket, bucket + 1)).otherwise(F.array(bucket))
+    d = df.withColumn("_b", F.explode(both))
+    w = Window.partitionBy("_b").orderBy(pos)
+    pt, pi, pc = (F.lag(c).over(w) for c in (text_col, index_col, chapter_col))
+    new = ((F.col(pos) == 0)
            | (pt.isNotNull() & ~pt.eqNullSafe(F.col(text_col)))
            | F.coalesce(pi.isNotNull() & (F.col(index_col) - 1 != pi), F.lit(False))
            | ~pc.eqNullSafe(F.col(chapter_col)))
-    return d.withColumn("_new", new).drop("_pb")
+    return d.withColumn("_new", new).where(F.col("_b") == bucket)
+
+
+def _records(pdf: pd.DataFrame) -> list[dict]:
+    return pdf.sort_values("bucket").to_dict("records")
+
+
+def carried(summaries: DataFrame, threshold: int, per_block: int = BUCKETS_PER_BLOCK) -> DataFrame:
+    """Incoming state of each bucket (``CARRY_SCHEMA``) by a fold of two levels.
+
+    Buckets are composed in blocks of ``per_block``; one row per block is
+    scanned in order; then each block's buckets go on from its state.
+    """
+    d = summaries.withColumn("block", F.expr(f"bucket DIV {per_block}"))
 
+    def compose(key, pdf):
+        return pd.DataFrame([{"bucket": int(key[0]), **greedy.compose(_records(pdf), threshold)}])
 
-def start_marks(df: DataFrame, threshold_min: int, buckets: OrderBuckets) -> DataFrame:
-    """One row per bucket: ``_bits`` (true where a group starts, in order)
-    and the group carried into the bucket (``_c_open``, ``_c_g``).
+    def over_blocks(batches):
+        state = greedy.FRESH
+        for pdf in batches:
+            rows = pdf.to_dict("records")
+            found, state = greedy.carries(rows, threshold, state)
+            yield pd.DataFrame([(r["bucket"], *s) for r, s in zip(rows, found, strict=True)],
+                               columns=["bucket", "c_open", "c_acc", "c_g"])
 
-    Runs on the narrow columns only (order, id, index, chapter, words).
+    def inside(left, right):
+        rows, first = _records(left), right.iloc[0]
+        found, _ = greedy.carries(rows, threshold, (bool(first.c_open), int(first.c_acc), int(first.c_g)))
+        return pd.DataFrame([(r["bucket"], *s) for r, s in zip(rows, found, strict=True)],
+                            columns=["bucket", "c_open", "c_acc", "c_g"])
+
+    blocks = d.groupBy("block").applyInPandas(compose, SUMMARY_SCHEMA)
+    states = blocks.repartition(1).sortWithinPartitions("bucket").mapInPandas(over_blocks, CARRY_SCHEMA)
+    return d.groupBy("block").cogroup(states.groupBy("bucket")).applyInPandas(
+        lambda left, right: inside(left.drop(columns="block"), right), CARRY_SCHEMA)
+
+
+def start_marks(df: DataFrame, threshold_min: int, pos: str, rows_per_bucket: int = ROWS_PER_BUCKET,
+                per_block: int = BUCKETS_PER_BLOCK) -> DataFrame:
+    """Mark rows (``MARK_SCHEMA``): the group carried into a bucket, and each group start in it.
+
+    Runs on the narrow columns only (position, id, index, chapter, words).
     """
-    T_ = int(threshold_min)
-    o = buckets.order_col
-    narrow = buckets.add(df.select(o, K.COL_TEXT_ID, F.col(K.COL_INDEX).alias("_idx"), K.COL_CHAPTER,
-                                   F.col(K.COL_WORDS).cast("bigint").alias("_n")))
-    d = segment_starts(narrow, o).select("_b", o, "_new", "_n")
+    limit = int(threshold_min)
+    narrow = df.select(F.col(pos).alias("_pos"), K.COL_TEXT_ID, F.col(K.COL_INDEX).alias("_idx"), K.COL_CHAPTER,
+                       F.coalesce(F.col(K.COL_WORDS), F.lit(0)).cast("bigint").alias("_n"))
+    d = cut(segment_starts(narrow, "_pos", rows_per_bucket).select("_b", "_pos", "_new", "_n"))
 
     def summarise(key, pdf):
-        pdf = pdf.sort_values(o)
-        # equal keys always share a range bucket, so this checks the whole table
-        if not pdf[o].is_unique:
-            raise ValueError(f"order column {o!r} is not unique")
-        s = greedy.summarise(pdf["_new"].to_numpy(), pdf["_n"].to_numpy(), pdf[o].to_numpy(), T_)
-        return pd.DataFrame([dict(bucket=int(key[0]), **s)])
-
-    def fold(pdf):
-        return greedy.fold(pdf.drop(columns=["_one"]), T_)
-
-    if buckets.count == 1:
-        # a single bucket has nothing carried into it
-        with_carry = d.select("*", F.lit(False).alias("c_open"), F.lit(0).cast("long").alias("c_acc"),
-                              F.lit(-1).cast("long").alias("c_g"))
-    else:
-        summaries = d.groupBy("_b").applyInPandas(summarise, SUMMARY_SCHEMA)
-        # one row per bucket: the carry scan is a single small task
-        carry = summaries.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(fold, CARRY_SCHEMA)
-        carry = carry.withColumnRenamed("bucket", "_b")
-        # left join: the windowed subtree stays identical to the summary
-        # branch, so its shuffle is reused
-        with_carry = d.join(F.broadcast(carry), "_b", "left")
-
-    bucket_of = buckets.of
-
-    def marks(key, pdf):
-        pdf = pdf.sort_values(o)
-        if not pdf[o].is_unique:
-            raise ValueError(f"order column {o!r} is not unique")
-        c = pdf.iloc[0]
-        r = pdf[o].to_numpy()
-        gid, _ = greedy.assign(pdf["_new"].to_numpy(), pdf["_n"].to_numpy(), r, T_,
-                               (bool(c.c_open), int(c.c_acc), int(c.c_g)))
-        start = gid == r
-        k = int(start.argmax()) if start.any() else None
-        carried = bool(c.c_open) and not bool(start[0])
-        return pd.DataFrame({"_b": [int(key[0])], "_bits": [start],
-                             "_first": [None if k is None else int(r[k])], "_fpos": [k],
-                             "_carry_b": [bucket_of(int(c.c_g)) if carried else None]})
-
-    return with_carry.groupBy("_b").applyInPandas(
-        marks, "_b long, _bits array<boolean>, _first long, _fpos long, _carry_b long")
-
-
-def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str = K.COL_INDEX,
-                         rows_per_bucket: int | None = None,
-                         broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+        pdf = pdf.sort_values("_pos")
+        return pd.DataFrame([{"bucket": int(key[0]),
+                              **greedy.summarise(pdf["_new"], pdf["_n"], pdf["_pos"], limit)}])
+
+    def marks(left, right):
+        left, c = left.sort_values("_pos"), right.iloc[0]
+        r, b = left["_pos"].to_numpy(), left["_b"].iloc[0]
+        state = (bool(c.c_open), int(c.c_acc), int(c.c_g))
+        found, after = greedy.starts(left["_new"], left["_n"], r, limit, state)
+        at, gid = r[found].tolist(), r[found].tolist()
+        if state[0] and not bool(left["_new"].iloc[0]):  # goes on until the first start
+            at, gid = [int(r[0]), *at], [state[2], *gid]
+        more = [after[0] and g == after[2] for g in gid]
+        return pd.DataFrame({"_b": [b] * len(at), "at": at, "gid": gid, "more": more})
+
+    summaries = d.groupBy("_b").applyInPandas(summarise, SUMMARY_SCHEMA)
+    carry = carried(cut(summaries), limit, per_block)
+    return d.groupBy("_b").cogroup(carry.groupBy("bucket")).applyInPandas(marks, MARK_SCHEMA)
+
+
+def _joined(texts: Column) -> Column:
+    """Texts in order with the separator between; leading empty ones are skipped."""
+    first = F.array_position(F.transform(texts, lambda x: x != ""), True)
+    return F.when(first == 0, F.lit("")).otherwise(
+        F.array_join(F.slice(texts, first.cast("int"), (F.size(texts) - first + 1).cast("int")), K.AGGREGATE_JOIN))
+
+
+def _merged(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each group of ``rows`` (already in the same task if dealt by one of the keys)."""
+    return rows.groupBy(*keys).agg(
+        F.collect_list(F.struct(F.col("at").alias("o"), F.col(K.COL_PARAGRAPH).alias("p"))).alias("_items"),
+        F.sum(K.COL_WORDS).cast("bigint").alias("_n"),
+        F.max_by(K.COL_TEXT_ID, "at").alias("_t"),
+        F.max_by(K.COL_CHAPTER, "at").alias("_c"),
+        F.min_by(F.get(F.col(K.COL_SPANS), 0), "at").alias("_s0"),
+        F.max_by(F.get(F.col(K.COL_SPANS), 1), "at").alias("_s1"),
+        F.min(F.struct("at", "_order")).alias("_lo"))
+
+
+def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str | tuple[str, ...] = K.COL_INDEX,
+                         rows_per_bucket: int = ROWS_PER_BUCKET, per_block: int = BUCKETS_PER_BLOCK) -> DataFrame:
     """Aggregates: ``paragraphs, chapters, n_words, text_ids, spans`` plus
-    ``agg_order`` (order value of the first paragraph, to keep the order).
-
-    Text is joined with ``"\\n\\n"`` in order (leading empty texts are skipped,
-    and a group of empty texts below the threshold is not emitted); words are
-    summed; the span runs from the first paragraph's start to the last one's
-    stop; id and chapter are the last paragraph's.
-
-    The text moves once: each row is hash-partitioned by the bucket where its
-    group starts (known from one small row per bucket), so every group is
-    whole in one partition.  There the bucket's start marks give group ids by
-    a running window, and the aggregation by (bucket, group) needs no further
-    shuffle.
+    ``agg_order`` (order key of the first paragraph, to keep the order).
+
+    ``order_col`` is one dense position column, or one or several columns whose
+    values are unique (several give a struct ``agg_order``); rows with keys that
+    aren't dense are first written in their order.  Text is joined with
+    ``"\\n\\n"`` in order (leading empty texts are skipped, and a group of empty
+    texts below the threshold is not emitted); words are summed; the span runs
+    from the first paragraph's start to the last one's stop; id and chapter are
+    the last paragraph's.
     """
-    buckets = OrderBuckets(df, order_col, rows_per_bucket)
-    # one row per bucket, read twice (routing, start flags): written once
-    marks = cut(start_marks(df, threshold_min, buckets))
-    o = F.col(order_col)
-    # where each row goes: rows before their bucket's first group start belong
-    # to a group carried in from an earlier bucket, and go to that bucket
-    route = F.broadcast(marks.select("_b", "_first", "_carry_b"))  # one row per bucket
-    t = buckets.column(df).join(route, "_b", "left")
-    carried = F.col("_first").isNull() | (o < F.col("_first"))
-    t = t.withColumn("_pk", F.when(carried, F.col("_carry_b")).otherwise(F.col("_b")))
-    t = t.drop("_first", "_carry_b").repartition("_pk")  # the one shuffle of the text
-    bits = marks.select(F.col("_b").alias("_pk"), "_bits", "_fpos")
-    bits = F.broadcast(bits) if buckets.n <= broadcast_rows else bits.hint("shuffle_hash")
-    w = Window.partitionBy("_pk").orderBy(order_col)
-    # a bucket's own rows (from its first group start on) come first in its
-    # partition: their position in the bucket's marks is row_number - 1 plus
-    # the rows before that first start (they went to an earlier partition).
-    # The marks are read in the projection right above the join, so only the
-    # resulting flag travels with the rows, never the marks array.
-    t = t.withColumn("_rn", F.row_number().over(w) - 1)
-    t = t.join(bits, "_pk", "left")
-    pos = (F.col("_rn") + F.col("_fpos")).cast("int")
-    own = F.col("_b") == F.col("_pk")
-    t = t.withColumn("_start", own & F.coalesce(F.get(F.col("_bits"), pos), F.lit(False)))
-    t = t.drop("_bits", "_fpos", "_rn")
-    t = t.withColumn("_gid", F.max(F.when(F.col("_start"), o)).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    a = t.groupBy("_pk", "_gid").agg(
-        F.collect_list(F.struct(o.alias("o"), F.col(K.COL_PARAGRAPH).alias("p"))).alias("_items"),
-        F.sum(K.COL_WORDS).cast("bigint").alias("_n"),
-        F.max_by(K.COL_TEXT_ID, o).alias("_t"),
-        F.max_by(K.COL_CHAPTER, o).alias("_c"),
-        F.min_by(F.get(F.col(K.COL_SPANS), 0), o).alias("_s0"),
-        F.max_by(F.get(F.col(K.COL_SPANS), 1), o).alias("_s1"),
-        F.min(o).alias("_lo"))
-    texts = F.transform(F.sort_array("_items"), lambda x: x["p"])
-    a = a.withColumn("_texts", texts)
-    first = F.array_position(F.transform("_texts", lambda x: x != ""), True)
-    text = F.when(first == 0, F.lit("")).otherwise(
-        F.array_join(F.slice("_texts", first.cast("int"), (F.size("_texts") - first + 1).cast("int")),
-                     K.AGGREGATE_JOIN))
-    a = a.select(text.alias(K.COL_PARAGRAPH), F.col("_c").alias(K.COL_CHAPTER), F.col("_n").alias(K.COL_WORDS),
-                 F.col("_t").alias(K.COL_TEXT_ID), F.array("_s0", "_s1").alias(K.COL_SPANS),
-                 F.col("_lo").alias("agg_order"))
+    cols = [order_col] if isinstance(order_col, str) else list(order_col)
+    order = F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
+    pos = cols[0]
+    if len(cols) > 1 or not _dense(df, cols[0]):
+        pos = "_position"
+        df = ordering.positions(df, cols, pos)
+    marks = cut(start_marks(df, threshold_min, pos, rows_per_bucket, per_block))
+
+    text = df.select(F.expr(f"`{pos}` DIV {rows_per_bucket}").alias("_b"), F.col(pos).alias("at"), order.alias("_order"),
+                     K.COL_PARAGRAPH, K.COL_TEXT_ID, K.COL_CHAPTER, K.COL_SPANS, K.COL_WORDS)
+    rows = marks.unionByName(text, allowMissingColumns=True)
+    buckets = max(1, marks.agg(F.coalesce(F.max("_b"), F.lit(0))).first()[0] + 1)
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = min(buckets, max(width, -(-buckets // BUCKETS_PER_TASK)))
+    # the one shuffle of the text; a mark comes before the row that it is for
+    dealt = rows.repartition(tasks, "_b")
+    w = Window.partitionBy("_b").orderBy("at", F.col("gid").isNull()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    last = F.last(F.when(F.col("gid").isNotNull(), F.struct("gid", "more")), ignorenulls=True).over(w)
+    own = dealt.withColumn("_g", last).where(F.col("gid").isNull()).select(
+        "_b", "at", "_order", F.col("_g.gid").alias("_gid"), F.col("_g.more").alias("_more"),
+        K.COL_PARAGRAPH, K.COL_TEXT_ID, K.COL_CHAPTER, K.COL_SPANS, K.COL_WORDS)
+    over = F.col("_more") | (F.expr(f"_gid DIV {rows_per_bucket}") != F.col("_b"))
+    whole = _merged(own.where(~over), "_b", "_gid").drop("_b")
+    a = whole.unionByName(_merged(own.where(over), "_gid"))
+    a = a.withColumn("_texts", F.transform(F.sort_array("_items"), lambda x: x["p"]))
+    a = a.select(_joined(F.col("_texts")).alias(K.COL_PARAGRAPH), F.col("_c").alias(K.COL_CHAPTER),
+                 F.col("_n").alias(K.COL_WORDS), F.col("_t").alias(K.COL_TEXT_ID),
+                 F.array("_s0", "_s1").alias(K.COL_SPANS), F.col("_lo._order").alias("agg_order"))
     return a.where((F.col(K.COL_PARAGRAPH) != "") | (F.col(K.COL_WORDS) >= threshold_min))
 
 
-def reindex(df: DataFrame, order_col: str = K.COL_INDEX,
-            rows_per_bucket: int = ordering.DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """Stage 2's first step: ``paragraphs_index`` = position, ``n_words`` recounted."""
-    from ..functions import text as X
+def reindex(df: DataFrame, order_cols: str | tuple[str, ...] | None = None) -> DataFrame:
+    """Stage 2's first step: ``paragraphs_index`` = position, ``n_words`` recounted.
 
-    n, dense = count_and_dense(df, order_col)
-    if dense and order_col == K.COL_INDEX:
-        out = df
+    A table read by ``io.read_paragraphs`` has places and is numbered in file
+    order, whatever its incoming index says.  A frame without places is numbered
+    in the order of ``order_cols``, by default the incoming index; keys that
+    repeat or are NULL raise, as they leave the order open.
+    """
+    words = X.word_count(F.col(K.COL_PARAGRAPH))
+    if order_cols is None and all(c in df.columns for c in ordering.PLACE):
+        out = ordering.number_rows(df.withColumn(K.COL_WORDS, words).drop(K.COL_INDEX), K.COL_INDEX)
     else:
-        out = ordering.dense_index(df, order_col, "_pos", n_rows=n,
-                                   rows_per_bucket=rows_per_bucket)
-        out = out.withColumn(K.COL_INDEX, F.col("_pos")).drop("_pos")
-    return out.withColumn(K.COL_WORDS, X.word_count(F.col(K.COL_PARAGRAPH)))
+        cols = [order_cols or K.COL_INDEX] if order_cols is None or isinstance(order_cols, str) else list(order_cols)
+        if cols == [K.COL_INDEX] and _dense(df, K.COL_INDEX):
+            return df.withColumn(K.COL_WORDS, words)
+        out = ordering.positions(df, cols, "_position").withColumn(K.COL_WORDS, words)
+        out = out.drop(K.COL_INDEX).withColumnRenamed("_position", K.COL_INDEX)
+    names = [c for c in df.columns if c not in ordering.PLACE]
+    return out.select(*dict.fromkeys([*names, K.COL_INDEX, K.COL_WORDS]))

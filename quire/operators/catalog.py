@@ -21,25 +21,17 @@ def extract_metadata(corpus: DataFrame, id_col: str = "id",
                          F.expr(f"try_cast(trim(`{id_col}`) AS BIGINT)").alias("text_id"), *keep)
 
 
-def merge_catalog(catalog: DataFrame, metadata: DataFrame,
-                  broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def merge_catalog(catalog: DataFrame, metadata: DataFrame) -> DataFrame:
     """Inner join catalog ``Text#`` = metadata ``text_id``; keep
     ``Language, text_id, Bookshelves``.
 
     Both sides are book-level tables.  Only the key and the three kept
-    columns are read.  The smaller side is broadcast when its (counted) size
-    allows, otherwise a sort-merge join (AQE splits a hot id).  The sides are
-    aliased because ``Language`` (catalog) and ``language`` (metadata) differ
-    only by case.
+    columns are read.  The join is left to adaptive execution, which broadcasts
+    a side that turns out small and splits a hot id.  The sides are aliased
+    because ``Language`` (catalog) and ``language`` (metadata) differ only by case.
     """
     c = catalog.select(F.col("`Text#`").alias("_key"), "Language", "Bookshelves")
     m = metadata.select("text_id")
-    nc, nm = c.count(), m.count()
-    if min(nc, nm) <= broadcast_rows:
-        if nc <= nm:
-            c = F.broadcast(c)
-        else:
-            m = F.broadcast(m)
     j = c.alias("c").join(m.alias("m"), F.col("c._key") == F.col("m.text_id"), "inner")
     return j.select(F.col("c.Language").alias("Language"), F.col("m.text_id").alias("text_id"),
                     F.col("c.Bookshelves").alias("Bookshelves"))

@@ -13,6 +13,7 @@ packing scan, which is linear where an array fold would be quadratic.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,14 +24,15 @@ from ..functions import text as X
 
 
 def pack_starts_list(ks, limit):
-    """Start index of each piece (plain Python; shared with the UDF)."""
-    starts = [0]
-    acc = 0
-    for j, k in enumerate(ks):
-        acc += k
-        if acc > limit and j > 0:
-            starts.append(j)
-            acc = k
+    """Start index of each piece (shared with the UDF): a piece takes its first
+    sentence whole and then as many as its words allow, found by binary search."""
+    sums = np.cumsum(np.array(ks, float))
+    starts, at = [0], 0
+    while at < len(sums):
+        before = sums[at - 1] if at else 0.0
+        at = max(at + 1, int(np.searchsorted(sums, before + limit, side="right")))
+        if at < len(sums):
+            starts.append(at)
     return starts
 
 

@@ -1,8 +1,8 @@
 """Embeddings: unit-length vectors and batch encoding of text.
 
 * ``unit_vector`` — L2 normalisation as a Column expression (JVM).
-* ``embed_hashing`` — offline default encoder: tokens -> hashed term counts
-  (``HashingTF``) -> L2 normalised dense array.  All JVM, no model weights.
+* ``embed_hashing`` — offline default encoder: tokens -> md5 slots (JVM) -> term
+  counts (Arrow) -> L2 normalised dense array; no model weights.
 * ``embed_with`` — any batch encoder (e.g. a sentence-embedding model), run
   with ``mapInPandas``: the model is loaded once per task and fed batches of
   ``batch_size`` texts; its output is normalised like the original pipeline's
@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,26 +24,41 @@ EPS = 1e-12
 
 
 def unit_vector(v: Column) -> Column:
-    """``v / max(||v||, eps)`` element-wise, as doubles."""
+    """``v / max(||v||, eps)`` element-wise, as doubles; the norm is taken once a vector."""
     sq = F.aggregate(v, F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double"))
-    return F.transform(v, lambda x: x.cast("double") / F.greatest(F.sqrt(sq), F.lit(EPS)))
+    norm = F.array(F.greatest(F.sqrt(sq), F.lit(EPS)))
+    return F.transform(norm, lambda n: F.transform(v, lambda x: x.cast("double") / n))[0]
 
 
 def unit_embeddings(df: DataFrame, col: str = "embedding", out: str = "unit") -> DataFrame:
     return df.withColumn(out, unit_vector(F.col(col)))
 
 
+def token_slots(text: Column, dim: int) -> Column:
+    """Tokens (runs of letters and digits, lower-cased) -> their slots: md5's first 32 bits modulo ``dim``."""
+    tokens = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.transform(tokens, lambda t: (
+        F.conv(F.substring(F.md5(t.cast("binary")), 1, 8), 16, 10).cast("bigint") % dim).cast("int"))
+
+
+def slot_vectors(dim: int):
+    """Arrow UDF: slots of a text -> how many fall on each of ``dim``, as a unit vector."""
+
+    def vector(slots):
+        n = np.bincount(np.array(slots, np.int64), minlength=dim).astype(float)
+        return n / max(np.sqrt(n @ n), EPS)
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def vectors(slots: pa.Array) -> pa.Array:
+        return pa.array([None if s is None else vector(s) for s in slots.to_pylist()], type=pa.list_(pa.float64()))
+
+    return vectors
+
+
 def embed_hashing(df: DataFrame, text_col: str = "paragraphs", dim: int = 256,
                   out: str = "embedding") -> DataFrame:
     """Hashed bag-of-words vectors, unit length, as ``array<double>``."""
-    from pyspark.ml.feature import HashingTF, Normalizer
-    from pyspark.ml.functions import vector_to_array
-
-    tok = df.withColumn("_tok", F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+"))
-    tok = tok.withColumn("_tok", F.filter("_tok", lambda t: t != ""))
-    tf = HashingTF(inputCol="_tok", outputCol="_tf", numFeatures=dim).transform(tok)
-    nv = Normalizer(inputCol="_tf", outputCol="_nv", p=2.0).transform(tf)
-    return nv.withColumn(out, vector_to_array("_nv")).drop("_tok", "_tf", "_nv")
+    return df.withColumn(out, slot_vectors(dim)(token_slots(F.col(text_col), dim)))
 
 
 def embed_with(df: DataFrame, make_encoder: Callable[[], Callable[[list[str]], np.ndarray]],

@@ -3,137 +3,173 @@
 Rows are in global order and cut into buckets of consecutive rows.  Inside a
 segment, every row joins the open group (or opens one), adds its words, and the
 group closes once its words reach ``T``; a segment start closes whatever is
-open.  The state between rows is ``(open, acc, gid)``.
+open.  The state between rows is ``(open, acc, gid)``; a group's id is the
+position of its first row.
 
 A segment may be far longer than a bucket (one book, or copies of one book,
 may hold a large share of all rows), so a bucket cannot assume it starts
-fresh.  Three steps make the scan exact without putting a segment in one task:
-
-1. ``summarise`` (per bucket): if the bucket contains a segment start its end
-   state is fixed.  Otherwise the end state is a function of the incoming
-   accumulator ``a``: the first closure is at the first row where the running
-   word sum reaches ``T - a``; after that the run no longer depends on ``a``.
-   Only the distinct running sums up to ``T`` are kept, so a summary is at
-   most ``T + 1`` numbers.
-2. ``fold`` (one small table, one row per bucket): carry the state across the
-   buckets in order.
-3. ``assign`` (per bucket): replay the bucket from its carried state and give
-   every row the id of its group (the position of the group's first row).
-
-Only positions and word counts reach Python, never the text.
+fresh.  The scan stays exact without putting a segment in one task:
+
+1. ``summarise`` (per bucket): with a segment start in the bucket its end state
+   is fixed by the rows from the last start on.  Otherwise the end state is a
+   function of the incoming words ``a``: the first closure is at the first row
+   where the running sum reaches ``T - a``; after that the run no longer
+   depends on ``a``.  Only the distinct running sums up to ``T`` are kept, so a
+   summary is at most ``T + 1`` numbers.
+2. ``compose`` (per block of buckets): the same kind of summary of the block;
+   ``carries`` then gives the incoming state of each.
+3. ``starts`` (per bucket): the group starts, from the incoming state.
+
+Only positions and word counts reach Python, never the text; loops run over
+groups and segments, not over rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 
 FRESH = (False, 0, -1)
 
 
-def assign(new, n, r, T, carry=FRESH):
-    """Group id per row (position of the group's first row) and end state."""
-    open_, acc, g = carry
-    out = np.empty(len(n), dtype=np.int64)
-    for i, (s, k, ri) in enumerate(zip(new.tolist(), n.tolist(), r.tolist())):
-        if s:
-            open_, acc = False, 0
-        if not open_:
-            g, open_ = ri, True
-        out[i] = g
-        acc += k
-        if acc >= T:
-            open_, acc = False, 0
-    return out, (open_, acc, g)
-
-
-def _after_closures(S, r, T):
-    """End state after a closure at each row, memoised along closure chains."""
-    L = len(S)
-    memo: dict[int, tuple] = {}
-
-    def run(c):
-        path = []
-        cur = c
-        while True:
-            if cur in memo:
-                res = memo[cur]
-                break
-            path.append(cur)
-            nxt = int(np.searchsorted(S, S[cur] + T, side="left"))
-            if nxt >= L:
-                res = (True, int(S[-1] - S[cur]), int(r[cur + 1])) if cur + 1 < L else FRESH
-                break
-            cur = nxt
-        for p in path:
-            memo[p] = res
-        return res
-
-    return run
+def _run(r, sums, i, base, last, T):
+    """Group starts from row ``i`` (a fresh group) up to ``last``, and the end state.
+
+    ``sums`` are running word sums, ``base`` the sum before row ``i``.
+    """
+    found = []
+    while i < last:
+        found.append(i)
+        j = int(np.searchsorted(sums, base + T, side="left")) if T > 0 else i
+        j = max(j, i)
+        if j >= last:
+            return found, (True, int(sums[last - 1] - base), int(r[i]))
+        i, base = j + 1, int(sums[j])
+    return found, FRESH
+
+
+def starts(new, n, r, T, carry=FRESH):
+    """Positions in the bucket where groups start, and the end state."""
+    new, n, r = np.asarray(new, bool), np.asarray(n, np.int64), np.asarray(r, np.int64)
+    sums = np.cumsum(n)
+    bounds = [*np.flatnonzero(new).tolist(), len(n)]
+    found, state = [], carry
+    first = bounds[0]
+    if first > 0:  # rows before the first segment start go on with what is carried in
+        open_, acc, g = carry
+        i, base = 0, 0
+        if open_:
+            j = int(np.searchsorted(sums, T - acc, side="left"))
+            if j >= first:
+                state, i = (True, acc + int(sums[first - 1]), g), first
+            else:
+                state, i, base = FRESH, j + 1, int(sums[j])
+        if i < first:
+            own, state = _run(r, sums, i, base, first, T)
+            found += own
+    for a, b in zip(bounds, bounds[1:]):
+        own, state = _run(r, sums, a, int(sums[a - 1]) if a else 0, b, T)
+        found += own
+    return np.array(found, np.int64), state
 
 
 def summarise(new, n, r, T):
     """One bucket's summary (see module doc)."""
-    n = np.asarray(n, dtype=np.int64)
-    r = np.asarray(r, dtype=np.int64)
-    out = {"has_new": bool(np.any(new)), "first_r": int(r[0]), "total": int(n.sum()),
-           "fixed_open": False, "fixed_acc": 0, "fixed_g": -1,
-           "cand_s": [], "cand_open": [], "cand_acc": [], "cand_g": []}
-    if T <= 0:  # every row reaches the threshold alone: the end is always closed
-        out["has_new"] = True
-        return out
-    if out["has_new"]:
-        _, (o, a, g) = assign(np.asarray(new), n, r, T)
-        out.update(fixed_open=bool(o), fixed_acc=int(a), fixed_g=int(g))
+    new, n, r = np.asarray(new, bool), np.asarray(n, np.int64), np.asarray(r, np.int64)
+    out = {"fixed": bool(new.any()) or T <= 0, "first_r": int(r[0]), "total": int(n.sum()),
+           "fixed_open": False, "fixed_acc": 0, "fixed_g": -1, "cand_s": [], "cand_open": [], "cand_acc": [], "cand_g": []}
+    if out["fixed"]:
+        if T > 0:  # the rows from the last segment start on decide
+            at = int(np.flatnonzero(new)[-1])
+            _, state = starts(new[at:], n[at:], r[at:], T)
+            out.update(zip(("fixed_open", "fixed_acc", "fixed_g"), state, strict=True))
         return out
-    S = np.cumsum(n)
-    last = int(np.searchsorted(S, T, side="left"))
-    head = S[: min(last, len(S) - 1) + 1]
-    vals, first = np.unique(head, return_index=True)
-    run = _after_closures(S, r, T)
-    outs = [run(int(i)) for i in first]
-    out.update(cand_s=vals.tolist(), cand_open=[bool(o[0]) for o in outs],
-               cand_acc=[int(o[1]) for o in outs], cand_g=[int(o[2]) for o in outs])
+    sums = np.cumsum(n)
+    last = int(np.searchsorted(sums, T, side="left"))
+    vals, first = np.unique(sums[:min(last, len(sums) - 1) + 1], return_index=True)
+    for s, i in zip(vals.tolist(), first.tolist(), strict=True):
+        state = FRESH
+        if i + 1 < len(n):
+            state = _run(r, sums, i + 1, s, len(n), T)[1]
+        for k, v in zip(("cand_s", "cand_open", "cand_acc", "cand_g"), (s, *state), strict=True):
+            out[k].append(v)
     return out
 
 
-def fold(summaries: pd.DataFrame, T: int) -> pd.DataFrame:
-    """Carry-in state per bucket from the bucket summaries (sorted by bucket)."""
-    s = summaries.sort_values("bucket")
-    state = FRESH
-    rows = []
-    for b in s.itertuples(index=False):
-        rows.append((b.bucket, state[0], state[1], state[2]))
-        if b.has_new:
-            state = (bool(b.fixed_open), int(b.fixed_acc), int(b.fixed_g))
-            continue
-        open_, a, g = state
-        a = a if open_ else 0
-        if a + b.total >= T:
-            j = int(np.searchsorted(np.asarray(b.cand_s), T - a, side="left"))
-            state = (bool(b.cand_open[j]), int(b.cand_acc[j]), int(b.cand_g[j]))
-        else:
-            state = (True, a + int(b.total), g if open_ else int(b.first_r))
-    return pd.DataFrame(rows, columns=["bucket", "c_open", "c_acc", "c_g"])
+def advance(state, s, T):
+    """State after a bucket or block with summary ``s``."""
+    if s["fixed"]:
+        return (bool(s["fixed_open"]), int(s["fixed_acc"]), int(s["fixed_g"]))
+    open_, a, g = state
+    a = a if open_ else 0
+    if a + s["total"] < T:
+        return (True, a + int(s["total"]), g if open_ else int(s["first_r"]))
+    j = int(np.searchsorted(np.asarray(s["cand_s"]), T - a, side="left"))
+    return (bool(s["cand_open"][j]), int(s["cand_acc"][j]), int(s["cand_g"][j]))
+
+
+def carries(summaries, T, state=FRESH):
+    """Incoming state of each of consecutive summaries, and the state after all."""
+    out = []
+    for s in summaries:
+        out.append(state)
+        state = advance(state, s, T)
+    return out, state
+
+
+def compose(summaries, T):
+    """The summary of consecutive buckets taken together."""
+    summaries = list(summaries)
+    out = {"fixed": any(s["fixed"] for s in summaries), "first_r": int(summaries[0]["first_r"]),
+           "total": int(sum(s["total"] for s in summaries)), "fixed_open": False, "fixed_acc": 0, "fixed_g": -1,
+           "cand_s": [], "cand_open": [], "cand_acc": [], "cand_g": []}
+    if out["fixed"]:
+        state = carries(summaries, T)[1]  # what comes before the last fixed one doesn't matter
+        out.update(zip(("fixed_open", "fixed_acc", "fixed_g"), state, strict=True))
+        return out
+    before = 0
+    for k, s in enumerate(summaries):
+        for i, c in enumerate(s["cand_s"]):
+            total = before + int(c)
+            if out["cand_s"] and total <= out["cand_s"][-1]:
+                continue  # an earlier row reaches this sum
+            state = (bool(s["cand_open"][i]), int(s["cand_acc"][i]), int(s["cand_g"][i]))
+            state = carries(summaries[k + 1:], T, state)[1]
+            for name, v in zip(("cand_s", "cand_open", "cand_acc", "cand_g"), (total, *state), strict=True):
+                out[name].append(v)
+        before += int(s["total"])
+        if before >= T:
+            break
+    return out
 
 
 def sequential_groups(new, n, T):
-    """Reference model: one pass over all rows (for tests)."""
+    """Reference model: one pass, row by row (for tests)."""
+    out, open_, acc, g = [], False, 0, -1
+    for i, (s, k) in enumerate(zip(new, n, strict=True)):
+        if s:
+            open_, acc = False, 0
+        if not open_:
+            g, open_ = i, True
+        out.append(g)
+        acc += int(k)
+        if acc >= T:
+            open_, acc = False, 0
+    return np.array(out, np.int64)
+
+
+def bucketed_groups(new, n, T, B, F):
+    """The scan on plain arrays, ``B`` rows a bucket and ``F`` buckets a block (for tests)."""
+    new, n = np.asarray(new), np.asarray(n, np.int64)
     r = np.arange(len(n), dtype=np.int64)
-    return assign(np.asarray(new), np.asarray(n), r, T)[0]
-
-
-def bucketed_groups(new, n, T, B):
-    """The three-step scan on plain arrays (for tests; Spark wires the same)."""
-    new = np.asarray(new)
-    n = np.asarray(n, dtype=np.int64)
-    L = len(n)
-    r = np.arange(L, dtype=np.int64)
-    buckets = [(b, slice(b * B, min(L, (b + 1) * B))) for b in range((L + B - 1) // B)]
-    summ = pd.DataFrame([dict(bucket=b, **summarise(new[s], n[s], r[s], T)) for b, s in buckets])
-    carry = fold(summ, T).set_index("bucket")
-    out = np.empty(L, dtype=np.int64)
-    for b, s in buckets:
-        c = carry.loc[b]
-        out[s] = assign(new[s], n[s], r[s], T, (bool(c.c_open), int(c.c_acc), int(c.c_g)))[0]
+    cuts = [slice(a, min(len(n), a + B)) for a in range(0, len(n), B)]
+    summ = [summarise(new[c], n[c], r[c], T) for c in cuts]
+    blocks = [summ[i:i + F] for i in range(0, len(summ), F)]
+    incoming, _ = carries([compose(b, T) for b in blocks], T)
+    state = [s for b, first in zip(blocks, incoming, strict=True) for s in carries(b, T, first)[0]]
+    out = np.empty(len(n), np.int64)
+    for c, s in zip(cuts, state, strict=True):
+        at, _ = starts(new[c], n[c], r[c], T, s)
+        marks = np.full(c.stop - c.start, s[2] if s[0] else -1)
+        last = np.maximum.accumulate(np.where(np.isin(np.arange(len(marks)), at), np.arange(len(marks)), -1))
+        out[c] = np.where(last >= 0, r[c][np.maximum(last, 0)], marks)
     return out

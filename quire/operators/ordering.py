@@ -1,107 +1,117 @@
-"""Global order without a single task: range buckets + two-level prefix sums.
-
-The original pipeline numbers rows by their position in the whole dataset.  A
-global ``Window.orderBy`` would put every row into one task, so positions are
-computed in two levels instead:
-
-1. rows are cut into contiguous key ranges ("buckets") from approximate
-   quantiles of the order key; every bucket holds about ``rows_per_bucket``
-   rows (the key is unique, so no bucket can be hot);
-2. inside a bucket a window gives the local running value;
-3. one row per bucket (a table bounded by the number of buckets) gives each
-   bucket's base by a running sum, and is broadcast back.
+"""Order of rows as files hold them, and positions without a global sort.
+
+A row's place is composite: the file's name, the start of the block of the file
+that one task reads, and the row's number in the file.  Numbering needs no data
+to move: the task that reads a block counts its rows as they come, one row per
+block gives the totals, and the totals before each block are added back.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_ROWS_PER_BUCKET = 1 << 20
-BUCKET = "_qb"
-
-
-def range_splits(df: DataFrame, order_col: str, n_rows: int,
-                 rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> list[float]:
-    """Split points cutting ``order_col`` into ranges of ~``rows_per_bucket`` rows.
-
-    Computed once (approximate quantiles) so that several frames can be
-    bucketed identically with :func:`apply_splits`.
-    """
-    nb = max(1, math.ceil(n_rows / rows_per_bucket))
-    if nb == 1:
-        return []
-    probs = [i / nb for i in range(1, nb)]
-    qs = df.approxQuantile(order_col, probs, 1.0 / (8 * nb))
-    return sorted(set(float(q) for q in qs))
+from ..sources.checkpoint import cut
+from . import joins
 
+FILE, BLOCK, ROW = "corpus_file", "corpus_block", "corpus_row"
+PLACE = (FILE, BLOCK, ROW)
+#: File names keep five digits in order.
+MOST_FILES = 99_999
 
-def apply_splits(df: DataFrame, order_col: str, splits: list[float], out: str = BUCKET) -> DataFrame:
-    """Add integer ``out``: number of split points <= key (monotone in the key)."""
-    if not splits:
-        return df.withColumn(out, F.lit(0))
-    from pyspark.ml.feature import Bucketizer
 
-    key = "_qkey"
-    b = Bucketizer(splits=[-math.inf] + splits + [math.inf], inputCol=key, outputCol=out)
-    res = b.transform(df.withColumn(key, F.col(order_col).cast("double")))
-    return res.withColumn(out, F.col(out).cast("int")).drop(key)
+def with_place(df: DataFrame) -> DataFrame:
+    """Add the place of each row; ``df`` is a plain read of parquet files."""
+    meta = {FILE: "file_path", BLOCK: "file_block_start", ROW: "row_index"}
+    return df.select("*", *[F.col(f"_metadata.{field}").alias(name) for name, field in meta.items()])
 
 
-def add_range_bucket(df: DataFrame, order_col: str, n_rows: int,
-                     rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> tuple[DataFrame, int]:
-    """Add an integer column ``_qb``: contiguous ranges of ``order_col``.
+def in_order(df: DataFrame, order_cols: tuple[str, ...] | list[str], keep_order: bool = True) -> DataFrame:
+    """``df`` written to the shared folder in the order of ``order_cols`` and read back with places.
 
-    Bucket ids are monotone in the key, so concatenating buckets in id order
-    gives the global order.  ``n_rows`` is the row count of ``df``.
+    The keys are dealt out by ranges, so the rows move once and none waits for
+    all others.
     """
-    splits = range_splits(df, order_col, n_rows, rows_per_bucket)
-    return apply_splits(df, order_col, splits), len(splits) + 1
-
+    spark = df.sparkSession
+    n = min(MOST_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    if not keep_order:
+        dealt = dealt.drop(*order_cols)
+    return with_place(cut(dealt))
+
+
+def check_keys(df: DataFrame, order_cols: tuple[str, ...] | list[str], what: str = "order column") -> int:
+    """Number of rows; raises unless the keys are unique and not NULL."""
+    null = F.lit(False)
+    for c in order_cols:
+        null = null | F.col(c).isNull()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(null).alias("bad"),
+                 F.count_distinct(F.struct(*order_cols)).alias("nd")).first()
+    if row.bad or row.nd != row.n:
+        raise ValueError(f"{what} {', '.join(order_cols)!r} must be unique and not NULL "
+                         f"({row.n} rows, {row.bad} with NULL, {row.nd} distinct)")
+    return row.n
+
+
+def block_totals(counted: DataFrame) -> DataFrame:
+    """(file, block, _n) rows with ``_before``: rows in all blocks before.
+
+    Blocks are summed inside their file, and the file totals over the files:
+    the only unpartitioned window has one row per file.
+    """
+    inside = Window.partitionBy(FILE).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.orderBy(FILE).rowsBetween(Window.unboundedPreceding, -1)
+    files = counted.groupBy(FILE).agg(F.sum("_n").alias("_all")).select(
+        FILE, F.coalesce(F.sum("_all").over(ahead), F.lit(0)).alias("_ahead"))
+    inner = counted.withColumn("_inside", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return inner.join(files, FILE).withColumn("_before", F.col("_ahead") + F.col("_inside")).drop("_ahead", "_inside")
+
+
+def number(df: DataFrame, out_col: str, broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Add ``out_col``: the 0-based position of the row in file order; drops the place.
+
+    ``df`` has places; several rows may share one (paragraphs of a book), and
+    then count in the order in which the task makes them.  ``df`` is written
+    once; the rows don't move where each block's rows stayed in the task that
+    read them.  Where a join has dealt them anew, they are put back in order
+    first.
+    """
+    d = cut(df.withColumn("_run", F.monotonically_increasing_id()))
+    blocks = cut(d.groupBy(FILE, BLOCK).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_run").alias("_first"), F.max("_run").alias("_last"),
+        F.min_by(ROW, "_run").alias("_low"), F.max_by(ROW, "_run").alias("_high"), F.min(ROW).alias("_least"),
+        F.max(ROW).alias("_most")))
+    torn = blocks.where("_last - _first + 1 != _n or _low != _least or _high != _most")
+    if not torn.isEmpty():
+        # rows of one place were made by one task, so its running id orders them
+        return number_rows(_anew(d), out_col, broadcast_rows)
+    delta = block_totals(blocks).select(FILE, BLOCK, (F.col("_before") - F.col("_first")).alias("_delta"))
+    out = d.join(joins.maybe_broadcast(delta, broadcast_rows), [FILE, BLOCK])
+    return out.withColumn(out_col, (F.col("_run") + F.col("_delta")).cast("bigint")).drop(*PLACE, "_run", "_delta")
+
+
+def number_rows(df: DataFrame, out_col: str, broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """:func:`number` for a plain read of whole files: rows before the file and the row's number in it.
+
+    Nothing is written and nothing moves; a frame that lacks rows of its files
+    goes through :func:`number`.
+    """
+    files = df.groupBy(FILE).agg(F.count(F.lit(1)).alias("_n"), (F.max(ROW) + 1).alias("_rows"), F.lit(0).alias(BLOCK))
+    files = cut(files)
+    if not files.where("_n != _rows").isEmpty():
+        return number(df, out_col, broadcast_rows)
+    ahead = joins.maybe_broadcast(block_totals(files.drop("_rows")).select(FILE, "_before"), broadcast_rows)
+    return df.join(ahead, FILE).withColumn(out_col, (F.col("_before") + F.col(ROW)).cast("bigint")).drop(*PLACE, "_before")
 
-def bucket_bases(bucketed: DataFrame, weight: str | None) -> DataFrame:
-    """One row per bucket: exclusive running total of ``weight`` (or rows)."""
-    w = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    tot = bucketed.groupBy(BUCKET).agg(w.cast("bigint").alias("_tot"))
-    before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    return tot.select(BUCKET, F.coalesce(F.sum("_tot").over(before), F.lit(0)).alias("_base"))
 
+def _anew(d: DataFrame) -> DataFrame:
+    """Rows written in the order of their old places, with new ones."""
+    old = [f"_old_{c}" for c in PLACE]
+    renamed = d.withColumnsRenamed(dict(zip(PLACE, old, strict=True)) | {"_run": "_old_run"})
+    return in_order(renamed, [*old, "_old_run"], keep_order=False)
 
-def prefix_offsets(df: DataFrame, order_col: str, weight_col: str, out_col: str,
-                   n_rows: int | None = None,
-                   rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET) -> DataFrame:
-    """``out_col`` = sum of ``weight_col`` over rows ordered before this one.
 
-    ``order_col`` must be unique.  ``df`` is read several times (count,
-    quantiles, result): pass a materialised (checkpointed) frame.
-    """
-    n = df.count() if n_rows is None else n_rows
-    b, _ = add_range_bucket(df, order_col, n, rows_per_bucket)
-    run = Window.partitionBy(BUCKET).orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    local = b.withColumn("_run", F.sum(weight_col).over(run) - F.col(weight_col))
-    bases = bucket_bases(b, weight_col)
-    return (local.join(F.broadcast(bases), BUCKET)
-            .withColumn(out_col, (F.col("_base") + F.col("_run")).cast("bigint"))
-            .drop("_base", "_run", BUCKET))
-
-
-def dense_index(df: DataFrame, order_col: str, out_col: str, n_rows: int | None = None,
-                rows_per_bucket: int = DEFAULT_ROWS_PER_BUCKET,
-                keep_bucket: bool = False) -> DataFrame:
-    """``out_col`` = 0-based position of the row in ``order_col`` order.
-
-    With ``keep_bucket`` the ``_qb`` column is kept: rows are then already
-    hash-partitioned by it, and later per-bucket windows need no new shuffle.
-    """
-    n = df.count() if n_rows is None else n_rows
-    b, _ = add_range_bucket(df, order_col, n, rows_per_bucket)
-    local = b.withColumn("_run", F.row_number().over(
-        Window.partitionBy(BUCKET).orderBy(order_col)) - 1)
-    bases = bucket_bases(b, None)
-    out = (local.join(F.broadcast(bases), BUCKET)
-           .withColumn(out_col, (F.col("_base") + F.col("_run")).cast("bigint"))
-           .drop("_base", "_run"))
-    return out if keep_bucket else out.drop(BUCKET)
+def positions(df: DataFrame, order_cols: tuple[str, ...] | list[str], out_col: str) -> DataFrame:
+    """Add ``out_col``: the position of the row in the order of unique keys."""
+    check_keys(df, order_cols)
+    return number_rows(in_order(df, order_cols), out_col)

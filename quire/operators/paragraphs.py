@@ -1,14 +1,14 @@
 """Stage 1: books -> paragraphs (text, book id, span, chapter, index, words).
 
-Per book (one row) everything happens on arrays inside the row, so no shuffle
-is needed until the global index:
+Per book (one row) everything happens on arrays inside the row, and no shuffle
+is needed for the global index either:
 
 * normalise, split on the paragraph marker, strip;
 * tag headings; forward-fill the chapter in linear time by repeating each
   heading over the run up to the next one (``array_repeat`` + ``flatten``);
 * keep the paragraphs that pass the inclusion test, outside headings;
 * locate each kept paragraph's first occurrence in the normalised book (small
-  Arrow UDF: ``str.find`` over the book and the kept strings only);
+  Arrow UDF over the book and the places of the kept paragraphs);
 * explode.
 
 The normalised book is never carried onto exploded rows.
@@ -16,6 +16,7 @@ The normalised book is never carried onto exploded rows.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,82 +24,85 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import text as X
-from ..sources.checkpoint import cut
 from . import joins, ordering
 
-BOOK_ORDER = "corpus_order"
+#: Bits of a text hash: odd factors for joining the hashes of two halves.
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
-# Above this (book length x paragraphs) one multi-pattern pass beats a
-# separate search per paragraph.
-MULTI_PATTERN_WORK = 20_000_000
-# Pattern characters per automaton (bounds the trie's memory).
-AUTOMATON_CHARS = 2_000_000
+def _halves_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    h = left * np.uint64(_FACTORS[0]) + right * np.uint64(_FACTORS[1])
+    return h ^ (h >> np.uint64(29))
 
 
-def first_offsets(text: str, ps: list[str]) -> list[int]:
-    """First occurrence (code points) of each string of ``ps`` in ``text``.
+def first_offsets(text: str, begins: list[int], lengths: list[int]) -> list[int]:
+    """First occurrence in ``text`` (code points) of each stretch ``text[b:b + n]``.
 
-    Small books: ``str.find`` per string.  Large books: one Aho-Corasick pass
-    over the book for all strings at once (linear in the book instead of one
-    scan per paragraph), when the module is installed.
+    A stretch of ``n`` code points is known by the hashes of its first and its
+    last ``2**k``, the largest power up to ``n``; window hashes of length
+    ``2**k`` for all places come from those of half the length.  For each ``k``
+    the places whose window is the first half of some stretch are found by
+    binary search, and among them, for each length, the last halves.  What is
+    found is compared with the text itself.
     """
-    if len(text) * len(ps) < MULTI_PATTERN_WORK:
-        return [text.find(p) for p in ps]
-    try:
-        import ahocorasick
-    except ImportError:  # pragma: no cover - optional accelerator
-        return [text.find(p) for p in ps]
-    first: dict[str, int] = {}
-    # automata over batches of at most AUTOMATON_CHARS pattern characters, so
-    # the trie of a very large book stays bounded; one text pass per batch
-    batch: list[str] = []
-    size = 0
-    for p in dict.fromkeys(q for q in ps if q):
-        batch.append(p)
-        size += len(p)
-        if size >= AUTOMATON_CHARS:
-            _scan(ahocorasick, text, batch, first)
-            batch, size = [], 0
-    if batch:
-        _scan(ahocorasick, text, batch, first)
-    return [first[p] if p in first else text.find(p) for p in ps]
-
-
-def _scan(ahocorasick, text: str, patterns: list[str], first: dict[str, int]) -> None:
-    auto = ahocorasick.Automaton()
-    for p in patterns:
-        auto.add_word(p, p)
-    auto.make_automaton()
-    for end, p in auto.iter(text):
-        if p not in first:
-            first[p] = end - len(p) + 1
+    out = list(begins)
+    points = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.uint64)
+    window = _halves_hash(points + np.uint64(1), points)
+    begin, length = np.array(begins, np.int64), np.array(lengths, np.int64)
+    power = np.where(length > 0, np.frexp(np.maximum(length, 1).astype(float))[1] - 1, -1)
+    out = np.where(length == 0, 0, begin)
+    size = 1
+    for k in range(int(power.max(initial=-1)) + 1):
+        if k:
+            window = _halves_hash(window[:-size], window[size:])
+            size *= 2
+        at = np.flatnonzero(power == k)
+        if not len(at):
+            continue
+        heads, owner = np.unique(window[begin[at]], return_inverse=True)
+        spot = np.minimum(np.searchsorted(heads, window), len(heads) - 1)
+        places = np.flatnonzero(heads[spot] == window)
+        order = np.argsort(spot[places], kind="stable")  # by head, in text order
+        places = places[order]
+        bounds = np.searchsorted(spot[places], np.arange(len(heads) + 1))
+        # stretches with the same head and length are looked up together
+        groups = np.lexsort((length[at], owner))
+        keys = np.stack([owner[groups], length[at][groups]])
+        edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist(), len(groups)]
+        for a, b in zip(edges, edges[1:]):
+            mine = at[groups[a:b]]
+            n = int(length[mine[0]])
+            h = int(owner[groups[a]])
+            cand = places[bounds[h]:bounds[h + 1]]
+            cand = cand[cand + n <= len(points)]
+            tails, first = np.unique(window[cand + n - size], return_index=True)
+            out[mine] = cand[first[np.searchsorted(tails, window[begin[mine] + n - size])]]
+    found = out.tolist()
+    for i, (o, b, n) in enumerate(zip(found, begins, lengths, strict=True)):
+        if o != b and text[o:o + n] != text[b:b + n]:  # two hashes met by chance
+            found[i] = text.find(text[b:b + n])
+    return found
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
-def first_occurrence(book: pa.Array, paras: pa.Array) -> pa.Array:
-    """Code-point offset of the first occurrence of each string in the book."""
+def first_occurrence(book: pa.Array, begins: pa.Array, lengths: pa.Array) -> pa.Array:
+    """Code-point offset of the first occurrence of each stretch of the book."""
     out = []
-    for text, ps in zip(book.to_pylist(), paras.to_pylist()):
-        out.append(None if text is None or ps is None else first_offsets(text, ps))
+    for text, b, n in zip(book.to_pylist(), begins.to_pylist(), lengths.to_pylist(), strict=True):
+        out.append(None if text is None or b is None else first_offsets(text, b, n))
     return pa.array(out, type=pa.list_(pa.int64()))
 
 
 @F.arrow_udf(T.ArrayType(T.LongType()))
-def true_starts(book: pa.Array, positions: pa.Array) -> pa.Array:
-    """Code-point offset where part ``pos`` really starts (after its strip)."""
-    marker = K.PARAGRAPH_MARKER
+def true_starts(lengths: pa.Array, blanks: pa.Array, positions: pa.Array) -> pa.Array:
+    """Code-point offset of each part ``pos`` after its leading blanks, from the lengths of all parts."""
     out = []
-    for text, ps in zip(book.to_pylist(), positions.to_pylist()):
-        if text is None or ps is None:
+    for n, lead, at in zip(lengths.to_pylist(), blanks.to_pylist(), positions.to_pylist(), strict=True):
+        if n is None or at is None:
             out.append(None)
             continue
-        parts = text.split(marker)
-        offs, off = [], 0
-        for part in parts:
-            offs.append(off + len(part) - len(part.lstrip(" ")))
-            off += len(part) + len(marker)
-        out.append([offs[p] for p in ps])
+        before = np.concatenate([[0], np.cumsum(np.array(n, np.int64) + len(K.PARAGRAPH_MARKER))])
+        out.append((before[at] + np.array(lead, np.int64)[at]).tolist() if at else [])
     return pa.array(out, type=pa.list_(pa.int64()))
 
 
@@ -126,8 +130,9 @@ def book_parts(corpus: DataFrame, id_col: str = "id", text_col: str = "text",
     """
     b = corpus.select(_text_id(corpus, id_col).alias(K.COL_TEXT_ID), *keep,
                       X.normalize_book(F.col(text_col)).alias("_norm"))
-    b = b.select("*", F.transform(X.split_paragraphs(F.col("_norm")), lambda x: F.trim(x)).alias("_ps"),
-                 X.no_chapterization(F.col("_norm")).alias("_nochap"))
+    b = b.select("*", X.split_paragraphs(F.col("_norm")).alias("_raw"), X.no_chapterization(F.col("_norm")).alias("_nochap"))
+    b = b.select("*", F.transform("_raw", lambda x: F.trim(x)).alias("_ps"), F.transform("_raw", F.length).alias("_lens"),
+                 F.transform("_raw", lambda x: F.length(x) - F.length(F.ltrim(x))).alias("_leads")).drop("_raw")
     b = b.withColumn("_hs", F.transform("_ps", lambda x: F.regexp_extract(x, K.HEADING_PATTERN, 0)))
     n = F.size("_ps")
     # headings with their positions, then where each heading's run ends
@@ -167,10 +172,12 @@ def book_paragraph_arrays(corpus: DataFrame, id_col: str = "id", text_col: str =
     (the parity span is its first occurrence, which may be earlier).
     """
     b = _kept(book_parts(corpus, id_col, text_col, keep))
-    b = b.withColumn("_starts", first_occurrence(F.col("_norm"), F.transform("_kept", lambda x: x["p"])))
-    if true_spans:
-        b = b.withColumn("_tstarts", true_starts(F.col("_norm"), F.transform("_kept", lambda x: x["pos"])))
-    return b.drop("_norm", "_ps", "_hs", "_cs", "_nochap")
+    b = b.withColumn("_tstarts", true_starts(F.col("_lens"), F.col("_leads"), F.transform("_kept", lambda x: x["pos"])))
+    b = b.withColumn("_starts", first_occurrence(
+        F.col("_norm"), F.col("_tstarts"), F.transform("_kept", lambda x: F.length(x["p"]))))
+    if not true_spans:
+        b = b.drop("_tstarts")
+    return b.drop("_norm", "_ps", "_hs", "_cs", "_nochap", "_lens", "_leads")
 
 
 def explode_paragraphs(books: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -198,43 +205,33 @@ def explode_paragraphs(books: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
     )
 
 
-def paragraphs(corpus: DataFrame, order_col: str = BOOK_ORDER, id_col: str = "id",
-               text_col: str = "text", with_index: bool = True,
-               rows_per_bucket: int = ordering.DEFAULT_ROWS_PER_BUCKET,
-               broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS,
-               true_spans: bool = False) -> DataFrame:
+def paragraphs(corpus: DataFrame, id_col: str = "id", text_col: str = "text", with_index: bool = True,
+               true_spans: bool = False, broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Stage 1 output: ``paragraphs, text_ids, spans, chapters,
-    paragraphs_index, n_words`` (+ ``corpus_order``-free).
+    paragraphs_index, n_words``.
 
-    ``order_col`` is a unique BIGINT giving the corpus order of the books; the
-    index numbers paragraphs by (book order, position in book), from 0.
+    ``corpus`` has places (``io.read_corpus`` or ``ordering.in_order``); the
+    index numbers paragraphs by (place of the book, position in book), from 0.
+    The paragraph rows are written once and the text isn't shuffled.
     ``true_spans`` adds ``spans_true`` (actual position; ``spans`` keeps the
     first-occurrence semantics).
     """
-    books = book_paragraph_arrays(corpus, id_col, text_col, keep=(order_col,), true_spans=true_spans)
+    rows = explode_paragraphs(
+        book_paragraph_arrays(corpus, id_col, text_col, keep=ordering.PLACE, true_spans=true_spans),
+        keep=ordering.PLACE).drop("_pos", "_k")
     if not with_index:
-        return explode_paragraphs(books, keep=(order_col,))
-    # one row per book with its kept paragraphs, written once: the per-book
-    # counts (two small columns) and the rows are both read from it, so the
-    # text pipeline runs once.
-    books = cut(books.withColumn("_n", F.size("_kept").cast("bigint")))
-    counts = books.select(order_col, "_n")
-    row = counts.agg(F.count(F.lit(1)).alias("n"), F.count(order_col).alias("nn"),
-                     F.count_distinct(order_col).alias("nd")).first()
-    if row.nn != row.n or row.nd != row.n:
-        raise ValueError(f"order column {order_col!r} must be unique and not NULL "
-                         f"({row.n} books, {row.nn} non-NULL, {row.nd} distinct)")
-    n_books = row.n
-    offsets = ordering.prefix_offsets(counts, order_col, "_n", "_off", n_rows=n_books,
-                                      rows_per_bucket=rows_per_bucket).drop("_n")
-    offsets = joins.maybe_broadcast(offsets, broadcast_rows, known_rows=n_books)
-    rows = explode_paragraphs(books.join(offsets, order_col), keep=("_off",))
-    return rows.select(
-        K.COL_PARAGRAPH, K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER,
-        (F.col("_off") + F.col("_k")).alias(K.COL_INDEX), K.COL_WORDS,
+        return rows
+    return ordering.number(rows, K.COL_INDEX, broadcast_rows).select(
+        K.COL_PARAGRAPH, K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER, K.COL_INDEX, K.COL_WORDS,
         *(["spans_true"] if true_spans else []))
 
 
+def no_chapterization(corpus: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """Whether a book has no heading at all; one row per book."""
+    return corpus.select(_text_id(corpus, id_col).alias(K.COL_TEXT_ID),
+                         X.no_chapterization(X.normalize_book(F.col(text_col))).alias("no_chapterization"))
+
+
 def split_book(corpus: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """Every part of every book: position, stripped text, heading, chapter."""
     b = book_parts(corpus, id_col, text_col)

@@ -19,6 +19,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import io
+from ..sources.checkpoint import shared_path
+
 BOOK_BLOCK = 32
 LANG_CODES = (("en", 0), ("fr", 1), ("de", 2))  # anything else -> 3
 SHELVES = (
@@ -76,8 +79,8 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.select("text_id", F.array_join(F.transform("_d", part), NL2).alias("book"))
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Corpus-shaped view: ``id, text, source, added, metadata, corpus_order``."""
+def derived_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Corpus-shaped rows ``id, text, source, added, metadata`` with their order ``text_id``."""
     b = books(spark, sf_dir)
     lang = F.element_at(F.array(*[F.lit(n) for n, _ in LANG_CODES], F.lit("es")),
                         (F.col("text_id") % 10 + 1).cast("int"))
@@ -86,21 +89,15 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("book").alias("text"),
         F.lit("documents").alias("source"),
         F.lit("2024-01-01").alias("added"),
-        F.struct(lang.alias("language"),
-                 F.concat(F.lit("books/"), F.col("text_id").cast("string")).alias("url")
-                 ).alias("metadata"),
-        F.col("text_id").alias("corpus_order"),
+        F.struct(F.lit(None).cast("string").alias("license"), lang.alias("language"),
+                 F.concat(F.lit("books/"), F.col("text_id").cast("string")).alias("url"),
+                 F.lit(None).cast("string").alias("title")).alias("metadata"),
+        "text_id",
     )
 
 
-def catalog(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
-    """Catalog-shaped view, one row per book (same columns as the CSV feed).
-
-    ``ids`` (a ``text_id`` column) avoids re-deriving the books when the
-    caller already has them.
-    """
-    if ids is None:
-        ids = books(spark, sf_dir).select("text_id")
+def derived_catalog(ids: DataFrame) -> DataFrame:
+    """Catalog-shaped rows, one per book of ``ids`` (``text_id``)."""
     lang = F.element_at(F.array(*[F.lit(n) for n, _ in LANG_CODES], F.lit("es")),
                         (F.col("text_id") % 10 + 1).cast("int"))
     shelf = F.lit(None).cast("string")
@@ -118,3 +115,34 @@ def catalog(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> D
         F.lit("PZ").alias("LoCC"),
         shelf.alias("Bookshelves"),
     )
+
+
+_FILES: dict[tuple[str, str], str] = {}
+
+
+def files(spark: SparkSession, sf_dir: str) -> str:
+    """Folder with ``corpus.parquet`` and ``catalog.csv`` (gzip), derived from the tables once a session.
+
+    It lies in the session's shared folder and goes when the process ends.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FILES:
+        base = shared_path(spark, "books")
+        rows = derived_corpus(spark, sf_dir)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        rows.repartitionByRange(n, "text_id").sortWithinPartitions("text_id").drop("text_id").write.parquet(
+            f"{base}/corpus.parquet")
+        ids = spark.read.parquet(f"{base}/corpus.parquet").select(F.col("id").cast("bigint").alias("text_id"))
+        derived_catalog(ids).write.option("header", True).option("compression", "gzip").csv(f"{base}/catalog.csv")
+        _FILES[key] = base
+    return _FILES[key]
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived corpus as the reader gives it, with places."""
+    return io.read_corpus(spark, f"{files(spark, sf_dir)}/corpus.parquet")
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived catalog as the reader gives it."""
+    return io.read_catalog(spark, f"{files(spark, sf_dir)}/catalog.csv")

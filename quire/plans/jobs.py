@@ -8,19 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..operators import aggregate, catalog, chunks, embed, paragraphs
+from ..operators import aggregate, catalog, chunks, embed, ordering, paragraphs
 from ..sources import io
-from ..sources.checkpoint import cut, scratch
+from ..sources.checkpoint import scratch
 
 
 def books_to_paragraphs_df(corpus: DataFrame, catalog_df: DataFrame,
-                           languages: Iterable[str] = ("en",),
-                           order_col: str = paragraphs.BOOK_ORDER) -> tuple[DataFrame, DataFrame]:
-    """Stage 1 as DataFrames: ``(metadata, paragraphs)``."""
+                           languages: Iterable[str] = ("en",)) -> tuple[DataFrame, DataFrame]:
+    """Stage 1 as DataFrames: ``(metadata, paragraphs)``; ``corpus`` has places."""
     meta = catalog.extract_metadata(corpus)
     kept = catalog.kept_books(catalog.merge_catalog(catalog_df, meta), languages)
     filtered = catalog.filter_corpus(corpus, kept.select("text_id"))
-    return meta, paragraphs.paragraphs(filtered, order_col=order_col)
+    return meta, paragraphs.paragraphs(filtered)
 
 
 def books_to_paragraphs(spark: SparkSession, corpus_path: str, catalog_path: str,
@@ -36,43 +35,49 @@ def books_to_paragraphs(spark: SparkSession, corpus_path: str, catalog_path: str
         meta, out = books_to_paragraphs_df(corpus, cat, languages)
         if metadata_csv:
             # all corpus rows (before any filter), indexed in corpus order
-            rows = catalog.extract_metadata(corpus.select("id", "metadata", paragraphs.BOOK_ORDER),
-                                            keep=(paragraphs.BOOK_ORDER,))
-            io.write_csv_with_index(rows, metadata_csv, order_col=paragraphs.BOOK_ORDER,
-                                    keep_order_col=False)
-        io.write_parquet(out, output_file)
+            rows = catalog.extract_metadata(corpus.select("id", "metadata", *ordering.PLACE), keep=ordering.PLACE)
+            io.write_csv_with_index(rows, metadata_csv)
+        io.write_parquet(out, output_file, order_cols=(K.COL_INDEX,))
 
 
 def paragraphs_to_chunks_df(paras: DataFrame, max_p_length: int, threshold_min: int,
                             max_paragraphs: int | None = None,
-                            order_col: str = K.COL_INDEX) -> DataFrame:
+                            order_cols: str | tuple[str, ...] | None = None) -> DataFrame:
     """Stage 2 as a DataFrame.
 
-    ``max_paragraphs`` keeps the first rows only (the original job keeps
-    100 000; ``None`` keeps all).  Indices are re-assigned by position and
-    word counts recounted before merging.
+    Rows are numbered by position (file order, or ``order_cols``; see
+    ``aggregate.reindex``) and word counts recounted before merging.
+    ``max_paragraphs`` keeps only the first rows, if the caller wants that.
     """
-    # the re-indexed table is read by several passes (counts, keys, text),
-    # so it is materialised once, as the original job materialises its map
-    p = cut(aggregate.reindex(paras, order_col))
+    p = aggregate.reindex(paras, order_cols)
     if max_paragraphs is not None:
         p = p.where(F.col(K.COL_INDEX) < F.lit(max_paragraphs))
-    agg = aggregate.aggregate_paragraphs(p, threshold_min, order_col=K.COL_INDEX)
+    agg = aggregate.aggregate_paragraphs(p, threshold_min)
     return chunks.break_paragraphs(agg, max_p_length)
 
 
-def paragraphs_to_chunks(spark: SparkSession, hf_dataset: str, hf_output: str,
+CHUNK_COLUMNS = (K.COL_PARAGRAPH, K.COL_WORDS, K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER, K.COL_SPLIT)
+
+
+def paragraphs_to_chunks(spark: SparkSession, hf_dataset: str | list[str], hf_output: str,
                          max_p_length: int, threshold_min: int,
-                         max_paragraphs: int | None = None) -> None:
-    """Job 2: paragraph parquet -> chunk parquet.
+                         max_paragraphs: int | None = None, keep_order: bool = False) -> None:
+    """Job 2: paragraph parquet (one table or several) -> chunk parquet.
 
-    The whole table is processed; ``max_paragraphs=K.CHUNK_JOB_ROW_CAP``
-    reproduces the original job's first-100 000-rows cut.
+    The chunk table has six columns and its files are in chunk order;
+    ``keep_order`` adds ``agg_order`` and ``piece``.
     """
+    paths = [hf_dataset] if isinstance(hf_dataset, str) else list(hf_dataset)
     with scratch(spark):
-        out = paragraphs_to_chunks_df(io.read_paragraphs(spark, hf_dataset), max_p_length,
-                                      threshold_min, max_paragraphs)
-        io.write_parquet(out, hf_output, require_suffix=False)
+        out = paragraphs_to_chunks_df(io.read_paragraphs(spark, *paths), max_p_length, threshold_min, max_paragraphs)
+        write_chunks(out, hf_output, keep_order)
+
+
+def write_chunks(out: DataFrame, path: str, keep_order: bool = False) -> None:
+    n = min(ordering.MOST_FILES, int(out.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    out = out.repartitionByRange(n, "agg_order", "piece").sortWithinPartitions("agg_order", "piece")
+    extra = ("agg_order", "piece") if keep_order else ()
+    io.write_parquet(out.select(*CHUNK_COLUMNS, *extra), path, require_suffix=False)
 
 
 def slice_paragraphs(paras: DataFrame, start: int, stop: int) -> DataFrame:
@@ -80,10 +85,13 @@ def slice_paragraphs(paras: DataFrame, start: int, stop: int) -> DataFrame:
     return paras.where((F.col(K.COL_INDEX) >= start) & (F.col(K.COL_INDEX) < stop))
 
 
-def embed_slice(paras: DataFrame, start: int = K.EMBED_SLICE[0], stop: int = K.EMBED_SLICE[1],
-                make_encoder: Callable | None = None, batch_size: int = 2000) -> DataFrame:
-    """Job 3: slice, then embed with unit-length vectors."""
-    s = slice_paragraphs(paras, start, stop)
+def embed_slice(paras: DataFrame, start: int | None = None, stop: int | None = None,
+                make_encoder: Callable | None = None, batch_size: int = 2000, dim: int = 256) -> DataFrame:
+    """Job 3: embed with unit-length vectors; all rows unless a slice is given."""
+    if start is not None:
+        paras = paras.where(F.col(K.COL_INDEX) >= start)
+    if stop is not None:
+        paras = paras.where(F.col(K.COL_INDEX) < stop)
     if make_encoder is None:
-        return embed.embed_hashing(s, K.COL_PARAGRAPH)
-    return embed.embed_with(s, make_encoder, K.COL_PARAGRAPH, batch_size)
+        return embed.embed_hashing(paras, K.COL_PARAGRAPH, dim)
+    return embed.embed_with(paras, make_encoder, K.COL_PARAGRAPH, batch_size)

@@ -6,7 +6,8 @@ Only the fixed values (patterns, genre list, separators, view recipe) are
 shared, so a divergence in the Spark operators shows up as a mismatch.
 
 DuckDB uses RE2 (no look-around): sentence boundaries are marked with
-``chr(1)`` and split on it; ``documents`` never contains that character.
+``chr(1)`` and split on it; ``documents`` never contains that character (a
+test checks it).
 """
 
 from __future__ import annotations
@@ -36,7 +37,8 @@ NL2 = lit("\n\n")
 PAT = lit(K.HEADING_PATTERN)
 GENRES = "[" + ", ".join(lit(g) for g in K.GENRES_KEPT) + "]"
 LANGS = ", ".join(lit(x) for x in Q.LANGUAGES)
-SENT_RE = lit("([.!?][\"”’')\\]]{0,8})\\s+([\"“‘'(\\[]?\\p{Lu})")
+# the rule in its own words: end signs, any closers, white space, at most one opener, upper case
+SENT_RE = lit("([.!?][\"”’')\\]]*)\\s+([\"“‘'(\\[]?\\p{Lu})")
 SENT_REPL = "('\\1' || chr(1) || '\\2')"
 WORDS = "len(regexp_extract_all({x}, '\\S+'))"
 T_AGG = Q.THRESHOLD
@@ -81,6 +83,61 @@ def _sentence_rows(name: str, src: str, key: str, text: str, lim: str) -> str:
 {name} AS (SELECT key, j, s, {WORDS.format(x='s')} AS k, lim FROM {name}_u)"""
 
 
+def _stage2(x: str, src: str) -> str:
+    """Segments, greedy merge and pieces of the rows of ``src``; names end in ``x``."""
+    return f"""sg{x} AS (
+  SELECT *, lag(text_ids) OVER w AS pt_, lag(paragraphs_index) OVER w AS pidx_, lag(chapters) OVER w AS pc_,
+         row_number() OVER w AS rr_
+  FROM {src} WINDOW w AS (ORDER BY paragraphs_index)),
+sf{x} AS (
+  SELECT *, (rr_ = 1 OR (pt_ IS NOT NULL AND pt_ IS DISTINCT FROM text_ids)
+             OR (pidx_ IS NOT NULL AND paragraphs_index - 1 <> pidx_)
+             OR chapters IS DISTINCT FROM pc_) AS new_segment
+  FROM sg{x}),
+sn{x} AS (SELECT *, sum(CASE WHEN new_segment THEN 1 ELSE 0 END) OVER (
+                   ORDER BY paragraphs_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg FROM sf{x}),
+nr{x} AS (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY paragraphs_index) AS r FROM sn{x}),
+f{x}(seg, r, g, acc, closed) AS (
+  SELECT seg, r, 0, CASE WHEN n_words >= {T_AGG} THEN 0 ELSE n_words END, n_words >= {T_AGG} FROM nr{x} WHERE r = 1
+  UNION ALL
+  SELECT nr{x}.seg, nr{x}.r, f{x}.g + CASE WHEN f{x}.closed THEN 1 ELSE 0 END,
+         CASE WHEN f{x}.acc + nr{x}.n_words >= {T_AGG} THEN 0 ELSE f{x}.acc + nr{x}.n_words END,
+         f{x}.acc + nr{x}.n_words >= {T_AGG}
+  FROM f{x} JOIN nr{x} ON nr{x}.seg = f{x}.seg AND nr{x}.r = f{x}.r + 1),
+agg{x} AS (
+  SELECT string_agg(q.paragraphs, {NL2} ORDER BY q.r) AS paragraphs, min(q.chapters) AS chapters,
+         CAST(sum(q.n_words) AS BIGINT) AS n_words, min(q.text_ids) AS text_ids,
+         arg_min(q.span_start, q.r) AS span_start, arg_max(q.span_end, q.r) AS span_end,
+         min(q.paragraphs_index) AS agg_order
+  FROM nr{x} q JOIN f{x} USING (seg, r) GROUP BY q.seg, f{x}.g),
+ca{x} AS (SELECT *, {WORDS.format(x='paragraphs')} AS nw FROM agg{x}),
+{_sentence_rows(f'cs{x}', f'ca{x} WHERE nw >= {M_CHUNK}', 'agg_order', 'paragraphs',
+                f'CAST(floor({M_CHUNK} / ceil(nw / {M_CHUNK})) AS BIGINT)')},
+{_pack(f'cp{x}', f'cs{x}')},
+pieces{x} AS (
+  SELECT z.key, c.g, string_agg(z.s, ' ' ORDER BY z.j) AS text
+  FROM cs{x} z JOIN cp{x} c USING (key, j) GROUP BY z.key, c.g),
+chunks{x} AS (
+  SELECT paragraphs, CAST(nw AS BIGINT) AS n_words, text_ids, chapters, span_start, span_end,
+         false AS splitted_paragraphs, agg_order, CAST(0 AS BIGINT) AS piece
+  FROM ca{x} WHERE nw < {M_CHUNK}
+  UNION ALL
+  SELECT y.text AS paragraphs, CAST({WORDS.format(x='y.text')} AS BIGINT) AS n_words,
+         q.text_ids, q.chapters, q.span_start, q.span_end, true AS splitted_paragraphs,
+         q.agg_order, CAST(y.g AS BIGINT) AS piece
+  FROM pieces{x} y JOIN ca{x} q ON q.agg_order = y.key)"""
+
+
+def _embedded(src: str, keys: str) -> str:
+    """Hashed unit vectors of ``src`` (keys, paragraphs): slots by md5's first 32 bits."""
+    return f"""SELECT {keys}, dim, CAST(n / greatest(sqrt(sum(n * n) OVER (PARTITION BY {keys})), 1e-12) AS FLOAT) AS value
+               FROM (SELECT {keys}, CAST('0x' || substr(md5(token), 1, 8) AS BIGINT) % {Q.EMBED_DIM} AS dim,
+                            CAST(count(*) AS DOUBLE) AS n
+                     FROM (SELECT {keys}, unnest(regexp_extract_all(lower(paragraphs), '[\\p{{L}}\\p{{N}}]+')) AS token
+                           FROM {src})
+                     GROUP BY ALL)"""
+
+
 BASE = f"""
 d AS (
   SELECT doc_id, text,
@@ -108,7 +165,8 @@ corpus AS (
 catalog AS (
   SELECT corpus_order AS "Text#", language AS "Language", {_shelf_case().replace('text_id', 'corpus_order')} AS "Bookshelves"
   FROM corpus),
-meta AS (SELECT language, url, TRY_CAST(trim(id) AS BIGINT) AS text_id FROM corpus),
+meta AS (SELECT CAST(NULL AS VARCHAR) AS license, language, url, CAST(NULL AS VARCHAR) AS title,
+                TRY_CAST(trim(id) AS BIGINT) AS text_id FROM corpus),
 merged AS (
   SELECT c."Language" AS "Language", m.text_id AS text_id, c."Bookshelves" AS "Bookshelves"
   FROM catalog c JOIN meta m ON c."Text#" = m.text_id),
@@ -165,57 +223,30 @@ pj AS (
          CAST(row_number() OVER (ORDER BY corpus_order, pos) - 1 AS BIGINT) AS paragraphs_index,
          nw AS n_words
   FROM kp WHERE text_ids IN (SELECT text_id FROM kept)),
-sg AS (
-  SELECT *, lag(text_ids) OVER w AS pt_, lag(paragraphs_index) OVER w AS pidx_, lag(chapters) OVER w AS pc_,
-         row_number() OVER w AS rr_
-  FROM pi WINDOW w AS (ORDER BY paragraphs_index)),
-sf AS (
-  SELECT *, (rr_ = 1 OR (pt_ IS NOT NULL AND pt_ IS DISTINCT FROM text_ids)
-             OR (pidx_ IS NOT NULL AND paragraphs_index - 1 <> pidx_)
-             OR chapters IS DISTINCT FROM pc_) AS new_segment
-  FROM sg),
-sn AS (SELECT *, sum(CASE WHEN new_segment THEN 1 ELSE 0 END) OVER (
-                   ORDER BY paragraphs_index ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg FROM sf),
-nr AS (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY paragraphs_index) AS r FROM sn),
-f(seg, r, g, acc, closed) AS (
-  SELECT seg, r, 0, CASE WHEN n_words >= {T_AGG} THEN 0 ELSE n_words END, n_words >= {T_AGG} FROM nr WHERE r = 1
-  UNION ALL
-  SELECT nr.seg, nr.r, f.g + CASE WHEN f.closed THEN 1 ELSE 0 END,
-         CASE WHEN f.acc + nr.n_words >= {T_AGG} THEN 0 ELSE f.acc + nr.n_words END,
-         f.acc + nr.n_words >= {T_AGG}
-  FROM f JOIN nr ON nr.seg = f.seg AND nr.r = f.r + 1),
-agg AS (
-  SELECT string_agg(nr.paragraphs, {NL2} ORDER BY nr.r) AS paragraphs, min(nr.chapters) AS chapters,
-         CAST(sum(nr.n_words) AS BIGINT) AS n_words, min(nr.text_ids) AS text_ids,
-         arg_min(nr.span_start, nr.r) AS span_start, arg_max(nr.span_end, nr.r) AS span_end,
-         min(nr.paragraphs_index) AS agg_order
-  FROM nr JOIN f USING (seg, r) GROUP BY nr.seg, f.g),
-ca AS (SELECT *, {WORDS.format(x='paragraphs')} AS nw FROM agg),
-{_sentence_rows('cs', f'ca WHERE nw >= {M_CHUNK}', 'agg_order', 'paragraphs',
-                f'CAST(floor({M_CHUNK} / ceil(nw / {M_CHUNK})) AS BIGINT)')},
-{_pack('cp', 'cs')},
-pieces AS (
-  SELECT cs.key, cp.g, string_agg(cs.s, ' ' ORDER BY cs.j) AS text
-  FROM cs JOIN cp USING (key, j) GROUP BY cs.key, cp.g),
-{_sentence_rows('ps', f'pi WHERE n_words >= {Q.SPLIT_MAX}', 'paragraphs_index', 'paragraphs',
+{_stage2('', 'pi')},
+two AS (
+  SELECT * REPLACE (CAST(row_number() OVER (ORDER BY text_ids % 10 <> 0, paragraphs_index) - 1 AS BIGINT) AS paragraphs_index)
+  FROM pi),
+{_stage2('2', 'two')},
+{_sentence_rows('ps', 'pi WHERE n_words > 0', 'paragraphs_index', 'paragraphs',
                 f'CAST(floor({Q.SPLIT_MAX} / ceil(n_words / {Q.SPLIT_MAX})) AS BIGINT)')},
 {_pack('pp', 'ps')},
 cv AS (
   SELECT text AS paragraphs, conv_id AS text_ids, turn AS paragraphs_index, CAST(turn AS BIGINT) AS span_start,
          CAST(turn + 1 AS BIGINT) AS span_end, CAST(NULL AS VARCHAR) AS chapters,
-         CAST({WORDS.format(x='text')} AS BIGINT) AS n_words, (conv_id << {Q.TURN_BITS}) + turn AS conv_order
+         CAST({WORDS.format(x='text')} AS BIGINT) AS n_words, conv_id, turn
   FROM conversations),
 cvl AS (
   SELECT *, lag(text_ids) OVER w AS pt_, lag(paragraphs_index) OVER w AS pidx_, lag(chapters) OVER w AS pc_,
          row_number() OVER w AS rr_
-  FROM cv WINDOW w AS (ORDER BY conv_order)),
+  FROM cv WINDOW w AS (ORDER BY conv_id, turn)),
 cvs AS (
   SELECT *, sum(CASE WHEN rr_ = 1 OR (pt_ IS NOT NULL AND pt_ IS DISTINCT FROM text_ids)
                           OR (pidx_ IS NOT NULL AND paragraphs_index - 1 <> pidx_)
                           OR chapters IS DISTINCT FROM pc_ THEN 1 ELSE 0 END)
-              OVER (ORDER BY conv_order ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg
+              OVER (ORDER BY conv_id, turn ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg
   FROM cvl),
-cvr AS (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY conv_order) AS r FROM cvs),
+cvr AS (SELECT *, row_number() OVER (PARTITION BY seg ORDER BY conv_id, turn) AS r FROM cvs),
 cvf(seg, r, g, acc, closed) AS (
   SELECT seg, r, 0, CASE WHEN n_words >= {Q.CONV_THRESHOLD} THEN 0 ELSE n_words END, n_words >= {Q.CONV_THRESHOLD}
   FROM cvr WHERE r = 1
@@ -233,8 +264,12 @@ def _q(select: str) -> str:
 
 ORACLE = {
     "scan_corpus": _q("SELECT id, text, source, added, language, url, CAST(length(text) AS BIGINT) AS n_chars FROM corpus"),
-    "extract_metadata": _q("SELECT language, url, text_id FROM meta"),
+    "extract_metadata": _q("SELECT * FROM meta"),
     "merge_catalog": _q('SELECT "Language", text_id, "Bookshelves" FROM merged'),
+    "read_catalog": _q("""SELECT "Text#" AS text_id, 'Text' AS "Type", '2024-01-01' AS "Issued", 'Book ' || "Text#" AS "Title",
+                          "Language", 'Anonymous' AS "Authors", 'Fiction' AS "Subjects", 'PZ' AS "LoCC", "Bookshelves"
+                          FROM catalog"""),
+    "metadata_csv": _q("SELECT *, CAST(row_number() OVER (ORDER BY text_id) - 1 AS BIGINT) AS idx FROM meta"),
     "bookshelves": _q('SELECT text_id, "Bookshelves", array_to_string(sh, \'|\') AS shelves, '
                       'CAST(len(sh) AS BIGINT) AS n_shelves FROM shelves'),
     "genre_exclusive": _q('SELECT text_id, "Bookshelves", keep FROM genre'),
@@ -256,7 +291,6 @@ ORACLE = {
                      "CAST(true_start + length(p) AS BIGINT) AS span_end FROM kp"),
     "paragraphs": _q("SELECT * FROM pj"),
     "paragraphs_indexed": _q("SELECT * FROM pi"),
-    "head_paragraphs": _q(f"SELECT * FROM pi WHERE paragraphs_index < {K.CHUNK_JOB_ROW_CAP}"),
     "slice_paragraphs": _q(f"SELECT * FROM pi WHERE paragraphs_index >= {Q.SLICE[0]} "
                            f"AND paragraphs_index < {Q.SLICE[1]}"),
     "segments": _q("SELECT paragraphs_index, text_ids, chapters, new_segment FROM sf"),
@@ -264,7 +298,7 @@ ORACLE = {
     "conversation_aggregates": _q(f"""SELECT string_agg(cvr.paragraphs, {NL2} ORDER BY cvr.r) AS paragraphs,
                                              min(cvr.chapters) AS chapters, CAST(sum(cvr.n_words) AS BIGINT) AS n_words,
                                              min(cvr.text_ids) AS text_ids, arg_min(cvr.span_start, cvr.r) AS span_start,
-                                             arg_max(cvr.span_end, cvr.r) AS span_end, min(cvr.conv_order) AS agg_order
+                                             arg_max(cvr.span_end, cvr.r) AS span_end, arg_min(cvr.turn, cvr.r) AS turn
                                       FROM cvr JOIN cvf USING (seg, r) GROUP BY cvr.seg, cvf.g"""),
     "sentences": _q("""SELECT paragraphs_index, CAST(pos AS BIGINT) AS pos, sentence,
                        CAST(len(regexp_extract_all(sentence, '\\S+')) AS BIGINT) AS n_words FROM (
@@ -273,19 +307,21 @@ ORACLE = {
                                   string_split(regexp_replace(trim(paragraphs), """ + SENT_RE + ", " + SENT_REPL +
                     """, 'g'), chr(1)) AS arr FROM pi))"""),
     "piece_limit": _q(f"SELECT paragraphs_index, n_words, CAST(floor({Q.PIECE_MAX} / ceil(n_words / {Q.PIECE_MAX})) "
-                      f"AS BIGINT) AS piece_limit FROM pi WHERE n_words >= {Q.PIECE_MAX}"),
+                      f"AS BIGINT) AS piece_limit FROM pi WHERE n_words > 0"),
     "split_paragraphs": _q("""SELECT ps.key AS paragraphs_index, CAST(pp.g AS BIGINT) AS piece,
                                      string_agg(ps.s, ' ' ORDER BY ps.j) AS text,
                                      CAST(len(regexp_extract_all(string_agg(ps.s, ' ' ORDER BY ps.j), '\\S+')) AS BIGINT) AS n_words
                               FROM ps JOIN pp USING (key, j) GROUP BY ps.key, pp.g"""),
-    "chunks": _q(f"""SELECT paragraphs, CAST(nw AS BIGINT) AS n_words, text_ids, chapters, span_start, span_end,
-                            false AS splitted_paragraphs, agg_order, CAST(0 AS BIGINT) AS piece
-                     FROM ca WHERE nw < {M_CHUNK}
-                     UNION ALL
-                     SELECT pieces.text AS paragraphs, CAST({WORDS.format(x='pieces.text')} AS BIGINT) AS n_words,
-                            ca.text_ids, ca.chapters, ca.span_start, ca.span_end, true AS splitted_paragraphs,
-                            ca.agg_order, CAST(pieces.g AS BIGINT) AS piece
-                     FROM pieces JOIN ca ON ca.agg_order = pieces.key"""),
+    "chunks": _q("SELECT * FROM chunks"),
+    "chunks_no_index": _q("SELECT * FROM chunks"),
+    "chunks_two_tables": _q("SELECT * FROM chunks2"),
+    "chunk_table": _q("SELECT * EXCLUDE (agg_order, piece), "
+                      "CAST(row_number() OVER (ORDER BY agg_order, piece) - 1 AS BIGINT) AS chunk_row FROM chunks"),
+    "embed_chunks": _q(_embedded("chunks", "agg_order, piece")),
+    "embed_paragraphs": _q(_embedded("pi", "paragraphs_index")),
+    "embed_encoder": _q(_embedded("pi", "paragraphs_index")),
+    "embed_paragraph_slice": _q(_embedded(
+        f"(SELECT * FROM pi WHERE paragraphs_index >= {Q.SLICE[0]} AND paragraphs_index < {Q.SLICE[1]})", "paragraphs_index")),
     "unit_embeddings": _q("""SELECT vec_id, label, CAST(i - 1 AS BIGINT) AS dim,
                                     CAST(CAST(x AS DOUBLE) / greatest(sqrt(ss), 1e-12) AS FLOAT) AS x FROM (
                                SELECT vec_id, label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i,
@@ -293,3 +329,6 @@ ORACLE = {
                                                   lambda a, b: a + b) AS ss
                                FROM embeddings)"""),
 }
+
+for _name in ("aggregates", "conversation_aggregates"):
+    ORACLE[f"{_name}_tiny_buckets"] = ORACLE[_name]

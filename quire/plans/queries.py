@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as X
-from ..operators import aggregate, catalog, chunks, embed, paragraphs
-from ..sources.checkpoint import cut
+from ..operators import aggregate, catalog, chunks, embed, ordering, paragraphs
+from ..sources import io
+from ..sources.checkpoint import shared_path
 from . import bookview, jobs
 
 THRESHOLD = 120        # aggregate threshold (words)
@@ -24,7 +25,8 @@ PIECE_MAX = 17         # piece_limit query: max length
 SLICE = (1000, 3000)   # slice_paragraphs query bounds
 LANGUAGES = ("en",)
 CONV_THRESHOLD = 150   # conversation merge threshold (words)
-TURN_BITS = 20         # order key = conv_id << 20 | turn
+EMBED_DIM = 32         # slots of the hashed vectors in the embedding queries
+TINY = {"rows_per_bucket": 7, "per_block": 3}  # forces every edge of the bucketed plan
 
 
 def _corpus(spark, sf):
@@ -51,6 +53,20 @@ def merge_catalog(spark, sf):
     return catalog.merge_catalog(bookview.catalog(spark, sf), extract_metadata(spark, sf))
 
 
+def read_catalog(spark, sf):
+    """S2: the gzip catalog CSV with its schema."""
+    return bookview.catalog(spark, sf).withColumnRenamed("Text#", "text_id")
+
+
+def metadata_csv(spark, sf):
+    """S6: metadata written as CSV with an index column in corpus order, and read back."""
+    path = shared_path(spark, "metadata")
+    rows = catalog.extract_metadata(_corpus(spark, sf).select("id", "metadata", *ordering.PLACE), keep=ordering.PLACE)
+    io.write_csv_with_index(rows, path)
+    schema = "_c0 bigint, license string, language string, url string, title string, text_id bigint"
+    return io.read_csv_with_index(spark, path, schema).withColumnRenamed("_c0", "idx")
+
+
 def bookshelves(spark, sf):
     c = bookview.catalog(spark, sf)
     s = X.bookshelves(F.col("Bookshelves"))
@@ -76,7 +92,7 @@ def filter_corpus(spark, sf):
 
 def normalize_text(spark, sf):
     c = _corpus(spark, sf)
-    return c.select(F.col("corpus_order").alias("text_id"), X.normalize_book(F.col("text")).alias("norm"))
+    return c.select(F.col("id").cast("bigint").alias("text_id"), X.normalize_book(F.col("text")).alias("norm"))
 
 
 def split_book(spark, sf):
@@ -89,8 +105,7 @@ def headings(spark, sf):
 
 
 def chapterization_flag(spark, sf):
-    s = paragraphs.split_book(_corpus(spark, sf))
-    return s.where(F.col("pos") == 0).select(K.COL_TEXT_ID, "no_chapterization")
+    return paragraphs.no_chapterization(_corpus(spark, sf))
 
 
 def chapter_fill(spark, sf):
@@ -129,34 +144,35 @@ def spans_true(spark, sf):
                     F.get(F.col("spans_true"), 1).alias("span_end"))
 
 
-def paragraphs_indexed_df(spark, sf):
-    """Stage 1 over every book of the view (all languages), with the index.
+_TABLES: dict[tuple[str, str], str] = {}
 
-    Materialised in the checkpoint folder, as the paragraph job writes its
-    output: the stage-2 queries read it several times (counts, keys, text).
-    """
-    return cut(paragraphs.paragraphs(_corpus(spark, sf)))
+
+def paragraph_table(spark, sf) -> str:
+    """Stage 1 over every book of the view (all languages), written by the writer once a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TABLES:
+        path = shared_path(spark, "paragraphs") + ".parquet"
+        io.write_parquet(paragraphs.paragraphs(_corpus(spark, sf)), path, order_cols=(K.COL_INDEX,))
+        _TABLES[key] = path
+    return _TABLES[key]
+
+
+def paragraphs_indexed_df(spark, sf):
+    """The paragraph table as the reader gives it, without places."""
+    return io.read_paragraphs(spark, paragraph_table(spark, sf)).drop(*ordering.PLACE)
 
 
 def paragraphs_indexed(spark, sf):
+    """S3, S4: stage 1 with the index, through the writer and the reader."""
     return _spans(paragraphs_indexed_df(spark, sf))
 
 
 def paragraphs_job(spark, sf):
     """Job 1 end to end: catalog join, kept books, semi-join, stage 1."""
-    # the derived corpus is read by several passes (metadata, join sizes,
-    # text): derive it once, as a corpus on disk would be read
-    c = cut(_corpus(spark, sf))
-    cat = bookview.catalog(spark, sf, ids=c.select(F.col("corpus_order").alias("text_id")))
-    _, out = jobs.books_to_paragraphs_df(c, cat, LANGUAGES)
+    _, out = jobs.books_to_paragraphs_df(_corpus(spark, sf), bookview.catalog(spark, sf), LANGUAGES)
     return _spans(out)
 
 
-def head_paragraphs(spark, sf):
-    p = paragraphs_indexed_df(spark, sf)
-    return _spans(p.where(F.col(K.COL_INDEX) < K.CHUNK_JOB_ROW_CAP))
-
-
 def slice_paragraphs(spark, sf):
     return _spans(jobs.slice_paragraphs(paragraphs_indexed_df(spark, sf), *SLICE))
 
@@ -164,7 +180,7 @@ def slice_paragraphs(spark, sf):
 def segments(spark, sf):
     p = paragraphs_indexed_df(spark, sf)
     narrow = p.select(K.COL_INDEX, K.COL_TEXT_ID, F.col(K.COL_INDEX).alias("_idx"), K.COL_CHAPTER)
-    d = aggregate.segment_starts(aggregate.OrderBuckets(narrow, K.COL_INDEX).add(narrow), K.COL_INDEX)
+    d = aggregate.segment_starts(narrow, K.COL_INDEX)
     return d.select(K.COL_INDEX, K.COL_TEXT_ID, K.COL_CHAPTER, F.col("_new").alias("new_segment"))
 
 
@@ -173,22 +189,36 @@ def aggregates(spark, sf):
     return _spans(aggregate.aggregate_paragraphs(p, THRESHOLD))
 
 
+def aggregates_tiny_buckets(spark, sf):
+    """The same with buckets of 7 rows in blocks of 3, so that groups reach over many edges."""
+    p = paragraphs_indexed_df(spark, sf)
+    return _spans(aggregate.aggregate_paragraphs(p, THRESHOLD, **TINY))
+
+
 def conversation_rows(spark, sf):
     """Conversations as paragraph rows: a conversation is the book, the turn
-    the paragraph index, no chapter; the order key is (conv_id, turn)."""
+    the paragraph index, no chapter; the order keys are conv_id and turn."""
     c = spark.read.parquet(f"{sf}/conversations.parquet")
     return c.select(
         F.col("text").alias(K.COL_PARAGRAPH), F.col("conv_id").alias(K.COL_TEXT_ID),
         F.array(F.col("turn"), F.col("turn") + 1).alias(K.COL_SPANS),
         F.lit(None).cast("string").alias(K.COL_CHAPTER),
-        F.col("turn").alias(K.COL_INDEX), X.word_count(F.col("text")).alias(K.COL_WORDS),
-        (F.shiftleft(F.col("conv_id"), TURN_BITS) + F.col("turn")).alias("conv_order"))
+        F.col("turn").alias(K.COL_INDEX), X.word_count(F.col("text")).alias(K.COL_WORDS), "conv_id", "turn")
 
 
 def conversation_aggregates(spark, sf):
-    """Segment + greedy merge on a second table (order key is not dense)."""
+    """Segment + greedy merge on a second table (two order keys, not dense)."""
+    return _conversations(spark, sf)
+
+
+def conversation_aggregates_tiny_buckets(spark, sf):
+    return _conversations(spark, sf, **TINY)
+
+
+def _conversations(spark, sf, **buckets):
     rows = conversation_rows(spark, sf)
-    return _spans(aggregate.aggregate_paragraphs(rows, CONV_THRESHOLD, order_col="conv_order"))
+    out = aggregate.aggregate_paragraphs(rows, CONV_THRESHOLD, order_col=("conv_id", "turn"), **buckets)
+    return _spans(out.withColumn("turn", F.col("agg_order.turn")).drop("agg_order"))
 
 
 def sentences(spark, sf):
@@ -199,12 +229,12 @@ def sentences(spark, sf):
 
 
 def piece_limit(spark, sf):
-    p = paragraphs_indexed_df(spark, sf).where(F.col(K.COL_WORDS) >= PIECE_MAX)
+    p = paragraphs_indexed_df(spark, sf).where(F.col(K.COL_WORDS) > 0)
     return p.select(K.COL_INDEX, K.COL_WORDS, X.piece_limit(F.col(K.COL_WORDS), PIECE_MAX).alias("piece_limit"))
 
 
 def split_paragraphs(spark, sf):
-    p = paragraphs_indexed_df(spark, sf).where(F.col(K.COL_WORDS) >= SPLIT_MAX)
+    p = paragraphs_indexed_df(spark, sf).where(F.col(K.COL_WORDS) > 0)
     lim = X.piece_limit(F.col(K.COL_WORDS), SPLIT_MAX)
     e = p.select(K.COL_INDEX, F.posexplode(chunks.split_paragraph(F.col(K.COL_PARAGRAPH), lim))
                  .alias("piece", "text"))
@@ -213,11 +243,39 @@ def split_paragraphs(spark, sf):
 
 
 def chunks_q(spark, sf):
-    p = paragraphs_indexed_df(spark, sf)
-    out = jobs.paragraphs_to_chunks_df(p, MAX_LEN, THRESHOLD)
+    """Job 2 over the written paragraph table."""
+    table = io.read_paragraphs(spark, paragraph_table(spark, sf))
+    return _chunks(jobs.paragraphs_to_chunks_df(table, MAX_LEN, THRESHOLD))
+
+
+def _chunks(out):
     return _spans(out.withColumn("piece", F.col("piece").cast("bigint")))
 
 
+def chunks_two_tables(spark, sf):
+    """Job 2 over two stage-1 outputs, each with an index from 0; English books first."""
+    c, base = _corpus(spark, sf), shared_path(spark, "two")
+    english = F.col("metadata.language") == "en"
+    paths = [f"{base}/a.parquet", f"{base}/b.parquet"]
+    for path, part in zip(paths, (c.where(english), c.where(~english)), strict=True):
+        io.write_parquet(paragraphs.paragraphs(part), path, order_cols=(K.COL_INDEX,))
+    return _chunks(jobs.paragraphs_to_chunks_df(io.read_paragraphs(spark, *paths), MAX_LEN, THRESHOLD))
+
+
+def chunks_no_index(spark, sf):
+    """Job 2 over a paragraph table without an index column."""
+    table = io.read_paragraphs(spark, paragraph_table(spark, sf)).drop(K.COL_INDEX)
+    return _chunks(jobs.paragraphs_to_chunks_df(table, MAX_LEN, THRESHOLD))
+
+
+def chunk_table(spark, sf):
+    """S5: the six columns of the chunk table, written in chunk order and read back with their row numbers."""
+    table = io.read_paragraphs(spark, paragraph_table(spark, sf))
+    path = shared_path(spark, "chunks")
+    jobs.write_chunks(jobs.paragraphs_to_chunks_df(table, MAX_LEN, THRESHOLD), path)
+    return _spans(ordering.number_rows(io.read_paragraphs(spark, path), "chunk_row"))
+
+
 def unit_embeddings(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
     u = embed.unit_embeddings(e, "embedding", "unit")
@@ -226,17 +284,55 @@ def unit_embeddings(spark, sf):
                     F.col("x").cast("float").alias("x"))
 
 
+def _values(df, *keys):
+    """The dimensions of each vector that aren't zero."""
+    e = df.select(*keys, F.posexplode("embedding").alias("dim", "value")).where("value != 0")
+    return e.select(*keys, F.col("dim").cast("bigint").alias("dim"), F.col("value").cast("float").alias("value"))
+
+
 def embed_chunks(spark, sf):
-    c = chunks_q(spark, sf)
-    e = embed.embed_hashing(c, K.COL_PARAGRAPH, dim=64)
-    return e.select("agg_order", "piece", F.size("embedding").cast("bigint").alias("dim"),
-                    F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x).alias("sq_norm"))
+    return _values(embed.embed_hashing(chunks_q(spark, sf), K.COL_PARAGRAPH, dim=EMBED_DIM), "agg_order", "piece")
+
+
+def embed_paragraphs(spark, sf):
+    """Job 3 on all rows."""
+    return _values(jobs.embed_slice(paragraphs_indexed_df(spark, sf), dim=EMBED_DIM), K.COL_INDEX)
+
+
+def embed_paragraph_slice(spark, sf):
+    """Job 3 on a slice that the caller gives."""
+    return _values(jobs.embed_slice(paragraphs_indexed_df(spark, sf), *SLICE, dim=EMBED_DIM), K.COL_INDEX)
+
+
+def _hash_encoder():
+    """A batch encoder with the slots of ``embed_hashing``, in Python."""
+    import hashlib
+
+    import numpy as np
+    import regex
+
+    def encode(texts):
+        out = np.zeros((len(texts), EMBED_DIM))
+        for i, text in enumerate(texts):
+            for token in regex.findall(r"[\p{L}\p{N}]+", text.lower()):
+                out[i, int(hashlib.md5(token.encode()).hexdigest()[:8], 16) % EMBED_DIM] += 1
+        return out
+
+    return encode
+
+
+def embed_encoder(spark, sf):
+    """Job 3 with a user's batch encoder."""
+    return _values(jobs.embed_slice(paragraphs_indexed_df(spark, sf), make_encoder=_hash_encoder, batch_size=500),
+                   K.COL_INDEX)
 
 
 QUERIES = {
     "scan_corpus": scan_corpus,
     "extract_metadata": extract_metadata,
     "merge_catalog": merge_catalog,
+    "read_catalog": read_catalog,
+    "metadata_csv": metadata_csv,
     "bookshelves": bookshelves,
     "genre_exclusive": genre_exclusive,
     "kept_books": kept_books,
@@ -252,15 +348,22 @@ QUERIES = {
     "spans_true": spans_true,
     "paragraphs": paragraphs_job,
     "paragraphs_indexed": paragraphs_indexed,
-    "head_paragraphs": head_paragraphs,
     "slice_paragraphs": slice_paragraphs,
     "segments": segments,
     "aggregates": aggregates,
+    "aggregates_tiny_buckets": aggregates_tiny_buckets,
     "conversation_aggregates": conversation_aggregates,
+    "conversation_aggregates_tiny_buckets": conversation_aggregates_tiny_buckets,
     "sentences": sentences,
     "piece_limit": piece_limit,
     "split_paragraphs": split_paragraphs,
     "chunks": chunks_q,
+    "chunks_two_tables": chunks_two_tables,
+    "chunks_no_index": chunks_no_index,
+    "chunk_table": chunk_table,
     "unit_embeddings": unit_embeddings,
     "embed_chunks": embed_chunks,
+    "embed_paragraphs": embed_paragraphs,
+    "embed_paragraph_slice": embed_paragraph_slice,
+    "embed_encoder": embed_encoder,
 }

@@ -8,6 +8,7 @@ machine-local folder would not survive the loss of that machine.
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import tempfile
 import uuid
@@ -43,15 +44,47 @@ def cut(df: DataFrame) -> DataFrame:
     later passes that need a few columns (counts, keys, word counts) read only
     those columns.
     """
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/quire-{uuid.uuid4().hex}.parquet"
+    path = shared_path(df.sparkSession, "cut") + ".parquet"
     df.write.mode("overwrite").parquet(path)
-    if _SCOPES:
-        _SCOPES[-1].append(path)
     return df.sparkSession.read.parquet(path)
 
 
+def shared_path(spark: SparkSession, kind: str) -> str:
+    """A fresh path in the shared folder.
+
+    What lies there is deleted at the end of the enclosing ``scratch`` block,
+    or else when the process ends, as lazy results may still read it.
+    """
+    path = f"{checkpoint_dir(spark).rstrip('/')}/quire-{kind}-{uuid.uuid4().hex}"
+    for p in (path, path + ".parquet"):
+        if _SCOPES:
+            _SCOPES[-1].append(p)
+        else:
+            if not _LEFT:
+                atexit.register(delete_left)
+            _LEFT.append((spark, p))
+    return path
+
+
 _SCOPES: list[list[str]] = []
+#: Tables that lazy results may still read; they go when the process ends.
+_LEFT: list[tuple[SparkSession, str]] = []
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        hp.getFileSystem(conf).delete(hp, True)
+
+
+def delete_left() -> None:
+    """Delete the tables cut outside ``scratch``; results that read them are void then."""
+    while _LEFT:
+        spark, path = _LEFT.pop()
+        with contextlib.suppress(Exception):  # the session may be gone
+            _delete(spark, [path])
 
 
 @contextlib.contextmanager
@@ -69,8 +102,4 @@ def scratch(spark: SparkSession):
         yield paths
     finally:
         _SCOPES.remove(paths)
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for p in paths:
-            hp = jvm.org.apache.hadoop.fs.Path(p)
-            hp.getFileSystem(conf).delete(hp, True)
+        _delete(spark, paths)

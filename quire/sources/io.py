@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import joins
+from ..operators import ordering
 
 METADATA_TYPE = T.StructType([
     T.StructField("license", T.StringType()),
@@ -44,31 +44,19 @@ PARAGRAPH_SCHEMA = T.StructType([
     T.StructField("n_words", T.LongType()),
 ])
 
-ROW_BITS = 40  # rows per corpus file < 2**40
-
 
 def read_corpus(spark: SparkSession, path: str, schema: T.StructType | None = CORPUS_SCHEMA,
                 with_order: bool = True) -> DataFrame:
     """Batch-read the corpus parquet (one row per book).
 
-    ``corpus_order`` (BIGINT, unique) is the dataset order: files in name
-    order, rows in file order.  File ranks come from a table with one row per
-    file, broadcast when its counted size allows.
+    With ``with_order`` each row has its place (file name, block, row in file),
+    the dataset order: files in name order, rows in file order.
     """
     r = spark.read
     if schema is not None:
         r = r.schema(schema)
     df = r.parquet(path)
-    if not with_order:
-        return df
-    df = df.withColumn("_file", F.col("_metadata.file_path")).withColumn(
-        "_row", F.col("_metadata.row_index"))
-    files = df.select("_file").distinct()
-    ranks = files.withColumn("_rank", F.row_number().over(Window.orderBy("_file")) - 1)
-    ranks = joins.maybe_broadcast(ranks, 1_000_000)
-    out = df.join(ranks, "_file").withColumn(
-        "corpus_order", F.shiftleft(F.col("_rank").cast("bigint"), ROW_BITS) + F.col("_row"))
-    return out.drop("_file", "_row", "_rank")
+    return ordering.with_place(df) if with_order else df
 
 
 def read_catalog(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
@@ -85,36 +73,38 @@ def read_catalog(spark: SparkSession, path: str, partitions: int | None = None)
     return df
 
 
-def read_paragraphs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_paragraphs(spark: SparkSession, *paths: str) -> DataFrame:
+    """Paragraph tables with the place of each row; an index column may be missing."""
+    return ordering.with_place(spark.read.parquet(*paths))
+
 
+def write_parquet(df: DataFrame, path: str, require_suffix: bool = True, order_cols: tuple[str, ...] = ()) -> None:
+    """Overwrite ``path`` with ``df``; the paragraph output must end in .parquet.
 
-def write_parquet(df: DataFrame, path: str, require_suffix: bool = True) -> None:
-    """Overwrite ``path`` with ``df``; the paragraph output must end in .parquet."""
+    With ``order_cols`` rows lie in their order, in files and over the files'
+    names, which is the order that the next stage reads.
+    """
     if require_suffix and not path.endswith(".parquet"):
         raise ValueError("Output file must be in parquet format.")
+    if order_cols:
+        n = min(ordering.MOST_FILES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        df = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     df.write.mode("overwrite").parquet(path)
 
 
-def write_csv_with_index(df: DataFrame, path: str, order_col: str | None = None,
-                         keep_order_col: bool = True) -> None:
+def write_csv_with_index(df: DataFrame, path: str) -> None:
     """CSV with header and an unnamed leading row-index column.
 
-    With ``order_col`` (unique) the index follows that order, computed
-    distributedly; without it the index is 0..n-1 in an unspecified order.
+    Rows with places are indexed in file order; others 0..n-1 in the order in
+    which their tasks make them.
     """
-    from ..operators import ordering
-
     from .checkpoint import cut
 
-    col = order_col or "_ord"
-    # generated ids depend on the partitioning, so they are written once
-    # before the several passes of the index computation read them
-    d = df if order_col else cut(df.withColumn(col, F.monotonically_increasing_id()))
-    d = ordering.dense_index(d, col, "_idx")
-    cols = [c for c in df.columns if keep_order_col or c != order_col]
-    out = d.select(F.col("_idx").alias(""), *cols)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    if ordering.FILE not in df.columns:
+        df = ordering.with_place(cut(df))
+    cols = [c for c in df.columns if c not in ordering.PLACE]
+    d = ordering.number_rows(df, "_idx")
+    d.select(F.col("_idx").alias(""), *cols).write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_csv_with_index(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..operators import catalog, joins, ordering, paragraphs
+from ..operators import catalog, ordering, paragraphs
 from ..sources import io
 
 
@@ -51,17 +51,7 @@ def start(spark: SparkSession, corpus_dir: str, out_path: str, checkpoint_locati
 def index_stream_output(spark: SparkSession, out_path: str) -> DataFrame:
     """Paragraph table with ``paragraphs_index`` from the stream's output."""
     rows = spark.read.parquet(out_path)
-    books = rows.groupBy("corpus_file", "corpus_row").agg(F.count(F.lit(1)).alias("_n"))
-    files = books.select("corpus_file").distinct()
-    from pyspark.sql import Window
-
-    ranks = files.withColumn("_rank", F.row_number().over(Window.orderBy("corpus_file")) - 1)
-    books = books.join(joins.maybe_broadcast(ranks, 1_000_000), "corpus_file").withColumn(
-        "_ord", F.shiftleft(F.col("_rank").cast("bigint"), io.ROW_BITS) + F.col("corpus_row"))
-    n = books.count()
-    offs = ordering.prefix_offsets(books.select("corpus_file", "corpus_row", "_ord", "_n"),
-                                   "_ord", "_n", "_off", n_rows=n)
-    offs = joins.maybe_broadcast(offs.select("corpus_file", "corpus_row", "_off"), known_rows=n)
-    out = rows.join(offs, ["corpus_file", "corpus_row"])
-    return out.select(K.COL_PARAGRAPH, K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER,
-                      (F.col("_off") + F.col("book_ordinal")).alias(K.COL_INDEX), K.COL_WORDS)
+    rows = rows.withColumnsRenamed({"corpus_file": "_file", "corpus_row": "_row"})
+    # each key is unique; rows are written in their order and numbered as they lie
+    out = ordering.positions(rows, ("_file", "_row", "book_ordinal"), K.COL_INDEX)
+    return out.select(K.COL_PARAGRAPH, K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER, K.COL_INDEX, K.COL_WORDS)

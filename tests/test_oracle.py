@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from quire.plans import oracle
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("documents", "embeddings", "conversations")
@@ -34,7 +35,7 @@ def con():
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])

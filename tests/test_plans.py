@@ -2,6 +2,11 @@
 
 import re
 
+from quire.operators import aggregate as A
+from quire.operators import catalog as C
+from quire.operators import ordering
+from quire.operators import paragraphs as P
+from quire.plans import bookview
 from quire.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
@@ -36,29 +41,41 @@ def shuffles_above_text_scans(df, needle="paragraphs:string"):
     return counts
 
 
-def test_stage1_does_not_shuffle_text(spark):
-    # the final plan reads the per-book kept paragraphs (written once)
-    counts = shuffles_above_text_scans(Q.paragraphs_job(spark, SF), needle="_kept:array")
-    assert counts and max(counts) == 0
-
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
 
-def test_stage2_shuffles_text_once(spark):
-    p = Q.paragraphs_indexed_df(spark, SF)
-    from quire.operators import aggregate as A
 
-    counts = shuffles_above_text_scans(A.aggregate_paragraphs(p, 120))
-    assert counts and max(counts) == 1
+def test_stage1_does_not_shuffle_text(spark, monkeypatch):
+    """From the corpus scan to the numbered paragraphs, also if no side may be broadcast for the numbering."""
+    counts = shuffles_above_text_scans(Q.paragraphs_job(spark, SF))
+    assert counts and max(counts) == 0
+    corpus = bookview.corpus(spark, SF)
+    rows = P.explode_paragraphs(P.book_paragraph_arrays(corpus, keep=ordering.PLACE), keep=ordering.PLACE)
+    counts = shuffles_above_text_scans(rows, needle="text:string")
+    assert counts and max(counts) == 0
 
 
 def test_stage1_book_pipeline_does_not_shuffle_text(spark):
     """Corpus scan -> kept-ids semi-join -> per-book arrays: the text stays put."""
-    from quire.operators import catalog as C
-    from quire.operators import paragraphs as P
-    from quire.plans import bookview
-    from quire.sources.checkpoint import cut
-
-    corpus = cut(bookview.corpus(spark, SF))  # a corpus on disk
     kept = Q.kept_books(spark, SF).select("text_id")
-    books = P.book_paragraph_arrays(C.filter_corpus(corpus, kept))
+    books = P.book_paragraph_arrays(C.filter_corpus(bookview.corpus(spark, SF), kept))
     counts = shuffles_above_text_scans(books, needle="text:string")
     assert counts and max(counts) == 0
+
+
+def test_stage2_shuffles_text_once(spark):
+    """One shuffle by bucket; only the rows of groups over an edge meet again, in the second branch of the union."""
+    df = A.aggregate_paragraphs(Q.paragraphs_indexed_df(spark, SF), 120, rows_per_bucket=100)
+    plan = plan_of(df)
+    by_bucket = [line for line in plan.splitlines() if "REPARTITION_BY_NUM" in line]
+    assert by_bucket and all("hashpartitioning(_b" in line for line in by_bucket)
+    assert sorted(shuffles_above_text_scans(df)) == [1, 2]
+    assert "SinglePartition" not in plan and "Broadcast" not in plan
+
+
+def test_marks_have_no_group_for_all(spark):
+    """The scan's plan: the only single partition holds one row per block of buckets."""
+    p = Q.paragraphs_indexed_df(spark, SF)
+    plan = plan_of(A.start_marks(p, 120, "paragraphs_index"))
+    assert plan.count("SinglePartition") <= plan.count("MapInPandas") and "_one" not in plan
+    assert "paragraphs:string" not in plan

@@ -67,7 +67,7 @@ def test_random_documents_match_oracle(spark, seed):
     from quire.operators import aggregate as A
     from quire.plans import queries as Q
 
-    tiny = A.aggregate_paragraphs(Q.paragraphs_indexed_df(spark, d), Q.THRESHOLD, rows_per_bucket=7)
+    tiny = A.aggregate_paragraphs(Q.paragraphs_indexed_df(spark, d), Q.THRESHOLD, rows_per_bucket=7, per_block=2)
     tiny = tiny.select("*", F.get("spans", 0).alias("span_start"), F.get("spans", 1).alias("span_end")).drop("spans")
     res = con.execute(E.oracle_sql()["aggregates"])
     assert _rows(tiny.columns, [tuple(r) for r in tiny.collect()]) == _rows(
