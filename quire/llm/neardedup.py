@@ -16,7 +16,7 @@ from .common import byte_slices, strings, text_or_empty
 from .components import components
 
 #: Nodes of a bucket or of a group of pairs that a task compares with each other at once.
-BLOCK = 256
+BLOCK = 512
 #: Up to so many narrow rows (about 24 bytes each) are broadcast to fetch texts or drop rows.
 BROADCAST_ROWS = 500_000
 
@@ -106,8 +106,8 @@ def band_keys(low: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _sketched(docs: DataFrame, how: MinHash) -> DataFrame:
-    """(doc_id, n_shingles, set_key, bands, sig) of every document; keys are null for empty sets."""
-    rows = docs.select("doc_id", text_or_empty().alias("text"))
+    """(doc_id, text_hash, n_shingles, set_key, bands, sig) of every document; keys are null for empty sets."""
+    rows = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = how.hashes()
@@ -121,28 +121,30 @@ def _sketched(docs: DataFrame, how: MinHash) -> DataFrame:
                 bands.append(band_keys(low, how.bands, how.rows))
                 sigs.append(signature(low))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-                ["doc_id", "n_shingles", "set_key", "bands", "sig"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()),
+                 pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
+                ["doc_id", "text_hash", "n_shingles", "set_key", "bands", "sig"])
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
-        run, f"doc_id {id_type}, n_shingles long, set_key binary, bands array<long>, sig binary")
+        run, f"doc_id {id_type}, text_hash long, n_shingles long, set_key binary, bands array<long>, sig binary")
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, how: MinHash) -> DataFrame:
-    """(node, members) of the given nodes (node, rep, set_key), from the whole texts of their documents."""
+    """(node, members) of the given nodes, from the whole text of one row (doc_id and text hash) of each."""
+    nodes = nodes.select("node", "set_key", "row.*").toDF("node", "set_key", "own_id", "own_hash")
     if nodes.count() <= BROADCAST_ROWS:
         nodes = F.broadcast(nodes)
-    texts = docs.select("doc_id", text_or_empty().alias("text"))
-    wanted = texts.join(nodes, texts.doc_id.eqNullSafe(nodes.rep)).select("node", "set_key", "text")
+    texts = docs.select("doc_id", F.xxhash64(text_or_empty()).alias("text_hash"), text_or_empty().alias("text"))
+    wanted = texts.join(nodes, texts.doc_id.eqNullSafe(nodes.own_id) & (texts.text_hash == nodes.own_hash)).select(
+        "node", "set_key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
             at, found = [], []
             for i, (text, key) in enumerate(zip(strings(batch, "text"), batch.column("set_key").to_pylist(), strict=True)):
                 own = shingles(text, how.words).tobytes()
-                if xxhash.xxh3_128_digest(own) == key:  # a doc_id may stand for other texts as well
+                if xxhash.xxh3_128_digest(own) == key:  # else another text of the same hash
                     at.append(i)
                     found.append(own)
             yield pa.RecordBatch.from_arrays(
@@ -169,74 +171,102 @@ def _alike(pairs: DataFrame, classes: DataFrame, how: MinHash) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
-def _linked(pairs: DataFrame, labels: DataFrame, nodes: DataFrame, docs: DataFrame, how: MinHash) -> DataFrame:
-    """The pairs (a, b) that are similar in full.
+def _starred(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) as tasks (task, a[], b[]) of blocks of nodes with the same label.
 
-    Pairs are dealt to tasks by blocks of nodes with the same label, so that the
-    set of a node with many pairs goes to a task once for a block of them.
+    The set of a node with many pairs then goes to a task once for a block of them.
     """
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node")
     parts = ends.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
     spots = cut(ends.join(parts, "label").select(
         "node", F.xxhash64("label", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("spot")))
-    tasks = pairs.join(spots.toDF("a", "spot_a"), "a").join(spots.toDF("b", "spot_b"), "b").select(
-        F.xxhash64(F.least("spot_a", "spot_b"), F.greatest("spot_a", "spot_b")).alias("task"), "a", "b")
-    tasks = cut(tasks)
-    sets = _sets(docs, spots.select("node").join(nodes, "node"), how)
-    needed = tasks.select(F.col("task").alias("goal"), F.explode(F.array("a", "b")).alias("node")).distinct().join(
-        sets, "node")
+    dealt = pairs.join(spots.toDF("a", "spot_a"), "a").join(spots.toDF("b", "spot_b"), "b")
+    task = F.xxhash64(F.least("spot_a", "spot_b"), F.greatest("spot_a", "spot_b"))
+    return dealt.groupBy(task.alias("task")).agg(F.collect_list(F.struct("a", "b")).alias("pairs")).select(
+        "task", F.col("pairs.a").alias("a"), F.col("pairs.b").alias("b"))
+
+
+def _linked(tasks: DataFrame, nodes: DataFrame, docs: DataFrame, how: MinHash) -> DataFrame:
+    """Links (a, b) that join what the similar pairs of the tasks (task, a[], b[]) join.
+
+    Sets go to the tasks that need them and are compared in full, but for pairs
+    that links of the same task join already.
+    """
+    needed = tasks.select(F.col("task").alias("goal"), F.explode(F.array_distinct(F.concat("a", "b"))).alias("node"))
+    sets = _sets(docs, needed.select("node").distinct().join(nodes, "node"), how)
+    needed = needed.join(sets, "node")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         sets_ = {n: np.frombuffer(m, _U) for n, m in zip(
             right.column("node").to_pylist(), right.column("members").to_pylist(), strict=True)}
-        keep = []
-        for a, b in zip(left.column("a").to_pylist(), left.column("b").to_pylist(), strict=True):
-            x, y = sets_[a], sets_[b]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * both >= how.percent * (len(x) + len(y) - both))
-        return left.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        head: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while (y := head.get(x, x)) != x:
+                x = y
+            return x
+
+        links = []
+        for many_a, many_b in zip(left.column("a").to_pylist(), left.column("b").to_pylist(), strict=True):
+            for a, b in zip(many_a, many_b, strict=True):
+                p, q = find(a), find(b)
+                if p == q:
+                    continue
+                x, y = sets_[a], sets_[b]
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * both >= how.percent * (len(x) + len(y) - both):
+                    links.append((a, b))
+                    head[max(p, q)] = min(p, q)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
     return tasks.groupBy("task").cogroup(needed.groupBy("goal")).applyInArrow(run, "a long, b long")
 
 
 def _apart(members: DataFrame, classes: DataFrame, sizes: DataFrame, how: MinHash) -> DataFrame:
-    """Pairs (a, b) of one bucket but of different components so far, with like signatures.
+    """Tasks (task, a[], b[]) of pairs of one bucket but of different components so far, with like signatures.
 
     Buckets are compared in pairs of blocks, so that no task holds a whole hot
-    one.  A pair in several buckets comes from its first band only.
+    one, and a task's pairs stay together: they are never rows of their own.  A
+    pair in several buckets comes from its first band only; the likest first.
     """
     least = how.percent / 100 - how.slack
     blocks = sizes.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
-    # minima that two blocks need: a signature, and half of each band's key to know the first band
     rows = members.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        "key", "band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
-        "own", "node", "component")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    p, q = F.least("own", "other"), F.greatest("own", "other")
+    rows = rows.select(F.xxhash64("key", p, q).alias("task"), "key", "band", p.alias("p"), q.alias("q"),
+                       "own", "node", "component")
+    # two blocks need a signature, and half of each band's key to know the first band
     side = classes.select("node", "n_shingles", "sig", F.transform(
         "bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("short"))
     rows = rows.join(side, "node")
 
     def run(table: pa.Table) -> pa.Table:
-        p, q = table.column("p")[0].as_py(), table.column("q")[0].as_py()
-        band = table.column("band")[0].as_py()
+        task, p, q, band = (table.column(c)[0].as_py() for c in ("task", "p", "q", "band"))
         own = table.column("own").to_numpy()
         node, comp = table.column("node").to_numpy(), table.column("component").to_numpy()
         n = table.column("n_shingles").to_numpy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(-1, how.minima)
         short = table.column("short").combine_chunks().flatten().to_numpy().reshape(-1, how.bands)
-        out_a, out_b = [], []
+        found = [np.zeros((3, 0))]
         first = np.flatnonzero(own == p)
         for k, i in enumerate(first):
             # a block with itself: each pair once
             j = first[k + 1:] if p == q else np.flatnonzero(own == q)
             j = j[(comp[j] != comp[i]) & (100 * np.minimum(n[j], n[i]) >= how.percent * np.maximum(n[j], n[i]))]
             j = j[~(short[j, :band] == short[i, :band]).any(axis=1)]
-            j = j[(sig[j] == sig[i]).mean(axis=1) >= least]
-            out_a += np.minimum(node[j], node[i]).tolist()
-            out_b += np.maximum(node[j], node[i]).tolist()
-        return pa.table({"a": pa.array(out_a, pa.int64()), "b": pa.array(out_b, pa.int64())})
+            alike = (sig[j] == sig[i]).mean(axis=1)
+            j, alike = j[alike >= least], alike[alike >= least]
+            found.append(np.stack([np.full(len(j), i), j, -alike]))
+        i, j, alike = np.concatenate(found, axis=1)
+        order = np.argsort(alike, kind="stable")
+        ends = [node[x[order].astype(np.int64)] for x in (i, j)]
+        some = int(len(order) > 0)
+        return pa.table({"task": pa.array([task] * some, pa.int64()),
+                         "a": pa.array([ends[0].tolist()] * some, pa.list_(pa.int64())),
+                         "b": pa.array([ends[1].tolist()] * some, pa.list_(pa.int64()))})
 
-    return rows.groupBy("key", "p", "q").applyInArrow(run, "a long, b long")
+    return rows.groupBy("task", "key").applyInArrow(run, "task long, a array<long>, b array<long>")
 
 
 def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
@@ -258,16 +288,16 @@ def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
     sketched = cut(_sketched(docs, how))
     classes = cut(sketched.where("set_key is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
-        F.first("sig").alias("sig")).withColumn("node", F.monotonically_increasing_id()))
+        F.first(F.struct("doc_id", "text_hash")).alias("row"), F.first("sig").alias("sig")).withColumn("node", F.monotonically_increasing_id()))
     every = classes.select("node", F.posexplode("bands").alias("band", "key"))
     buckets = every.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
     members = cut(every.join(buckets, "key"))
-    nodes = classes.select("node", "rep", "set_key")
+    nodes = classes.select("node", "rep", "set_key", "row")
     labels = cut(members.groupBy("node").agg(F.min("centre").alias("label")))
 
     stars = cut(_alike(members.where("node != centre").select(
         F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), classes, how))
-    links = cut(_linked(stars, labels, nodes, docs, how))
+    links = cut(_linked(cut(_starred(stars, labels)), nodes, docs, how))
     found = cut(components(links.toDF("u", "v")))
 
     placed = members.where("size > 2").join(found, "node", "left").select(
@@ -275,7 +305,7 @@ def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
     mixed = placed.groupBy("key").agg(
         F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
     rest = cut(_apart(placed, classes, mixed, how))
-    more = cut(_linked(rest, labels, nodes, docs, how))
+    more = cut(_linked(rest, nodes, docs, how))
     if not more.isEmpty():
         found = components(links.unionByName(more).toDF("u", "v"))
 
@@ -290,8 +320,12 @@ def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
 
 
 def without_near_copies(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each group."""
-    gone = cut(near_duplicates(docs, how).where(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct())
+    """The rows of ``docs`` that stay, with all their columns: one document of each group.
+
+    A doc_id goes if no row of it is kept; rows without one stay.
+    """
+    gone = cut(near_duplicates(docs, how).groupBy("doc_id").agg(F.max("kept").alias("kept")).where(
+        "doc_id is not null and not kept").select(F.col("doc_id").alias("__id")))
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__id"]), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
