@@ -7,13 +7,11 @@ returns a DataFrame, which is written as Parquet and reread as the next one's
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm import exactdedup, neardedup, packing, qualityrules, secretscan
-from quire.sources.checkpoint import checkpoint_dir
+from quire.sources.checkpoint import shared_path
 
 END_ID = 2
 CAPACITY = 1024
@@ -58,8 +56,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what each returns lies in the shared checkpoint folder."""
-    base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    """All stages over ``documents``; what each returns lies in the shared folder until the process ends."""
+    base = shared_path(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.checkpoint import checkpoint_dir
+from ..sources.checkpoint import shared_path
 from . import (bpe, compressed, exactdedup, neardedup, packing, pfor, piececount, qualityrules, secretscan,
                urlfilter)
 from .common import documents
@@ -37,7 +35,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as packed files and read back."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
+    path = shared_path(spark, "tokens")
     pfor.write_tokens(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
     return pfor.read_tokens(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
