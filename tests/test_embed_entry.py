@@ -98,3 +98,16 @@ def test_embed_slice(spark):
     assert sorted(r.paragraphs_index for r in out) == list(range(10, 20))
     assert all(abs(sum(x * x for x in r.embedding) - 1) < 1e-9 for r in out)
     assert jobs.embed_slice(df).count() == 50
+
+
+def test_left_tables_are_deleted_in_the_end(spark):
+    """What lazy results read outside jobs goes when the process ends (called here by hand)."""
+    from quire.plans import bookview
+    from quire.sources import checkpoint
+
+    queries.QUERIES["chunks"](spark, SF).count()
+    assert cut_tables(spark)
+    checkpoint.delete_left()
+    bookview._FILES.clear()
+    queries._TABLES.clear()
+    assert not cut_tables(spark)
