@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -98,14 +99,20 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 def fit(rows: pd.DataFrame, seed: int = 4) -> Model:
-    """A model of rows (quality, text): dictionaries from three fifths of them, calibration on the others."""
+    """A model of rows (quality, text): dictionaries from three fifths of them, calibration on the others.
+
+    Dictionaries learn only from lines that no other text of the sample has.
+    """
     rng = np.random.default_rng(seed)
     rows = rows[rows.text.str.len() > 0].reset_index(drop=True)
     part = np.zeros(len(rows), bool)
     for q in (0, 1):
         at = np.flatnonzero(rows.quality == q)
         part[rng.permutation(at)[:max(1, len(at) * 3 // 5)]] = True
-    good, bad = (_dictionary(rows.text[part & (rows.quality == q)].tolist(), rng) for q in (1, 0))
+    # lines that several texts share (licences, quoted passages) say nothing of either class
+    lines = Counter(line for t in rows.text for line in set(t.split("\n")))
+    own = rows.text.map(lambda t: "\n".join(x for x in t.split("\n") if lines[x] == 1))
+    good, bad = (_dictionary(own[part & (rows.quality == q)].tolist(), rng) for q in (1, 0))
     rest = rows[~part] if (~part).any() else rows
     if not len(rest):
         return Model(good, bad, (0.0,) * 6, (1.0,) * 6, (0.0,) * 7)
