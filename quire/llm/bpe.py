@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -13,14 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import pretoken
-from .common import byte_slices, strings, text_or_empty
+from .common import Remembered, byte_slices, strings, text_or_empty
 
 #: Longer texts are pre-tokenised by chunks of so many code points, shared out over tasks.
 CHUNK_CHARS = 1 << 16
 #: So far a chunk reaches into the next one.
 OVERLAP_CHARS = 1 << 9
-#: Pieces of which a Python worker remembers the ids.
-REMEMBERED = 1 << 18
 
 _RESULT = "doc_id {}, n_tokens long, ids binary, decoded binary"
 
@@ -57,26 +56,20 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[p] for p in parts if p is not None]
 
 
-class Codec(dict):
-    """Pre-token -> little-endian 32-bit ids; filled as pieces turn up."""
+class Codec:
+    """Ids (little-endian, 32 bits) of pre-tokens and back."""
 
     def __init__(self, path: str):
-        super().__init__()
         with open(path, "rb") as f:
             pairs = [line.split() for line in f if line.strip()]
         self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}
         self.raw = {i: b for b, i in self.ranks.items()}
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(merge(piece.encode(), self.ranks), "<u4").tobytes()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+        self.ids = Remembered(lambda piece: array("I", merge(piece.encode(), self.ranks)).tobytes())
 
     def encode(self, pieces: list[str]) -> bytes:
-        if len(self) > REMEMBERED:
-            self.clear()
-        return b"".join(map(self.__getitem__, pieces))
+        self.ids.age()
+        return b"".join(map(self.ids.__getitem__, pieces))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))

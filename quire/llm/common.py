@@ -40,6 +40,33 @@ def byte_slices(batches: Iterator[pa.RecordBatch], column: str,
             yield batch.slice(start)
 
 
+class Remembered(dict):
+    """key -> ``make(key)`` for about the last ``most`` keys asked for.
+
+    Two generations: when the young one is half of ``most``, it becomes the old
+    one, from which keys that turn up again come back.  Keys longer than
+    ``longest`` aren't kept.
+    """
+
+    def __init__(self, make, most: int = 1 << 18, longest: int = 64):
+        super().__init__()
+        self.make, self.most, self.longest, self.old = make, most, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            self[key] = value
+        return value
+
+    def age(self) -> None:
+        """To be called now and then, such as once a text."""
+        if len(self) > self.most // 2:
+            self.old = dict(self)
+            self.clear()
+
+
 def strings(batch: pa.RecordBatch, column: str) -> list[str]:
     """Values of a text column; null counts as the empty text."""
     return [x or "" for x in batch.column(column).to_pylist()]

@@ -1,62 +1,60 @@
-"""Ids of whole texts as a byte-level tokenizers file gives them, with an end id."""
+"""Ids of whole texts as a byte-level BPE file of the tokenizers library gives them, with an end id."""
 
 from __future__ import annotations
 
 import json
-import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
+import tiktoken
 
 from . import pretoken
-from .common import byte_slices, strings
+from .common import Remembered, byte_slices, strings
 
-#: Pieces of which a Python worker remembers the ids.
-REMEMBERED = 1 << 18
 
+def _byte_signs() -> dict[str, int]:
+    """The sign that stands for each byte in the file: itself if printable, else one from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
-class Encoder(dict):
-    """Pre-token -> little-endian 32-bit ids, from the tokenizers library.
 
-    Added tokens inside a text are cut out first, as the library does; each
-    pre-token between them goes through the library once and is remembered.
+class Encoder:
+    """Encodes as the file says: added tokens inside a text first, then each pre-token by the merges.
+
+    In such files the ids of merged tokens rise in the order of the merges, so
+    that ids serve as ranks; this is checked.
     """
 
     def __init__(self, path: str):
-        super().__init__()
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        kind = spec["pre_tokenizer"] or {}
-        added = spec["added_tokens"]
-        if (spec["normalizer"] or spec["model"]["type"] != "BPE" or kind.get("type") != "ByteLevel"
-                or kind.get("add_prefix_space") or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)):
-            raise ValueError("a byte-level BPE file without normaliser or prefix space is needed")
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
+        kind, model, added = spec["pre_tokenizer"] or {}, spec["model"], spec["added_tokens"]
+        merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model.get("merges", ())]
+        if (spec["normalizer"] or model["type"] != "BPE" or kind.get("type") != "ByteLevel" or kind.get("add_prefix_space")
+                or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+                or merged != sorted(merged) or (merged and merged[0] < 256)):
+            raise ValueError("a byte-level BPE file without normaliser or prefix space, with ids in merge order, is needed")
+        sign = _byte_signs()
         self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
-        self.marks = pretoken.regex.compile(
-            "(" + "|".join(map(pretoken.regex.escape, sorted(self.added, key=len, reverse=True))) + ")"
-        ) if self.added else None
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(piece) <= 64:
-            self[piece] = ids
-        return ids
+        ranks = {bytes(sign[c] for c in token): i for token, i in model["vocab"].items() if token not in self.added}
+        own = tiktoken.Encoding("own", pat_str=pretoken.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")"
+                                   ) if self.added else None
+        self.ids = Remembered(lambda piece: array("I", own.encode_ordinary(piece)).tobytes())
 
     def encode(self, text: str) -> bytes:
-        if len(self) > REMEMBERED:
-            self.clear()
+        """Little-endian unsigned 32-bit ids."""
+        self.ids.age()
         if self.marks is None or self.marks.search(text) is None:
-            return b"".join(map(self.__getitem__, pretoken.split(text)))
+            return b"".join(map(self.ids.__getitem__, pretoken.split(text)))
         out = []
         for part in self.marks.split(text):
-            out += [self.added[part]] if part in self.added else map(self.__getitem__, pretoken.split(part))
+            out += [self.added[part]] if part in self.added else map(self.ids.__getitem__, pretoken.split(part))
         return b"".join(out)
 
 

@@ -13,14 +13,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, strings, text_or_empty
+from .common import Remembered, byte_slices, strings, text_or_empty
 
 #: Fixed values of the public model format: field numbers and piece types.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 SPACE = "▁"
-#: Units of which a Python worker remembers the count.
-REMEMBERED = 1 << 18
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -72,7 +70,7 @@ class Model:
         # no piece goes on from another sign to a space: units between can't merge
         self.apart = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.order)
         self.units = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if self.apart else "(?s:.+)")
-        self.counts: dict[str, int] = {}
+        self.counts = Remembered(self.count_unit)
 
     def count_unit(self, unit: str) -> int:
         """Initial symbols of ``unit`` less its merges; an unknown sign counts its bytes."""
@@ -108,21 +106,8 @@ class Model:
         if not text:
             return 0
         units = self.units.findall((SPACE if self.prefix else "") + text.replace(" ", SPACE))
-        if len(self.counts) > REMEMBERED:
-            self.counts.clear()
-        counts = self.counts
-        try:
-            return sum(map(counts.__getitem__, units))
-        except KeyError:
-            total = 0
-            for unit in units:
-                n = counts.get(unit)
-                if n is None:
-                    n = self.count_unit(unit)
-                    if len(unit) <= 64:
-                        counts[unit] = n
-                total += n
-            return total
+        self.counts.age()
+        return sum(map(self.counts.__getitem__, units))
 
 
 @lru_cache(maxsize=4)
