@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import io
-from ..sources.checkpoint import shared_path
+from ..sources.checkpoint import exists, shared_path
 
 BOOK_BLOCK = 32
 LANG_CODES = (("en", 0), ("fr", 1), ("de", 2))  # anything else -> 3
@@ -126,7 +126,7 @@ def files(spark: SparkSession, sf_dir: str) -> str:
     It lies in the session's shared folder and goes when the process ends.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FILES:
+    if key not in _FILES or not exists(spark, f"{_FILES[key]}/catalog.csv"):
         base = shared_path(spark, "books")
         rows = derived_corpus(spark, sf_dir)
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -15,7 +15,7 @@ from ..functions import constants as K
 from ..functions import text as X
 from ..operators import aggregate, catalog, chunks, embed, ordering, paragraphs
 from ..sources import io
-from ..sources.checkpoint import shared_path
+from ..sources.checkpoint import exists, shared_path
 from . import bookview, jobs
 
 THRESHOLD = 120        # aggregate threshold (words)
@@ -150,7 +150,7 @@ _TABLES: dict[tuple[str, str], str] = {}
 def paragraph_table(spark, sf) -> str:
     """Stage 1 over every book of the view (all languages), written by the writer once a session."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _TABLES:
+    if key not in _TABLES or not exists(spark, _TABLES[key]):
         path = shared_path(spark, "paragraphs") + ".parquet"
         io.write_parquet(paragraphs.paragraphs(_corpus(spark, sf)), path, order_cols=(K.COL_INDEX,))
         _TABLES[key] = path

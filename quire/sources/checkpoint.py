@@ -66,6 +66,12 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a written table is (still) there."""
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
+
+
 _SCOPES: list[list[str]] = []
 #: Tables that lazy results may still read; they go when the process ends.
 _LEFT: list[tuple[SparkSession, str]] = []
