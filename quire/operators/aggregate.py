@@ -21,6 +21,7 @@ One plan for all sizes:
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,18 +51,14 @@ SUMMARY_SCHEMA = T.StructType([
     T.StructField("cand_acc", T.ArrayType(T.LongType())),
     T.StructField("cand_g", T.ArrayType(T.LongType())),
 ])
+#: A bucket's rows: its summary, and for each row whether it opens a segment, and its words.
+BUCKET_SCHEMA = T.StructType([*SUMMARY_SCHEMA, T.StructField("news", T.ArrayType(T.BooleanType())),
+                              T.StructField("words", T.ArrayType(T.LongType()))])
 CARRY_SCHEMA = "bucket long, c_open boolean, c_acc long, c_g long"
 #: gid: the group that goes on from ``at`` on; more: it may reach into the next bucket.
 MARK_SCHEMA = "_b long, at long, gid long, more boolean"
 
 
-def _dense(df: DataFrame, col: str) -> bool:
-    """Whether the column is exactly 0..n-1; raises on NULL or repeated keys."""
-    n = ordering.check_keys(df, [col])
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    return n == 0 or (row.lo == 0 and row.hi == n - 1)
-
-
 def segment_starts(df: DataFrame, pos: str, rows_per_bucket: int = ROWS_PER_BUCKET, text_col: str = K.COL_TEXT_ID,
                    index_col: str = "_idx", chapter_col: str = K.COL_CHAPTER) -> DataFrame:
     """Add ``_b`` (bucket) and ``_new``: the row opens a new segment.
@@ -125,27 +122,29 @@ def start_marks(df: DataFrame, threshold_min: int, pos: str, rows_per_bucket: in
     limit = int(threshold_min)
     narrow = df.select(F.col(pos).alias("_pos"), K.COL_TEXT_ID, F.col(K.COL_INDEX).alias("_idx"), K.COL_CHAPTER,
                        F.coalesce(F.col(K.COL_WORDS), F.lit(0)).cast("bigint").alias("_n"))
-    d = cut(segment_starts(narrow, "_pos", rows_per_bucket).select("_b", "_pos", "_new", "_n"))
+    d = segment_starts(narrow, "_pos", rows_per_bucket).select("_b", "_pos", "_new", "_n")
 
     def summarise(key, pdf):
         pdf = pdf.sort_values("_pos")
-        return pd.DataFrame([{"bucket": int(key[0]),
-                              **greedy.summarise(pdf["_new"], pdf["_n"], pdf["_pos"], limit)}])
+        new, n = pdf["_new"].to_numpy(), pdf["_n"].to_numpy()
+        return pd.DataFrame([{"bucket": int(key[0]), **greedy.summarise(new, n, pdf["_pos"], limit),
+                              "news": new, "words": n}])
 
-    def marks(left, right):
-        left, c = left.sort_values("_pos"), right.iloc[0]
-        r, b = left["_pos"].to_numpy(), left["_b"].iloc[0]
-        state = (bool(c.c_open), int(c.c_acc), int(c.c_g))
-        found, after = greedy.starts(left["_new"], left["_n"], r, limit, state)
-        at, gid = r[found].tolist(), r[found].tolist()
-        if state[0] and not bool(left["_new"].iloc[0]):  # goes on until the first start
-            at, gid = [int(r[0]), *at], [state[2], *gid]
-        more = [after[0] and g == after[2] for g in gid]
-        return pd.DataFrame({"_b": [b] * len(at), "at": at, "gid": gid, "more": more})
+    def marks(batches):
+        for pdf in batches:
+            for c in pdf.itertuples(index=False):
+                r = c.first_r + np.arange(len(c.words))  # positions are dense
+                state = (bool(c.c_open), int(c.c_acc), int(c.c_g))
+                found, after = greedy.starts(c.news, c.words, r, limit, state)
+                at, gid = r[found].tolist(), r[found].tolist()
+                if state[0] and not bool(c.news[0]):  # goes on until the first start
+                    at, gid = [int(r[0]), *at], [state[2], *gid]
+                more = [after[0] and g == after[2] for g in gid]
+                yield pd.DataFrame({"_b": c.bucket, "at": at, "gid": gid, "more": more})
 
-    summaries = d.groupBy("_b").applyInPandas(summarise, SUMMARY_SCHEMA)
-    carry = carried(cut(summaries), limit, per_block)
-    return d.groupBy("_b").cogroup(carry.groupBy("bucket")).applyInPandas(marks, MARK_SCHEMA)
+    rows = cut(d.groupBy("_b").applyInPandas(summarise, BUCKET_SCHEMA))
+    carry = carried(rows.select(*SUMMARY_SCHEMA.names), limit, per_block)
+    return rows.select("bucket", "first_r", "news", "words").join(carry, "bucket").mapInPandas(marks, MARK_SCHEMA)
 
 
 def _joined(texts: Column) -> Column:
@@ -168,13 +167,15 @@ def _merged(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str | tuple[str, ...] = K.COL_INDEX,
-                         rows_per_bucket: int = ROWS_PER_BUCKET, per_block: int = BUCKETS_PER_BLOCK) -> DataFrame:
+                         rows_per_bucket: int = ROWS_PER_BUCKET, per_block: int = BUCKETS_PER_BLOCK,
+                         n_rows: int | None = None) -> DataFrame:
     """Aggregates: ``paragraphs, chapters, n_words, text_ids, spans`` plus
     ``agg_order`` (order key of the first paragraph, to keep the order).
 
     ``order_col`` is one dense position column, or one or several columns whose
     values are unique (several give a struct ``agg_order``); rows with keys that
-    aren't dense are first written in their order.  Text is joined with
+    aren't dense are first written in their order.  ``n_rows`` says that the
+    positions are known to be 0..n_rows-1, as numbering gives them.  Text is joined with
     ``"\\n\\n"`` in order (leading empty texts are skipped, and a group of empty
     texts below the threshold is not emitted); words are summed; the span runs
     from the first paragraph's start to the last one's stop; id and chapter are
@@ -183,15 +184,17 @@ def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str | tup
     cols = [order_col] if isinstance(order_col, str) else list(order_col)
     order = F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
     pos = cols[0]
-    if len(cols) > 1 or not _dense(df, cols[0]):
-        pos = "_position"
-        df = ordering.positions(df, cols, pos)
+    if n_rows is None:
+        n_rows, dense = ordering.check_keys(df, cols)
+        if not dense:
+            pos = "_position"
+            df = ordering.number_rows(ordering.in_order(df, cols), pos)
     marks = cut(start_marks(df, threshold_min, pos, rows_per_bucket, per_block))
 
     text = df.select(F.expr(f"`{pos}` DIV {rows_per_bucket}").alias("_b"), F.col(pos).alias("at"), order.alias("_order"),
                      K.COL_PARAGRAPH, K.COL_TEXT_ID, K.COL_CHAPTER, K.COL_SPANS, K.COL_WORDS)
     rows = marks.unionByName(text, allowMissingColumns=True)
-    buckets = max(1, marks.agg(F.coalesce(F.max("_b"), F.lit(0))).first()[0] + 1)
+    buckets = max(1, -(-n_rows // rows_per_bucket))
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = min(buckets, max(width, -(-buckets // BUCKETS_PER_TASK)))
     # the one shuffle of the text; a mark comes before the row that it is for
@@ -212,8 +215,8 @@ def aggregate_paragraphs(df: DataFrame, threshold_min: int, order_col: str | tup
     return a.where((F.col(K.COL_PARAGRAPH) != "") | (F.col(K.COL_WORDS) >= threshold_min))
 
 
-def reindex(df: DataFrame, order_cols: str | tuple[str, ...] | None = None) -> DataFrame:
-    """Stage 2's first step: ``paragraphs_index`` = position, ``n_words`` recounted.
+def reindexed(df: DataFrame, order_cols: str | tuple[str, ...] | None = None) -> tuple[DataFrame, int]:
+    """Stage 2's first step: ``paragraphs_index`` = position, ``n_words`` recounted; and the number of rows.
 
     A table read by ``io.read_paragraphs`` has places and is numbered in file
     order, whatever its incoming index says.  A frame without places is numbered
@@ -222,12 +225,17 @@ def reindex(df: DataFrame, order_cols: str | tuple[str, ...] | None = None) -> D
     """
     words = X.word_count(F.col(K.COL_PARAGRAPH))
     if order_cols is None and all(c in df.columns for c in ordering.PLACE):
-        out = ordering.number_rows(df.withColumn(K.COL_WORDS, words).drop(K.COL_INDEX), K.COL_INDEX)
+        out, n = ordering.numbered(df.withColumn(K.COL_WORDS, words).drop(K.COL_INDEX), K.COL_INDEX)
     else:
         cols = [order_cols or K.COL_INDEX] if order_cols is None or isinstance(order_cols, str) else list(order_cols)
-        if cols == [K.COL_INDEX] and _dense(df, K.COL_INDEX):
-            return df.withColumn(K.COL_WORDS, words)
-        out = ordering.positions(df, cols, "_position").withColumn(K.COL_WORDS, words)
+        n, dense = ordering.check_keys(df, cols)
+        if cols == [K.COL_INDEX] and dense:
+            return df.withColumn(K.COL_WORDS, words), n
+        out = ordering.number_rows(ordering.in_order(df, cols), "_position").withColumn(K.COL_WORDS, words)
         out = out.drop(K.COL_INDEX).withColumnRenamed("_position", K.COL_INDEX)
     names = [c for c in df.columns if c not in ordering.PLACE]
-    return out.select(*dict.fromkeys([*names, K.COL_INDEX, K.COL_WORDS]))
+    return out.select(*dict.fromkeys([*names, K.COL_INDEX, K.COL_WORDS])), n
+
+
+def reindex(df: DataFrame, order_cols: str | tuple[str, ...] | None = None) -> DataFrame:
+    return reindexed(df, order_cols)[0]

@@ -40,17 +40,18 @@ def in_order(df: DataFrame, order_cols: tuple[str, ...] | list[str], keep_order:
     return with_place(cut(dealt))
 
 
-def check_keys(df: DataFrame, order_cols: tuple[str, ...] | list[str], what: str = "order column") -> int:
-    """Number of rows; raises unless the keys are unique and not NULL."""
+def check_keys(df: DataFrame, order_cols: tuple[str, ...] | list[str]) -> tuple[int, bool]:
+    """Number of rows, and whether a single key is exactly 0..n-1; raises unless keys are unique and not NULL."""
     null = F.lit(False)
     for c in order_cols:
         null = null | F.col(c).isNull()
+    ends = [F.min(order_cols[0]).alias("lo"), F.max(order_cols[0]).alias("hi")]
     row = df.agg(F.count(F.lit(1)).alias("n"), F.count_if(null).alias("bad"),
-                 F.count_distinct(F.struct(*order_cols)).alias("nd")).first()
+                 F.count_distinct(F.struct(*order_cols)).alias("nd"), *ends).first()
     if row.bad or row.nd != row.n:
-        raise ValueError(f"{what} {', '.join(order_cols)!r} must be unique and not NULL "
+        raise ValueError(f"order column {', '.join(order_cols)!r} must be unique and not NULL "
                          f"({row.n} rows, {row.bad} with NULL, {row.nd} distinct)")
-    return row.n
+    return row.n, len(order_cols) == 1 and (row.n == 0 or (row.lo == 0 and row.hi == row.n - 1))
 
 
 def block_totals(counted: DataFrame) -> DataFrame:
@@ -84,24 +85,31 @@ def number(df: DataFrame, out_col: str, broadcast_rows: int = joins.DEFAULT_BROA
     torn = blocks.where("_last - _first + 1 != _n or _low != _least or _high != _most")
     if not torn.isEmpty():
         # rows of one place were made by one task, so its running id orders them
-        return number_rows(_anew(d), out_col, broadcast_rows)
+        return numbered(_anew(d), out_col, broadcast_rows)[0]
     delta = block_totals(blocks).select(FILE, BLOCK, (F.col("_before") - F.col("_first")).alias("_delta"))
     out = d.join(joins.maybe_broadcast(delta, broadcast_rows), [FILE, BLOCK])
     return out.withColumn(out_col, (F.col("_run") + F.col("_delta")).cast("bigint")).drop(*PLACE, "_run", "_delta")
 
 
-def number_rows(df: DataFrame, out_col: str, broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """:func:`number` for a plain read of whole files: rows before the file and the row's number in it.
+def numbered(df: DataFrame, out_col: str, broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, int]:
+    """:func:`number` for a plain read of whole files, and the number of rows.
 
-    Nothing is written and nothing moves; a frame that lacks rows of its files
-    goes through :func:`number`.
+    The position is the rows before the file and the row's number in it: nothing
+    is written and nothing moves.  A frame that lacks rows of its files goes
+    through :func:`number`.
     """
     files = df.groupBy(FILE).agg(F.count(F.lit(1)).alias("_n"), (F.max(ROW) + 1).alias("_rows"), F.lit(0).alias(BLOCK))
-    files = cut(files)
-    if not files.where("_n != _rows").isEmpty():
-        return number(df, out_col, broadcast_rows)
-    ahead = joins.maybe_broadcast(block_totals(files.drop("_rows")).select(FILE, "_before"), broadcast_rows)
-    return df.join(ahead, FILE).withColumn(out_col, (F.col("_before") + F.col(ROW)).cast("bigint")).drop(*PLACE, "_before")
+    row = files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("_n"), F.lit(0)).alias("n"),
+                    F.count_if(F.col("_n") != F.col("_rows")).alias("torn")).first()
+    if row.torn:
+        return number(df, out_col, broadcast_rows), row.n
+    ahead = joins.maybe_broadcast(block_totals(files.drop("_rows")).select(FILE, "_before"), broadcast_rows, row.files)
+    out = df.join(ahead, FILE).withColumn(out_col, (F.col("_before") + F.col(ROW)).cast("bigint"))
+    return out.drop(*PLACE, "_before"), row.n
+
+
+def number_rows(df: DataFrame, out_col: str) -> DataFrame:
+    return numbered(df, out_col)[0]
 
 
 def _anew(d: DataFrame) -> DataFrame:

@@ -49,10 +49,10 @@ def paragraphs_to_chunks_df(paras: DataFrame, max_p_length: int, threshold_min:
     ``aggregate.reindex``) and word counts recounted before merging.
     ``max_paragraphs`` keeps only the first rows, if the caller wants that.
     """
-    p = aggregate.reindex(paras, order_cols)
+    p, n = aggregate.reindexed(paras, order_cols)
     if max_paragraphs is not None:
-        p = p.where(F.col(K.COL_INDEX) < F.lit(max_paragraphs))
-    agg = aggregate.aggregate_paragraphs(p, threshold_min)
+        p, n = p.where(F.col(K.COL_INDEX) < F.lit(max_paragraphs)), min(n, max_paragraphs)
+    agg = aggregate.aggregate_paragraphs(p, threshold_min, n_rows=n)
     return chunks.break_paragraphs(agg, max_p_length)
 
 
