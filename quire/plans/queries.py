@@ -268,12 +268,20 @@ def chunks_no_index(spark, sf):
     return _chunks(jobs.paragraphs_to_chunks_df(table, MAX_LEN, THRESHOLD))
 
 
+def chunk_files(spark, sf) -> str:
+    """Job 2 over the written paragraph table, written with its order columns once a session."""
+    key = (spark.sparkContext.applicationId, f"{sf} chunks")
+    if key not in _TABLES or not exists(spark, _TABLES[key]):
+        table, path = io.read_paragraphs(spark, paragraph_table(spark, sf)), shared_path(spark, "chunks")
+        jobs.write_chunks(jobs.paragraphs_to_chunks_df(table, MAX_LEN, THRESHOLD), path, keep_order=True)
+        _TABLES[key] = path
+    return _TABLES[key]
+
+
 def chunk_table(spark, sf):
-    """S5: the six columns of the chunk table, written in chunk order and read back with their row numbers."""
-    table = io.read_paragraphs(spark, paragraph_table(spark, sf))
-    path = shared_path(spark, "chunks")
-    jobs.write_chunks(jobs.paragraphs_to_chunks_df(table, MAX_LEN, THRESHOLD), path)
-    return _spans(ordering.number_rows(io.read_paragraphs(spark, path), "chunk_row"))
+    """S5: the chunk table, written in chunk order and read back with its row numbers."""
+    rows = ordering.number_rows(io.read_paragraphs(spark, chunk_files(spark, sf)), "chunk_row")
+    return _spans(rows.select(*jobs.CHUNK_COLUMNS, "chunk_row"))
 
 
 def unit_embeddings(spark, sf):
@@ -291,7 +299,9 @@ def _values(df, *keys):
 
 
 def embed_chunks(spark, sf):
-    return _values(embed.embed_hashing(chunks_q(spark, sf), K.COL_PARAGRAPH, dim=EMBED_DIM), "agg_order", "piece")
+    """The chunk table as job 2 wrote it, embedded."""
+    c = spark.read.parquet(chunk_files(spark, sf)).withColumn("piece", F.col("piece").cast("bigint"))
+    return _values(embed.embed_hashing(c, K.COL_PARAGRAPH, dim=EMBED_DIM), "agg_order", "piece")
 
 
 def embed_paragraphs(spark, sf):
