@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from . import joins
+from . import joins, ordering
 
 
 def extract_metadata(corpus: DataFrame, id_col: str = "id",
@@ -55,12 +55,17 @@ def filter_corpus(corpus: DataFrame, ids: DataFrame | Iterable[int], id_col: str
     """Corpus rows whose integer id is in ``ids`` (left-semi join).
 
     The id side is de-duplicated and broadcast when its counted size allows;
-    beyond that it is a shuffle semi-join (AQE splits a skewed corpus side).
+    beyond that it is a shuffle semi-join (AQE splits a skewed corpus side), after
+    which rows with places are written in their order again.
     """
     spark = corpus.sparkSession
     if not isinstance(ids, DataFrame):
         ids = spark.createDataFrame([(int(v),) for v in ids], f"{ids_col} bigint")
     keys = ids.select(F.col(ids_col).cast("bigint").alias("_kid")).distinct()
-    keys = joins.maybe_broadcast(keys, broadcast_rows)
+    n = keys.count()
+    keys = joins.maybe_broadcast(keys, broadcast_rows, n)
     cid = F.expr(f"try_cast(trim(`{id_col}`) AS BIGINT)")
-    return corpus.join(keys, cid == F.col("_kid"), "left_semi")
+    out = corpus.join(keys, cid == F.col("_kid"), "left_semi")
+    if n > broadcast_rows and not corpus.isStreaming and all(c in corpus.columns for c in ordering.PLACE):
+        out = ordering.restored(out)
+    return out

@@ -75,7 +75,8 @@ def number(df: DataFrame, out_col: str, broadcast_rows: int = joins.DEFAULT_BROA
     then count in the order in which the task makes them.  ``df`` is written
     once; the rows don't move where each block's rows stayed in the task that
     read them.  Where a join has dealt them anew, they are put back in order
-    first.
+    first (a join that sorts rows by another key inside their task has to call
+    :func:`restored` itself, as ``catalog.filter_corpus`` does).
     """
     d = cut(df.withColumn("_run", F.monotonically_increasing_id()))
     blocks = cut(d.groupBy(FILE, BLOCK).agg(
@@ -85,7 +86,7 @@ def number(df: DataFrame, out_col: str, broadcast_rows: int = joins.DEFAULT_BROA
     torn = blocks.where("_last - _first + 1 != _n or _low != _least or _high != _most")
     if not torn.isEmpty():
         # rows of one place were made by one task, so its running id orders them
-        return numbered(_anew(d), out_col, broadcast_rows)[0]
+        return numbered(restored(d, "_run"), out_col, broadcast_rows)[0]
     delta = block_totals(blocks).select(FILE, BLOCK, (F.col("_before") - F.col("_first")).alias("_delta"))
     out = d.join(joins.maybe_broadcast(delta, broadcast_rows), [FILE, BLOCK])
     return out.withColumn(out_col, (F.col("_run") + F.col("_delta")).cast("bigint")).drop(*PLACE, "_run", "_delta")
@@ -112,11 +113,10 @@ def number_rows(df: DataFrame, out_col: str) -> DataFrame:
     return numbered(df, out_col)[0]
 
 
-def _anew(d: DataFrame) -> DataFrame:
-    """Rows written in the order of their old places, with new ones."""
-    old = [f"_old_{c}" for c in PLACE]
-    renamed = d.withColumnsRenamed(dict(zip(PLACE, old, strict=True)) | {"_run": "_old_run"})
-    return in_order(renamed, [*old, "_old_run"], keep_order=False)
+def restored(df: DataFrame, *then: str) -> DataFrame:
+    """Rows that a shuffle has dealt anew, written in the order of their places (and ``then``), with new places."""
+    old = {c: f"_old_{c}" for c in (*PLACE, *then)}
+    return in_order(df.withColumnsRenamed(old), list(old.values()), keep_order=False)
 
 
 def positions(df: DataFrame, order_cols: tuple[str, ...] | list[str], out_col: str) -> DataFrame:

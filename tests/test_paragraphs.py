@@ -5,6 +5,7 @@ import time
 
 import pytest
 
+from quire.operators import catalog as C
 from quire.operators import ordering
 from quire.operators import paragraphs as P
 
@@ -72,6 +73,15 @@ def test_index_follows_corpus_order(spark):
         assert got == [(i, 2 * k + j) for k, i in enumerate(reversed(range(12))) for j in (0, 1)]
 
 
+def test_index_after_a_shuffled_semi_join(spark):
+    """Ids beyond the broadcast bound: the join sorts books by id, the index still follows the files."""
+    rows = [(str(7 * i % 41), f"CHAPTER I\n\nbook {i} has this one paragraph", i) for i in range(41)]
+    books = corpus(spark, rows)
+    keep = [k for k in range(41) if k % 3]
+    got = [collect(P.paragraphs(C.filter_corpus(books, keep, broadcast_rows=bound))) for bound in (1000, -1)]
+    assert got[0] == got[1] and [r[1] for r in got[0]] == [7 * i % 41 for i in range(41) if (7 * i % 41) % 3]
+
+
 def test_split_book_positions(spark):
     s = P.split_book(corpus(spark, [("7", "A\n\nCHAPTER I\n\nB b b b\n\n", 0)]))
     got = [(r.pos, r.paragraph, r.heading, r.chapter) for r in s.orderBy("pos").collect()]
