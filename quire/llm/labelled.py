@@ -14,6 +14,15 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def chosen(labels: DataFrame, per_class: int) -> DataFrame:
+    """(doc_id, quality, chance) of at most ``per_class`` rows of each quality label (0, 1) that isn't held out."""
+    chance = F.xxhash64(F.col("doc_id"), F.lit("sample"))
+    marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    marked = marked.select("doc_id", "quality").dropDuplicates(["doc_id"]).withColumn("chance", chance)
+    ids = [marked.where(F.col("quality") == q).orderBy("chance", "doc_id").limit(per_class) for q in (0, 1)]
+    return ids[0].unionByName(ids[1])  # 2 * per_class rows
+
+
 def sample(docs: DataFrame, labels: DataFrame, per_class: int, most_chars: int) -> pd.DataFrame:
     """At most ``per_class`` texts of each quality label (0, 1) that isn't held out, in a fixed order.
 
@@ -22,15 +31,10 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int, most_chars: int)
     the driver holds 2 * per_class * most_chars code points at most.  Only the
     fit uses stretches.
     """
-    chance = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    marked = marked.select("doc_id", "quality").dropDuplicates(["doc_id"]).withColumn("chance", chance)
-    ids = [marked.where(F.col("quality") == q).orderBy("chance", "doc_id").limit(per_class) for q in (0, 1)]
-    chosen = F.broadcast(ids[0].unionByName(ids[1]))  # 2 * per_class rows
     text = text_or_empty()
     length = F.length(text)
     start = F.pmod("chance", F.greatest(length - most_chars, F.lit(1))) + 1
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select(
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen(labels, per_class)), "doc_id").select(
         "chance", "doc_id", "quality",
         F.when(length > most_chars, F.substring(text, start.cast("int"), F.lit(most_chars))).otherwise(text).alias("text"))
     return rows.toPandas().sort_values(["chance", "doc_id", "text"]).drop_duplicates("doc_id").reset_index(drop=True)

@@ -5,15 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import byte_slices, strings, text_or_empty
-from .labelled import sample
+from .labelled import chosen
 from .trees import Forest, train
 
-#: Labelled texts of each class, and code points of each, that the trees are grown on.
-PER_CLASS, MOST_CHARS = 4000, 8192
+#: Labelled texts of each class that the trees are grown on, by the statistics of each whole text.
+PER_CLASS = 4000
+#: Words of a window.  Distinct and repeated words are counted in windows, as their shares of a whole text depend on its length.
+WINDOW = 256
+#: Windows that are counted at once.
+WINDOWS_AT_ONCE = 1024
 #: A text stays if the trees (grown on as many good as bad texts) give it at least this.
 KEEP = 0.3
 
@@ -34,52 +40,124 @@ def _without(data: bytes, signs: bytes) -> int:
     return len(data) - len(data.translate(None, signs))
 
 
-def repeated_words(words: list[bytes], width: int = 3) -> int:
-    """Places of words in a window of ``width`` words that the text has twice or more."""
-    n = len(words) - width + 1
-    if n < 2:
-        return 0
+def _numbered(words: list[bytes]) -> np.ndarray:
     number = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    return np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+
+
+def _runs(ids: np.ndarray, width: int = 3) -> np.ndarray:
+    """A key of the ``width`` words from each place, the same for the same words only."""
+    n = max(len(ids) - width + 1, 0)
+    if not n:
+        return np.zeros(0, np.int64)
+    distinct = int(ids.max()) + 1
     key = ids[:n].copy()
     for i in range(1, width):
-        if int(key.max()) >= (1 << 62) // len(number):  # number windows anew, so that keys stay exact
+        if int(key.max()) >= (1 << 62) // distinct:  # number runs anew, so that keys stay exact
             key = np.unique(key, return_inverse=True)[1]
-        key = key * len(number) + ids[i:n + i]
+        key = key * distinct + ids[i:n + i]
+    return key
+
+
+def _repeated(key: np.ndarray, width: int = 3) -> int:
+    if len(key) < 2:
+        return 0
     _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
     twice = count[inverse] > 1
-    covered = np.zeros(len(words), bool)
+    covered = np.zeros(len(key) + width - 1, bool)
     for i in range(width):
-        covered[i:n + i] |= twice
+        covered[i:len(key) + i] |= twice
     return int(covered.sum())
 
 
+def repeated_words(words: list[bytes], width: int = 3) -> int:
+    """Places of words in a window of ``width`` words that the text has twice or more."""
+    return _repeated(_runs(_numbered(words), width), width)
+
+
+def windowed(ids: np.ndarray, key: np.ndarray, size: int = WINDOW, width: int = 3) -> tuple[int, int, int]:
+    """(words, distinct words, repeated words) summed over windows of ``size`` words that cover the whole text.
+
+    The last window ends with the text, so that all have the same size; a shorter text is one window.
+    """
+    n = len(ids)
+    if n <= size:
+        return n, len(np.unique(ids)), _repeated(key, width)
+    starts = np.append(np.arange(0, n - size, size), n - size)
+    distinct = repeated = 0
+    for at in range(0, len(starts), WINDOWS_AT_ONCE):
+        some = starts[at:at + WINDOWS_AT_ONCE, None]
+        own = np.sort(ids[some + np.arange(size)], axis=1)
+        distinct += len(own) + int((own[:, 1:] != own[:, :-1]).sum())
+        runs = key[some + np.arange(size - width + 1)]
+        order = np.argsort(runs, axis=1)
+        runs = np.take_along_axis(runs, order, 1)
+        same = runs[:, 1:] == runs[:, :-1]
+        twice = np.zeros(runs.shape, bool)
+        twice[:, 1:] |= same
+        twice[:, :-1] |= same
+        back = np.empty_like(twice)
+        np.put_along_axis(back, order, twice, 1)
+        covered = np.zeros(own.shape, bool)
+        for i in range(width):
+            covered[:, i:runs.shape[1] + i] |= back
+        repeated += int(covered.sum())
+    return len(starts) * size, distinct, repeated
+
+
+#: What ``statistics`` counts.
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks",
+          "n_digits", "window_words", "window_distinct", "window_repeat"]
+
+
 def statistics(text: str) -> tuple[int, ...]:
-    """(n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, lines with a word, upper, marks, digits, distinct)."""
+    """COUNTS of a whole text; lines are those with a word."""
     data = text.encode()
     words = data.split()
     lines = [x for x in data.split(b"\n") if x.strip()]
+    ids = _numbered(words)
+    key = _runs(ids)
     return (len(words), len(text) - _without(data, SPACE), _without(data, SYMBOLS), len(lines) - len(set(lines)),
-            repeated_words(words), len(lines), _without(data, _UPPER), _without(data, _OTHER),
-            _without(data, _DIGITS), len(set(words)))
+            _repeated(key), len(lines), _without(data, _UPPER), _without(data, _OTHER), _without(data, _DIGITS),
+            *windowed(ids, key))
 
 
 def features(found: np.ndarray) -> np.ndarray:
     """Rows of ``statistics`` as the columns of FEATURES."""
-    words, chars, symbols, dup, repeat, lines, upper, marks, digits, distinct = found.astype(float).T
-    w, c = np.maximum(words, 1), np.maximum(chars, 1)
-    return np.column_stack([np.log1p(words), chars / w, symbols / c, dup / np.maximum(lines, 1), repeat / w,
-                            upper / c, marks / c, digits / c, distinct / w])
+    words, chars, symbols, dup, _, lines, upper, marks, digits, seen, distinct, repeat = found.astype(float).T
+    w, c, seen = np.maximum(words, 1), np.maximum(chars, 1), np.maximum(seen, 1)
+    return np.column_stack([np.log1p(words), chars / w, symbols / c, dup / np.maximum(lines, 1), repeat / seen,
+                            upper / c, marks / c, digits / c, distinct / seen])
 
 
 def _statistics(texts: list[str]) -> np.ndarray:
-    return np.array([statistics(t) for t in texts], np.int64).reshape(-1, 10)
+    return np.array([statistics(t) for t in texts], np.int64).reshape(-1, len(COUNTS))
+
+
+def sampled(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> pd.DataFrame:
+    """(chance, doc_id, quality, COUNTS) of a bounded sample of the labelled rows that aren't held out, in a fixed order.
+
+    The counts are of whole texts and made where those are read; only numbers reach the driver.
+    """
+    rows = docs.select("doc_id", text_or_empty().alias("text")).join(
+        F.broadcast(chosen(labels, per_class)), "doc_id").select("chance", "doc_id", "quality", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text"):
+            found = _statistics(strings(batch, "text"))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:3], *(pa.array(found[:, i]) for i in range(len(COUNTS)))],
+                [*batch.schema.names[:3], *COUNTS])
+
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:3]]
+    found = rows.mapInArrow(run, ", ".join([*kinds, *(f"{c} long" for c in COUNTS)])).toPandas()
+    return found.sort_values(["chance", "doc_id", *COUNTS]).drop_duplicates("doc_id").reset_index(drop=True)
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_chars: int = MOST_CHARS) -> Forest:
-    """Trees grown on a bounded sample of the labelled rows that aren't held out."""
-    rows = sample(docs, labels, per_class, most_chars)
-    return train(features(_statistics(rows.text.tolist())), rows.quality.to_numpy(float), list(FEATURES.values()))
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Forest:
+    """Trees grown on the statistics of the sample's whole texts."""
+    rows = sampled(docs, labels, per_class)
+    return train(features(rows[COUNTS].to_numpy(np.int64)), rows.quality.to_numpy(float), list(FEATURES.values()))
 
 
 def base_fails(found: np.ndarray) -> np.ndarray:

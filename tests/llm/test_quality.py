@@ -134,3 +134,45 @@ def test_repeated_words_with_many_words():
 def test_model_of_few_rows():
     model = compressed.fit(pd.DataFrame({"quality": [1, 0], "text": ["good text", "### bad"]}))
     assert compressed.score(["", "x"], model)[0] == 0
+
+
+@pytest.mark.parametrize("size", [3, 8, 64])
+def test_windows_cover_the_whole_text(size):
+    rng = random.Random(size)
+    for n in (0, 1, 2, 3, 7, 8, 9, 63, 64, 65, 200):
+        words = [str(rng.randrange(12)).encode() for _ in range(n)]
+        starts = [0] if n <= size else [*range(0, n - size, size), n - size]
+        parts = [words[i:i + size] for i in starts]
+        assert set().union(*(range(i, i + size) for i in starts)) >= set(range(n))
+        ids = qualityrules._numbered(words)
+        assert qualityrules.windowed(ids, qualityrules._runs(ids), size) == (
+            sum(map(len, parts)), sum(len(set(p)) for p in parts), sum(map(qualityrules.repeated_words, parts)))
+
+
+def test_clean_texts_of_any_length_stay(spark):
+    """The trees judge whole texts by statistics that mean the same at every length that they were grown on."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(360):
+        words = prose(rng, rng.choice([80, 200, 500, 2500])).split()
+        if i % 3 == 0:  # the same few words all over
+            words = [rng.choice(words[:40]) for _ in words]
+        rows.append((i, " ".join(words), int(i % 3 != 0)))
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in rows], "doc_id long, quality int, toxic int")
+    clean = [(1000 + k, prose(rng, n)) for k, n in enumerate([3000, 20_000, 100_000, 400_000])]
+    assert len(clean[0][1]) > 15_000 and len(clean[-1][1]) > 2_000_000
+    forest = qualityrules.fit(frame(spark, [(i, t) for i, t, _ in rows]), labels)
+    found = {r.doc_id: r.kept for r in qualityrules.judged(frame(spark, clean), forest).collect()}
+    assert found == {i: True for i, _ in clean}
+
+
+def test_trees_are_grown_on_whole_texts(spark):
+    """What the fit sees of a labelled text is what the verdict sees, however long it is."""
+    rng = random.Random(3)
+    rows = [(i, prose(rng, n)) for i, n in enumerate([1, 60, 3000, 9000] * 4)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i, _ in rows], "doc_id long, quality int, toxic int")
+    got = qualityrules.sampled(frame(spark, rows), labels)
+    assert len(got) > 8 and all(zlib.crc32(str(i).encode()) % 4 != 2 for i in got.doc_id)
+    assert got.equals(qualityrules.sampled(frame(spark, rows).repartition(7), labels))
+    text = dict(rows)
+    assert [tuple(r) for r in got[qualityrules.COUNTS].to_numpy()] == [qualityrules.statistics(text[i]) for i in got.doc_id]
