@@ -76,19 +76,20 @@ def _dictionary(texts: list[str], rng: np.random.Generator) -> bytes:
         return b"".join(parts)[-DICTIONARY:] or b" "
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Weights (bias first) by Newton steps, halved until the loss falls."""
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, counts: np.ndarray | None = None) -> np.ndarray:
+    """Weights (bias first) by Newton steps, halved until the loss falls; a row counts ``counts`` times (else once)."""
+    counts = np.ones(len(x)) if counts is None else counts
     x = np.column_stack([np.ones(len(x)), x])
     penalty = np.eye(x.shape[1]) * ridge
     penalty[0, 0] = 1e-6
     w = np.zeros(x.shape[1])
 
     def loss(w: np.ndarray) -> float:
-        return np.logaddexp(0, -(2 * y - 1) * (x @ w)).sum() + w @ penalty @ w / 2
+        return (counts * np.logaddexp(0, -(2 * y - 1) * (x @ w))).sum() + w @ penalty @ w / 2
 
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + penalty, x.T @ (p - y) + penalty @ w)
+        step = np.linalg.solve((x * (counts * p * (1 - p))[:, None]).T @ x + penalty, x.T @ (counts * (p - y)) + penalty @ w)
         t = 1.0
         while loss(w - t * step) > loss(w) and t > 1e-6:
             t /= 2
@@ -99,7 +100,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 
 def fit(rows: pd.DataFrame, seed: int = 4) -> Model:
-    """A model of rows (quality, text): dictionaries from three fifths of them, calibration on the others.
+    """A model of rows (quality, text, perhaps weight): dictionaries from three fifths of them, calibration on the others.
 
     Dictionaries learn only from lines that no other text of the sample has.
     """
@@ -117,8 +118,10 @@ def fit(rows: pd.DataFrame, seed: int = 4) -> Model:
     if not len(rest):
         return Model(good, bad, (0.0,) * 6, (1.0,) * 6, (0.0,) * 7)
     x = np.array([sizes(t, good, bad) for t in rest.text])
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    w = _logistic((x - mean) / scale, rest.quality.to_numpy(float))
+    counts = rest.weight.to_numpy(float) if "weight" in rest else np.ones(len(rest))
+    mean = np.average(x, axis=0, weights=counts)
+    scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=counts)) + 1e-6
+    w = _logistic((x - mean) / scale, rest.quality.to_numpy(float), counts=counts)
     return Model(good, bad, tuple(mean), tuple(scale), tuple(w))
 
 

@@ -14,17 +14,33 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def _marked(labels: DataFrame) -> DataFrame:
+    """(doc_id, quality) of the rows labelled 0 or 1 that aren't held out."""
+    marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    return marked.select("doc_id", "quality").dropDuplicates(["doc_id"])
+
+
 def chosen(labels: DataFrame, per_class: int) -> DataFrame:
     """(doc_id, quality, chance) of at most ``per_class`` rows of each quality label (0, 1) that isn't held out."""
-    chance = F.xxhash64(F.col("doc_id"), F.lit("sample"))
-    marked = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    marked = marked.select("doc_id", "quality").dropDuplicates(["doc_id"]).withColumn("chance", chance)
+    marked = _marked(labels).withColumn("chance", F.xxhash64(F.col("doc_id"), F.lit("sample")))
     ids = [marked.where(F.col("quality") == q).orderBy("chance", "doc_id").limit(per_class) for q in (0, 1)]
     return ids[0].unionByName(ids[1])  # 2 * per_class rows
 
 
+def weighted(rows: pd.DataFrame, labels: DataFrame) -> pd.DataFrame:
+    """``rows`` with a column ``weight`` that gives the classes the shares they have among all labels that aren't held out.
+
+    The bound on rows of a class then doesn't change what a score means; the weights' mean is 1.
+    """
+    count = {r.quality: r["count"] for r in _marked(labels).groupBy("quality").count().collect()}
+    here = rows.quality.value_counts()
+    total = sum(count[q] for q in here.index)
+    share = {q: count[q] / total * len(rows) / here[q] for q in here.index}
+    return rows.assign(weight=rows.quality.map(share).astype(float))
+
+
 def sample(docs: DataFrame, labels: DataFrame, per_class: int, most_chars: int) -> pd.DataFrame:
-    """At most ``per_class`` texts of each quality label (0, 1) that isn't held out, in a fixed order.
+    """At most ``per_class`` texts of each quality label (0, 1) that isn't held out, in a fixed order, with weights.
 
     Rows are chosen by a hash of doc_id.  Of a text longer than ``most_chars``
     a stretch of that length counts, from a place that the hash chooses, so that
@@ -37,4 +53,5 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int, most_chars: int)
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen(labels, per_class)), "doc_id").select(
         "chance", "doc_id", "quality",
         F.when(length > most_chars, F.substring(text, start.cast("int"), F.lit(most_chars))).otherwise(text).alias("text"))
-    return rows.toPandas().sort_values(["chance", "doc_id", "text"]).drop_duplicates("doc_id").reset_index(drop=True)
+    found = rows.toPandas().sort_values(["chance", "doc_id", "text"]).drop_duplicates("doc_id").reset_index(drop=True)
+    return weighted(found, labels)

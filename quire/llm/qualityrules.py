@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_slices, strings, text_or_empty
-from .labelled import chosen
+from .labelled import chosen, weighted
 from .trees import Forest, train
 
 #: Labelled texts of each class that the trees are grown on, by the statistics of each whole text.
@@ -20,7 +20,7 @@ PER_CLASS = 4000
 WINDOW = 256
 #: Windows that are counted at once.
 WINDOWS_AT_ONCE = 1024
-#: A text stays if the trees (grown on as many good as bad texts) give it at least this.
+#: A text stays if the trees (grown on good and bad texts in the shares that the labels have) give it at least this.
 KEEP = 0.3
 
 #: ASCII white space, and the signs that count as symbols.
@@ -135,7 +135,7 @@ def _statistics(texts: list[str]) -> np.ndarray:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> pd.DataFrame:
-    """(chance, doc_id, quality, COUNTS) of a bounded sample of the labelled rows that aren't held out, in a fixed order.
+    """(chance, doc_id, quality, COUNTS, weight) of a bounded sample of the labelled rows that aren't held out, in a fixed order.
 
     The counts are of whole texts and made where those are read; only numbers reach the driver.
     """
@@ -151,13 +151,14 @@ def sampled(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> p
 
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:3]]
     found = rows.mapInArrow(run, ", ".join([*kinds, *(f"{c} long" for c in COUNTS)])).toPandas()
-    return found.sort_values(["chance", "doc_id", *COUNTS]).drop_duplicates("doc_id").reset_index(drop=True)
+    return weighted(found.sort_values(["chance", "doc_id", *COUNTS]).drop_duplicates("doc_id").reset_index(drop=True), labels)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Forest:
     """Trees grown on the statistics of the sample's whole texts."""
     rows = sampled(docs, labels, per_class)
-    return train(features(rows[COUNTS].to_numpy(np.int64)), rows.quality.to_numpy(float), list(FEATURES.values()))
+    return train(features(rows[COUNTS].to_numpy(np.int64)), rows.quality.to_numpy(float), list(FEATURES.values()),
+                 weight=rows.weight.to_numpy(float))
 
 
 def base_fails(found: np.ndarray) -> np.ndarray:

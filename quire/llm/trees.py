@@ -33,8 +33,8 @@ class Forest:
 
 
 def train(x: np.ndarray, y: np.ndarray, signs: list[int], trees: int = 60, depth: int = 3, rate: float = 0.2,
-          bins: int = 64, least_weight: float = 2.0, ridge: float = 1.0) -> Forest:
-    """Boost logistic loss on rows ``x`` with labels ``y`` (0, 1).
+          bins: int = 64, least_weight: float = 2.0, ridge: float = 1.0, weight: np.ndarray | None = None) -> Forest:
+    """Boost logistic loss on rows ``x`` with labels ``y`` (0, 1), each counted ``weight`` times (else once).
 
     ``signs`` has for each feature 1 (the score never falls as it grows), -1
     (never rises) or 0.  A split on a constrained feature must order its two
@@ -44,7 +44,8 @@ def train(x: np.ndarray, y: np.ndarray, signs: list[int], trees: int = 60, depth
     n, width = x.shape
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) if n else np.zeros(0) for f in range(width)]
     binned = np.stack([np.searchsorted(edges[f], x[:, f]) for f in range(width)], axis=1) if n else np.zeros((0, width), int)
-    share = min(max(float(y.mean()) if n else 0.5, 1e-3), 1 - 1e-3)
+    weight = np.ones(n) if weight is None else weight
+    share = min(max(float(np.average(y, weights=weight)) if n else 0.5, 1e-3), 1 - 1e-3)
     bias = float(np.log(share / (1 - share)))
     margin = np.full(n, bias)
     nodes: dict[str, list] = {k: [] for k in ("feature", "threshold", "left", "right", "value")}
@@ -91,7 +92,7 @@ def train(x: np.ndarray, y: np.ndarray, signs: list[int], trees: int = 60, depth
 
     for _ in range(trees if n else 0):
         p = 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
-        grad, hess = p - y, p * (1 - p)
+        grad, hess = weight * (p - y), weight * p * (1 - p)
         first = len(nodes["value"])
         roots.append(grow(np.arange(n), 0, -np.inf, np.inf))
         one = Forest(*(np.array(v) for v in ([first], *(nodes[k] for k in ("feature", "threshold", "left", "right", "value")))),

@@ -176,3 +176,35 @@ def test_trees_are_grown_on_whole_texts(spark):
     assert got.equals(qualityrules.sampled(frame(spark, rows).repartition(7), labels))
     text = dict(rows)
     assert [tuple(r) for r in got[qualityrules.COUNTS].to_numpy()] == [qualityrules.statistics(text[i]) for i in got.doc_id]
+
+
+def test_weights_count_like_repeated_rows():
+    rng = np.random.default_rng(6)
+    x, times = rng.normal(size=(80, 2)), rng.integers(1, 5, 80)
+    y = (x[:, 0] + rng.normal(size=80) > 0).astype(float)
+    again = np.repeat(np.arange(80), times)
+    assert np.allclose(compressed._logistic(x, y, counts=times.astype(float)), compressed._logistic(x[again], y[again]), atol=1e-5)
+    once, more = trees.train(x, y, [0, 0]), trees.train(x, y, [0, 0], weight=np.ones(80))
+    assert np.array_equal(once.margin(x), more.margin(x))
+    assert np.isclose(trees.train(x, y, [0, 0], weight=np.where(y == 1, 3.0, 1.0)).bias,
+                      np.log(3 * y.sum() / (1 - y).sum()))
+
+
+def test_scores_mean_the_same_when_the_sample_is_bounded(spark):
+    """Texts of both classes are alike, so a score is the share of good labels, whatever the bound on rows."""
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 70), int(i % 6 != 0)) for i in range(600)]
+    labels = spark.createDataFrame([(i, q, 0) for i, _, q in rows], "doc_id long, quality int, toxic int")
+    docs = frame(spark, [(i, t) for i, t, _ in rows])
+    free = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    share = np.mean([i % 6 != 0 for i in free])
+    for most in (40, 4000):
+        got = labelled.sample(docs, labels, most, 8192)
+        assert np.isclose(got.weight.mean(), 1)
+        assert np.isclose(got.weight[got.quality == 1].sum() / got.weight.sum(), share)
+        forest = qualityrules.fit(docs, labels, most)
+        assert np.isclose(forest.bias, np.log(share / (1 - share)))
+        score = [r.score for r in qualityrules.judged(docs, forest).collect()]
+        assert abs(np.mean(score) - share) < 0.12
+        score = [r.score for r in compressed.quality_scores(docs, labels, per_class=most).collect()]
+        assert abs(np.mean(score) - share) < 0.12
