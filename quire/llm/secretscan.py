@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from ..sources.checkpoint import cut
 from .common import text_or_empty
 
-#: Up to so many blobs with findings (about 200 bytes each) are broadcast to documents.
-BROADCAST_FINDINGS = 100_000
+#: Findings of up to so many bytes are broadcast to documents.
+BROADCAST_FINDINGS = 20_000_000
+#: Bytes that a blob and one of its spans take in a broadcast row.
+_BLOB_BYTES, _SPAN_BYTES = 100, 40
 MASK = "[SECRET]"
 
 
@@ -128,7 +130,9 @@ def _by_blob(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 def _found(docs: DataFrame, rules: tuple[Rule, ...], batches: int) -> DataFrame:
     found = cut(_by_blob(ledger_of(docs, rules, batches), rules))
-    return F.broadcast(found) if found.count() <= BROADCAST_FINDINGS else found
+    held = found.agg(F.sum(_BLOB_BYTES + _SPAN_BYTES * F.size("spans").cast("long"))).first()[0] or 0
+    # beyond the bound also against Spark's own guess, which goes by the size of the written files
+    return found.hint("broadcast" if held <= BROADCAST_FINDINGS else "merge")
 
 
 def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, batches: int = 2) -> DataFrame:
