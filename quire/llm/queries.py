@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.checkpoint import shared_path
-from . import (bpe, compressed, exactdedup, neardedup, packing, pfor, piececount, qualityrules, secretscan,
-               urlfilter)
+from . import (bpe, compressed, curvepack, exactdedup, neardedup, packing, pfor, piececount, qualityrules, secretscan,
+               spelling, urlfilter, vectorcodes)
 from .common import documents
 
 END_ID = 2
 CAPACITY = 1024
+CURVE_END_ID = 1
+CURVE_CAPACITY = 2048
 TOKEN_LIMIT = 4096
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 
@@ -83,8 +85,28 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(spelt, 256).alias("base_sha256"), spelt.alias("spans"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document with the frequent spelling that each is a variant of."""
+    return spelling.variants(documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packing of every document along a Hilbert curve into sequences of up to 2048 tokens."""
+    pieces = curvepack.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), CURVE_END_ID,
+                            CURVE_CAPACITY)
+    return curvepack.with_crc32(pieces)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every vector by codebooks of 64 entries for each of 16 parts."""
+    coded, books = vectorcodes.vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+                        F.lit(books.sha256() if books else None).cast("string").alias("codebooks_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_packing, op3_token_files, op4_quality, op5_rules,
-                                  op6_token_counts, op7_urls, op8_exact_dedup, op9_near_dedup, op10_secrets)}
+                                  op6_token_counts, op7_urls, op8_exact_dedup, op9_near_dedup, op10_secrets,
+                                  op11_spelling, op12_curve_packing, op13_vector_codes)}
 _WORD_CASE = "(password|passwd|secret|token|api_?key)"
 _EITHER = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in _WORD_CASE)
 
@@ -154,4 +176,43 @@ SELECT h.page_id, h.host, h.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM h LEFT JOIN f USING (page_id)
 """
 
-ORACLE = {"op7_urls": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_secrets": OP10_SQL}
+
+def _op13_sql(rounds: int = 2) -> str:
+    """Each round: distances of all parts to all entries of their codebook, then means of the parts of an entry."""
+    def assigned(r: int) -> str:
+        return f"""
+a{r} AS (
+    SELECT vec_id, part, x, least.e AS e, least.d AS d FROM (
+        SELECT vec_id, part, any_value(x) AS x, min({{'d': list_sum(list_transform(list_zip(x, c),
+            lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, 'e': e}}) AS least
+        FROM p JOIN c{r} USING (part) GROUP BY vec_id, part))"""
+
+    steps = []
+    for r in range(rounds):
+        steps += [assigned(r), f"""
+m{r} AS (
+    SELECT part, e, i, floor(sum(x[i + 1])::DOUBLE / count(*))::BIGINT AS f
+    FROM a{r}, range(len(x)) t(i) GROUP BY part, e, i),
+c{r + 1} AS (
+    SELECT part, e, list(f ORDER BY i) AS c FROM m{r} GROUP BY part, e
+    UNION ALL SELECT part, e, c FROM c{r} ANTI JOIN (SELECT DISTINCT part, e FROM m{r}) USING (part, e))"""]
+    return """
+WITH v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (
+    SELECT vec_id, part, q[part * (len(q) // 16) + 1:(part + 1) * (len(q) // 16)] AS x FROM v, range(16) t(part)),
+c0 AS (
+    SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS e, x AS c FROM p
+    WHERE vec_id IN (SELECT vec_id FROM v ORDER BY vec_id LIMIT 64)),""" + ",".join([*steps, assigned(rounds)]) + f""",
+s AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, e)) AS codebooks_sha256 FROM c{rounds}),
+w AS (
+    SELECT vec_id, string_agg(printf('%02x', e), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+    FROM a{rounds} GROUP BY vec_id)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM w JOIN v USING (vec_id), s
+"""
+
+
+ORACLE = {"op7_urls": OP7_SQL, "op8_exact_dedup": OP8_SQL, "op10_secrets": OP10_SQL, "op13_vector_codes": _op13_sql()}
