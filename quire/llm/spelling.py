@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import groupby, product
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,14 +25,21 @@ BLOCK_WORDS = 8192
 MOST_BLOCKS, BOUND_SIGNS = 100_000, 64
 #: Queries that one task looks up in one block.
 SLICE_QUERIES = 1 << 15
+#: Queries of one length that go down a list together.
+QUERIES_AT_ONCE = 1024
 #: Above every word that starts with what is before it.
 _LAST = "\U0010ffff"
 
 
 def runs(text: Column) -> Column:
-    """Array of the maximal runs of at least ``LEAST_LENGTH`` letters, A-Z lower-cased; null for a null text."""
-    low = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.regexp_extract_all(low, F.lit("[a-zÀ-ÿ]{%d,}" % LEAST_LENGTH), F.lit(0))
+    """Array of the maximal runs of at least ``LEAST_LENGTH`` letters; null for a null text."""
+    return F.regexp_extract_all(text, F.lit("[A-Za-zÀ-ÿ]{%d,}" % LEAST_LENGTH), F.lit(0))
+
+
+def lowered(run: Column) -> Column:
+    """``run`` with A-Z lower-cased; most runs have none, and those that have are rewritten sign by sign."""
+    low = F.translate(run, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(run.rlike("[A-Z]"), low).otherwise(run)
 
 
 def without_one(run: Column, doc_id: Column, every: int = EVERY) -> Column:
@@ -44,7 +53,7 @@ def without_one(run: Column, doc_id: Column, every: int = EVERY) -> Column:
 def vocabulary(docs: DataFrame) -> DataFrame:
     """(word, n) of all words of at least 7 code points and 2 occurrences; counts are summed map-side first."""
     words = docs.select("doc_id", F.explode(runs(F.col("text"))).alias("run")).select(
-        without_one(F.col("run"), F.col("doc_id")).alias("word"))
+        "doc_id", lowered(F.col("run")).alias("run")).select(without_one(F.col("run"), F.col("doc_id")).alias("word"))
     words = words.where(F.char_length("word") >= LEAST_LENGTH)
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_COUNT)
 
@@ -63,18 +72,39 @@ def shared(a: str, b: str) -> int:
     return low
 
 
-def next_row(row: tuple[int, int, int], sign: str, at: int, query: str) -> tuple[int, int, int]:
-    """Row ``at + 1`` of the edit matrix from row ``at``, after the word's ``sign``.
+def next_row(row: tuple[int, int, int], same: tuple[bool, bool, bool], columns: int) -> tuple[int, int, int]:
+    """Row ``at + 1`` of the edit matrix from row ``at``, after one more sign of the word.
 
     A row has the distances to ``query[:at - 1]``, ``query[:at]`` and
-    ``query[:at + 1]``; 2 stands for more than one edit.
+    ``query[:at + 1]``; 2 stands for more than one edit.  ``same`` says whether
+    the sign is that of the query at ``at - 1``, ``at`` and ``at + 1``, and
+    ``columns`` how many of the new row's distances exist.
     """
     left, mid, right = row
+    a = min(left + (not same[0]), mid + 1, 2) if columns > 0 else 2
+    b = min(mid + (not same[1]), right + 1, a + 1, 2) if columns > 1 else 2
+    c = min(right + (not same[2]), b + 1, 2) if columns > 2 else 2
+    return a, b, c
+
+
+def columns_after(at: int, n: int) -> int:
+    return max(0, min(3, n + 1 - at))
+
+
+def row_after(row: tuple[int, int, int], sign: str, at: int, query: str) -> tuple[int, int, int]:
     n = len(query)
-    a = min(left + (at < 1 or at - 1 >= n or query[at - 1] != sign), mid + 1) if at <= n else 2
-    b = min(mid + (at >= n or query[at] != sign), right + 1, a + 1) if at < n else 2
-    c = min(right + (at + 1 >= n or query[at + 1] != sign), b + 1) if at + 1 < n else 2
-    return min(a, 2), min(b, 2), min(c, 2)
+    same = tuple(0 <= k < n and query[k] == sign for k in (at - 1, at, at + 1))
+    return next_row(row, same, columns_after(at, n))
+
+
+#: A row as a number: its distances are digits of base 3; the row of a prefix that agrees, and all beyond one edit.
+_ROWS = list(product(range(3), repeat=3))
+_AGREE, _BEYOND = _ROWS.index((1, 0, 1)), _ROWS.index((2, 2, 2))
+_SAMES = list(product((False, True), repeat=3))
+#: [columns, row, same] -> row
+_NEXT = np.array([[[_ROWS.index(next_row(row, same, columns)) for same in _SAMES] for row in _ROWS]
+                  for columns in range(4)], np.uint8)
+_DISTANCE = np.array(_ROWS, np.uint8)
 
 
 class SortedWords:
@@ -82,42 +112,61 @@ class SortedWords:
 
     def __init__(self, words: list[str]):
         self.words = words
-        self.shares = [0, *(shared(a, b) for a, b in zip(words, words[1:]))]
-
-    def near(self, query: str, keep: int) -> Iterator[int]:
-        """Places of words that start with ``query[:keep]`` and differ from ``query`` by one edit.
-
-        Rows of the edit matrix are kept by depth, and a word starts from the row
-        at the prefix that it shares with the one before.  Once all of a row is
-        beyond one edit, the words that share its prefix are skipped.
+        self.shares = np.array([0, *(shared(a, b) for a, b in zip(words, words[1:]))], np.int64)
+        self.lengths = np.array([len(w) for w in words], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.signs = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        self.breaks: dict[int, np.ndarray] = {}
+
+    def _breaks(self, depth: int) -> np.ndarray:
+        """Places whose word shares at most ``depth`` with the one before."""
+        if depth not in self.breaks:
+            self.breaks[depth] = np.flatnonzero(self.shares <= depth)
+        return self.breaks[depth]
+
+    def near(self, queries: list[str], keep: int) -> tuple[np.ndarray, np.ndarray]:
+        """(query, place) of the words that start with a query's first ``keep`` and differ from it by one edit.
+
+        The queries have the same length.  All go down the list together, depth
+        by depth: a row of the edit matrix belongs to a query and the range of
+        words that share a prefix, is computed once for the range, and is dropped
+        with all its words as soon as it is beyond one edit.
         """
-        words, shares, n = self.words, self.shares, len(query)
-        prefix = query[:keep]
-        at, stop = bisect_left(words, prefix), bisect_right(words, prefix + _LAST)
-        # up to ``keep`` the query and the words agree
-        rows = [(1, 0, 1)]
+        n, words = len(queries[0]), self.words
+        signs = np.zeros((len(queries), n + 2), np.uint32)  # column k + 1: sign k
+        signs[:, 1:-1] = np.frombuffer("".join(queries).encode("utf-32-le"), np.uint32).reshape(-1, n)
+        low = np.array([bisect_left(words, q[:keep]) for q in queries], np.int64)
+        high = np.array([bisect_right(words, q[:keep] + _LAST) for q in queries], np.int64)
+        query = np.flatnonzero(low < high)
+        low, high = low[query], high[query]
+        row = np.full(len(query), _AGREE, np.uint8)
+        found = []
         depth = keep
-        while at < stop:
-            word = words[at]
-            del rows[depth - keep + 1:]
-            row, size = rows[-1], len(word)
-            dead = False
-            while depth < size:
-                row = next_row(row, word[depth], depth, query)
-                depth += 1
-                if min(row) > 1:
-                    dead = True
-                    break
-                rows.append(row)
-            if not dead and depth == size and -1 <= n - size <= 1 and row[n - size + 1] == 1:
-                yield at
-            at += 1
-            if dead:  # the row at ``depth`` holds for all words with this prefix
-                if at < stop and shares[at] >= depth:
-                    at = bisect_right(words, word[:depth] + _LAST, at, stop)
-                depth -= 1
-            if at < stop:
-                depth = max(keep, min(depth, shares[at]))
+        while len(query):
+            ended = self.lengths[low] == depth
+            if -1 <= n - depth <= 1:
+                hit = ended & (_DISTANCE[row, n - depth + 1] == 1)
+                found.append((query[hit], low[hit]))
+            low = low + ended
+            breaks = self._breaks(depth)
+            first, stop = np.searchsorted(breaks, low, "right"), np.searchsorted(breaks, high, "left")
+            ways = np.where(low < high, stop - first + 1, 0)
+            above = np.repeat(np.arange(len(query)), ways)
+            nth = np.arange(len(above)) - np.repeat(np.cumsum(ways) - ways, ways)
+            edge = first[above] + nth
+            start = np.where(nth == 0, low[above], breaks[edge - 1])
+            sign, of = self.signs[self.starts[start] + depth], query[above]
+            columns = columns_after(depth, n)
+            same = sum((signs[of, min(depth + k, n + 1)] == sign).astype(np.uint8) << np.uint8(2 - k) for k in range(3))
+            row = _NEXT[columns, row[above], same]
+            alive = np.flatnonzero(row != _BEYOND)
+            last = nth[alive] == ways[above[alive]] - 1
+            end = np.where(last, high[above[alive]], breaks[np.minimum(edge[alive], len(breaks) - 1)])
+            query, low, high, row = of[alive], start[alive], end, row[alive]
+            depth += 1
+        if not found:
+            return query, query
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 def kept_prefix(query: str) -> int:
@@ -132,7 +181,7 @@ def could_hold(query: str, keep: int, low: str, high: str) -> bool:
         return True
     row = (1, 0, 1)
     for depth in range(keep, min(len(common), len(query) + 1)):
-        row = next_row(row, common[depth], depth, query)
+        row = row_after(row, common[depth], depth, query)
         if min(row) > 1:
             return False
     return True
@@ -178,31 +227,44 @@ def _routed(lists: DataFrame) -> DataFrame:
     return lists.mapInArrow(run, "block int, key string")
 
 
+def _best(index: SortedWords, counts: list[int], backward: int, queries: list[str]) -> Iterator[tuple]:
+    """(word, n_near, form_n, form) of the queries that have near words in a block."""
+    for _, same in groupby(sorted(queries, key=len), len):
+        own = list(same)
+        keep = kept_prefix(own[0])
+        for lo in range(0, len(own), QUERIES_AT_ONCE):
+            part, best = own[lo:lo + QUERIES_AT_ONCE], {}
+            for q, place in zip(*(x.tolist() for x in index.near(part, keep)), strict=True):
+                word, n = index.words[place], counts[place]
+                if backward:
+                    if word[-keep:] == part[q][-keep:]:  # words that share the start, too, turn up in the other list
+                        continue
+                    word = word[::-1]
+                near, most, form = best.get(q, (0, 0, ""))
+                best[q] = (near + 1, n, word) if n > most or (n == most and word < form) else (near + 1, most, form)
+            for q, (near, most, form) in best.items():
+                yield part[q][::-1] if backward else part[q], near, most, form
+
+
 def _looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, n_near, form_n, form) of each query in each block; a block's words come before its queries."""
+    """What is found for each query in each block; a block's words come before its queries."""
     here, words, counts, index = None, [], [], None
     for batch in batches:
         found = []
-        for block, slice_, key, n in zip(*(batch.column(c).to_pylist() for c in ("block", "slice", "key", "n")), strict=True):
+        rows = zip(*(batch.column(c).to_pylist() for c in ("block", "slice", "key", "n")), strict=True)
+        for (block, slice_), group in groupby(rows, lambda r: r[:2]):
             if (block, slice_) != here:
                 here, words, counts, index = (block, slice_), [], [], None
-            if n is not None:
-                words.append(key)
-                counts.append(n)
-                continue
-            if index is None:
-                index = SortedWords(words)
-            backward, keep = block & 1, kept_prefix(key)
-            near = index.near(key, keep)
-            if backward:  # words that share the start, too, turn up in the other list
-                word = key[::-1]
-                near = [(i, words[i][::-1]) for i in near]
-                near = [(i, w) for i, w in near if w[:keep] != word[:keep]]
-            else:
-                word, near = key, [(i, words[i]) for i in near]
-            if near:
-                most = max(counts[i] for i, _ in near)
-                found.append((word, len(near), most, min(w for i, w in near if counts[i] == most)))
+            queries = []
+            for _, _, key, n in group:
+                if n is None:
+                    queries.append(key)
+                else:
+                    words.append(key)
+                    counts.append(n)
+            if queries and words:
+                index = index or SortedWords(words)
+                found += _best(index, counts, block & 1, queries)
         columns = list(zip(*found, strict=True)) or [[]] * 4
         types = [pa.string(), pa.int64(), pa.int64(), pa.string()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
