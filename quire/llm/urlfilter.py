@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from ..sources.checkpoint import checkpoint_dir
 
-#: An index of up to so many bytes goes to the executors as a file; beyond, rules are joined.
-MAX_INDEX_BYTES = 256 << 20
+#: Rules whose index stays under so many bytes are collected, which takes the driver about ten times as much,
+#: and go to the executors as a file; more are joined.
+MAX_INDEX_BYTES = 16 << 20
 #: Seed of Spark's xxhash64, so that digests made by either agree.
 SEED = 42
 
@@ -25,15 +27,21 @@ _HEAD = struct.Struct("<4sIQ")
 _MAGIC = b"URL1"
 
 
+def _rest(url: Column) -> Column:
+    """What follows the first ``://``; empty without one."""
+    mark = F.locate("://", url)
+    return F.when(mark > 0, F.substr(url, mark + 3)).otherwise(F.lit(""))
+
+
 def host(url: Column) -> Column:
     """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, with A-Z lower-cased; else empty."""
-    found = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(?:(?!://).)*://([^/?#]*)", 1)
+    found = F.regexp_extract(_rest(url), r"^[^/?#]*", 0)
     return F.translate(found, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
 def path(url: Column) -> Column:
     """After the host up to ``?``, ``#`` or the end; empty without ``://``."""
-    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^(?:(?!://).)*://[^/?#]*([^?#]*)", 1)
+    return F.regexp_extract(_rest(url), r"^[^/?#]*([^?#]*)", 1)
 
 
 def build(rules: list[tuple[str, str]]) -> bytes:
@@ -43,9 +51,6 @@ def build(rules: list[tuple[str, str]]) -> bytes:
     full strings, verdicts, strings.  Of a rule given twice the last counts.
     """
     last = {rule: verdict for rule, verdict in rules}
-    for rule, verdict in last.items():
-        if "/" not in rule or verdict not in ("allow", "block"):
-            raise ValueError(f"not a rule: {rule!r} {verdict!r}")
     rows = sorted((xxhash.xxh64_intdigest(rule.encode(), SEED), rule.encode(), v == "block") for rule, v in last.items())
     lengths = sorted({len(rule) - rule.index(b"/") for _, rule, _ in rows})
     stops = np.cumsum([0, *(len(rule) for _, rule, _ in rows)])
@@ -75,6 +80,7 @@ class Index:
         self.digests, self.stops = view("<u8", n), view("<u8", n + 1)
         self.block = view("u1", n)
         self.text = data[at:]
+        self.longest = int(np.diff(self.stops).max(initial=0))
 
     def find(self, keys: list[bytes]) -> np.ndarray:
         """Place of each key in the index, or -1: binary search by digest, then the full strings."""
@@ -93,14 +99,18 @@ class Index:
         return self.text[int(self.stops[k]):int(self.stops[k + 1])].tobytes()
 
 
-def candidates(host_: str, path_: str, lengths: list[int]) -> list[bytes]:
-    """Keys of the rules that could fit: each suffix of the host with each path prefix, longest first."""
+def candidates(host_: str, path_: str, lengths: list[int], longest: int) -> list[bytes]:
+    """Keys of the rules that could fit: each suffix of the host with each path prefix, longest first.
+
+    ``longest`` is the length of the longest rule; longer suffixes have none.
+    """
     if not host_ or not path_:
         return []
-    raw = path_.encode()
+    raw, whole = path_.encode(), host_.encode()
     prefixes = [raw[:n] for n in lengths if n <= len(raw)]
-    labels = host_.encode().split(b".")
-    keys = {b".".join(labels[i:]) + p for i in range(len(labels)) for p in prefixes}
+    tail = whole[-longest - 1:]
+    starts = [m.end() for m in re.finditer(rb"\.", tail)] + [0] * (len(whole) <= longest)
+    keys = {tail[i:] + p for i in starts for p in prefixes}
     return sorted(keys, key=lambda k: (-len(k), k))
 
 
@@ -135,7 +145,7 @@ def _by_index(parts: DataFrame, data: bytes) -> DataFrame:
         for batch in batches:
             keys, owner = [], []
             for i, (h, p) in enumerate(zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True)):
-                own = candidates(h, p, index.lengths)
+                own = candidates(h, p, index.lengths, index.longest)
                 keys += own
                 owner += [i] * len(own)
             found = index.find(keys)
@@ -154,8 +164,10 @@ def _by_index(parts: DataFrame, data: bytes) -> DataFrame:
 def _by_join(parts: DataFrame, rules: DataFrame) -> DataFrame:
     """The same by a join on digests, for rule lists beyond the index's bound."""
     table = rules.select(F.xxhash64("rule").alias("digest"), "rule", F.col("verdict").alias("said"))
-    lengths = table.select((F.octet_length("rule") - F.locate("/", "rule") + 1).alias("n")).distinct()
-    widths = sorted(r["n"] for r in lengths.collect())  # as many as paths of rules have lengths
+    # as many rows as paths of rules have lengths
+    lengths = table.groupBy(F.octet_length(F.substr("rule", F.locate("/", "rule"))).alias("n")).agg(
+        F.max(F.octet_length("rule")).alias("all")).collect()
+    widths, longest = sorted(r.n for r in lengths), max((r["all"] for r in lengths), default=0)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -163,7 +175,7 @@ def _by_join(parts: DataFrame, rules: DataFrame) -> DataFrame:
             for i, (h, p) in zip(batch.column("row").to_pylist(),
                                  zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True),
                                  strict=True):
-                own = candidates(h, p, widths)
+                own = candidates(h, p, widths, longest)
                 row += [i] * len(own)
                 rank += range(len(own))
                 key += [k.decode(errors="replace") for k in own]
@@ -191,12 +203,16 @@ def judge_urls(pages: DataFrame, rules: DataFrame, default: str = "allow",
     null or odd url has an empty host and path and no rule; repeated rows give
     one row each; other columns are ignored.
     """
-    rules = rules.dropDuplicates(["rule", "verdict"])
+    rules = rules.groupBy("rule").agg(F.max("verdict").alias("verdict"), F.count_if(F.coalesce(
+        ~F.col("rule").contains("/") | ~F.col("verdict").isin("allow", "block"), F.lit(True))).alias("bad"))
+    size = rules.agg(F.coalesce(F.sum(F.octet_length("rule") + 17), F.lit(0)).alias("bytes"),
+                     F.min(F.when(F.col("bad") > 0, F.struct("rule", "verdict"))).alias("odd")).first()
+    if size.odd:
+        raise ValueError(f"not a rule: {size.odd.rule!r} {size.odd.verdict!r}")
     parts = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"))
-    total = rules.agg(F.coalesce(F.sum(F.octet_length("rule") + 17), F.lit(0))).first()[0]
-    if total <= max_index_bytes:
-        rows = [(r["rule"], r["verdict"]) for r in rules.orderBy("rule", "verdict").collect()]
+    if size.bytes <= max_index_bytes:
+        rows = [(r["rule"], r["verdict"]) for r in rules.orderBy("rule").collect()]
         found = _by_index(parts, build(rows))
     else:
-        found = _by_join(parts, rules.groupBy("rule").agg(F.max("verdict").alias("verdict")))
+        found = _by_join(parts, rules)
     return found.select("page_id", "host", "path", "rule", F.coalesce("said", F.lit(default)).alias("verdict"))

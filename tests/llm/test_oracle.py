@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     found, want = entry.queries()[name](spark, SF), con.execute(entry.oracle_sql()[name])
     cols = [c[0] for c in want.description]
@@ -25,10 +25,12 @@ def test_query_matches_sql(spark, name):
 
 
 @pytest.mark.skipif(not os.path.exists(SF), reason="driver tables not present")
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op11_spelling"}))
 def test_one_row_for_each_input_row(spark, name):
     found = entry.queries()[name](spark, SF)
     if name == "op2_packing":
         found = found.where("piece = 0")
-    table = "pages" if name == "op7_urls" else "documents"
+    if name == "op12_curve_packing":
+        found = found.where("start = 0")
+    table = {"op7_urls": "pages", "op13_vector_codes": "embeddings"}.get(name, "documents")
     assert found.count() == spark.read.parquet(f"{SF}/{table}.parquet").count()

@@ -118,6 +118,28 @@ def test_urls(spark, most):
     assert {(r.rule, r.verdict) for r in none.collect()} == {(None, "block")}
 
 
+@pytest.mark.parametrize("most", [urlfilter.MAX_INDEX_BYTES, 0])
+def test_long_urls(spark, most):
+    """A megabyte of signs of one and of two units, before the mark, in the host and in the path."""
+    long = "a😀" * 500_000
+    urls = [f"{long}://h/x", f"http://{long}.net/x", f"http://x.org/fr/{long}?q", long, "http://" + "a." * 500_000 + "example.net/en/"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = urlfilter.judge_urls(pages, spark.createDataFrame(RULES, "rule string, verdict string"), max_index_bytes=most)
+    assert {tuple(r) for r in found.collect()} == {(i, *brute_url(u)) for i, u in enumerate(urls)}
+
+
+@pytest.mark.parametrize("most", [urlfilter.MAX_INDEX_BYTES, 0])
+def test_odd_rules(spark, most):
+    pages = spark.createDataFrame([(1, "http://a.net/é/x")], "page_id long, url string")
+    for rule in (("net", "block"), ("net/", "deny"), (None, "block"), ("net/", None)):
+        with pytest.raises(ValueError, match="not a rule"):
+            urlfilter.judge_urls(pages, spark.createDataFrame([("net/", "block"), rule], "rule string, verdict string"),
+                                 max_index_bytes=most)
+    both = [("net/é/", "allow"), ("net/é/", "block"), ("net/é/", "allow"), ("net/", "allow"), ("/", "block")]
+    found = urlfilter.judge_urls(pages, spark.createDataFrame(both, "rule string, verdict string"), max_index_bytes=most)
+    assert found.select("rule", "verdict").collect() == [("net/é/", "block")]
+
+
 def test_colliding_digests_are_told_apart(monkeypatch):
     monkeypatch.setattr(urlfilter.xxhash, "xxh64_intdigest", lambda data, seed: len(data))
     index = urlfilter.Index(np.frombuffer(urlfilter.build([("ab/", "block"), ("cd/", "allow"), ("e/", "block")]), np.uint8))
