@@ -70,3 +70,14 @@ class Remembered(dict):
 def strings(batch: pa.RecordBatch, column: str) -> list[str]:
     """Values of a text column; null counts as the empty text."""
     return [x or "" for x in batch.column(column).to_pylist()]
+
+
+def absent(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores as it takes to be no column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

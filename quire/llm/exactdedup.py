@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..sources.checkpoint import cut
 from . import fuse
-from .common import text_or_empty
+from .common import absent, text_or_empty
 
 #: About so many digests have a filter of their own.
 SHARD_KEYS = 1 << 18
@@ -79,15 +79,17 @@ def screen(groups: DataFrame, known: Snapshot, shard_keys: int = SHARD_KEYS) ->
 
 
 def _byte_checked(matched: DataFrame, docs: DataFrame) -> DataFrame:
-    """The matched digests whose two first texts are the same bytes; fails on any other."""
-    wanted = matched.select("digest", F.explode(F.array("keep_id", "old_id")).alias("doc_id"))
+    """The matched digests whose two texts, one of each side, are the same bytes; fails on any other."""
+    wanted = matched.select("digest", F.posexplode(F.array("keep_id", "old_id")).alias("side", "doc_id"))
     if matched.count() <= BROADCAST_PAIRS:
         wanted = F.broadcast(wanted)
     texts = docs.select("doc_id", normalised().alias("text"), digest().alias("own"))
     found = texts.join(wanted, texts.doc_id.eqNullSafe(wanted.doc_id) & (texts.own == wanted.digest))
-    same = found.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"))
-    return same.select("digest", F.when(F.col("low") == F.col("high"), True).otherwise(
-        F.raise_error(F.lit("texts of one digest differ")).cast("boolean")).alias("same"))
+    same = found.groupBy("digest").agg(F.min("text").alias("low"), F.max("text").alias("high"),
+                                       F.min("side").alias("first"), F.max("side").alias("last"))
+    return same.select("digest", F.when(F.col("first") == F.col("last"), F.raise_error(
+        F.lit("a text to compare is gone"))).when(F.col("low") != F.col("high"), F.raise_error(
+            F.lit("texts of one digest differ"))).otherwise(F.lit(True)).cast("boolean").alias("same"))
 
 
 def merge_batch(known: Snapshot, rows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -137,18 +139,29 @@ def exact_dedup(docs: DataFrame, shard_keys: int = SHARD_KEYS) -> DataFrame:
 
 
 def without_copies(docs: DataFrame) -> DataFrame:
-    """The kept rows of ``docs`` with all their columns."""
+    """The kept rows of ``docs`` with all their columns, whatever their names.
+
+    Of equal texts the row with the smallest doc_id stays, a null doc_id only if
+    there is no other; of repeated rows (same doc_id and text) any one.  A null
+    text is the copy of an empty one.  An empty table stays empty.
+    """
     judged = cut(exact_dedup(docs))
-    own = F.lower(F.hex(digest()))
-    marked = docs.withColumn("__digest", own)
+    own, id_, sha = absent(docs, "digest", "gone_id", "gone_sha")
+    marked = docs.withColumn(own, F.lower(F.hex(digest())))
     # a (doc_id, text) with no kept row goes; where it was there twice, one row stays
     keys = judged.groupBy("doc_id", "text_sha256").agg(
-        F.max("kept").alias("__kept"), F.count(F.lit(1)).alias("__rows"))
-    gone = keys.where(~F.col("__kept")).select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    if judged.where(~F.col("kept")).count() <= BROADCAST_PAIRS:
-        gone = F.broadcast(gone)
-    left = marked.join(gone, marked.doc_id.eqNullSafe(gone["__id"]) & (marked["__digest"] == gone["__sha"]), "left_anti")
-    if not keys.where("__kept and __rows > 1").isEmpty():
-        left = left.groupBy("doc_id", "__digest").agg(
-            F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row")).select("__row.*")
-    return left.drop("__digest")
+        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows")).toDF(id_, sha, "kept", "rows")
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(own) == F.col(sha))
+
+    def matching(which: Column) -> DataFrame:
+        some = keys.where(which).select(id_, sha)
+        return F.broadcast(some) if some.count() <= BROADCAST_PAIRS else some
+
+    left = marked.join(matching(~F.col("kept")), same, "left_anti")
+    repeated = F.col("kept") & (F.col("rows") > 1)
+    if not keys.where(repeated).isEmpty():  # only rows that are there twice move
+        twice = matching(repeated)
+        once = left.join(twice, same, "left_semi").groupBy("doc_id", own).agg(
+            F.first(F.struct(*[F.col(f"`{c}`") for c in left.columns])).alias("row")).select("row.*")
+        left = left.join(twice, same, "left_anti").unionByName(once)
+    return left.drop(own)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.checkpoint import cut
-from .common import byte_slices, strings, text_or_empty
+from .common import absent, byte_slices, strings, text_or_empty
 from .components import components
 
 #: Nodes of a bucket or of a group of pairs that a task compares with each other at once.
@@ -30,18 +30,18 @@ _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 class MinHash:
     """``bands`` of ``rows`` minima find candidates; ``minima`` in all verify them.
 
-    With 24 bands of 5, two sets of similarity 0.85 share no band with
-    probability 8e-7.  ``slack`` is four standard deviations of the share of
-    equal minima at 0.85, so that verification loses 3e-5 of such pairs at most
-    before sets are compared in full.
+    With 24 bands of 5, two sets of similarity 0.80 share no band with
+    probability 7e-5, and of 0.85 with 8e-7.  ``slack`` is four standard
+    deviations of the share of equal minima at 0.80, so that verification loses
+    3e-5 of such pairs at most before sets are compared in full.
     """
 
     words: int = 5
-    percent: int = 85
+    percent: int = 80
     bands: int = 24
     rows: int = 5
     minima: int = 256
-    slack: float = 0.09
+    slack: float = 0.10
     seed: int = 20
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
@@ -322,10 +322,13 @@ def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
 def without_near_copies(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one document of each group.
 
-    A doc_id goes if no row of it is kept; rows without one stay.
+    A doc_id goes if no row of it is kept; rows without one stay, as do empty
+    texts; of a group the smallest doc_id stays, with all its repeated rows.
+    Other columns stay, whatever their names; an empty table stays empty.
     """
+    id_ = absent(docs, "gone_id")[0]
     gone = cut(near_duplicates(docs, how).groupBy("doc_id").agg(F.max("kept").alias("kept")).where(
-        "doc_id is not null and not kept").select(F.col("doc_id").alias("__id")))
+        "doc_id is not null and not kept").select(F.col("doc_id").alias(id_)))
     if gone.count() <= BROADCAST_ROWS:
         gone = F.broadcast(gone)
-    return docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    return docs.join(gone, F.col("doc_id") == F.col(id_), "left_anti")

@@ -73,7 +73,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with shingle similarity of 0.85 or more."""
-    return neardedup.near_duplicates(documents(spark, sf_dir))
+    return neardedup.near_duplicates(documents(spark, sf_dir), neardedup.MinHash(percent=85, slack=0.09))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,14 +10,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.checkpoint import cut
-from .common import text_or_empty
+from ..sources.checkpoint import cut, exists
+from .common import absent, text_or_empty
 
 #: Findings of up to so many bytes are broadcast to documents.
 BROADCAST_FINDINGS = 20_000_000
 #: Bytes that a blob and one of its spans take in a broadcast row.
 _BLOB_BYTES, _SPAN_BYTES = 100, 40
 MASK = "[SECRET]"
+#: Code points of a text's blocks when it is masked.
+MASK_BLOCK = 512
 
 
 @dataclass(frozen=True)
@@ -108,17 +110,23 @@ def scan(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES
 
 
 def ledger_of(docs: DataFrame, rules: tuple[Rule, ...] = RULES, batches: int = 2,
-              ledger: DataFrame | None = None) -> DataFrame:
+              ledger: DataFrame | None = None, path: str | None = None) -> DataFrame:
     """The ledger after all documents, taken in as ``batches`` increments.
 
     Each increment scans what the ones before haven't seen and is written to
-    the shared checkpoint folder.
+    the shared checkpoint folder.  A ledger at ``path`` is read first, and new
+    rows are appended to it; one writer at a time.
     """
-    ledger = empty_ledger(docs.sparkSession) if ledger is None else ledger
+    spark = docs.sparkSession
+    if ledger is None:
+        ledger = spark.read.schema(_LEDGER).parquet(path) if path and exists(spark, path) else empty_ledger(spark)
     versions = docs.select("doc_id", blob().alias("blob"), text_or_empty().alias("text"))
     turn = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
     for k in range(batches):
-        ledger = ledger.unionByName(cut(scan(versions.where(turn == k), ledger, rules)))
+        new = cut(scan(versions.where(turn == k), ledger, rules))
+        if path:
+            new.write.mode("append").parquet(path)
+        ledger = ledger.unionByName(new)
     return ledger
 
 
@@ -128,21 +136,26 @@ def _by_blob(ledger: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     return current.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
 
 
-def _found(docs: DataFrame, rules: tuple[Rule, ...], batches: int) -> DataFrame:
-    found = cut(_by_blob(ledger_of(docs, rules, batches), rules))
-    held = found.agg(F.sum(_BLOB_BYTES + _SPAN_BYTES * F.size("spans").cast("long"))).first()[0] or 0
+def _sized(found: DataFrame, spans: str) -> DataFrame:
+    """``found`` with a broadcast hint if the bytes of its blobs and spans allow it."""
+    held = found.agg(F.sum(_BLOB_BYTES + _SPAN_BYTES * F.size(spans).cast("long"))).first()[0] or 0
     # beyond the bound also against Spark's own guess, which goes by the size of the written files
     return found.hint("broadcast" if held <= BROADCAST_FINDINGS else "merge")
 
 
-def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, batches: int = 2) -> DataFrame:
+def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, batches: int = 2,
+                 ledger_path: str | None = None) -> DataFrame:
     """Rows (doc_id, spans) of every document; spans hold (start, kind, stop), by start and kind.
 
+    With ``ledger_path``, a folder in shared storage, only pairs of blob and rule
+    version that its ledger lacks are scanned and appended; without, the ledger
+    starts empty.
+
     Positions count code points, the stop is exclusive.  A null text counts as
     empty; repeated rows give one row each; a document without findings has an
     empty array; a null doc_id stays null; other columns are ignored.
     """
-    found = _found(docs, rules, batches)
+    found = _sized(cut(_by_blob(ledger_of(docs, rules, batches, path=ledger_path), rules)), "spans")
     return docs.select("doc_id", blob().alias("blob")).join(found, "blob", "left").select(
         "doc_id", F.coalesce("spans", F.expr(f"cast(array() as {_SPAN})")).alias("spans"))
 
@@ -154,31 +167,56 @@ def spelt(spans: Column, rules: tuple[Rule, ...] = RULES) -> Column:
         ":", F.element_at(kinds, s["kind"] + 1), s["start"], s["stop"])), ",")
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """``text`` with each stretch that spans cover replaced by the mask."""
-    start = F.expr("cast(array() as array<struct<start:int,stop:int>>)")
-    joined = F.aggregate(spans, start, lambda done, s: F.when(
-        (F.size(done) > 0) & (F.element_at(done, -1)["stop"] >= s["start"]),
-        F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
-            F.element_at(done, -1)["start"].alias("start"),
-            F.greatest(F.element_at(done, -1)["stop"], s["stop"]).alias("stop"))))).otherwise(
-        F.concat(done, F.array(F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))))
+def gaps(found: DataFrame) -> DataFrame:
+    """(blob, gaps, stop): the stretches that no span of a blob covers, and the end of its last span.
+
+    A gap (start, stop) lies before each span that starts beyond all spans before
+    it.  Spans go one by one through a window over their blob.
+    """
+    each = found.select("blob", F.explode("spans").alias("s")).select("blob", "s.*")
+    before = Window.partitionBy("blob").orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, -1)
+    open_ = each.withColumn("covered", F.max("stop").over(before))
+    gap = F.when(F.col("covered").isNull() | (F.col("start") > F.col("covered")), F.struct(
+        F.coalesce("covered", F.lit(0)).alias("start"), F.col("start").alias("stop")))
+    return open_.groupBy("blob").agg(F.array_sort(F.collect_list(gap)).alias("gaps"), F.max("stop").alias("stop"))
 
-    def pieces(cuts: Column) -> Column:
-        froms = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda c: c["stop"]))
-        tos = F.concat(F.transform(cuts, lambda c: c["start"]), F.array(F.length(text)))
-        return F.array_join(F.zip_with(froms, tos, lambda a, b: F.substring(text, a + 1, b - a)), MASK)
 
-    return _let(joined, pieces)
+def masked(text: Column, gaps_: Column, stop: Column) -> Column:
+    """``gaps_`` of ``text`` and what follows ``stop``, with the mask between them.
+
+    The text is cut into blocks of code points once, so that a gap is put
+    together from its blocks and no piece is looked for from the text's start.
+    """
+    every = F.concat(gaps_, F.array(F.struct(stop.alias("start"), F.length(text).alias("stop"))))
 
+    def piece(blocks: Column, gap: Column) -> Column:
+        first, last = (F.floor(gap[c] / MASK_BLOCK).cast("int") for c in ("start", "stop"))
+        at = gap["start"] - first * MASK_BLOCK + 1
+        head = F.get(blocks, first)
+        tail = F.substring(F.get(blocks, last), F.lit(1), gap["stop"] - last * MASK_BLOCK)
+        return F.when(first == last, F.coalesce(F.substring(head, at, gap["stop"] - gap["start"]), F.lit(""))).otherwise(
+            F.concat(F.substring(head, at, F.lit(MASK_BLOCK)),
+                     F.array_join(F.slice(blocks, first + 2, last - first - 1), ""), F.coalesce(tail, F.lit(""))))
 
-def without_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` with the found stretches of their texts masked and ``n_chars``, if there, set anew."""
-    found = _found(docs, rules, 2).select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans"))
-    marked = docs.withColumn("__own", blob())
-    joined = marked.join(found, marked["__own"] == found["__blob"], "left")
-    hit = F.col("__spans").isNotNull()
-    out = joined.withColumn("text", F.when(hit, masked(F.col("text"), F.col("__spans"))).otherwise(F.col("text")))
+    blocks = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % MASK_BLOCK), F.lit(0))
+    return _let(blocks, lambda b: F.array_join(F.transform(every, lambda g: piece(b, g)), MASK))
+
+
+def without_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, ledger_path: str | None = None) -> DataFrame:
+    """``docs`` with the found stretches of their texts masked and ``n_chars``, if there, set anew.
+
+    Spans that overlap or touch become one mask.  ``ledger_path`` as in
+    :func:`secret_spans`.  A text without findings stays as it is, null or empty
+    ones too; repeated rows stay; other columns stay, whatever their names; an
+    empty table stays empty.
+    """
+    found = cut(gaps(_by_blob(ledger_of(docs, rules, path=ledger_path), rules)))
+    names = absent(docs, "own_blob", "blob", "gaps", "stop")
+    own, blob_, gaps_, stop = names
+    found = _sized(found.select(F.col("blob").alias(blob_), F.col("gaps").alias(gaps_), F.col("stop").alias(stop)), gaps_)
+    joined = docs.withColumn(own, blob()).join(found, F.col(own) == F.col(blob_), "left")
+    hit = F.col(blob_).isNotNull()
+    out = joined.withColumn("text", F.when(hit, masked(F.col("text"), F.col(gaps_), F.col(stop))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(hit, F.length("text").cast(kind)).otherwise(F.col("n_chars")))

@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import types as T
 
-CLASHING = ["digest", "kept", "sequence_id", "offset", "node", "blob", "spans", "key", "part", "row", "rule", "component_id"]
+CLASHING = ["digest", "kept", "sequence_id", "offset", "node", "blob", "spans", "key", "part", "row", "rule", "component_id",
+            "__digest", "__own", "__blob", "__spans", "__id", "__kept", "own_blob", "gaps", "stop", "gone_id", "Gone_SHA"]
 SCHEMA = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()),
      T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())]

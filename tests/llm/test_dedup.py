@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quire.llm import exactdedup, fuse, neardedup
 from quire.llm.components import components
@@ -54,11 +55,33 @@ def test_exact_when_pairs_are_not_broadcast(docs, rows, monkeypatch):
     assert Counter(r.doc_id for r in left.collect()) == Counter(k[0] for k in brute_exact(rows) if k[3])
 
 
-def test_texts_that_differ_under_one_digest_fail(spark):
-    docs = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+def test_texts_that_differ_under_one_digest_fail(spark, monkeypatch):
+    """With a digest that all texts of a length share, equal digests aren't equal texts."""
+    monkeypatch.setattr(exactdedup, "digest", lambda: F.sha2(F.length(exactdedup.normalised()).cast("string"), 256).cast("binary"))
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.when(
+        F.pmod(F.xxhash64("id"), F.lit(2)) == 0, "same").otherwise("text").alias("text"))
+    with pytest.raises(Exception, match="texts of one digest differ"):
+        exactdedup.exact_dedup(docs).collect()
+    same = docs.withColumn("text", F.lit("same"))
+    assert exactdedup.exact_dedup(same).where("kept").count() == 1
+
+
+def test_a_text_that_is_gone_fails(spark):
+    docs = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "doc_id long, text string")
     sha = hashlib.sha256(b"a").digest()
     matched = spark.createDataFrame([(bytearray(sha), 1, 2)], "digest binary, keep_id long, old_id long")
-    assert exactdedup._byte_checked(matched, docs).collect()[0].same
+    with pytest.raises(Exception, match="a text to compare is gone"):
+        exactdedup._byte_checked(matched, docs).collect()
+
+
+@pytest.mark.parametrize("pairs", [exactdedup.BROADCAST_PAIRS, -1])
+def test_repeated_rows_keep_their_columns(spark, pairs, monkeypatch):
+    monkeypatch.setattr(exactdedup, "BROADCAST_PAIRS", pairs)
+    data = [(1, "a  b", "x", 1.5), (1, "a b", "x", 1.5), (2, "a\tb", "y", None), (3, "c", None, 2.0), (None, "c", "z", 2.0), (None, None, "q", None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, __digest string, `odd name` double")
+    left = exactdedup.without_copies(docs).collect()
+    assert sorted(((r.doc_id, r["__digest"], r["odd name"]) for r in left), key=repr) == sorted(
+        [(1, "x", 1.5), (3, None, 2.0), (None, "q", None)], key=repr)
 
 
 def test_without_copies(docs, rows):
@@ -76,7 +99,7 @@ def shingle_set(text):
     return frozenset(tuple(words[i:i + 5]) for i in range(len(words) - 4)) or frozenset([tuple(words)])
 
 
-def brute_near(rows):
+def brute_near(rows, percent=80):
     sets = [shingle_set(t) for _, t in rows]
     head = list(range(len(rows)))
 
@@ -88,7 +111,7 @@ def brute_near(rows):
     for a in range(len(rows)):
         for b in range(a):
             x, y = sets[a], sets[b]
-            if x and 100 * len(x & y) >= 85 * len(x | y):
+            if x and 100 * len(x & y) >= percent * len(x | y):
                 head[find(a)] = find(b)
     least = {}
     for k, (i, _) in enumerate(rows):
@@ -100,9 +123,22 @@ def brute_near(rows):
     return out
 
 
-def test_near(docs, rows):
-    found = Counter(tuple(r) for r in neardedup.near_duplicates(docs).collect())
-    assert found == brute_near(rows)
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near(docs, rows, percent):
+    found = Counter(tuple(r) for r in neardedup.near_duplicates(docs, neardedup.MinHash(percent=percent)).collect())
+    assert found == brute_near(rows, percent)
+
+
+def test_default_is_four_fifths(spark):
+    """Two texts of similarity 0.82 are near copies unless 0.85 is asked for."""
+    words = prose(random.Random(2), 400).split()
+    near = [f"x{k}" if k in (50, 90, 130, 170, 210, 250, 290, 330) else w for k, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(near))]
+    x, y = (shingle_set(t) for _, t in rows)
+    assert 0.80 < len(x & y) / len(x | y) < 0.85
+    docs = frame(spark, rows)
+    assert [r.doc_id for r in neardedup.without_near_copies(docs).collect()] == [1]
+    assert neardedup.without_near_copies(docs, neardedup.MinHash(percent=85)).count() == 2
 
 
 def test_near_chains_and_stragglers(spark, monkeypatch):

@@ -46,5 +46,5 @@ def test_pipeline(spark, rows, labels, tmp_path):
 
 def test_queries_are_registered():
     names = list(entry.queries())
-    assert sum(n.startswith("op") and n[2].isdigit() for n in names) == 10 and "pipeline" in names
+    assert sum(n.startswith("op") and n[2].isdigit() for n in names) == 13 and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
