@@ -10,7 +10,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-import tiktoken
+from tokenizers import Tokenizer
 
 from . import pretoken
 from .common import Remembered, byte_slices, strings
@@ -24,28 +24,34 @@ def _byte_signs() -> dict[str, int]:
 
 
 class Encoder:
-    """Encodes as the file says: added tokens inside a text first, then each pre-token by the merges.
+    """Encodes as the file says: added tokens inside a text first, then each pre-token by the library's model.
 
-    In such files the ids of merged tokens rise in the order of the merges, so
-    that ids serve as ranks; this is checked.
+    A pre-token's ids depend on it alone, so they are remembered; one that isn't
+    goes to the model that the tokenizers library built from the file.
     """
 
     def __init__(self, path: str):
+        library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         kind, model, added = spec["pre_tokenizer"] or {}, spec["model"], spec["added_tokens"]
-        merged = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model.get("merges", ())]
+        # a post-processor adds nothing without special tokens; ignore_merges and the like are the model's own
         if (spec["normalizer"] or model["type"] != "BPE" or kind.get("type") != "ByteLevel" or kind.get("add_prefix_space")
-                or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
-                or merged != sorted(merged) or (merged and merged[0] < 256)):
-            raise ValueError("a byte-level BPE file without normaliser or prefix space, with ids in merge order, is needed")
-        sign = _byte_signs()
+                or not kind.get("use_regex", True) or model.get("dropout") or spec["truncation"] or spec["padding"]
+                or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)):
+            raise ValueError("a byte-level BPE file is needed, without normaliser, prefix space, dropout or truncation")
+        sign = {b: c for c, b in _byte_signs().items()}
+        space, tokenize = sign[32], library.model.tokenize
         self.added = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in added}
-        ranks = {bytes(sign[c] for c in token): i for token, i in model["vocab"].items() if token not in self.added}
-        own = tiktoken.Encoding("own", pat_str=pretoken.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")"
                                    ) if self.added else None
-        self.ids = Remembered(lambda piece: array("I", own.encode_ordinary(piece)).tobytes())
+
+        def merged(piece: str) -> bytes:
+            seen = (piece.replace(" ", space) if piece.isascii() and piece.isprintable()
+                    else "".join([sign[b] for b in piece.encode()]))
+            return array("I", [t.id for t in tokenize(seen)]).tobytes()
+
+        self.ids = Remembered(merged)
 
     def encode(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""

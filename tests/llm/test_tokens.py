@@ -1,11 +1,14 @@
 """Tokens: ids, counts, files and packing against the libraries themselves."""
 
+import json
+import os
 import random
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 import tiktoken
@@ -166,3 +169,24 @@ def test_empty_tables(spark, no_docs, tmp_path):
 def test_encoder_refuses_other_files():
     with pytest.raises(ValueError):
         hftokens.Encoder(P.path("word_bpe_49k.json"))
+
+
+@pytest.mark.parametrize("change", [
+    {"model": {"dropout": 0.1}}, {"pre_tokenizer": {"use_regex": False}}, {"pre_tokenizer": {"add_prefix_space": True}},
+    {"normalizer": {"type": "NFC"}}, {"truncation": {"direction": "Right", "max_length": 5, "strategy": "LongestFirst", "stride": 0}}])
+def test_files_with_other_options_are_refused(tmp_path, change):
+    with open(P.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = json.load(f)
+    for part, options in change.items():
+        spec[part] = (spec[part] or {}) | options
+    (tmp_path / "other.json").write_text(json.dumps(spec))
+    with pytest.raises(ValueError, match="byte-level"):
+        hftokens.Encoder(str(tmp_path / "other.json"))
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="driver tables not present")
+def test_ids_of_a_whole_table_are_the_librarys():
+    own, library = hftokens.encoder(P.path("byte_bpe_50k.json")), Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    texts = [t or "" for t in pq.read_table("/root/testdata/sf0.01/documents.parquet").column("text").to_pylist()]
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert own.encode(text) == np.array(want.ids, "<u4").tobytes()
