@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import text as X
-from . import joins, ordering
+from . import ordering
 
 #: Bits of a text hash: odd factors for joining the hashes of two halves.
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -206,7 +206,7 @@ def explode_paragraphs(books: DataFrame, keep: tuple[str, ...] = ()) -> DataFram
 
 
 def paragraphs(corpus: DataFrame, id_col: str = "id", text_col: str = "text", with_index: bool = True,
-               true_spans: bool = False, broadcast_rows: int = joins.DEFAULT_BROADCAST_ROWS) -> DataFrame:
+               true_spans: bool = False, broadcast_rows: int = ordering.BASE_ROWS) -> DataFrame:
     """Stage 1 output: ``paragraphs, text_ids, spans, chapters,
     paragraphs_index, n_words``.
 
@@ -216,14 +216,24 @@ def paragraphs(corpus: DataFrame, id_col: str = "id", text_col: str = "text", wi
     ``true_spans`` adds ``spans_true`` (actual position; ``spans`` keeps the
     first-occurrence semantics).
     """
-    rows = explode_paragraphs(
+    if not with_index:
+        return _paragraph_rows(corpus, id_col, text_col, true_spans)
+    return paragraphs_counted(corpus, id_col, text_col, true_spans, broadcast_rows)[0]
+
+
+def _paragraph_rows(corpus: DataFrame, id_col: str, text_col: str, true_spans: bool) -> DataFrame:
+    return explode_paragraphs(
         book_paragraph_arrays(corpus, id_col, text_col, keep=ordering.PLACE, true_spans=true_spans),
         keep=ordering.PLACE).drop("_pos", "_k")
-    if not with_index:
-        return rows
-    return ordering.number(rows, K.COL_INDEX, broadcast_rows).select(
+
+
+def paragraphs_counted(corpus: DataFrame, id_col: str = "id", text_col: str = "text", true_spans: bool = False,
+                       broadcast_rows: int = ordering.BASE_ROWS) -> tuple[DataFrame, int]:
+    """:func:`paragraphs` with the index, and their number (the index lies in 0..number-1)."""
+    rows, n = ordering.number_counted(_paragraph_rows(corpus, id_col, text_col, true_spans), K.COL_INDEX, broadcast_rows)
+    return rows.select(
         K.COL_PARAGRAPH, K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER, K.COL_INDEX, K.COL_WORDS,
-        *(["spans_true"] if true_spans else []))
+        *(["spans_true"] if true_spans else [])), n
 
 
 def no_chapterization(corpus: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:

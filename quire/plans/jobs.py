@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -17,27 +17,38 @@ def books_to_paragraphs_df(corpus: DataFrame, catalog_df: DataFrame,
                            languages: Iterable[str] = ("en",)) -> tuple[DataFrame, DataFrame]:
     """Stage 1 as DataFrames: ``(metadata, paragraphs)``; ``corpus`` has places."""
     meta = catalog.extract_metadata(corpus)
+    return meta, paragraphs.paragraphs(_kept(corpus, catalog_df, meta, languages))
+
+
+def _kept(corpus: DataFrame, catalog_df: DataFrame, meta: DataFrame, languages: Iterable[str]) -> DataFrame:
     kept = catalog.kept_books(catalog.merge_catalog(catalog_df, meta), languages)
-    filtered = catalog.filter_corpus(corpus, kept.select("text_id"))
-    return meta, paragraphs.paragraphs(filtered)
+    return catalog.filter_corpus(corpus, kept.select("text_id"))
 
 
 def books_to_paragraphs(spark: SparkSession, corpus_path: str, catalog_path: str,
                         output_file: str, metadata_csv: str | None = None,
-                        languages: Iterable[str] = ("en",)) -> None:
-    """Job 1: corpus + catalog -> paragraph parquet (and metadata CSV)."""
+                        languages: Iterable[str] = ("en",), malformed: str = "raise") -> dict[str, int]:
+    """Job 1: corpus + catalog -> paragraph parquet (and metadata CSV).
+
+    Returns what the same passes counted: ``books`` and ``junk_ids`` of the
+    corpus, ``lines``, ``long_lines`` and ``odd_ids`` of the catalog, and
+    ``paragraphs``.  A catalog line with too many fields fails the job before
+    anything is written, unless ``malformed`` is ``"null"``.
+    """
     if not output_file.endswith(".parquet"):
         raise ValueError("Output file must be in parquet format.")
     corpus = io.read_corpus(spark, corpus_path)
-    cat = io.read_catalog(spark, catalog_path,
-                          partitions=spark.sparkContext.defaultParallelism)
+    books, lines = Observation(), Observation()
+    cat = io.read_catalog(spark, catalog_path, spark.sparkContext.defaultParallelism, malformed, lines)
     with scratch(spark):
-        meta, out = books_to_paragraphs_df(corpus, cat, languages)
+        meta = catalog.extract_metadata(corpus, counts=books)
+        out, n = paragraphs.paragraphs_counted(_kept(corpus, cat, meta, languages))
         if metadata_csv:
             # all corpus rows (before any filter), indexed in corpus order
             rows = catalog.extract_metadata(corpus.select("id", "metadata", *ordering.PLACE), keep=ordering.PLACE)
             io.write_csv_with_index(rows, metadata_csv)
-        io.write_parquet(out, output_file, order_cols=(K.COL_INDEX,))
+        io.write_parquet(out, output_file, order_cols=(K.COL_INDEX,), rows=n)
+    return {**books.get, **lines.get, "paragraphs": n}
 
 
 def paragraphs_to_chunks_df(paras: DataFrame, max_p_length: int, threshold_min: int,
@@ -49,11 +60,17 @@ def paragraphs_to_chunks_df(paras: DataFrame, max_p_length: int, threshold_min:
     ``aggregate.reindex``) and word counts recounted before merging.
     ``max_paragraphs`` keeps only the first rows, if the caller wants that.
     """
+    return _chunks_counted(paras, max_p_length, threshold_min, max_paragraphs, order_cols)[0]
+
+
+def _chunks_counted(paras: DataFrame, max_p_length: int, threshold_min: int, max_paragraphs: int | None = None,
+                    order_cols: str | tuple[str, ...] | None = None) -> tuple[DataFrame, int]:
+    """Stage 2 and the number of its paragraphs; ``agg_order`` lies below it."""
     p, n = aggregate.reindexed(paras, order_cols)
     if max_paragraphs is not None:
         p, n = p.where(F.col(K.COL_INDEX) < F.lit(max_paragraphs)), min(n, max_paragraphs)
     agg = aggregate.aggregate_paragraphs(p, threshold_min, n_rows=n)
-    return chunks.break_paragraphs(agg, max_p_length)
+    return chunks.break_paragraphs(agg, max_p_length), n
 
 
 CHUNK_COLUMNS = (K.COL_PARAGRAPH, K.COL_WORDS, K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER, K.COL_SPLIT)
@@ -69,15 +86,21 @@ def paragraphs_to_chunks(spark: SparkSession, hf_dataset: str | list[str], hf_ou
     """
     paths = [hf_dataset] if isinstance(hf_dataset, str) else list(hf_dataset)
     with scratch(spark):
-        out = paragraphs_to_chunks_df(io.read_paragraphs(spark, *paths), max_p_length, threshold_min, max_paragraphs)
-        write_chunks(out, hf_output, keep_order)
+        write_chunks(io.read_paragraphs(spark, *paths), hf_output, max_p_length, threshold_min, max_paragraphs, keep_order)
 
 
-def write_chunks(out: DataFrame, path: str, keep_order: bool = False) -> None:
-    n = min(ordering.MOST_FILES, int(out.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    out = out.repartitionByRange(n, "agg_order", "piece").sortWithinPartitions("agg_order", "piece")
+def write_chunks(paras: DataFrame, path: str, max_p_length: int, threshold_min: int,
+                 max_paragraphs: int | None = None, keep_order: bool = False) -> None:
+    """Stage 2, written in chunk order.
+
+    A chunk's order is a position among the paragraphs, whose number is known,
+    so ranges are too: the plan runs once, straight into the files.
+    """
+    ranges = ordering.range_count(paras)
+    out, n = _chunks_counted(paras, max_p_length, threshold_min, max_paragraphs)
+    dealt = ordering.dealt_by_position(out, "agg_order", n, "piece", ranges=ranges)
     extra = ("agg_order", "piece") if keep_order else ()
-    io.write_parquet(out.select(*CHUNK_COLUMNS, *extra), path, require_suffix=False)
+    io.write_parquet(dealt.select(*CHUNK_COLUMNS, *extra), path, require_suffix=False)
 
 
 def slice_paragraphs(paras: DataFrame, start: int, stop: int) -> DataFrame:

@@ -152,7 +152,8 @@ def paragraph_table(spark, sf) -> str:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _TABLES or not exists(spark, _TABLES[key]):
         path = shared_path(spark, "paragraphs") + ".parquet"
-        io.write_parquet(paragraphs.paragraphs(_corpus(spark, sf)), path, order_cols=(K.COL_INDEX,))
+        out, n = paragraphs.paragraphs_counted(_corpus(spark, sf))
+        io.write_parquet(out, path, order_cols=(K.COL_INDEX,), rows=n)
         _TABLES[key] = path
     return _TABLES[key]
 
@@ -258,7 +259,8 @@ def chunks_two_tables(spark, sf):
     english = F.col("metadata.language") == "en"
     paths = [f"{base}/a.parquet", f"{base}/b.parquet"]
     for path, part in zip(paths, (c.where(english), c.where(~english)), strict=True):
-        io.write_parquet(paragraphs.paragraphs(part), path, order_cols=(K.COL_INDEX,))
+        out, n = paragraphs.paragraphs_counted(part)
+        io.write_parquet(out, path, order_cols=(K.COL_INDEX,), rows=n)
     return _chunks(jobs.paragraphs_to_chunks_df(io.read_paragraphs(spark, *paths), MAX_LEN, THRESHOLD))
 
 
@@ -273,7 +275,7 @@ def chunk_files(spark, sf) -> str:
     key = (spark.sparkContext.applicationId, f"{sf} chunks")
     if key not in _TABLES or not exists(spark, _TABLES[key]):
         table, path = io.read_paragraphs(spark, paragraph_table(spark, sf)), shared_path(spark, "chunks")
-        jobs.write_chunks(jobs.paragraphs_to_chunks_df(table, MAX_LEN, THRESHOLD), path, keep_order=True)
+        jobs.write_chunks(table, path, MAX_LEN, THRESHOLD, keep_order=True)
         _TABLES[key] = path
     return _TABLES[key]
 

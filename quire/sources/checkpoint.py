@@ -37,15 +37,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a parquet table in the checkpoint folder; read it back.
 
+    ``compression`` is a parquet codec, the session's own if not given.
+
     Cuts the lineage like ``checkpoint()`` but keeps columnar storage, so the
     later passes that need a few columns (counts, keys, word counts) read only
     those columns.
     """
     path = shared_path(df.sparkSession, "cut") + ".parquet"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return df.sparkSession.read.parquet(path)
 
 
