@@ -24,8 +24,9 @@ SEED = 7
 UNIT = 1 << 20
 #: About so many bytes of ids lie in one range of the curve.
 RANGE_BYTES = 32 << 20
-#: One row for each range is broadcast.
+#: One row for each range is broadcast, and one for each cell: the leading bits of the key.
 MOST_RANGES = 50_000
+CELL_BITS = 18
 
 
 @lru_cache(maxsize=2)
@@ -108,12 +109,27 @@ def token_rows(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {id_type}, ids binary, n long, point array<long>")
 
 
+def _ranges(rows: DataFrame, range_bytes: int) -> DataFrame:
+    """(cell, first, parts): the ranges of each cell of the curve, one row a cell.
+
+    Cells are as many leading bits of the key as ``CELL_BITS``; their bytes are
+    summed along the curve and cut every ``range_bytes``.  A cell beyond that,
+    such as one of many copies, has several ranges.
+    """
+    cells = rows.groupBy("cell").agg(F.sum(F.octet_length("ids")).alias("size"))
+    # at most 2 ** CELL_BITS rows
+    before = F.sum("size").over(Window.orderBy("cell")) - F.col("size")
+    return cells.select("cell", F.floor(before / range_bytes).cast("int").alias("first"),
+                        F.ceil(F.col("size") / range_bytes).cast("int").alias("parts"))
+
+
 def along_curve(rows: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """Rows of :func:`token_rows` dealt by ranges of the curve and written in its order.
 
     Adds ``range`` (number of the range) and ``at`` (ids before the row in its
-    range).  Rows of one key, such as copies, are told apart by a row number,
-    so that they spread over as many ranges as they need.
+    range).  Ranges hold about the same number of bytes, however long the
+    documents of a region are; the documents of a cell that needs several are
+    dealt to these by a hash of their row.
     """
     dec = "decimal(38,0)"
     point = [F.col("point")[d] for d in range(DIMS)]
@@ -129,9 +145,12 @@ def along_curve(rows: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
         flat = points.flatten().to_numpy(zero_copy_only=False).reshape(-1, DIMS)
         return pa.array(curve_key(flat, mean, spread))
 
-    ranges = max(1, min(MOST_RANGES, -(-(row.size or 0) // range_bytes)))
-    order = ("curve", "row")
-    dealt = rows.select("doc_id", "ids", "n", key("point").alias("curve"), "row").repartitionByRange(ranges, *order)
+    size = max(range_bytes, -(-(row.size or 0) // MOST_RANGES))
+    keyed = rows.select("doc_id", "ids", "n", key("point").alias("curve"), "row").withColumn(
+        "cell", F.shiftright("curve", BITS * DIMS - CELL_BITS).cast("int"))
+    dealt = keyed.join(F.broadcast(cut(_ranges(keyed, size))), "cell").withColumn(
+        "range", F.col("first") + F.pmod(F.hash("row"), F.col("parts"))).drop("cell", "first", "parts")
+    dealt = dealt.repartitionById((row.size or 0) // size + 2, "range").sortWithinPartitions("curve", "row")
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in dealt.schema.fields)
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,8 +161,7 @@ def along_curve(rows: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
             yield batch.append_column("at", pa.array(stops - n))
             at = int(stops[-1])
 
-    return cut(dealt.sortWithinPartitions(*order).mapInArrow(placed, f"{fields}, at long")
-               .withColumn("range", F.spark_partition_id()))
+    return cut(dealt.mapInArrow(placed, f"{fields}, at long"), "zstd")
 
 
 def tail_ends(full: int, total: int) -> list[int]:
@@ -191,7 +209,7 @@ def pack(docs: DataFrame, path: str, end_id: int, capacity: int = 2048,
     """
     if capacity & (capacity - 1) or capacity < 1:
         raise ValueError("the capacity must be a power of two")
-    rows = cut(token_rows(docs, path, end_id).withColumn("row", F.monotonically_increasing_id()))
+    rows = cut(token_rows(docs, path, end_id).withColumn("row", F.monotonically_increasing_id()), "zstd")
     lain = along_curve(rows, range_bytes)
     # one row a range: the window runs over a row for each range_bytes of ids
     before = lain.groupBy("range").agg(F.sum("n").alias("in_range")).select(
