@@ -7,6 +7,7 @@ whole-stage codegen / JVM expression evaluation; no Python per row.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -128,17 +129,30 @@ def piece_limit(n_words: Column, max_len: Column | int, floor_limit: bool = True
 # A sentence: the shortest stretch up to end punctuation with any closing quotes
 # or brackets, before whitespace and an optional opening quote or bracket with an
 # upper-case letter; else the rest of the text.  Whitespace before it is left out.
-SENTENCE = (
-    "(?s)" + K.WS + "*(.+?(?:[.!?][\"”’')\\]]*(?=" + K.WS + "+[\"“‘'(\\[]?\\p{Lu})|\\z))"
-)
+def _sentence(kept: str) -> str:
+    return "(?s)" + K.WS + "*(.+?(?:[.!?]" + kept + "[\"”’')\\]]*(?=" + K.WS + "+[\"“‘'(\\[]?\\p{Lu})|\\z))"
 
 
-def sentences(p: Column) -> Column:
+SENTENCE = _sentence("")
+
+
+def sentence_pattern(abbreviations: Iterable[str] = ()) -> str:
+    """The pattern of a sentence; a period after a whole word among ``abbreviations`` (in any case) ends none."""
+    words = sorted(set(abbreviations), key=lambda w: (-len(w), w))
+    if not words:
+        return SENTENCE
+    listed = "|".join(f"\\Q{w}\\E" for w in words)
+    return _sentence(f"(?<!(?<![\\p{{L}}\\p{{N}}.])(?iu:{listed})\\.)")
+
+
+def sentences(p: Column, abbreviations: Iterable[str] = ()) -> Column:
     """Paragraph -> array of sentences (whitespace between them dropped).
 
-    The text is stripped first; an empty text has no sentence.
+    The text is stripped first; an empty text has no sentence.  ``abbreviations``
+    are words without their last period, such as ``mr`` or ``e.g``, given by the
+    caller or learned by ``operators.abbreviations``.
     """
-    return F.regexp_extract_all(strip(p), _lit(SENTENCE), F.lit(1))
+    return F.regexp_extract_all(strip(p), _lit(sentence_pattern(abbreviations)), F.lit(1))
 
 
 def trimmed_word_count(p: Column) -> Column:

@@ -13,6 +13,8 @@ packing scan, which is linear where an array fold would be quadratic.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -52,19 +54,21 @@ def _pieces(sents: Column, starts: Column) -> Column:
         F.slice(sents, x["s"] + 1, x["e"] - x["s"]), K.SENTENCE_JOIN))
 
 
-def split_paragraph(p: Column, limit: Column) -> Column:
+def split_paragraph(p: Column, limit: Column, abbreviations: Iterable[str] = ()) -> Column:
     """Paragraph -> array of pieces under ``limit`` words (sentence packing)."""
-    sents = X.sentences(p)
+    sents = X.sentences(p, abbreviations)
     ks = F.transform(sents, lambda s: X.trimmed_word_count(s))
     return _pieces(sents, pack_starts(ks, limit.cast("double")))
 
 
 def break_paragraphs(aggregates: DataFrame, max_p_length: int,
-                     keep: tuple[str, ...] = ("agg_order",), floor_limit: bool = True) -> DataFrame:
+                     keep: tuple[str, ...] = ("agg_order",), floor_limit: bool = True,
+                     abbreviations: Iterable[str] = ()) -> DataFrame:
     """Chunks: ``paragraphs, n_words, text_ids, spans, chapters,
     splitted_paragraphs`` (+ ``keep`` columns and ``piece`` for the order).
 
-    ``floor_limit=False`` uses the unrounded piece limit (same pieces)."""
+    ``floor_limit=False`` uses the unrounded piece limit (same pieces); no
+    sentence ends after ``abbreviations``."""
     if max_p_length <= 0:
         raise ValueError("max_p_length must be positive")
     keep = tuple(c for c in keep if c in aggregates.columns)
@@ -73,7 +77,7 @@ def break_paragraphs(aggregates: DataFrame, max_p_length: int,
     cut = F.col("_nw") >= max_p_length
     d = d.withColumn("_cut", cut)
     # sentences only for rows that are cut; others send an empty array
-    sents = F.when(F.col("_cut"), X.sentences(p)).otherwise(F.array().cast("array<string>"))
+    sents = F.when(F.col("_cut"), X.sentences(p, abbreviations)).otherwise(F.array().cast("array<string>"))
     d = d.withColumn("_sents", sents)
     ks = F.transform("_sents", lambda s: X.trimmed_word_count(s))
     limit = F.when(F.col("_cut"), X.piece_limit(F.col("_nw"), max_p_length, floor_limit)).otherwise(F.lit(0))

@@ -16,11 +16,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.resource import ExecutorResourceRequests, ResourceProfile, ResourceProfileBuilder, TaskResourceRequests
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 EPS = 1e-12
+#: Batches that a task sorts by length at once, and a bound on their code points.
+SORTED_BATCHES, SORTED_CHARS = 8, 1 << 25
 
 
 def unit_vector(v: Column) -> Column:
@@ -63,23 +66,55 @@ def embed_hashing(df: DataFrame, text_col: str = "paragraphs", dim: int = 256,
 
 def embed_with(df: DataFrame, make_encoder: Callable[[], Callable[[list[str]], np.ndarray]],
                text_col: str = "paragraphs", batch_size: int = 2000,
-               out: str = "embedding", normalize: bool = True) -> DataFrame:
+               out: str = "embedding", normalize: bool = True,
+               profile: ResourceProfile | None = None) -> DataFrame:
     """Encode ``text_col`` with a user model in batches (``mapInPandas``).
 
     ``make_encoder`` is called once per task and returns ``encode(texts) ->
-    (n, d) array``; the factory pattern keeps the model out of the closure.
+    (n, d) array``; the factory pattern keeps the model out of the closure.  A
+    task holds ``SORTED_BATCHES`` batches (or ``SORTED_CHARS`` code points) and
+    feeds them by length, so that texts of a batch need little padding; rows come
+    out in the order in which they came.  A null text is encoded as the empty
+    one.  ``profile`` places the tasks: a resource profile that asks for the
+    devices that the model needs (stage-level scheduling), such as
+    :func:`device_profile` makes.
     """
     schema = T.StructType(df.schema.fields + [T.StructField(out, T.ArrayType(T.FloatType()))])
 
+    def encoded(encode: Callable, held: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = pd.concat(held, ignore_index=True)
+        texts = rows[text_col].fillna("")
+        order = np.argsort(texts.str.len().to_numpy(), kind="stable")
+        vectors: list = [None] * len(rows)
+        for lo in range(0, len(rows), batch_size):
+            part = order[lo:lo + batch_size]
+            m = np.asarray(encode([texts.iat[i] for i in part]), dtype=np.float64)
+            if normalize:
+                m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), EPS)
+            for i, row in zip(part, m.astype(np.float32), strict=True):
+                vectors[i] = row
+        rows[out] = vectors
+        return rows
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = make_encoder()
+        encode, held, n, chars = make_encoder(), [], 0, 0
         for pdf in batches:
             for lo in range(0, len(pdf), batch_size):
-                part = pdf.iloc[lo:lo + batch_size].copy()
-                m = np.asarray(encode(part[text_col].fillna("").tolist()), dtype=np.float64)
-                if normalize:
-                    m = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), EPS)
-                part[out] = [row.astype(np.float32) for row in m]
-                yield part
-
-    return df.mapInPandas(run, schema)
+                part = pdf.iloc[lo:lo + batch_size]
+                held.append(part)
+                n, chars = n + len(part), chars + int(part[text_col].str.len().sum())
+                if n >= SORTED_BATCHES * batch_size or chars >= SORTED_CHARS:
+                    yield encoded(encode, held)
+                    held, n, chars = [], 0, 0
+        if held:
+            yield encoded(encode, held)
+
+    return df.mapInPandas(run, schema, profile=profile)
+
+
+def device_profile(device: str = "gpu", per_executor: int = 1, tasks_per_device: int = 1,
+                   discovery_script: str = "") -> ResourceProfile:
+    """A profile whose executors have ``per_executor`` devices, each shared by ``tasks_per_device`` tasks."""
+    executors = ExecutorResourceRequests().resource(device, per_executor, discovery_script)
+    tasks = TaskResourceRequests().cpus(1).resource(device, 1 / tasks_per_device)
+    return ResourceProfileBuilder().require(executors).require(tasks).build

@@ -138,6 +138,18 @@ def files(spark: SparkSession, sf_dir: str) -> str:
     return _FILES[key]
 
 
+def faulty_catalog(spark: SparkSession, sf_dir: str) -> str:
+    """The derived catalog (gzip) with faults: German books have a field too many, French ones an odd id."""
+    lines = derived_catalog(corpus(spark, sf_dir).select(F.col("id").cast("bigint").alias("text_id")))
+    key = F.when(F.col("Language") == "fr", F.concat(F.lit("no. "), F.col("`Text#`").cast("string"))).otherwise(
+        F.col("`Text#`").cast("string"))
+    more = F.when(F.col("Language") == "de", F.lit("one, too many"))
+    path = shared_path(spark, "faulty")
+    lines.withColumn("Text#", key).withColumn("More", more).write.option("header", True).option(
+        "compression", "gzip").csv(path)
+    return path
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived corpus as the reader gives it, with places."""
     return io.read_corpus(spark, f"{files(spark, sf_dir)}/corpus.parquet")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,13 +65,14 @@ def paragraphs_to_chunks_df(paras: DataFrame, max_p_length: int, threshold_min:
 
 
 def _chunks_counted(paras: DataFrame, max_p_length: int, threshold_min: int, max_paragraphs: int | None = None,
-                    order_cols: str | tuple[str, ...] | None = None) -> tuple[DataFrame, int]:
+                    order_cols: str | tuple[str, ...] | None = None,
+                    abbreviations: Iterable[str] = ()) -> tuple[DataFrame, int]:
     """Stage 2 and the number of its paragraphs; ``agg_order`` lies below it."""
     p, n = aggregate.reindexed(paras, order_cols)
     if max_paragraphs is not None:
         p, n = p.where(F.col(K.COL_INDEX) < F.lit(max_paragraphs)), min(n, max_paragraphs)
     agg = aggregate.aggregate_paragraphs(p, threshold_min, n_rows=n)
-    return chunks.break_paragraphs(agg, max_p_length), n
+    return chunks.break_paragraphs(agg, max_p_length, abbreviations=abbreviations), n
 
 
 CHUNK_COLUMNS = (K.COL_PARAGRAPH, K.COL_WORDS, K.COL_TEXT_ID, K.COL_SPANS, K.COL_CHAPTER, K.COL_SPLIT)
@@ -78,26 +80,30 @@ CHUNK_COLUMNS = (K.COL_PARAGRAPH, K.COL_WORDS, K.COL_TEXT_ID, K.COL_SPANS, K.COL
 
 def paragraphs_to_chunks(spark: SparkSession, hf_dataset: str | list[str], hf_output: str,
                          max_p_length: int, threshold_min: int,
-                         max_paragraphs: int | None = None, keep_order: bool = False) -> None:
+                         max_paragraphs: int | None = None, keep_order: bool = False,
+                         abbreviations: Iterable[str] = ()) -> None:
     """Job 2: paragraph parquet (one table or several) -> chunk parquet.
 
     The chunk table has six columns and its files are in chunk order;
-    ``keep_order`` adds ``agg_order`` and ``piece``.
+    ``keep_order`` adds ``agg_order`` and ``piece``.  No sentence ends after
+    ``abbreviations`` (``operators.abbreviations.learned`` finds them).
     """
     paths = [hf_dataset] if isinstance(hf_dataset, str) else list(hf_dataset)
     with scratch(spark):
-        write_chunks(io.read_paragraphs(spark, *paths), hf_output, max_p_length, threshold_min, max_paragraphs, keep_order)
+        write_chunks(io.read_paragraphs(spark, *paths), hf_output, max_p_length, threshold_min, max_paragraphs, keep_order,
+                     abbreviations)
 
 
 def write_chunks(paras: DataFrame, path: str, max_p_length: int, threshold_min: int,
-                 max_paragraphs: int | None = None, keep_order: bool = False) -> None:
+                 max_paragraphs: int | None = None, keep_order: bool = False,
+                 abbreviations: Iterable[str] = ()) -> None:
     """Stage 2, written in chunk order.
 
     A chunk's order is a position among the paragraphs, whose number is known,
     so ranges are too: the plan runs once, straight into the files.
     """
     ranges = ordering.range_count(paras)
-    out, n = _chunks_counted(paras, max_p_length, threshold_min, max_paragraphs)
+    out, n = _chunks_counted(paras, max_p_length, threshold_min, max_paragraphs, None, abbreviations)
     dealt = ordering.dealt_by_position(out, "agg_order", n, "piece", ranges=ranges)
     extra = ("agg_order", "piece") if keep_order else ()
     io.write_parquet(dealt.select(*CHUNK_COLUMNS, *extra), path, require_suffix=False)
@@ -109,12 +115,16 @@ def slice_paragraphs(paras: DataFrame, start: int, stop: int) -> DataFrame:
 
 
 def embed_slice(paras: DataFrame, start: int | None = None, stop: int | None = None,
-                make_encoder: Callable | None = None, batch_size: int = 2000, dim: int = 256) -> DataFrame:
-    """Job 3: embed with unit-length vectors; all rows unless a slice is given."""
+                make_encoder: Callable | None = None, batch_size: int = 2000, dim: int = 256,
+                profile: ResourceProfile | None = None) -> DataFrame:
+    """Job 3: embed with unit-length vectors; all rows unless a slice is given.
+
+    ``profile`` places the tasks of a user's encoder (``embed.device_profile``).
+    """
     if start is not None:
         paras = paras.where(F.col(K.COL_INDEX) >= start)
     if stop is not None:
         paras = paras.where(F.col(K.COL_INDEX) < stop)
     if make_encoder is None:
         return embed.embed_hashing(paras, K.COL_PARAGRAPH, dim)
-    return embed.embed_with(paras, make_encoder, K.COL_PARAGRAPH, batch_size)
+    return embed.embed_with(paras, make_encoder, K.COL_PARAGRAPH, batch_size, profile=profile)

@@ -228,6 +228,25 @@ two AS (
   SELECT * REPLACE (CAST(row_number() OVER (ORDER BY text_ids % 10 <> 0, paragraphs_index) - 1 AS BIGINT) AS paragraphs_index)
   FROM pi),
 {_stage2('2', 'two')},
+head AS (SELECT * FROM pi WHERE paragraphs_index < {Q.HEAD}),
+{_stage2('3', 'head')},
+tk AS (
+  SELECT lower(regexp_replace(t, '[.''’-]*$', '')) AS word, ends_with(t, '.') AS period
+  FROM (SELECT unnest(regexp_extract_all(paragraphs, '[\\p{{L}}\\p{{N}}][\\p{{L}}\\p{{N}}.''’-]*')) AS t FROM pi)
+  WHERE regexp_matches(t, '\\p{{L}}')),
+tc AS (
+  SELECT word, count(*) AS n, count(*) FILTER (period) AS k, CAST(length(replace(word, '.', '')) AS DOUBLE) AS size,
+         length(word) - length(replace(word, '.', '')) AS inside
+  FROM tk GROUP BY word),
+ts AS (SELECT sum(k) / sum(n) AS share FROM tc),
+ab AS (
+  SELECT word, n, k, CASE WHEN share > 0 AND share < 1 THEN
+           2 * ((k * ln(0.99) + (n - k) * ln(1 - 0.99)) - (k * ln(share) + (n - k) * ln(1 - share)))
+           / exp(size) / exp((n - k) * ln(size)) * (1 + inside) END AS score
+  FROM tc, ts WHERE k > 0),
+al AS (
+  SELECT coalesce(string_agg(replace(word, '.', '\\.'), '|' ORDER BY length(word) DESC, word), chr(3)) AS listed FROM (
+    SELECT word FROM ab WHERE score >= {Q.LEARNED} AND length(word) <= 12 ORDER BY score DESC, word LIMIT 500)),
 {_sentence_rows('ps', 'pi WHERE n_words > 0', 'paragraphs_index', 'paragraphs',
                 f'CAST(floor({Q.SPLIT_MAX} / ceil(n_words / {Q.SPLIT_MAX})) AS BIGINT)')},
 {_pack('pp', 'ps')},
@@ -275,6 +294,10 @@ ORACLE = {
     "genre_exclusive": _q('SELECT text_id, "Bookshelves", keep FROM genre'),
     "kept_books": _q('SELECT "Language", text_id, "Bookshelves" FROM kept'),
     "filter_corpus": _q("SELECT id, text FROM corpus WHERE TRY_CAST(trim(id) AS BIGINT) IN (SELECT text_id FROM kept)"),
+    "filter_corpus_screened": _q("SELECT id, text FROM corpus WHERE id IN (SELECT CAST(text_id AS VARCHAR) FROM kept)"),
+    "catalog_faults": _q("""SELECT CASE WHEN "Language" <> 'fr' THEN "Text#" END AS text_id, 'Book ' || "Text#" AS "Title",
+                            "Language", "Bookshelves", CASE "Language" WHEN 'de' THEN 'long' WHEN 'fr' THEN 'id' END AS malformed
+                            FROM catalog"""),
     "normalize_text": _q("SELECT corpus_order AS text_id, norm FROM nb"),
     "split_book": _q("SELECT text_ids, pos, p AS paragraph FROM hd"),
     "headings": _q("SELECT text_ids, pos, h AS heading FROM hd WHERE h <> ''"),
@@ -306,6 +329,15 @@ ORACLE = {
                            SELECT paragraphs_index,
                                   string_split(regexp_replace(trim(paragraphs), """ + SENT_RE + ", " + SENT_REPL +
                     """, 'g'), chr(1)) AS arr FROM pi))"""),
+    "abbreviation_scores": _q("SELECT word, n, k AS n_period, round(score, 6) + CAST(0 AS DOUBLE) AS score FROM ab"),
+    # periods of abbreviations stand aside as chr(2) while the text is cut
+    "sentences_learned": _q("""SELECT paragraphs_index, CAST(pos AS BIGINT) AS pos, replace(s, chr(2), '.') AS sentence FROM (
+                         SELECT paragraphs_index, unnest(arr) AS s, generate_subscripts(arr, 1) - 1 AS pos FROM (
+                           SELECT paragraphs_index, string_split(regexp_replace(regexp_replace(trim(paragraphs),
+                                    '(?i)(^|[^\\p{L}\\p{N}.])(' || listed || ')\\.', '\\1\\2' || chr(2), 'g'), """ + SENT_RE + ", " +
+                            SENT_REPL + """, 'g'), chr(1)) AS arr FROM pi, al))"""),
+    "piece_limit_unrounded": _q(f"SELECT paragraphs_index, n_words, CAST({Q.PIECE_MAX} / ceil(n_words / {Q.PIECE_MAX}) AS DOUBLE) "
+                                "AS piece_limit FROM pi WHERE n_words > 0"),
     "piece_limit": _q(f"SELECT paragraphs_index, n_words, CAST(floor({Q.PIECE_MAX} / ceil(n_words / {Q.PIECE_MAX})) "
                       f"AS BIGINT) AS piece_limit FROM pi WHERE n_words > 0"),
     "split_paragraphs": _q("""SELECT ps.key AS paragraphs_index, CAST(pp.g AS BIGINT) AS piece,
@@ -313,6 +345,9 @@ ORACLE = {
                                      CAST(len(regexp_extract_all(string_agg(ps.s, ' ' ORDER BY ps.j), '\\S+')) AS BIGINT) AS n_words
                               FROM ps JOIN pp USING (key, j) GROUP BY ps.key, pp.g"""),
     "chunks": _q("SELECT * FROM chunks"),
+    "chunks_head": _q("SELECT * FROM chunks3"),
+    "slice_chunks": _q("SELECT * EXCLUDE (agg_order, piece, r) FROM (SELECT *, row_number() OVER (ORDER BY agg_order, piece) - 1 "
+                       f"AS r FROM chunks) WHERE r >= {Q.CHUNK_SLICE[0]} AND r < {Q.CHUNK_SLICE[1]}"),
     "chunks_no_index": _q("SELECT * FROM chunks"),
     "chunks_two_tables": _q("SELECT * FROM chunks2"),
     "chunk_table": _q("SELECT * EXCLUDE (agg_order, piece), "

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions import text as X
-from ..operators import aggregate, catalog, chunks, embed, ordering, paragraphs
+from ..operators import abbreviations, aggregate, catalog, chunks, embed, ordering, paragraphs
 from ..sources import io
 from ..sources.checkpoint import exists, shared_path
 from . import bookview, jobs
@@ -23,6 +23,9 @@ MAX_LEN = 200          # chunk max length (words)
 SPLIT_MAX = 60         # split_paragraphs query: max length
 PIECE_MAX = 17         # piece_limit query: max length
 SLICE = (1000, 3000)   # slice_paragraphs query bounds
+HEAD = 2000            # chunks_head query: first paragraphs of the table
+CHUNK_SLICE = (500, 1500)  # slice_chunks query bounds
+LEARNED = 0.02         # sentences_learned query: least score of an abbreviation
 LANGUAGES = ("en",)
 CONV_THRESHOLD = 150   # conversation merge threshold (words)
 EMBED_DIM = 32         # slots of the hashed vectors in the embedding queries
@@ -90,6 +93,18 @@ def filter_corpus(spark, sf):
     return catalog.filter_corpus(_corpus(spark, sf), kept).select("id", "text")
 
 
+def filter_corpus_screened(spark, sf):
+    """The same with no id broadcast: a Bloom filter screens the corpus where it lies."""
+    kept = kept_books(spark, sf).select("text_id")
+    return catalog.filter_corpus(_corpus(spark, sf), kept, broadcast_rows=-1).select("id", "text")
+
+
+def catalog_faults(spark, sf):
+    """S2: a gzip catalog with lines too long and with odd ids, each marked."""
+    lines = io.read_catalog(spark, bookview.faulty_catalog(spark, sf), malformed="mark")
+    return lines.select(F.col("Text#").alias("text_id"), "Title", "Language", "Bookshelves", "malformed")
+
+
 def normalize_text(spark, sf):
     c = _corpus(spark, sf)
     return c.select(F.col("id").cast("bigint").alias("text_id"), X.normalize_book(F.col("text")).alias("norm"))
@@ -234,6 +249,26 @@ def piece_limit(spark, sf):
     return p.select(K.COL_INDEX, K.COL_WORDS, X.piece_limit(F.col(K.COL_WORDS), PIECE_MAX).alias("piece_limit"))
 
 
+def abbreviation_scores(spark, sf):
+    """X9: how much each word of the paragraphs looks like an abbreviation."""
+    found = abbreviations.period_statistics(paragraphs_indexed_df(spark, sf), K.COL_PARAGRAPH)
+    return found.withColumn("score", F.round("score", 6) + F.lit(0.0))  # no negative zeros
+
+
+def sentences_learned(spark, sf):
+    """X9: sentences that don't end after the abbreviations learned from the same paragraphs."""
+    p = paragraphs_indexed_df(spark, sf)
+    words = abbreviations.learned(p, K.COL_PARAGRAPH, LEARNED)
+    e = p.select(K.COL_INDEX, F.posexplode(X.sentences(F.col(K.COL_PARAGRAPH), words)).alias("pos", "sentence"))
+    return e.select(K.COL_INDEX, F.col("pos").cast("bigint").alias("pos"), "sentence")
+
+
+def piece_limit_unrounded(spark, sf):
+    """X8b: the notebook's limit, without rounding down."""
+    p = paragraphs_indexed_df(spark, sf).where(F.col(K.COL_WORDS) > 0)
+    return p.select(K.COL_INDEX, K.COL_WORDS, X.piece_limit(F.col(K.COL_WORDS), PIECE_MAX, False).alias("piece_limit"))
+
+
 def split_paragraphs(spark, sf):
     p = paragraphs_indexed_df(spark, sf).where(F.col(K.COL_WORDS) > 0)
     lim = X.piece_limit(F.col(K.COL_WORDS), SPLIT_MAX)
@@ -270,6 +305,12 @@ def chunks_no_index(spark, sf):
     return _chunks(jobs.paragraphs_to_chunks_df(table, MAX_LEN, THRESHOLD))
 
 
+def chunks_head(spark, sf):
+    """job 2 over the first paragraphs of the table only, as its caller asks."""
+    table = io.read_paragraphs(spark, paragraph_table(spark, sf))
+    return _chunks(jobs.paragraphs_to_chunks_df(table, MAX_LEN, THRESHOLD, max_paragraphs=HEAD))
+
+
 def chunk_files(spark, sf) -> str:
     """Job 2 over the written paragraph table, written with its order columns once a session."""
     key = (spark.sparkContext.applicationId, f"{sf} chunks")
@@ -286,6 +327,11 @@ def chunk_table(spark, sf):
     return _spans(rows.select(*jobs.CHUNK_COLUMNS, "chunk_row"))
 
 
+def slice_chunks(spark, sf):
+    """a slice of the chunk table by position; the table has no index column."""
+    return _spans(io.read_slice(spark, chunk_files(spark, sf), *CHUNK_SLICE).select(*jobs.CHUNK_COLUMNS))
+
+
 def unit_embeddings(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet")
     u = embed.unit_embeddings(e, "embedding", "unit")
@@ -349,6 +395,8 @@ QUERIES = {
     "genre_exclusive": genre_exclusive,
     "kept_books": kept_books,
     "filter_corpus": filter_corpus,
+    "filter_corpus_screened": filter_corpus_screened,
+    "catalog_faults": catalog_faults,
     "normalize_text": normalize_text,
     "split_book": split_book,
     "headings": headings,
@@ -368,11 +416,16 @@ QUERIES = {
     "conversation_aggregates_tiny_buckets": conversation_aggregates_tiny_buckets,
     "sentences": sentences,
     "piece_limit": piece_limit,
+    "piece_limit_unrounded": piece_limit_unrounded,
+    "abbreviation_scores": abbreviation_scores,
+    "sentences_learned": sentences_learned,
     "split_paragraphs": split_paragraphs,
     "chunks": chunks_q,
+    "chunks_head": chunks_head,
     "chunks_two_tables": chunks_two_tables,
     "chunks_no_index": chunks_no_index,
     "chunk_table": chunk_table,
+    "slice_chunks": slice_chunks,
     "unit_embeddings": unit_embeddings,
     "embed_chunks": embed_chunks,
     "embed_paragraphs": embed_paragraphs,
