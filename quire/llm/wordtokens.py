@@ -67,27 +67,25 @@ class Encoder:
     def _plain(self, text: str) -> bool:
         return _LATE.search(text) is None and not any(a in text for a in self.added)
 
-    def _stretch(self, text: str) -> Iterator[bytes]:
+    def _plain_ids(self, text: str) -> bytes:
+        return b"".join(map(self.pieces.__getitem__, _EARLY.findall(text.lower())))
+
+    def _stretch(self, text: str) -> bytes:
         if self._plain(text):
-            yield from map(self.pieces.__getitem__, _EARLY.findall(text.lower()))
-            return
-        for word in _SPACE.split(text):
-            if self._plain(word):
-                yield from map(self.pieces.__getitem__, _EARLY.findall(word.lower()))
-            else:
-                yield self.words[word]
+            return self._plain_ids(text)
+        return b"".join([self._plain_ids(w) if self._plain(w) else self.words[w] for w in _SPACE.split(text)])
 
     def encode(self, text: str) -> bytes:
         """Little-endian ids, two bytes each if the vocabulary allows it, else four."""
         self.pieces.age()
         self.words.age()
+        if len(text) <= STRETCH:
+            return self._stretch(text)
         out, at = [], 0
         while at < len(text):
-            stop = len(text)
-            if stop - at > STRETCH:
-                space = _SPACE.search(text, at + STRETCH)
-                stop = space.end() if space else stop
-            out += self._stretch(text[at:stop] if at or stop < len(text) else text)
+            space = _SPACE.search(text, at + STRETCH)
+            stop = space.end() if space else len(text)
+            out.append(self._stretch(text[at:stop]))
             at = stop
         return b"".join(out)
 
