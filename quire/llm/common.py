@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text per Arrow batch that a task hands to Python at once.
 SLICE_BYTES = 1 << 20
+#: Bound on the number of hot keys of a join, and the fewest rows of one.
+HOT_KEYS, HOT_LEAST = 50_000, 1000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,3 +83,16 @@ def absent(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def hot_join(rows: DataFrame, table: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table`` (one row for each key, with the number of its rows in ``size``).
+
+    Keys with more than ``total`` / ``HOT_KEYS`` of the ``total`` rows, fewer than
+    ``HOT_KEYS``, meet a broadcast of their table rows, so that no task gets all
+    rows of one; the others are dealt by key.
+    """
+    least = max(HOT_LEAST, total // HOT_KEYS)
+    hot = F.broadcast(table.where(F.col(size) > least))
+    rest = rows.join(hot.select(key), key, "left_anti").join(table.where(F.col(size) <= least), key)
+    return rows.join(hot, key).unionByName(rest)

@@ -6,24 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.checkpoint import cut
+from .common import hot_join
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     """Each node's larger neighbours point to the smallest of it and its neighbours."""
     near = _both_ways(edges)
-    least = near.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return near.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+    least = near.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("size")).select(
+        "u", F.least("u", "m").alias("m"), "size")
+    joined = hot_join(near.where("v > u"), least, "u", "size", 2 * n)
+    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     """Each node and its smaller neighbours point to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
+    least = down.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("size"))
+    moved = hot_join(down, least, "u", "size", n).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v")
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -40,7 +43,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     state = _state(now)
     while True:
-        now = cut(_small_star(_large_star(now)))
+        now = cut(_small_star(_large_star(now, state[0]), state[0]))
         after = _state(now)
         if after == state:
             break

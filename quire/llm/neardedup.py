@@ -12,11 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.checkpoint import cut
-from .common import absent, byte_slices, strings, text_or_empty
+from .common import absent, byte_slices, hot_join, strings, text_or_empty
 from .components import components
 
 #: Nodes of a bucket or of a group of pairs that a task compares with each other at once.
 BLOCK = 512
+#: Bytes of the full sets of a block.
+BLOCK_BYTES = 16 << 20
+#: Further nodes that a bucket of several components is compared with before all its pairs are.
+CENTRES = 3
 #: Up to so many narrow rows (about 24 bytes each) are broadcast to fetch texts or drop rows.
 BROADCAST_ROWS = 500_000
 
@@ -156,7 +160,10 @@ def _sets(docs: DataFrame, nodes: DataFrame, how: MinHash) -> DataFrame:
 def _alike(pairs: DataFrame, classes: DataFrame, how: MinHash) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures allow the similarity asked for."""
     side = classes.select("node", "n_shingles", "sig")
-    both = pairs.join(side.toDF("a", "n_a", "sig_a"), "a").join(side.toDF("b", "n_b", "sig_b"), "b")
+    pairs = cut(pairs)
+    # a centre may have a third of all pairs
+    heads = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("size")).join(side.toDF("a", "n_a", "sig_a"), "a")
+    both = hot_join(pairs, heads, "a", "size", pairs.count()).join(side.toDF("b", "n_b", "sig_b"), "b")
     both = both.where((100 * F.least("n_a", "n_b") >= how.percent * F.greatest("n_a", "n_b")))
     least = how.percent / 100 - how.slack
 
@@ -171,13 +178,20 @@ def _alike(pairs: DataFrame, classes: DataFrame, how: MinHash) -> DataFrame:
     return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
 
 
+def _parts(rows: DataFrame, key: str) -> DataFrame:
+    """(key, parts, size): blocks that the nodes of a key are cut into, by their number and the bytes of their sets."""
+    return rows.groupBy(key).agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n_shingles") * 8 / BLOCK_BYTES)).cast("int").alias("parts"),
+        F.count(F.lit(1)).alias("size"))
+
+
 def _starred(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs (a, b) as tasks (task, a[], b[]) of blocks of nodes with the same label.
 
     The set of a node with many pairs then goes to a task once for a block of them.
     """
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(labels, "node")
-    parts = ends.groupBy("label").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    parts = _parts(ends, "label").select("label", "parts")
     spots = cut(ends.join(parts, "label").select(
         "node", F.xxhash64("label", F.pmod(F.xxhash64("node"), F.col("parts"))).alias("spot")))
     dealt = pairs.join(spots.toDF("a", "spot_a"), "a").join(spots.toDF("b", "spot_b"), "b")
@@ -230,12 +244,11 @@ def _apart(members: DataFrame, classes: DataFrame, sizes: DataFrame, how: MinHas
     pair in several buckets comes from its first band only; the likest first.
     """
     least = how.percent / 100 - how.slack
-    blocks = sizes.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts"))
-    rows = members.join(blocks, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    rows = hot_join(members, sizes, "key", "size", members.count()).withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     p, q = F.least("own", "other"), F.greatest("own", "other")
     rows = rows.select(F.xxhash64("key", p, q).alias("task"), "key", "band", p.alias("p"), q.alias("q"),
-                       "own", "node", "component")
+                       "own", "node", "component")  # n_shingles comes with the signature
     # two blocks need a signature, and half of each band's key to know the first band
     side = classes.select("node", "n_shingles", "sig", F.transform(
         "bands", lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("short"))
@@ -274,10 +287,12 @@ def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
 
     Documents with the same set of shingles are one node.  Nodes that share a
     band's bucket are candidates.  First each is compared with its bucket's
-    smallest node; the links confirmed on full sets give components.  Then,
-    in buckets that still hold several components, all pairs between different
-    ones are compared by signature, in blocks, and the like ones on full sets.
-    Pairs inside a component need no further link.
+    smallest node; the links confirmed on full sets give components.  Where a
+    bucket still holds several, the nodes of the others are compared with one
+    more of its nodes and components are made anew, ``CENTRES`` times.  In
+    buckets that hold several even then, all pairs between different components
+    are compared by signature, in blocks, and the like ones on full sets.  Pairs
+    inside a component need no further link.
 
     ``component_id`` is the smallest doc_id that links reach and ``kept`` says
     whether it is the row's own.  A null text counts as empty; a document
@@ -290,21 +305,37 @@ def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
         F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"),
         F.first(F.struct("doc_id", "text_hash")).alias("row"), F.first("sig").alias("sig")).withColumn("node", F.monotonically_increasing_id()))
     every = classes.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = every.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    members = cut(every.join(buckets, "key"))
+    buckets = cut(every.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1"))
+    members = cut(hot_join(every, buckets, "key", "size", how.bands * classes.count()))
     nodes = classes.select("node", "rep", "set_key", "row")
-    labels = cut(members.groupBy("node").agg(F.min("centre").alias("label")))
+    labels = cut(members.groupBy("node").agg(F.min("centre").alias("label")).join(classes.select("node", "n_shingles"), "node"))
 
-    stars = cut(_alike(members.where("node != centre").select(
-        F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), classes, how))
-    links = cut(_linked(cut(_starred(stars, labels)), nodes, docs, how))
-    found = cut(components(links.toDF("u", "v")))
+    def linked(pairs: DataFrame) -> DataFrame:
+        return cut(_linked(cut(_starred(cut(_alike(pairs.distinct(), classes, how)), labels)), nodes, docs, how))
 
-    placed = members.where("size > 2").join(found, "node", "left").select(
-        "key", "band", "node", F.coalesce("component", "node").alias("component"))
-    mixed = placed.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    rest = cut(_apart(placed, classes, mixed, how))
+    links = linked(members.where("node != centre").select(F.col("centre").alias("a"), F.col("node").alias("b")))
+    found = cut(components(links.toDF("u", "v")))
+    for turn in range(CENTRES):
+        placed = cut(members.where("size > 2").join(found, "node", "left").select(
+            "key", "band", "node", F.coalesce("component", "node").alias("component")))
+        # another node of each bucket that still holds several components, against those of the others
+        spot = F.xxhash64("node", F.lit(turn))
+        centres = cut(placed.groupBy("key").agg(
+            F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"),
+            F.min_by(F.struct("node", "component"), spot).alias("c")).where("low != high").select(
+            "key", "size", F.col("c.node").alias("centre"), F.col("c.component").alias("own")))
+        if centres.isEmpty():
+            break
+        pairs = hot_join(placed, centres, "key", "size", placed.count()).where("component != own").select(
+            F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+        more = linked(pairs)
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            found = cut(components(links.toDF("u", "v")))
+    placed = cut(members.where("size > 2").join(found, "node", "left").join(classes.select("node", "n_shingles"), "node").select(
+        "key", "band", "node", "n_shingles", F.coalesce("component", "node").alias("component")))
+    several = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    rest = cut(_apart(placed, classes, cut(_parts(placed, "key").join(several.select("key"), "key")), how))
     more = cut(_linked(rest, nodes, docs, how))
     if not more.isEmpty():
         found = components(links.unionByName(more).toDF("u", "v"))
