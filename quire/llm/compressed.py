@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -10,19 +9,23 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.checkpoint import cut
 from .common import byte_slices, strings, text_or_empty
-from .labelled import held_out, sample
+from .labelled import held_out, sample, weighted
 
-#: Labelled texts of each class, and code points of each, that the model is fitted on.
-PER_CLASS, MOST_CHARS = 4000, 8192
+#: Labelled texts of each class that the model is fitted on.
+PER_CLASS = 4000
 #: Bytes of a dictionary, of a training segment, and of a segment that is scored.
 DICTIONARY, TRAIN_SEGMENT, SEGMENT = 112_640, 1024, 512
-#: Training segments of a dictionary at most.
-TRAIN_SEGMENTS = 8000
+#: Segments that the driver trains a dictionary on, 8 MB.
+DICTIONARY_SEGMENTS = 8000
+#: Numbers that the calibration sees of a text.
+SIZES = 6
 LEVEL = 3
 
 
@@ -66,9 +69,7 @@ def sizes(text: str, good: bytes, bad: bytes) -> list[float]:
     return [(b.sum() - g.sum()) / (b.sum() + g.sum()), ratio, ratio ** 2, ((b - g) / (b + g)).min(), each, each ** 2]
 
 
-def _dictionary(texts: list[str], rng: np.random.Generator) -> bytes:
-    parts = [p for t in texts for p in _segments(t, TRAIN_SEGMENT)]
-    parts = [parts[i] for i in rng.permutation(len(parts))[:TRAIN_SEGMENTS]]
+def _dictionary(parts: list[bytes]) -> bytes:
     total = sum(map(len, parts))
     try:
         return zstandard.train_dictionary(max(256, min(DICTIONARY, total // 2)), parts).as_bytes()
@@ -76,6 +77,49 @@ def _dictionary(texts: list[str], rng: np.random.Generator) -> bytes:
         return b"".join(parts)[-DICTIONARY:] or b" "
 
 
+def own_texts(rows: DataFrame) -> DataFrame:
+    """(doc_id, quality, text): texts without the lines that several of them have.
+
+    Such lines (licences, quoted passages) say nothing of either class.
+    """
+    lines = rows.select("doc_id", "quality", F.posexplode(F.split("text", "\n", -1)).alias("at", "line")).withColumn(
+        "key", F.xxhash64("line"))
+    once = lines.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low = high")
+    own = lines.join(once.select("key"), "key").groupBy("doc_id", "quality").agg(
+        F.sort_array(F.collect_list(F.struct("at", "line"))).alias("lines"))
+    return own.select("doc_id", "quality", F.array_join(F.col("lines.line"), "\n").alias("text"))
+
+
+def segments(rows: DataFrame) -> DataFrame:
+    """(quality, turn, segment) of whole texts, cut in the tasks; ``turn`` is a hash of the segment and its place."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text"):
+            for quality, text in zip(batch.column("quality").to_pylist(), strings(batch, "text"), strict=True):
+                parts = _segments(text, TRAIN_SEGMENT)
+                turns = [xxhash.xxh3_64_intdigest(p, seed=i & 0xFFFF) >> 1 for i, p in enumerate(parts)]
+                yield pa.RecordBatch.from_arrays([pa.array([quality] * len(parts), pa.int32()), pa.array(turns, pa.int64()),
+                                                  pa.array(parts, pa.binary())], ["quality", "turn", "segment"])
+
+    return rows.select(F.col("quality").cast("int").alias("quality"), "text").mapInArrow(
+        run, "quality int, turn long, segment binary")
+
+
+def measured(rows: DataFrame, good: bytes, bad: bytes) -> pd.DataFrame:
+    """(chance, doc_id, quality, s0 .. s5): the sizes of whole texts, made in the tasks; only numbers reach the driver."""
+    names = [f"s{i}" for i in range(SIZES)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in byte_slices(batches, "text"):
+            found = np.array([sizes(t, good, bad) for t in strings(batch, "text")]).reshape(-1, SIZES)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *(pa.array(c) for c in found.T)],
+                                             [*batch.schema.names[:3], *names])
+
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.select("chance", "doc_id", "quality").schema.fields]
+    found = rows.select("chance", "doc_id", "quality", "text").mapInArrow(run, ", ".join([*kinds, *(f"{n} double" for n in names)]))
+    return found.toPandas().sort_values(["chance", "doc_id"]).reset_index(drop=True)
+
+
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, counts: np.ndarray | None = None) -> np.ndarray:
     """Weights (bias first) by Newton steps, halved until the loss falls; a row counts ``counts`` times (else once)."""
     counts = np.ones(len(x)) if counts is None else counts
@@ -99,32 +143,36 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, counts: np.ndarr
     return w
 
 
-def fit(rows: pd.DataFrame, seed: int = 4) -> Model:
-    """A model of rows (quality, text, perhaps weight): dictionaries from three fifths of them, calibration on the others.
-
-    Dictionaries learn only from lines that no other text of the sample has.
-    """
-    rng = np.random.default_rng(seed)
-    rows = rows[rows.text.str.len() > 0].reset_index(drop=True)
-    part = np.zeros(len(rows), bool)
-    for q in (0, 1):
-        at = np.flatnonzero(rows.quality == q)
-        part[rng.permutation(at)[:max(1, len(at) * 3 // 5)]] = True
-    # lines that several texts share (licences, quoted passages) say nothing of either class
-    lines = Counter(line for t in rows.text for line in set(t.split("\n")))
-    own = rows.text.map(lambda t: "\n".join(x for x in t.split("\n") if lines[x] == 1))
-    good, bad = (_dictionary(own[part & (rows.quality == q)].tolist(), rng) for q in (1, 0))
-    rest = rows[~part] if (~part).any() else rows
-    if not len(rest):
-        return Model(good, bad, (0.0,) * 6, (1.0,) * 6, (0.0,) * 7)
-    x = np.array([sizes(t, good, bad) for t in rest.text])
-    counts = rest.weight.to_numpy(float) if "weight" in rest else np.ones(len(rest))
+def calibrated(good: bytes, bad: bytes, x: np.ndarray, quality: np.ndarray, counts: np.ndarray) -> Model:
+    """The model whose scores are a logistic function of the sizes ``x`` of labelled texts."""
+    if not len(x):
+        return Model(good, bad, (0.0,) * SIZES, (1.0,) * SIZES, (0.0,) * (SIZES + 1))
     mean = np.average(x, axis=0, weights=counts)
     scale = np.sqrt(np.average((x - mean) ** 2, axis=0, weights=counts)) + 1e-6
-    w = _logistic((x - mean) / scale, rest.quality.to_numpy(float), counts=counts)
+    w = _logistic((x - mean) / scale, quality, counts=counts)
     return Model(good, bad, tuple(mean), tuple(scale), tuple(w))
 
 
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
+    """Dictionaries from three fifths of a sample of labelled texts, calibration on the others; both on whole texts.
+
+    A dictionary is a digest of its texts' own lines: it is trained on
+    ``DICTIONARY_SEGMENTS`` segments that a hash chooses evenly from all of them.
+    """
+    rows = cut(sample(docs, labels, per_class).where("text != ''"))
+    taught = F.pmod(F.xxhash64("doc_id", F.lit("dictionary")), F.lit(5)) < 3
+    parts = cut(segments(own_texts(rows.where(taught))))
+    chosen_ = [[bytes(r.segment) for r in parts.where(F.col("quality") == q).orderBy("turn", "segment").limit(
+        DICTIONARY_SEGMENTS).select("segment").collect()] for q in (1, 0)]
+    good, bad = map(_dictionary, chosen_)
+    rest = measured(rows.where(~taught), good, bad)
+    if not len(rest):
+        rest = measured(rows, good, bad)
+    rest = weighted(rest, labels) if len(rest) else rest.assign(weight=1.0)
+    return calibrated(good, bad, rest[[f"s{i}" for i in range(SIZES)]].to_numpy(float), rest.quality.to_numpy(float),
+                      rest.weight.to_numpy(float))
+
+
 def score(texts: list[str], model: Model) -> np.ndarray:
     """Probability of label 1; an empty text gets 0."""
     full = [i for i, t in enumerate(texts) if t]
@@ -136,8 +184,8 @@ def score(texts: list[str], model: Model) -> np.ndarray:
     return out
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, cutoff: float = 0.7, per_class: int = PER_CLASS,
-                   most_chars: int = MOST_CHARS) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, cutoff: float = 0.7,
+                   per_class: int = PER_CLASS) -> DataFrame:
     """Rows (doc_id, held_out, score, predicted) of every whole text.
 
     The model is fitted on a bounded sample of the labelled rows that aren't
@@ -145,7 +193,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, cutoff: float = 0.7, per_
     of a class its dictionary is blank.  A null text counts as empty and scores
     0; repeated rows give one row each; other columns are ignored.
     """
-    model = fit(sample(docs, labels, per_class, most_chars))
+    model = fit(docs, labels, per_class)
     rows = docs.select("doc_id", text_or_empty().alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,4 +1,4 @@
-"""Bounded samples of labelled texts, to fit the classifiers on."""
+"""Samples of labelled texts, bounded in rows, to fit the classifiers on."""
 
 from __future__ import annotations
 
@@ -39,19 +39,12 @@ def weighted(rows: pd.DataFrame, labels: DataFrame) -> pd.DataFrame:
     return rows.assign(weight=rows.quality.map(share).astype(float))
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int, most_chars: int) -> pd.DataFrame:
-    """At most ``per_class`` texts of each quality label (0, 1) that isn't held out, in a fixed order, with weights.
+def sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
+    """(chance, doc_id, quality, text): the whole texts of at most ``per_class`` ids of each quality label (0, 1).
 
-    Rows are chosen by a hash of doc_id.  Of a text longer than ``most_chars``
-    a stretch of that length counts, from a place that the hash chooses, so that
-    the driver holds 2 * per_class * most_chars code points at most.  Only the
-    fit uses stretches.
+    Ids are chosen by a hash, none of them held out; of rows with the same id the
+    least text counts.  So there are 2 * per_class rows, of any length, which
+    stay in the tasks.
     """
-    text = text_or_empty()
-    length = F.length(text)
-    start = F.pmod("chance", F.greatest(length - most_chars, F.lit(1))) + 1
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen(labels, per_class)), "doc_id").select(
-        "chance", "doc_id", "quality",
-        F.when(length > most_chars, F.substring(text, start.cast("int"), F.lit(most_chars))).otherwise(text).alias("text"))
-    found = rows.toPandas().sort_values(["chance", "doc_id", "text"]).drop_duplicates("doc_id").reset_index(drop=True)
-    return weighted(found, labels)
+    rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen(labels, per_class)), "doc_id")
+    return rows.groupBy("chance", "doc_id", "quality").agg(F.min("text").alias("text"))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import byte_slices, strings, text_or_empty
-from .labelled import chosen, weighted
+from .labelled import sample, weighted
 from .trees import Forest, train
 
 #: Labelled texts of each class that the trees are grown on, by the statistics of each whole text.
@@ -139,8 +139,7 @@ def sampled(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> p
 
     The counts are of whole texts and made where those are read; only numbers reach the driver.
     """
-    rows = docs.select("doc_id", text_or_empty().alias("text")).join(
-        F.broadcast(chosen(labels, per_class)), "doc_id").select("chance", "doc_id", "quality", "text")
+    rows = sample(docs, labels, per_class)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):
@@ -151,7 +150,7 @@ def sampled(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> p
 
     kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[:3]]
     found = rows.mapInArrow(run, ", ".join([*kinds, *(f"{c} long" for c in COUNTS)])).toPandas()
-    return weighted(found.sort_values(["chance", "doc_id", *COUNTS]).drop_duplicates("doc_id").reset_index(drop=True), labels)
+    return weighted(found.sort_values(["chance", "doc_id"]).reset_index(drop=True), labels)
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Forest:

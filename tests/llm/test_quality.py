@@ -1,13 +1,14 @@
 """Quality classifier and rules: held-out accuracy, brute force, monotonic trees."""
 
+import math
 import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import pytest
+import zstandard
 
 from quire.llm import compressed, labelled, qualityrules, trees
 
@@ -36,11 +37,50 @@ def known(spark):
 
 def test_samples_hold_nothing_out(known):
     rows, docs, labels = known
-    got = labelled.sample(docs, labels, 40, 50)
-    assert Counter(got.quality) == {0: 40, 1: 40}
-    assert got.text.str.len().max() <= 50
-    assert all(zlib.crc32(str(i).encode()) % 4 != 2 for i in got.doc_id)
-    assert got.equals(labelled.sample(docs.repartition(7), labels, 40, 50))
+    got = labelled.sample(docs.unionByName(docs), labels, 40).collect()  # repeated rows count once
+    assert Counter(r.quality for r in got) == {0: 40, 1: 40} and len({r.doc_id for r in got}) == 80
+    assert all(r.text == dict((i, t) for i, t, _ in rows)[r.doc_id] for r in got)
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 4 != 2 for r in got)
+    assert set(got) == set(labelled.sample(docs.repartition(7), labels, 40).collect())
+
+
+def brute_score(text, model):
+    """Sizes and score of a whole text, with the library's compressor and plain loops."""
+    if not text:
+        return 0.0
+    data = text.encode()
+    parts = [data[i:i + 512] for i in range(0, len(data), 512)]
+    g, b = [[len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_checksum=False,
+                                          write_content_size=False, write_dict_id=False).compress(p)) for p in parts]
+            for d in (model.good, model.bad)]
+    ratio = math.log(((sum(g) + sum(b)) + 2) / 2 / (len(data) + 8))
+    least = min(256, max(map(len, parts)))
+    each = min(math.log((x + y) / 2 / (len(p) + 8)) for x, y, p in zip(g, b, parts) if len(p) >= least)
+    x = [(sum(b) - sum(g)) / (sum(b) + sum(g)), ratio, ratio ** 2, min((y - x) / (x + y) for x, y in zip(g, b)), each, each ** 2]
+    z = model.weights[0] + sum(w * (v - m) / s for w, v, m, s in zip(model.weights[1:], x, model.mean, model.scale, strict=True))
+    return 1 / (1 + math.exp(-max(-50, min(50, z))))
+
+
+def test_scores_are_those_of_whole_texts(known, spark):
+    rows, docs, labels = known
+    model = compressed.fit(docs, labels)
+    assert model == compressed.fit(docs.repartition(3), labels)  # whatever the partitions
+    long = [(1000, " ".join(t for _, t, q in rows if q)), (1001, "é" * 5000), (1002, ""), (1003, "x"), (1004, None)]
+    every = docs.unionByName(frame(spark, long))
+    text = {i: t for i, t, _ in rows} | dict(long)
+    for r in compressed.quality_scores(every, labels).collect():
+        assert math.isclose(r.score, brute_score(text[r.doc_id], model), abs_tol=1e-9)
+
+
+def test_dictionaries_learn_from_whole_texts_and_own_lines(spark):
+    """Segments come from all of a long text, and none from a line that two texts share."""
+    rng = random.Random(4)
+    shared = "licence " * 30
+    rows = [(i, "\n".join([prose(rng, 2000 if i == 3 else 60), shared, f"last {i}"]), 1) for i in range(40)]
+    found = compressed.segments(compressed.own_texts(spark.createDataFrame(rows, "doc_id long, text string, quality int"))).collect()
+    whole = b"".join(bytes(r.segment) for r in found)
+    assert b"licence" not in whole
+    assert len(whole) == sum(len(t.replace(shared + "\n", "").encode()) for _, t, _ in rows)
 
 
 def test_classifier(known):
@@ -131,8 +171,10 @@ def test_repeated_words_with_many_words():
     assert qualityrules.repeated_words([b"a"] * 2) == 0
 
 
-def test_model_of_few_rows():
-    model = compressed.fit(pd.DataFrame({"quality": [1, 0], "text": ["good text", "### bad"]}))
+def test_model_of_few_rows(spark):
+    docs = spark.createDataFrame([(1, "good text"), (3, "### bad"), (5, None), (5, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (3, 0), (5, 1), (7, 0)], "doc_id long, quality int")
+    model = compressed.fit(docs, labels)
     assert compressed.score(["", "x"], model)[0] == 0
 
 
@@ -199,7 +241,7 @@ def test_scores_mean_the_same_when_the_sample_is_bounded(spark):
     free = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2]
     share = np.mean([i % 6 != 0 for i in free])
     for most in (40, 4000):
-        got = labelled.sample(docs, labels, most, 8192)
+        got = qualityrules.sampled(docs, labels, most)
         assert np.isclose(got.weight.mean(), 1)
         assert np.isclose(got.weight[got.quality == 1].sum() / got.weight.sum(), share)
         forest = qualityrules.fit(docs, labels, most)
