@@ -54,9 +54,13 @@ def word_count(p: Column) -> Column:
     return F.when(p == "", F.lit(0)).otherwise(n).cast("bigint")
 
 
+def heading_or_empty(p: Column) -> Column:
+    return F.regexp_extract(p, K.HEADING_PATTERN, 0)
+
+
 def heading(p: Column) -> Column:
     """Matched heading text of a stripped paragraph, or NULL."""
-    return F.nullif(F.regexp_extract(p, K.HEADING_PATTERN, 0), _lit(""))
+    return F.nullif(heading_or_empty(p), _lit(""))
 
 
 def no_chapterization(norm: Column) -> Column:
@@ -66,7 +70,8 @@ def no_chapterization(norm: Column) -> Column:
 
 def is_all_upper(p: Column) -> Column:
     """``str.isupper()``: one upper-case char and no lower/title-case char."""
-    return p.rlike(r"\p{IsUppercase}") & ~p.rlike(r"[\p{IsLowercase}\p{IsTitlecase}]")
+    # the usual case stops after the first test
+    return ~p.rlike(r"[\p{IsLowercase}\p{IsTitlecase}]") & p.rlike(r"\p{IsUppercase}")
 
 
 def inclusion_flags(p: Column, n_words: Column) -> dict[str, Column]:
@@ -78,9 +83,7 @@ def inclusion_flags(p: Column, n_words: Column) -> dict[str, Column]:
     return {
         "more_three_words": n_words > K.MIN_WORDS,
         "not_dialog": (n_words > K.DIALOGUE_MAX_WORDS) | ~quoted,
-        # not isupper(): has a lower/title-case char, or no upper-case char;
-        # the usual case stops after the first test
-        "not_all_upper": p.rlike(r"[\p{IsLowercase}\p{IsTitlecase}]") | ~p.rlike(r"\p{IsUppercase}"),
+        "not_all_upper": ~is_all_upper(p),
         "not_footnote": ~low.rlike(K.FOOTNOTE_PATTERN),
         "not_transcriber": ~low.rlike(K.TRANSCRIBER_PATTERN),
         "not_illustration": ~low.rlike(K.ILLUSTRATION_PATTERN),

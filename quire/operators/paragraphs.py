@@ -133,7 +133,7 @@ def book_parts(corpus: DataFrame, id_col: str = "id", text_col: str = "text",
     b = b.select("*", X.split_paragraphs(F.col("_norm")).alias("_raw"), X.no_chapterization(F.col("_norm")).alias("_nochap"))
     b = b.select("*", F.transform("_raw", lambda x: F.trim(x)).alias("_ps"), F.transform("_raw", F.length).alias("_lens"),
                  F.transform("_raw", lambda x: F.length(x) - F.length(F.ltrim(x))).alias("_leads")).drop("_raw")
-    b = b.withColumn("_hs", F.transform("_ps", lambda x: F.regexp_extract(x, K.HEADING_PATTERN, 0)))
+    b = b.withColumn("_hs", F.transform("_ps", X.heading_or_empty))
     n = F.size("_ps")
     # headings with their positions, then where each heading's run ends
     heads = F.filter(F.arrays_zip(F.sequence(F.lit(0), n - 1).alias("i"), F.col("_hs").alias("h")),

@@ -2,10 +2,10 @@
 
 import numpy as np
 import pytest
+from greedy_model import bucketed_groups, sequential_groups
 from pyspark.sql import functions as F
 
 from quire.operators import aggregate as A
-from quire.operators import greedy as G
 from quire.operators import ordering
 from quire.plans import queries as Q
 from quire.sources import io
@@ -82,7 +82,7 @@ def test_greedy_bucketed_equals_sequential():
         n = rng.integers(0, 10, size)
         new = rng.random(size) < rng.choice([0.0, 0.1, 0.4])
         limit, bucket, block = int(rng.integers(0, 20)), int(rng.integers(1, 10)), int(rng.integers(1, 5))
-        assert (G.sequential_groups(new, n, limit) == G.bucketed_groups(new, n, limit, bucket, block)).all()
+        assert (sequential_groups(new, n, limit) == bucketed_groups(new, n, limit, bucket, block)).all()
 
 
 def test_hot_segment_split_over_buckets(spark):
