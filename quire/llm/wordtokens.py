@@ -27,6 +27,8 @@ _EARLY = re.compile(f"[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{_NUMBERS}]|[^{_BLANK
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Code points of a text that are split at once.
 STRETCH = 1 << 20
+#: Pre-tokens that a task remembers, of about 200 bytes each.
+PIECES = 1 << 19
 
 
 class Encoder:
@@ -60,7 +62,7 @@ class Encoder:
             seen = piece if piece.isascii() and piece.isprintable() else signs.pre_tokenize_str(piece)[0][0]
             return array(self.kind, [t.id for t in model.tokenize(seen)]).tobytes()
 
-        self.pieces = Remembered(merged)
+        self.pieces = Remembered(merged, PIECES)
         self.words = Remembered(
             lambda word: array(self.kind, self.library.encode(word, add_special_tokens=False).ids).tobytes())
 
