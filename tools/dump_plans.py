@@ -20,7 +20,7 @@ from quire.plans.session import get_session  # noqa: E402
 
 KEEP = re.compile(r"Exchange|Join|Aggregate|Window|ArrowEvalPython|FlatMapGroupsInPandas|MapInPandas|"
                   r"Generate|FileScan|Scan ExistingRDD|Sort ")
-HEADLINE = ("paragraphs", "aggregates", "chunks", "conversation_aggregates", "spans", "embed_chunks")
+HEADLINE = ("paragraphs", "filter_corpus_screened", "aggregates", "chunks", "conversation_aggregates", "spans", "embed_chunks")
 
 
 def skeleton(plan: str) -> list[str]:
