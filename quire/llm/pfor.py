@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ordering import range_count
 from .common import text_or_empty
 from .hftokens import encoded
 
@@ -148,8 +149,8 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int,
                  segment_ids: int = SEGMENT_IDS, percentile: float = PERCENTILE) -> None:
     """Write the ids of all documents to ``path`` in ascending order of doc_id.
 
-    The texts are dealt by ranges of (doc_id, hash of the text) and sorted in
-    each task, which writes its segments in order: rows (part, inside, n_ids,
+    The texts are dealt by ranges of (doc_id, hash of the text), as many as their
+    stored bytes ask for, and sorted in each task, which writes its segments in order: rows (part, inside, n_ids,
     doc_ids, data), where ``inside`` counts the part's ids before the segment and ``data``
     is the packed segment.  Spark's Parquet writer
     holds them (uncompressed, as they are packed), so that a lost task leaves no
@@ -158,11 +159,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, end_id: int,
     A null text counts as empty and holds the end id alone; null doc_ids come
     first; repeated rows follow each other; other columns are ignored.
     """
-    spark = docs.sparkSession
     rows = docs.select("doc_id", text_or_empty().alias("text"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["doc_id", F.xxhash64("text")]
-    rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    rows = rows.repartitionByRange(range_count(docs), *order).sortWithinPartitions(*order)
     rows = rows.withColumn("part", F.spark_partition_id())
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
@@ -206,7 +205,9 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     ``start`` counts the ids of all documents before, in ascending doc_id order:
     the totals of the parts before (one row for each writing task, broadcast up
     to ``BROADCAST_PARTS`` of them), the part's ids before the segment, and
-    those before the document in its segment.
+    those before the document in its segment.  Null doc_ids and repeated rows
+    come as they were written, with their own starts; a folder of an empty table
+    gives no rows.
     """
     stored = spark.read.parquet(path)
     parts = stored.groupBy("part").agg(F.sum("n_ids").alias("n")).select(

@@ -191,7 +191,11 @@ def judged(docs: DataFrame, forest: Forest, keep: float = KEEP) -> DataFrame:
 
 
 def passing(docs: DataFrame, forest: Forest, keep: float = KEEP) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns, where they are read."""
+    """The rows of ``docs`` that stay, with all their columns, where they are read.
+
+    A null or empty text fails the base rules and goes; repeated rows stay or go
+    together; columns of any name stay; an empty table stays empty.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in byte_slices(batches, "text"):

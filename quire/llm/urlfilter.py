@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 import struct
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,7 +14,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.checkpoint import checkpoint_dir
+from ..sources.checkpoint import shared_path
 
 #: Rules whose index stays under so many bytes are collected, which takes the driver about ten times as much,
 #: and go to the executors as a file; more are joined.
@@ -120,9 +119,9 @@ def _mapped(name: str) -> Index:
 
 
 def _published(spark: SparkSession, data: bytes) -> str:
-    """Put the index into the shared folder; executors fetch it from there once each."""
-    name = f"urls-{uuid.uuid4().hex}.idx"
-    where = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+    """Put the index into the shared folder, until the process ends; executors fetch it from there once each."""
+    where = shared_path(spark, "urls")
+    name = where.rsplit("/", 1)[1]
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(where)
     out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
