@@ -41,15 +41,22 @@ class Slices:
         self.coords = np.ascontiguousarray(np.take_along_axis(entries, self.order, 0).T)
         self.masks = np.zeros((dims, k + 1), np.uint64)
         self.masks[:, 1:] = np.bitwise_or.accumulate(np.uint64(1) << self.order.T.astype(np.uint64), axis=1)
-        self.widest = int(np.argmax(np.ptp(entries, axis=0)))
 
-    def guess(self, x: np.ndarray) -> np.ndarray:
-        """An entry whose widest coordinate is next to that of each row."""
-        line, value = self.coords[self.widest], x[:, self.widest]
-        above = np.minimum(np.searchsorted(line, value), len(line) - 1)
-        below = np.maximum(above - 1, 0)
-        nearer = np.where(np.abs(line[below] - value) < np.abs(line[above] - value), below, above)
-        return self.order[nearer, self.widest]
+    def guess(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(entry, squared distance): the nearest of the entries that are next to a row in one of the dimensions."""
+        entry, least = None, None
+        for d, line in enumerate(self.coords):
+            value = x[:, d]
+            above = np.minimum(np.searchsorted(line, value), len(line) - 1)
+            below = np.maximum(above - 1, 0)
+            spot = self.order[np.where(np.abs(line[below] - value) < np.abs(line[above] - value), below, above), d]
+            distance = ((x - self.entries[spot]) ** 2).sum(1)
+            if entry is None:
+                entry, least = spot, distance
+            else:
+                better = distance < least
+                entry, least = np.where(better, spot, entry), np.where(better, distance, least)
+        return entry, least
 
     def inside(self, x: np.ndarray, radius: np.ndarray) -> np.ndarray:
         """Masks of the entries within ``radius`` of each row in every dimension."""
@@ -65,8 +72,7 @@ class Slices:
         The distance to a guessed entry is the radius: the box around a row holds
         every entry that is as near or nearer.
         """
-        entry = self.guess(x)
-        least = ((x - self.entries[entry]) ** 2).sum(1)
+        entry, least = self.guess(x)
         # a float root of a long is off by less than one
         found = self.inside(x, np.sqrt(least.astype(float)).astype(np.int64) + 1)
         for e, own in enumerate(self.entries):
