@@ -19,8 +19,9 @@ from .components import components
 BLOCK = 512
 #: Bytes of the full sets of a block.
 BLOCK_BYTES = 16 << 20
-#: Further nodes that a bucket of several components is compared with before all its pairs are.
-CENTRES = 3
+#: Further nodes that a bucket of several components is compared with before all its pairs are.  Each takes a
+#: round of components, whose plans the driver holds.
+CENTRES = 1
 #: Up to so many narrow rows (about 24 bytes each) are broadcast to fetch texts or drop rows.
 BROADCAST_ROWS = 500_000
 
@@ -160,10 +161,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, how: MinHash) -> DataFrame:
 def _alike(pairs: DataFrame, classes: DataFrame, how: MinHash) -> DataFrame:
     """The pairs (a, b) whose sizes and signatures allow the similarity asked for."""
     side = classes.select("node", "n_shingles", "sig")
-    pairs = cut(pairs)
-    # a centre may have a third of all pairs
-    heads = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("size")).join(side.toDF("a", "n_a", "sig_a"), "a")
-    both = hot_join(pairs, heads, "a", "size", pairs.count()).join(side.toDF("b", "n_b", "sig_b"), "b")
+    both = pairs.join(side.toDF("a", "n_a", "sig_a"), "a").join(side.toDF("b", "n_b", "sig_b"), "b")
     both = both.where((100 * F.least("n_a", "n_b") >= how.percent * F.greatest("n_a", "n_b")))
     least = how.percent / 100 - how.slack
 
@@ -317,7 +315,7 @@ def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
     found = cut(components(links.toDF("u", "v")))
     for turn in range(CENTRES):
         placed = cut(members.where("size > 2").join(found, "node", "left").select(
-            "key", "band", "node", F.coalesce("component", "node").alias("component")))
+            "key", "node", F.coalesce("component", "node").alias("component")))
         # another node of each bucket that still holds several components, against those of the others
         spot = F.xxhash64("node", F.lit(turn))
         centres = cut(placed.groupBy("key").agg(
