@@ -55,3 +55,11 @@ def test_rows_of_a_bucket_stay_together():
         found = [t.column("k").to_pylist() for t in aggregate._whole(iter([*batches, batches[0].slice(0, 0)]), "k")]
         assert [k for t in found for k in t] == keys and all(not set(a) & set(b) for a, b in zip(found, found[1:]))
     assert aggregate._runs(pa.array(keys).to_numpy()) == [(0, 2), (2, 7), (7, 8), (8, 10)]
+
+
+def test_sentences_are_not_made_once_a_piece(spark):
+    df = spark.createDataFrame([(" ".join(f"Word{i} ends here." for i in range(50)), 7)], "p string, n long")
+    df = df.select(chunks.split_paragraph(F.col("p"), F.col("n")).alias("x"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 2  # for the counts and for the pieces
+    assert [len(x.split()) for x in df.first().x] == [6] * 25
