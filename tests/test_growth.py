@@ -63,3 +63,19 @@ def test_sentences_are_not_made_once_a_piece(spark):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all") == 2  # for the counts and for the pieces
     assert [len(x.split()) for x in df.first().x] == [6] * 25
+
+
+def test_few_paragraphs_need_no_hashes(monkeypatch):
+    rng = random.Random(3)
+    parts = [" ".join(rng.choice(["ka", "lo", "mi é", "𝒳"]) for _ in range(rng.randint(0, 12))) for _ in range(900)]
+    book, begins, at = K.PARAGRAPH_MARKER.join(parts), [], 0
+    for p in parts:
+        begins.append(at)
+        at += len(p) + len(K.PARAGRAPH_MARKER)
+    lengths, want = [len(p) for p in parts], [book.find(p) for p in parts]
+    assert paragraphs.hashed_offsets(book, begins, lengths) == want
+    assert paragraphs.first_offsets(book, begins, lengths) == want  # by hashes: too many
+    monkeypatch.setattr(paragraphs, "hashed_offsets", None)
+    assert paragraphs.first_offsets(book, begins[:100], lengths[:100]) == want[:100]
+    with pytest.raises(TypeError):
+        paragraphs.first_offsets(book, begins, lengths)
