@@ -79,3 +79,13 @@ def test_few_paragraphs_need_no_hashes(monkeypatch):
     assert paragraphs.first_offsets(book, begins[:100], lengths[:100]) == want[:100]
     with pytest.raises(TypeError):
         paragraphs.first_offsets(book, begins, lengths)
+
+
+def test_heading_start_admits_every_heading(spark):
+    some = ["CHAPTER IV", "chapter X", "cHapter I. More", "I", "X", "IV", "AB", "A.", "A B.", " .", "  ", "No. 3--THE END", "Nob", "Part I.",
+            "Part", "Chapter Ten", "* * * *", " \t****", "****", "***", "A quiet", "I\n", "I\r\n", "", " ", "é", "Ch", "V ", "\n* ** *", "M", "Z", None]
+    df = spark.createDataFrame([(t,) for t in some], "t string")
+    old = F.regexp_extract("t", K.HEADING_PATTERN, 0)
+    assert df.where(~X.heading_or_empty(F.col("t")).eqNullSafe(old)).count() == 0
+    assert df.where(~X.no_chapterization(F.col("t")).eqNullSafe(~F.col("t").rlike(K.HEADING_PATTERN))).count() == 0
+    assert "substring(" in df.select(X.heading_or_empty(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
