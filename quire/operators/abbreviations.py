@@ -19,9 +19,13 @@ MOST, LONGEST = 500, 12
 TOKEN = r"[\p{L}\p{N}][\p{L}\p{N}.'’-]*"
 
 
+def _has_letter(token: Column) -> Column:
+    return token.rlike(r"\p{L}")
+
+
 def tokens(text: Column) -> Column:
     """Words with inner and trailing periods; a word has a letter."""
-    return F.filter(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), lambda t: t.rlike(r"\p{L}"))
+    return F.filter(F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0)), _has_letter)
 
 
 def _score(n: Column, with_period: Column, share: Column, length: Column, inner: Column) -> Column:
@@ -38,9 +42,12 @@ def period_statistics(df: DataFrame, text_col: str = "paragraphs") -> DataFrame:
     and are summed map-side first.  Where all words or none have a period nothing
     can be told, and the score is null.
     """
-    each = df.select(F.explode(tokens(F.col(text_col))).alias("t")).select(
-        F.lower(F.regexp_replace("t", r"[.'’-]*$", "")).alias("word"), F.col("t").endswith(".").alias("p"))
-    words = each.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.count_if("p").alias("n_period"))
+    # tokens are counted as they stand first, so that patterns read each distinct one only
+    found = df.select(F.explode(F.regexp_extract_all(F.col(text_col), F.lit(TOKEN), F.lit(0))).alias("t"))
+    each = found.groupBy("t").agg(F.count(F.lit(1)).alias("k")).where(_has_letter(F.col("t"))).select(
+        F.lower(F.regexp_replace("t", r"[.'’-]*$", "")).alias("word"), F.col("t").endswith(".").alias("p"), "k")
+    words = each.groupBy("word").agg(
+        F.sum("k").alias("n"), F.sum(F.when(F.col("p"), F.col("k")).otherwise(0)).alias("n_period"))
     total = words.agg(F.sum("n").alias("_all"), F.sum("n_period").alias("_periods"))  # one row
     share = F.col("_periods") / F.col("_all")
     inner = F.char_length("word") - F.char_length(F.replace("word", F.lit("."), F.lit("")))

@@ -89,3 +89,10 @@ def test_heading_start_admits_every_heading(spark):
     assert df.where(~X.heading_or_empty(F.col("t")).eqNullSafe(old)).count() == 0
     assert df.where(~X.no_chapterization(F.col("t")).eqNullSafe(~F.col("t").rlike(K.HEADING_PATTERN))).count() == 0
     assert "substring(" in df.select(X.heading_or_empty(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_are_counted_before_patterns_read_them(spark):
+    df = spark.createDataFrame([("Dr. Who met dr. Who. 12. 'x",), (None,)], "paragraphs string")
+    found = abbreviations.period_statistics(df)
+    assert "keys=[t#" in plan_of(found)
+    assert sorted((r.word, r.n, r.n_period) for r in found.collect()) == [("dr", 2, 2), ("who", 2, 1)]
