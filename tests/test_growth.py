@@ -96,3 +96,10 @@ def test_words_are_counted_before_patterns_read_them(spark):
     found = abbreviations.period_statistics(df)
     assert "keys=[t#" in plan_of(found)
     assert sorted((r.word, r.n, r.n_period) for r in found.collect()) == [("dr", 2, 2), ("who", 2, 1)]
+
+
+def test_encoder_hashes_a_token_once(monkeypatch):
+    calls, md5 = [], hashlib.md5
+    monkeypatch.setattr(hashlib, "md5", lambda x: calls.append(x) or md5(x))
+    out = queries._hash_encoder()(["a b a", "B é a", ""])
+    assert sorted(calls) == [b"a", b"b", "é".encode()] and out.sum(axis=1).tolist() == [3, 3, 0]
