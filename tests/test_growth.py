@@ -103,3 +103,63 @@ def test_encoder_hashes_a_token_once(monkeypatch):
     monkeypatch.setattr(hashlib, "md5", lambda x: calls.append(x) or md5(x))
     out = queries._hash_encoder()(["a b a", "B é a", ""])
     assert sorted(calls) == [b"a", b"b", "é".encode()] and out.sum(axis=1).tolist() == [3, 3, 0]
+
+
+SPACED = ["", " ", "a", " a", "a ", "a b", " a  b ", "a\nb", "a\n\nb c", "\ta", "a b", "a\u0085", "　a", "a b c", "é ü", "𝒳 𝒴",
+          "a​b", "\x1fa\x1c", "a  ", "  ", "a b c", None]
+
+
+def test_single_spaces_need_no_pattern(spark):
+    df = spark.createDataFrame([(t,) for t in SPACED], "t string")
+    plan = df.select(X.word_count(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "replace(" in plan
+    for r in df.select("t", X.word_count(F.col("t")).alias("n"), chunks._words(F.trim(F.col("t"))).alias("w")).collect():
+        assert r.n == (None if r.t is None else len(r.t.split()))
+        if r.t is not None and r.t.strip() == r.t.strip(" "):
+            assert r.w == len(r.t.split()), r.t
+
+
+def test_normalising_leaves_the_pattern_to_odd_books(spark):
+    df = spark.createDataFrame([(t,) for t in [*SPACED, "a\r\n b\xa0  c", "a\n\n\n b", "a     b", "\t \n"]], "t string")
+    old = F.col("t")
+    for a, b in K.NORMALISE_REPLACEMENTS:
+        old = F.replace(old, F.lit(a), F.lit(b))
+    got = X.normalize_book(F.col("t")).alias("got")
+    assert df.select("t", got).where(~F.col("got").eqNullSafe(F.regexp_replace(old, K.WS + "+", " "))).count() == 0
+    plan = df.select(got)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in plan and plan.count("regexp_replace") == 1
+
+
+def test_books_are_sent_to_python_once(spark):
+    text = "CHAPTER I\n\nA quiet night in town.\n\nA quiet night in town."
+    corpus = spark.createDataFrame([("1", text)], "id string, text string")
+    books = paragraphs.book_paragraph_arrays(corpus, true_spans=True)
+    assert plan_of(books).count("ArrowEvalPython") == 1
+    row = books.first()
+    assert row["_starts"] == [13, 13] and row["_tstarts"] == [13, 39]
+
+
+def test_both_kinds_of_groups_read_one_shuffle_and_join_texts_once(spark):
+    path = aggregate.cut(table(spark))
+    df = aggregate.aggregate_paragraphs(path, 20, rows_per_bucket=7, n_rows=400)
+    optimised = df._jdf.queryExecution().optimizedPlan().toString()
+    assert optimised.count("array_join(") == 2 and optimised.count("sort_array(") == 2  # once in each branch
+    df.collect()
+    assert "ReusedExchange" in plan_of(df)
+
+
+def test_narrow_tasks_follow_buckets(spark, monkeypatch):
+    monkeypatch.setattr(aggregate, "LEAST_BUCKETS", 20)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert aggregate._narrow_tasks(table(spark), 1) == 1
+    assert aggregate._narrow_tasks(table(spark), 10**6) == width
+    marks = plan_of(aggregate.start_marks(table(spark), 20, K.COL_INDEX, 2, 3, 400))
+    assert f"{min(width, 10)}), REPARTITION_BY_NUM" in marks
+
+
+def test_words_that_are_counted_are_not_counted_again(spark):
+    df = spark.createDataFrame([("a b", 2, 1, [0, 3], None, 0)], "paragraphs string, n_words long, text_ids long, spans array<long>, "
+                               "chapters string, agg_order long")
+    plans = [chunks.break_paragraphs(df, 5, counted=c)._jdf.queryExecution().optimizedPlan().toString() for c in (True, False)]
+    assert plans[0].count("split(") < plans[1].count("split(")
+    assert chunks.break_paragraphs(df, 5, counted=True).collect() == chunks.break_paragraphs(df, 5).collect()
